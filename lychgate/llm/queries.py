@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from lychgate.llm import bpe, media
+from lychgate.llm import bpe, media, packing, token_output
 
 
 def queries() -> dict[str, Callable]:
     return {
         "op1_bpe": bpe.op1_bpe,
+        "op3_packing": packing.op3_packing,
+        "op9_token_output": token_output.op9_token_output,
         "op10_ogg_media": media.op10_ogg_media,
     }
 
