@@ -74,7 +74,7 @@ def small_batches(df: DataFrame) -> DataFrame:
 def to_arrow(kinds: StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    return to_arrow_schema(kinds, timezone="UTC")
+    return to_arrow_schema(kinds)
 
 
 def crc_mod(id_col: Column, n: int) -> Column:
