@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from lychgate.llm import bpe, media, near_dup, packing, token_output
+from lychgate.llm import bpe, language, media, near_dup, packing, token_output
 
 
 def queries() -> dict[str, Callable]:
     return {
         "op1_bpe": bpe.op1_bpe,
         "op3_packing": packing.op3_packing,
+        "op5_language": language.op5_language,
         "op6_minhash": near_dup.op6_minhash,
         "op9_token_output": token_output.op9_token_output,
         "op10_ogg_media": media.op10_ogg_media,
