@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from lychgate.llm import bpe, language, media, near_dup, packing, token_output
+from lychgate.llm import ann, bpe, language, media, near_dup, packing, token_output
 
 
 def queries() -> dict[str, Callable]:
     return {
         "op1_bpe": bpe.op1_bpe,
+        "op2_ann": ann.op2_ann,
         "op3_packing": packing.op3_packing,
         "op5_language": language.op5_language,
         "op6_minhash": near_dup.op6_minhash,
