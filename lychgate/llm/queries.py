@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from lychgate.llm import ann, bpe, language, media, near_dup, packing, token_output
+from lychgate.llm import ann, bpe, language, media, near_dup, packing, quality, token_output, toxicity
 
 
 def queries() -> dict[str, Callable]:
@@ -14,6 +14,8 @@ def queries() -> dict[str, Callable]:
         "op3_packing": packing.op3_packing,
         "op5_language": language.op5_language,
         "op6_minhash": near_dup.op6_minhash,
+        "op7_quality": quality.op7_quality,
+        "op8_toxicity": toxicity.op8_toxicity,
         "op9_token_output": token_output.op9_token_output,
         "op10_ogg_media": media.op10_ogg_media,
     }
