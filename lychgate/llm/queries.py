@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from lychgate.llm import ann, bpe, language, media, near_dup, packing, quality, token_output, toxicity
+from lychgate.llm import ann, bpe, language, media, near_dup, packing, passages, quality, token_output, toxicity
 
 
 def queries() -> dict[str, Callable]:
@@ -12,6 +12,7 @@ def queries() -> dict[str, Callable]:
         "op1_bpe": bpe.op1_bpe,
         "op2_ann": ann.op2_ann,
         "op3_packing": packing.op3_packing,
+        "op4_passages": passages.op4_passages,
         "op5_language": language.op5_language,
         "op6_minhash": near_dup.op6_minhash,
         "op7_quality": quality.op7_quality,
