@@ -65,6 +65,18 @@ def map_batches(
     return small_batches(df).mapInArrow(run, schema)
 
 
+def filter_texts(df: DataFrame, keep: Callable, model) -> DataFrame:
+    """Rows of df for which keep(model, texts) holds, in one pass over whole rows; model is broadcast."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.filter(pa.array([bool(x) for x in keep(shared.value, batch["text"].to_pylist())]))
+
+    return small_batches(df).mapInArrow(run, df.schema)
+
+
 def small_batches(df: DataFrame) -> DataFrame:
     """Bounds the bytes of Arrow batches: few rows each."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

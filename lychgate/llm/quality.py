@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lychgate.llm.common import docs_of, map_batches
+from lychgate.llm.common import docs_of, filter_texts, map_batches
 from lychgate.llm.labelled import TRAIN_ROWS, held_out, training_rows
 
 FEATURES = (
@@ -196,6 +196,11 @@ def score(docs: DataFrame, model: Additive, threshold: float = THRESHOLD) -> Dat
     return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), batch, "doc_id long, score double, predicted int")
 
 
+def accept(docs: DataFrame, model: Additive, threshold: float = THRESHOLD) -> DataFrame:
+    """docs, whole rows, of at least the threshold's score."""
+    return filter_texts(docs, lambda shared, texts: shared.scores(np.array([features_of(t) for t in texts]).reshape(-1, len(FEATURES))) >= threshold, model)
+
+
 def op7_quality(spark, sf_dir: str) -> DataFrame:
     docs = docs_of(spark, sf_dir)
     return score(docs, train(spark, docs, sf_dir)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lychgate.llm.common import TwoGenerations, docs_of, map_batches, small_batches, to_arrow
+from lychgate.llm.common import TwoGenerations, docs_of, filter_texts, map_batches, small_batches, to_arrow
 from lychgate.llm.labelled import TRAIN_ROWS, held_out, training_rows
 
 SUPPORT, PRECISION, LEXICON, FUZZY = 5, 0.9, 4096, 5
@@ -256,6 +256,16 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), batch, "doc_id long, score double, predicted int")
 
 
+def accept(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """docs, whole rows, below the threshold's score."""
+
+    def clean(model, texts):
+        m = _matcher(model)
+        return model.scores(np.array([m.features(t) for t in texts]).reshape(-1, 8)) < threshold
+
+    return filter_texts(docs, clean, model)
+
+
 def op8_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = docs_of(spark, sf_dir)
     return score(docs, train(spark, docs, sf_dir)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
