@@ -1,11 +1,58 @@
-"""Stages that turn raw documents into packed training sequences."""
+"""Stages that turn raw documents into packed training sequences.
 
-STAGES = []
+Each stage works on all that its predecessor kept. The models of the first two are fitted on the
+labelled rows of the documents that the stage is given.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from lychgate.llm import near_dup, packing, passages, quality, toxicity
+from lychgate.llm.common import docs_of, written
+
+
+def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without those predicted to be toxic."""
+    return toxicity.accept(docs, toxicity.train(spark, docs, sf_dir))
+
+
+def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without those predicted to be of low quality."""
+    return quality.accept(docs, quality.train(spark, docs, sf_dir))
+
+
+def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the smallest id, of each near-duplicate group."""
+    return near_dup.one_of_each(docs)
+
+
+def stage_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages that a document of smaller id has."""
+    return passages.without_repeats(docs)
+
+
+def stage_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in packed sequences."""
+    import public_tokenizers
+
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("toxicity", stage_toxicity),
+    ("quality", stage_quality),
+    ("near_dedup", stage_near_dedup),
+    ("passages", stage_passages),
+    ("packing", stage_packing),
+]
+
+#: The stages score with fitted models and tokenize, which SQL cannot express.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = docs_of(spark, sf_dir)
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
