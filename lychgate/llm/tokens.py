@@ -1,26 +1,53 @@
 """Token ids of a byte-level tokenizer file, for the packing operators.
 
 Texts are cut at single spaces between other characters, where the tokenizer always cuts too; the
-pieces' ids come from the tokenizers library and are kept per worker, in two generations of bounded
-size, so a text costs one lookup a piece. A text that holds the string of a special token goes to
-the library whole.
+pieces' ids are kept per worker, in two generations of bounded size, so a text costs one lookup a
+piece. New pieces are encoded from the file's own vocabulary by tiktoken, whose merges by rank are
+those of the file if its ids follow its merges; that is checked, and else, and for characters whose
+classes differ between Unicode versions, the tokenizers library does it. A text that holds the string of a
+special token goes to that library whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
 
-_RUNS = re.compile(r"\s | \s")
+from lychgate.llm.bpe import byte_characters
+from lychgate.llm.common import BEYOND_LATIN
+
+_OTHER_SPACE = re.compile(r"[^\S \n]")
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 _BLOCK = 50_000
 
 
+def _has_runs(text: str) -> bool:
+    return "  " in text or "\n " in text or " \n" in text or bool(_OTHER_SPACE.search(text))
+
+
+def by_rank(file: str):
+    """tiktoken's encoder of one piece from a tokenizer file, or None if its ids are not ranks."""
+    import public_tokenizers
+    import tiktoken
+
+    with open(file, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    made = [model["vocab"].get(a + b) for a, b in pairs]
+    if made != list(range(256, 256 + len(made))):
+        return None
+    byte = {c: b for b, c in enumerate(byte_characters())}
+    ranks = {bytes(byte[c] for c in t): i for t, i in model["vocab"].items() if i < 256 + len(made)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+
 class ByteBpe:
-    def __init__(self, file: str, cap: int = 300_000):
+    def __init__(self, file: str, cap: int = 400_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -28,6 +55,7 @@ class ByteBpe:
         self.library.no_truncation()
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.ordinary = by_rank(file)
         self.cap, self.known, self.old = cap, {}, {}
 
     def _raw(self, text: str) -> bytes:
@@ -37,20 +65,23 @@ class ByteBpe:
         """All of pieces are known afterwards; a piece stands for itself after a space."""
         if len(self.known) > self.cap:
             self.old, self.known = self.known, {}
-        new = []
-        for p in {p for p in pieces if p not in self.known}:
-            if p in self.old:
-                self.known[p] = self.old[p]
+        rest = []
+        known, old, ordinary = self.known, self.old, self.ordinary
+        for p in {p for p in pieces if p not in known}:
+            if p in old:
+                known[p] = old[p]
+            elif ordinary is None or not p.isascii() and BEYOND_LATIN.search(p):
+                rest.append(p)
             else:
-                new.append(p)
-        for p, e in zip(new, self.library.encode_batch_fast([f" {p}" for p in new], add_special_tokens=False), strict=True):
-            self.known[p] = np.array(e.ids, "<u4").tobytes()
+                known[p] = array("I", ordinary(" " + p)).tobytes()
+        for p, e in zip(rest, self.library.encode_batch_fast([f" {p}" for p in rest], add_special_tokens=False), strict=True):
+            known[p] = np.array(e.ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
         if any(s in text for s in self.special):
             return self._raw(text)
-        pieces = _SAFE.split(text) if _RUNS.search(text) else text.split(" ")
+        pieces = _SAFE.split(text) if _has_runs(text) else text.split(" ")
         out = [self._raw(pieces[0])]
         for at in range(1, len(pieces), _BLOCK):
             block = pieces[at : at + _BLOCK]
