@@ -1 +1,240 @@
-"""Plans."""
+"""Record linkage over records made from customers, suppliers and parts.
+
+Records: one a customer, its last name from a bounded list, alternates, first and middle names, birth and
+death dates, place and gender, all functions of the key, so that SQL can make the same ones. Incoming records are
+every fourth customer, perturbed by key.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lychgate.functions import geo, names
+from lychgate.operators import linkage as L
+from lychgate.operators import rank
+from lychgate.registry import query
+from lychgate.sources.tables import table
+
+_MASTER_SQL = """m AS (SELECT c_custkey AS id, 'last' || (c_custkey % 97) AS last, CASE WHEN c_custkey % 5 = 0 THEN 'last' || (c_custkey % 89) END AS alt,
+ 'first' || (c_custkey % 13) AS first, DATE '1930-01-01' + CAST(c_custkey % 400 AS INTEGER) AS dob, DATE '2015-01-01' + CAST(c_custkey % 300 AS INTEGER) AS dod, c_custkey % 2 AS gender FROM customer)"""
+_INCOMING_SQL = """i AS (SELECT id, CASE WHEN id % 12 = 0 THEN coalesce(alt, last) ELSE last END AS last, CASE WHEN id % 20 = 0 THEN left(first, 1) ELSE first END AS first,
+ CASE WHEN id % 16 = 0 THEN NULL ELSE dob END AS dob, CASE WHEN id % 28 = 0 THEN dod + 1 ELSE dod END AS dod, CASE WHEN id % 36 = 0 THEN 1 - gender ELSE gender END AS gender FROM m WHERE id % 4 = 0)"""
+_PASSES = [["last", "dob", "dod"], ["last", "dob"], ["last", "dod"], ["last", "first"]]
+_CANDIDATES_SQL = """v AS (SELECT id, last, first, dob, dod FROM m UNION ALL SELECT id, alt, first, dob, dod FROM m WHERE alt IS NOT NULL AND alt <> last),
+ c AS (SELECT rec_id, cand_id, min(pass) AS pass FROM (
+  SELECT i.id AS rec_id, v.id AS cand_id, 1 AS pass FROM i JOIN v USING (last, dob, dod)
+  UNION ALL SELECT i.id, v.id, 2 FROM i JOIN v USING (last, dob) UNION ALL SELECT i.id, v.id, 3 FROM i JOIN v USING (last, dod)
+  UNION ALL SELECT i.id, v.id, 4 FROM i JOIN v USING (last, first)) GROUP BY 1, 2)"""
+
+
+def master(spark, d) -> DataFrame:
+    k = F.col("c_custkey")
+    word = lambda w, n: F.concat(F.lit(w), (k % n).cast("string"))
+    return table(spark, d, "customer").select(
+        k.alias("id"), word("last", 97).alias("last"), F.when(k % 5 == 0, word("last", 89)).alias("alt"), word("first", 13).alias("first"),
+        F.date_add(F.lit("1930-01-01").cast("date"), (k % 400).cast("int")).alias("dob"),
+        F.date_add(F.lit("2015-01-01").cast("date"), (k % 300).cast("int")).alias("dod"), (k % 2).alias("gender"),
+    )
+
+
+def incoming(spark, d) -> DataFrame:
+    i = F.col("id")
+    return master(spark, d).where(i % 4 == 0).select(
+        "id", F.when(i % 12 == 0, F.coalesce("alt", "last")).otherwise(F.col("last")).alias("last"),
+        F.when(i % 20 == 0, F.left("first", F.lit(1))).otherwise(F.col("first")).alias("first"), F.when(i % 16 != 0, F.col("dob")).alias("dob"),
+        F.when(i % 28 == 0, F.date_add("dod", 1)).otherwise(F.col("dod")).alias("dod"), F.when(i % 36 == 0, 1 - F.col("gender")).otherwise(F.col("gender")).alias("gender"),
+    )
+
+
+def candidates(spark, d) -> DataFrame:
+    m = master(spark, d)
+    variants = m.withColumn("last", F.explode(F.array_distinct(F.array_compact(F.array("last", "alt"))))).drop("alt")
+    return L.candidates(incoming(spark, d), variants, _PASSES)
+
+
+@query("blocking_passes", f"WITH {_MASTER_SQL}, {_INCOMING_SQL}, {_CANDIDATES_SQL} SELECT * FROM c")
+def blocking_passes(spark, d):
+    return candidates(spark, d)
+
+
+_SCORED_SQL = f"""{_MASTER_SQL}, {_INCOMING_SQL}, {_CANDIDATES_SQL}, e AS (SELECT rec_id, cand_id, pass,
+ (CASE WHEN i.last = m.last THEN {L.bit('last')} WHEN i.last = m.alt THEN {L.bit('last_alt')} ELSE 0 END)
+ | (CASE WHEN i.first = m.first THEN {L.bit('first')} WHEN left(i.first, 1) = left(m.first, 1) AND length(i.first) = 1 THEN {L.bit('first_like')} ELSE 0 END)
+ | (CASE WHEN i.dob = m.dob THEN {L.bit('dob')} ELSE 0 END) | (CASE WHEN year(i.dob) = year(m.dob) THEN {L.bit('yob')} ELSE 0 END)
+ | (CASE WHEN i.dod = m.dod THEN {L.bit('dod')} ELSE 0 END) | (CASE WHEN year(i.dod) = year(m.dod) THEN {L.bit('yod')} ELSE 0 END)
+ | (CASE WHEN i.gender = m.gender THEN {L.bit('gender')} ELSE 0 END) AS same,
+ (CASE WHEN i.dob <> m.dob THEN {L.bit('dob')} ELSE 0 END) | (CASE WHEN i.gender <> m.gender THEN {L.bit('gender')} ELSE 0 END) AS differs
+ FROM c JOIN i ON rec_id = i.id JOIN m ON cand_id = m.id),
+ k AS (SELECT *, CASE WHEN differs & {L.bit('dob')} <> 0 THEN 0
+ WHEN same & {L.bit('dob')} <> 0 AND same & {L.bit('last')} <> 0 AND same & {L.bit('first')} <> 0 THEN CASE WHEN same & {L.bit('dod')} <> 0 THEN {L.KEYS.index('key_dod')} ELSE {L.KEYS.index('key')} END
+ WHEN same & {L.bit('dob')} <> 0 AND same & {L.bit('last_alt')} <> 0 AND same & {L.bit('first')} <> 0 THEN CASE WHEN same & {L.bit('dod')} <> 0 THEN {L.KEYS.index('alt_key_dod')} ELSE {L.KEYS.index('alt_key')} END
+ WHEN same & {L.bit('dob')} <> 0 AND same & {L.bit('last')} <> 0 AND same & {L.bit('first_like')} <> 0 THEN {L.KEYS.index('dob_name_alt')}
+ WHEN same & {L.bit('dob')} <> 0 AND same & {L.bit('last_alt')} <> 0 AND same & {L.bit('first_like')} <> 0 THEN {L.KEYS.index('dob_alt_name_alt')}
+ WHEN same & {L.bit('dod')} <> 0 AND same & {L.bit('last')} <> 0 AND same & {L.bit('first')} <> 0 THEN {L.KEYS.index('dod_name')}
+ WHEN same & {L.bit('dod')} <> 0 AND same & {L.bit('last')} <> 0 AND same & {L.bit('first_like')} <> 0 THEN {L.KEYS.index('dod_name_alt')}
+ WHEN same & {L.bit('dod')} <> 0 AND same & {L.bit('last_alt')} <> 0 AND same & {L.bit('first')} <> 0 THEN {L.KEYS.index('dod_alt_name')}
+ WHEN same & {L.bit('dod')} <> 0 AND same & {L.bit('last_alt')} <> 0 AND same & {L.bit('first_like')} <> 0 THEN {L.KEYS.index('dod_alt_name_alt')}
+ WHEN same & {L.bit('last')} <> 0 AND same & {L.bit('first')} <> 0 THEN {L.KEYS.index('no_key')}
+ WHEN same & {L.bit('last')} <> 0 AND same & {L.bit('first_like')} <> 0 THEN {L.KEYS.index('no_key_alt')}
+ WHEN same & {L.bit('last_alt')} <> 0 AND same & {L.bit('first')} <> 0 THEN {L.KEYS.index('no_key_alt_name')}
+ WHEN same & {L.bit('last_alt')} <> 0 AND same & {L.bit('first_like')} <> 0 THEN {L.KEYS.index('no_key_alt_name_alt')} ELSE 0 END AS match_key,
+ same - 2 * bit_count(differs) AS net_score FROM e)"""
+
+
+def scored(spark, d) -> DataFrame:
+    i = incoming(spark, d).select(*[F.col(c).alias(f"i_{c}") for c in ("id", "last", "first", "dob", "dod", "gender")])
+    m = master(spark, d).select(*[F.col(c).alias(f"m_{c}") for c in ("id", "last", "alt", "first", "dob", "dod", "gender")])
+    c = candidates(spark, d).join(i, F.col("rec_id") == F.col("i_id")).join(m, F.col("cand_id") == F.col("m_id"))
+    col = F.col
+    last, first = col("i_last") == col("m_last"), col("i_first") == col("m_first")
+    like = names.initial_match(col("i_first"), col("m_first")) & (F.length("i_first") == 1)
+    same = L.either(
+        L.flag(last, "last"), L.flag(~last & (col("i_last") == col("m_alt")), "last_alt"), L.flag(first, "first"), L.flag(~first & like, "first_like"),
+        L.flag(col("i_dob") == col("m_dob"), "dob"), L.flag(F.year("i_dob") == F.year("m_dob"), "yob"), L.flag(col("i_dod") == col("m_dod"), "dod"),
+        L.flag(F.year("i_dod") == F.year("m_dod"), "yod"), L.flag(col("i_gender") == col("m_gender"), "gender"),
+    )
+    differs = L.either(L.flag(col("i_dob") != col("m_dob"), "dob"), L.flag(col("i_gender") != col("m_gender"), "gender"))
+    rows = c.select("rec_id", "cand_id", "pass", same.alias("same"), differs.alias("differs"))
+    return rows.withColumn("match_key", L.match_key()).withColumn("net_score", L.net_score())
+
+
+@query("candidate_evidence", f"WITH {_SCORED_SQL} SELECT rec_id, cand_id, pass, same, differs, net_score FROM k")
+def candidate_evidence(spark, d):
+    return scored(spark, d).select("rec_id", "cand_id", "pass", "same", "differs", "net_score")
+
+
+@query("match_keys", f"WITH {_SCORED_SQL} SELECT rec_id, cand_id, match_key FROM k")
+def match_keys(spark, d):
+    return scored(spark, d).select("rec_id", "cand_id", "match_key")
+
+
+_STOP_SQL = f"""{_SCORED_SQL}, s AS (SELECT *, min(CASE WHEN match_key >= {L.KEYS.index('alt_key')} THEN pass END) OVER (PARTITION BY rec_id) AS stop FROM k),
+ t AS (SELECT * FROM s WHERE stop IS NULL OR pass <= stop), b AS (SELECT *, row_number() OVER (PARTITION BY rec_id ORDER BY match_key DESC, net_score DESC, cand_id) AS n FROM t)"""
+
+
+def best_candidates(spark, d) -> DataFrame:
+    stopped = L.early_stop(scored(spark, d), F.col("match_key") >= L.KEYS.index("alt_key"))
+    return L.best(stopped, "rec_id", F.desc("match_key"), F.desc("net_score"), F.col("cand_id"))
+
+
+@query("early_stop_passes", f"WITH {_STOP_SQL} SELECT rec_id, cand_id, pass FROM t")
+def early_stop_passes(spark, d):
+    return L.early_stop(scored(spark, d), F.col("match_key") >= L.KEYS.index("alt_key")).select("rec_id", "cand_id", "pass")
+
+
+@query("linkage_best", f"WITH {_STOP_SQL} SELECT rec_id, cand_id, match_key, net_score FROM b WHERE n = 1")
+def linkage_best(spark, d):
+    return best_candidates(spark, d).select("rec_id", "cand_id", "match_key", "net_score")
+
+
+@query("linkage_histogram", f"WITH {_STOP_SQL} SELECT match_key, count(*) AS n FROM b WHERE n = 1 GROUP BY 1")
+def linkage_histogram(spark, d):
+    return best_candidates(spark, d).groupBy("match_key").agg(F.count("*").alias("n"))
+
+
+@query(
+    "load_action",
+    f"""WITH {_STOP_SQL} SELECT rec_id, CASE WHEN rec_id % 100 = 0 THEN 'force_new' WHEN rec_id % 52 = 0 THEN 'override' WHEN rec_id % 44 = 0 THEN 'junk'
+        WHEN match_key >= {L.KEYS.index('dod_name')} AND (differs <> 0 OR rec_id % 8 <> 0 OR match_key >= {L.KEYS.index('key')}) THEN 'update'
+        WHEN match_key >= {L.KEYS.index('dod_name')} THEN 'skip' ELSE 'insert' END AS action FROM b WHERE n = 1""",
+)
+def load_action(spark, d):
+    r = F.col("rec_id")
+    code = F.when(r % 100 == 0, 100).when(r % 52 == 0, 101).when(r % 44 == 0, 900).otherwise(0)
+    key = F.col("match_key")
+    action = L.run_action(code, key >= L.KEYS.index("dod_name"), F.col("differs") != 0, r % 8 == 0, key >= L.KEYS.index("key"))
+    return best_candidates(spark, d).select("rec_id", action.alias("action"))
+
+
+@query(
+    "rank_monitored",
+    """WITH p AS (SELECT s_suppkey AS rec, s_nationkey AS place, DATE '1940-01-01' + CAST(s_suppkey % 700 AS INTEGER) AS dob, s_suppkey % 2 AS gender FROM supplier),
+       q AS (SELECT c_custkey AS cand, c_nationkey AS place, DATE '1940-01-01' + CAST(c_custkey % 700 AS INTEGER) AS dob, c_custkey % 3 % 2 AS gender FROM customer),
+       r AS (SELECT rec, cand, (CASE WHEN p.dob = q.dob THEN 1000 WHEN (year(p.dob) = year(q.dob) AND month(p.dob) = day(q.dob) AND day(p.dob) = month(q.dob))
+         OR (year(p.dob) = year(q.dob))::INT + (month(p.dob) = month(q.dob))::INT + (day(p.dob) = day(q.dob))::INT >= 2 THEN 0 ELSE -500 END)
+         + (CASE WHEN p.gender = q.gender THEN 100 ELSE -50 END) AS points FROM p JOIN q ON p.place = q.place AND q.dob BETWEEN p.dob - INTERVAL 1 YEAR AND p.dob + INTERVAL 1 YEAR)
+       SELECT rec, cand, points FROM (SELECT *, row_number() OVER (PARTITION BY rec ORDER BY points DESC, cand) AS n FROM r) WHERE n <= 3""",
+)
+def rank_monitored(spark, d):
+    from pyspark.sql import Window
+
+    born = lambda k: F.date_add(F.lit("1940-01-01").cast("date"), (F.col(k) % 700).cast("int"))
+    p = table(spark, d, "supplier").select(F.col("s_suppkey").alias("rec"), F.col("s_nationkey").alias("place"), born("s_suppkey").alias("a"), (F.col("s_suppkey") % 2).alias("ag"))
+    q = table(spark, d, "customer").select(F.col("c_custkey").alias("cand"), F.col("c_nationkey").alias("place"), born("c_custkey").alias("b"), (F.col("c_custkey") % 3 % 2).alias("bg"))
+    near = p.join(q, "place").where(F.col("b").between(F.add_months("a", -12), F.add_months("a", 12)))
+    points = rank.dob_points(F.col("a"), F.col("b")) + rank.gender_points(F.col("ag"), F.col("bg"))
+    w = Window.partitionBy("rec").orderBy(F.desc("points"), "cand")
+    return near.select("rec", "cand", points.alias("points")).withColumn("n", F.row_number().over(w)).where("n <= 3").drop("n")
+
+
+@query(
+    "name_similarity",
+    """SELECT p_partkey, CASE WHEN len(list_intersect(a, b)) > 0 THEN 1.0 WHEN len(list_filter(a, lambda x: len(list_filter(b, lambda y: (length(x) = 1 OR length(y) = 1) AND x[1] = y[1])) > 0)) > 0
+       THEN 0.5 ELSE 0.0 END::DOUBLE AS sim FROM (SELECT p_partkey, string_split(lower(p_name), ' ') AS a, [lower(p_type), substr(lower(p_name), 1, 1), lower(p_brand)] AS b FROM part)""",
+)
+def name_similarity(spark, d):
+    a, b = F.split("p_name", " "), F.array("p_type", F.substring("p_name", 1, 1), "p_brand")
+    return table(spark, d, "part").select("p_partkey", names.similarity(a, b).alias("sim"))
+
+
+_NAMES_SQL = "n AS (SELECT c_nationkey AS name_id, count(*) FILTER (WHERE c_custkey % 3 = 0) AS male, count(*) FILTER (WHERE c_custkey % 3 <> 0 AND c_custkey % 7 > c_nationkey % 7) AS female FROM customer GROUP BY 1)"
+
+
+def _name_counts(spark, d):
+    k = F.col("c_custkey")
+    return table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("name_id")).agg(
+        F.count_if(k % 3 == 0).alias("male"), F.count_if((k % 3 != 0) & (k % 7 > F.col("c_nationkey") % 7)).alias("female")
+    )
+
+
+@query(
+    "name_credibility",
+    f"""WITH {_NAMES_SQL} SELECT name_id, CASE WHEN male + female > 0 THEN male / (male + female) END AS male_pct, CASE WHEN male + female = 0 THEN 'zero'
+        WHEN male + female <= 10 AND NOT ((male = 0 OR female = 0) AND male + female >= 5) THEN 'low' WHEN male + female <= 50 AND NOT ((male = 0 OR female = 0) AND male + female >= 5) THEN 'medium'
+        WHEN male + female <= 250 AND NOT ((male = 0 OR female = 0) AND male + female >= 100) THEN 'high' ELSE 'veryHigh' END AS tier,
+        (male + female >= 10 AND (male / (male + female) >= 0.8 OR male / (male + female) <= 0.2)) AS convincing FROM n""",
+)
+def name_credibility(spark, d):
+    m, f = F.col("male"), F.col("female")
+    return _name_counts(spark, d).select("name_id", names.male_share(m, f).alias("male_pct"), names.credibility(m, f).alias("tier"), names.convincing(F.lit("xx"), m, f).alias("convincing"))
+
+
+@query(
+    "gender_plausible",
+    f"""WITH {_NAMES_SQL} SELECT name_id, CASE WHEN male + female < 100 THEN male > 0 ELSE male / (male + female) > 0.005 END AS as_male,
+        CASE WHEN male + female < 100 THEN female > 0 ELSE male / (male + female) < 0.995 END AS as_female, male + female >= 1 AS as_any FROM n""",
+)
+def gender_plausible(spark, d):
+    m, f = F.col("male"), F.col("female")
+    return _name_counts(spark, d).select("name_id", *[names.gendered(m, f, F.lit(g)).alias(n) for g, n in (("M", "as_male"), ("F", "as_female"), (None, "as_any"))])
+
+
+@query(
+    "proximity_tiers",
+    """WITH p AS (SELECT s_suppkey, (s_suppkey % 17) + 42.5 AS lat, -60.5 - (s_suppkey % 23) AS lon FROM supplier)
+       SELECT s_suppkey, round(2 * 6371.0 * asin(sqrt(pow(sin((radians(lat) - radians(45.5)) / 2), 2) + cos(radians(45.5)) * cos(radians(lat)) * pow(sin(radians(lon + 73.5) / 2), 2))), 3) AS km,
+       CASE WHEN 2 * 6371.0 * asin(sqrt(pow(sin((radians(lat) - radians(45.5)) / 2), 2) + cos(radians(45.5)) * cos(radians(lat)) * pow(sin(radians(lon + 73.5) / 2), 2))) < 25 THEN 750
+       WHEN 2 * 6371.0 * asin(sqrt(pow(sin((radians(lat) - radians(45.5)) / 2), 2) + cos(radians(45.5)) * cos(radians(lat)) * pow(sin(radians(lon + 73.5) / 2), 2))) < 100 THEN 500
+       WHEN 2 * 6371.0 * asin(sqrt(pow(sin((radians(lat) - radians(45.5)) / 2), 2) + cos(radians(45.5)) * cos(radians(lat)) * pow(sin(radians(lon + 73.5) / 2), 2))) < 250 THEN 350
+       WHEN 2 * 6371.0 * asin(sqrt(pow(sin((radians(lat) - radians(45.5)) / 2), 2) + cos(radians(45.5)) * cos(radians(lat)) * pow(sin(radians(lon + 73.5) / 2), 2))) < 750 THEN 250
+       WHEN s_suppkey % 2 = 0 AND s_suppkey % 3 = 0 THEN 250 WHEN s_suppkey % 2 = 0 THEN 150 ELSE 0 END AS points FROM p""",
+)
+def proximity_tiers(spark, d):
+    k = F.col("s_suppkey")
+    km = geo.haversine(F.lit(45.5), F.lit(-73.5), (k % 17) + 42.5, -60.5 - (k % 23))
+    return table(spark, d, "supplier").select("s_suppkey", F.round(km, 3).alias("km"), geo.proximity_points(km, k % 2 == 0, k % 3 == 0).alias("points"))
+
+
+@query(
+    "hyphenated_names",
+    """SELECT p_partkey, array_to_string(CASE WHEN p_partkey % 2 = 0 THEN [replace(p_name, ' ', '-'), split_part(p_name, ' ', 1), split_part(p_name, ' ', 2)] ELSE [p_name] END, '|') AS names
+       FROM part WHERE split_part(p_name, ' ', 1) <> split_part(p_name, ' ', 2) AND split_part(p_name, ' ', 3) = ''""",
+)
+def hyphenated_names(spark, d):
+    w = F.split("p_name", " ")
+    p = table(spark, d, "part").where((F.size(w) == 2) & (w[0] != w[1]))
+    joined = F.when(F.col("p_partkey") % 2 == 0, F.concat_ws("-", w[0], w[1])).otherwise(F.col("p_name"))
+    return p.select("p_partkey", F.array_join(names.hyphen_parts(F.array(joined)), "|").alias("names"))
+
+
