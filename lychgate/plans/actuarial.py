@@ -1 +1,67 @@
-"""Plans."""
+"""Plans of the actuarial functions over parameters taken from the tables' keys."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lychgate.functions import actuarial as A
+from lychgate.functions import dates
+from lychgate.registry import query
+from lychgate.sources.tables import table
+
+
+@query(
+    "vt",
+    """SELECT p_partkey, round(pow(1.05, -least(t, 10)) * pow(1.03, -greatest(t - 10, 0)), 4) AS v FROM (SELECT p_partkey, (p_partkey % 300) / 10 AS t FROM part)""",
+)
+def vt(spark, d):
+    rates = F.array(F.lit(0.05), F.lit(10.0), F.lit(0.03))
+    return table(spark, d, "part").select("p_partkey", A.vt((F.col("p_partkey") % 300) / 10, rates).alias("v"))
+
+
+@query("rate_vector", "SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN '0.04|3.0|0.03' ELSE '0.03' END AS rest, CASE WHEN p_partkey % 5 = 0 THEN 1 WHEN p_partkey % 3 = 0 THEN 3 ELSE 0 END AS error FROM part")
+def rate_vector(spark, d):
+    k = F.col("p_partkey")
+    rates = F.array(F.lit(0.04), F.lit(5.0), F.lit(0.03))
+    rest = A.drop_elapsed(rates, F.when(k % 2 == 0, 2.0).otherwise(7.0))
+    error = A.error_code(F.when(k % 5 == 0, 130).otherwise(60), F.when(k % 3 == 0, 7).otherwise(112), rates)
+    return table(spark, d, "part").select("p_partkey", F.concat_ws("|", F.transform(rest, lambda x: x.cast("string"))).alias("rest"), error.alias("error"))
+
+
+@query("sex_parse", "SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 1.0 WHEN 1 THEN 0.0 WHEN 2 THEN 0.25 END::DOUBLE AS male_share FROM customer")
+def sex_parse(spark, d):
+    code = F.element_at(F.array(F.lit("Male"), F.lit("2"), F.lit("0.25"), F.lit("?")), (F.col("c_custkey") % 4 + 1).cast("int"))
+    return table(spark, d, "customer").select("c_custkey", A.parse_sex(code).alias("male_share"))
+
+
+@query(
+    "eligdate",
+    """SELECT c_custkey, least(CAST(birth + INTERVAL 65 YEAR AS DATE), CAST(hired + INTERVAL 30 YEAR AS DATE)) AS first_date, greatest(CAST(birth + INTERVAL 65 YEAR AS DATE), CAST(hired + INTERVAL 30 YEAR AS DATE)) AS last_date
+       FROM (SELECT c_custkey, DATE '1950-01-10' + (c_custkey % 900)::INT AS birth, DATE '1975-03-03' + (c_custkey % 2500)::INT AS hired FROM customer)""",
+)
+def eligdate(spark, d):
+    day = lambda s, n: F.date_add(F.lit(s).cast("date"), (F.col("c_custkey") % n).cast("int"))
+    args = (day("1950-01-10", 900), day("1975-03-03", 2500), F.lit(65.0), F.lit(30.0), F.lit(999.0))
+    return table(spark, d, "customer").select("c_custkey", dates.eligibility(*args).alias("first_date"), dates.eligibility(*args, latest=True).alias("last_date"))
+
+
+@query("tpx")
+def tpx(spark, d):
+    f, _, _ = A.functions(A.makeham())
+    k = F.col("p_partkey")
+    return table(spark, d, "part").select("p_partkey", f((k % 100).cast("double"), (k % 37 / 4).cast("double")).alias("p"))
+
+
+@query("life")
+def life(spark, d):
+    _, f, _ = A.functions(A.makeham())
+    k = F.col("p_partkey")
+    freq = F.when(k % 2 == 0, 12.0).otherwise(101.0)
+    return table(spark, d, "part").select("p_partkey", f((40 + k % 50).cast("double"), F.lit(0.04), freq, (k % 3 * 5).cast("double")).alias("value"))
+
+
+@query("joint")
+def joint(spark, d):
+    _, _, f = A.functions(A.makeham())
+    k = F.col("p_partkey")
+    return table(spark, d, "part").select("p_partkey", f((50 + k % 30).cast("double"), (48 + k % 31).cast("double"), F.lit(0.04), F.lit(12.0), F.lit(0.6), (k % 6).cast("double")).alias("value"))

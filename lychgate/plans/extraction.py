@@ -1 +1,172 @@
-"""Plans."""
+"""Plans of text evidence. Sentences of notices are made from orders, so that their facts are known; word
+statistics run over documents."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lychgate.functions import text as T
+from lychgate.operators import extract as X
+from lychgate.registry import query
+from lychgate.sources.tables import table
+
+
+def _in(words) -> str:
+    return "(" + ", ".join(f"'{w}'" for w in words) + ")"
+
+
+_WORDS_SQL = "w AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}]+'), lambda x: length(x) > 0)) AS word FROM documents)"
+
+
+@query("word_frequency", f"WITH {_WORDS_SQL} SELECT word, count(*) AS n FROM w GROUP BY 1")
+def word_frequency(spark, d):
+    return table(spark, d, "documents").select(F.explode(T.words(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+
+
+_LANG_SQL = f"""{_WORDS_SQL}, n AS (SELECT doc_id, count(*) FILTER (WHERE word IN {_in(X.LANGUAGE_WORDS['en'])}) AS en, count(*) FILTER (WHERE word IN {_in(X.LANGUAGE_WORDS['fr'])}) AS fr,
+ count(*) FILTER (WHERE word IN {_in(X.LANGUAGE_WORDS['es'])}) AS es FROM w GROUP BY 1)"""
+
+
+@query(
+    "lang_vote",
+    f"WITH {_LANG_SQL} SELECT doc_id, CASE WHEN coalesce(en + fr + es, 0) = 0 THEN NULL WHEN fr > en AND fr >= es THEN 'fr' WHEN es > en AND es > fr THEN 'es' ELSE 'en' END AS vote FROM documents LEFT JOIN n USING (doc_id)",
+)
+def lang_vote(spark, d):
+    return table(spark, d, "documents").select("doc_id", X.language_vote(F.col("text")).alias("vote"))
+
+
+@query("bilingual_flag", f"WITH {_LANG_SQL} SELECT doc_id, coalesce((en >= 5)::INT + (fr >= 5)::INT + (es >= 5)::INT, 0) >= 2 AS bilingual FROM documents LEFT JOIN n USING (doc_id)")
+def bilingual_flag(spark, d):
+    return table(spark, d, "documents").select("doc_id", X.bilingual(F.col("text")).alias("bilingual"))
+
+
+@query(
+    "gender_vote",
+    f"""WITH {_WORDS_SQL}, n AS (SELECT doc_id, count(*) FILTER (WHERE word IN {_in(X.GENDER_WORDS['M'])}) AS m, count(*) FILTER (WHERE word IN {_in(X.GENDER_WORDS['F'])}) AS f FROM w GROUP BY 1)
+        SELECT doc_id, CASE WHEN m > f + 3 THEN 'M' WHEN f > m + 3 THEN 'F' END AS gender FROM documents LEFT JOIN n USING (doc_id)""",
+)
+def gender_vote(spark, d):
+    return table(spark, d, "documents").select("doc_id", X.gender_vote(F.col("text")).alias("gender"))
+
+
+_MARK = "regexp_replace(regexp_replace(text, '(^|[^\\p{L}])(Mr|Mrs|Ms|Dr|St|Rev|Jr|Sr|Mme|Mlle|M|Ave|No|\\p{Lu})\\.', '\\1\\2' || chr(1), 'g'), '([.!?])[ \\t\\n\\r\\f\\v]+', '\\1' || chr(2), 'g')"
+_SENTENCES_SQL = f"s AS (SELECT doc_id, list_filter(list_transform(string_split({_MARK}, chr(2)), lambda x: trim(replace(x, chr(1), '.'))), lambda x: length(x) > 0) AS parts FROM documents)"
+
+
+@query("sentence_split", f"WITH {_SENTENCES_SQL} SELECT doc_id, len(parts) AS n, parts[1] AS head FROM s")
+def sentence_split(spark, d):
+    s = T.sentences(F.col("text"))
+    return table(spark, d, "documents").select("doc_id", F.size(s).cast("long").alias("n"), F.try_element_at(s, F.lit(1)).alias("head"))
+
+
+@query(
+    "first_word_rank",
+    f"""WITH {_SENTENCES_SQL}, f AS (SELECT doc_id, regexp_extract(unnest(parts), '^(\\p{{L}}+)', 1) AS word FROM s), n AS (SELECT doc_id, word, count(*) AS n FROM f WHERE word <> '' GROUP BY 1, 2)
+        SELECT doc_id, word, n FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, word) AS r FROM n) WHERE r = 1""",
+)
+def first_word_rank(spark, d):
+    words = table(spark, d, "documents").select("doc_id", F.explode(T.sentences(F.col("text"))).alias("s"))
+    n = words.select("doc_id", F.regexp_extract("s", r"^(\p{L}+)", 1).alias("word")).where("word != ''").groupBy("doc_id", "word").agg(F.count("*").alias("n"))
+    best = F.min(F.struct((-F.col("n")).alias("m"), "word")).alias("b")
+    return n.groupBy("doc_id").agg(best).select("doc_id", "b.word", (-F.col("b.m")).alias("n"))
+
+
+def notices(spark, d):
+    """A notice an order: born on its date, died so many years later, with age, spouse and service."""
+    k = F.col("o_orderkey")
+    born = F.to_date("o_orderdate")
+    years = (k % 90 + 1).cast("int")
+    died = F.add_months(born, years * 12)
+    said = F.date_add(died, 5)
+    long = lambda c: F.concat(F.date_format(c, "MMMM d"), F.lit(", "), F.date_format(c, "yyyy"))
+    french = F.concat(F.dayofmonth(born).cast("string"), F.lit(" "), F.element_at(F.array(*[F.lit(m) for m in X.MONTHS["fr"]]), F.month(born)), F.lit(" "), F.year(born).cast("string"))
+    text = F.concat(
+        F.when(k % 5 == 0, F.concat(F.lit("Née le "), french)).otherwise(F.concat(F.lit("She was born on "), long(born))), F.lit(". Dr. A. Field wrote this. She passed away on "), long(died),
+        F.when(k % 3 == 0, F.concat(F.lit(" in her "), (years + 1).cast("string"), F.lit("th year."))).otherwise(F.concat(F.lit(" aged "), years.cast("string"), F.lit("."))),
+        F.when(k % 2 == 0, F.lit(" Beloved wife of 40 years, Robert.")).otherwise(F.lit(" She was married in 1990.")), F.lit(" The funeral takes place on "), long(said), F.lit("."),
+    )
+    return table(spark, d, "orders").select("o_orderkey", born.alias("born"), died.alias("died"), years.alias("years"), text.alias("text"))
+
+
+_FACTS = "f AS (SELECT o_orderkey, born, CAST(born + to_years(years) AS DATE) AS died, years FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS born, (o_orderkey % 90 + 1)::INT AS years FROM orders))"
+
+
+@query("born_died_assoc", f"WITH {_FACTS} SELECT o_orderkey, born, died FROM f")
+def born_died_assoc(spark, d):
+    t = F.col("text")
+    return notices(spark, d).select("o_orderkey", X.date_near(t, X.BORN).alias("born"), X.date_near(t, X.DIED).alias("died"))
+
+
+@query("service_date", f"WITH {_FACTS} SELECT o_orderkey, died + 5 AS service FROM f")
+def service_date(spark, d):
+    return notices(spark, d).select("o_orderkey", X.service_date(F.col("text")).alias("service"))
+
+
+@query("date_extract", f"WITH {_FACTS} SELECT o_orderkey, 3::BIGINT AS n, born AS first_date FROM f")
+def date_extract(spark, d):
+    dates = X.written_dates(F.col("text"))
+    return notices(spark, d).select("o_orderkey", F.size(dates).cast("long").alias("n"), F.try_element_at(dates, F.lit(1)).alias("first_date"))
+
+
+@query("age_extract", f"WITH {_FACTS} SELECT o_orderkey, years AS age FROM f")
+def age_extract(spark, d):
+    return notices(spark, d).select("o_orderkey", X.age(F.col("text")).alias("age"))
+
+
+@query("spouse_extract", "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'Robert' END AS spouse, CASE WHEN o_orderkey % 2 = 0 THEN 40 ELSE 30 END AS married FROM orders")
+def spouse_extract(spark, d):
+    t = F.col("text")
+    return notices(spark, d).select("o_orderkey", X.spouse(t).alias("spouse"), X.years_married(t, F.lit(2020)).alias("married"))
+
+
+@query("record_validation", f"WITH {_FACTS} SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'age_differs' ELSE '' END AS codes FROM f")
+def record_validation(spark, d):
+    n = notices(spark, d)
+    wrong = F.col("years") + F.when(F.col("o_orderkey") % 7 == 0, 5).otherwise(0)
+    return n.select("o_orderkey", F.array_join(X.valid_record(F.col("born"), F.col("died"), wrong), ",").alias("codes"))
+
+
+@query(
+    "structured_names",
+    """SELECT c_custkey, 'Last' || (c_custkey % 7) AS last, 'Anna' AS first, CASE WHEN c_custkey % 2 = 0 THEN 'Maria' ELSE '' END AS middle, CASE WHEN c_custkey % 3 = 0 THEN 'Gray' ELSE '' END AS maiden, CASE WHEN c_custkey % 5 = 0 THEN 'F' END AS gender FROM customer""",
+)
+def structured_names(spark, d):
+    k = F.col("c_custkey")
+    last = F.concat(F.lit("Last"), (k % 7).cast("string"))
+    mid = F.when(k % 2 == 0, " Maria").otherwise("")
+    name = F.when(k % 4 < 2, F.concat(last, F.lit(", Anna"), mid)).otherwise(F.concat(F.lit("Anna"), mid, F.lit(" "), last))
+    name = F.concat(F.when(k % 5 == 0, "Mrs. ").otherwise(""), name, F.when(k % 3 == 0, " (née Gray)").otherwise(""))
+    p = X.name_parts(name)
+    maiden = F.coalesce(F.try_element_at(X.alternates(name), F.lit(1)), F.lit(""))
+    return table(spark, d, "customer").select("c_custkey", p["last"].alias("last"), p["first"].alias("first"), p["middle"].alias("middle"), maiden.alias("maiden"), X.title_gender(name).alias("gender"))
+
+
+@query("year_pairs", "SELECT c_custkey, 1900 + (c_custkey % 50)::INT AS yob, 1980 + (c_custkey % 40)::INT AS yod FROM customer")
+def year_pairs(spark, d):
+    k = F.col("c_custkey")
+    text = F.concat(F.lit("In memory "), (1900 + k % 50).cast("string"), F.when(k % 2 == 0, "-").otherwise(" ~ "), (1980 + k % 40).cast("string"), F.lit(" at rest"))
+    p = X.year_pair(text)
+    return table(spark, d, "customer").select("c_custkey", p["yob"].alias("yob"), p["yod"].alias("yod"))
+
+
+@query(
+    "scrape_rules",
+    """SELECT page_id, 'title' AS field, regexp_extract(html, '<title>([^<]*)</title>', 1) AS value FROM pages WHERE regexp_extract(html, '<title>([^<]*)</title>', 1) <> ''
+       UNION ALL SELECT page_id, 'heading', regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1) FROM pages WHERE regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1) <> ''
+       UNION ALL SELECT page_id, 'paragraph', regexp_extract(html, '<p[^>]*>([^<]*)</p>', 1) FROM pages WHERE regexp_extract(html, '<p[^>]*>([^<]*)</p>', 1) <> ''""",
+)
+def scrape_rules(spark, d):
+    rules = spark.createDataFrame(
+        [("title", "<title>([^<]*)</title>"), ("heading", "<h1[^>]*>([^<]*)</h1>"), ("paragraph", "<p[^>]*>([^<]*)</p>")], "field string, pattern string"
+    )
+    return X.apply_rules(table(spark, d, "pages").select("page_id", "html"), rules, "html").select("page_id", "field", "value")
+
+
+@query(
+    "evidence_arbitration",
+    """SELECT l_orderkey AS key, l_returnflag AS field, value FROM (SELECT l_orderkey, l_returnflag, CAST(l_shipdate AS DATE) AS value,
+       row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_linenumber, CAST(l_shipdate AS DATE)) AS n FROM lineitem) WHERE n = 1""",
+)
+def evidence_arbitration(spark, d):
+    e = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("key"), F.col("l_returnflag").alias("field"), F.to_date("l_shipdate").alias("value"), "l_linenumber")
+    return X.by_priority(e, "key", "field", F.col("l_linenumber")).select("key", "field", "value")

@@ -1 +1,75 @@
-"""Plans."""
+"""Plans that keep dimensions up to date and watch feeds."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lychgate.operators import maintain as M
+from lychgate.registry import query
+from lychgate.sources.tables import table
+
+
+@query(
+    "upsert_priority",
+    """SELECT key, provider, place FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY CASE WHEN provider = 21 THEN 1 ELSE provider END DESC, old DESC) AS n FROM
+       (SELECT o_custkey AS key, max(o_orderkey % 30) AS provider, 'old' AS place, 1 AS old FROM orders WHERE o_orderstatus = 'F' GROUP BY 1
+        UNION ALL SELECT o_custkey, max(o_orderkey % 25), 'new', 0 FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1)) WHERE n = 1""",
+)
+def upsert_priority(spark, d):
+    o = table(spark, d, "orders")
+
+    def version(rows, n, place):
+        return rows.groupBy(F.col("o_custkey").alias("key")).agg(F.max(F.col("o_orderkey") % n).alias("provider")).withColumn("place", F.lit(place))
+
+    rank = F.when(F.col("provider") == 21, 1).otherwise(F.col("provider"))
+    return M.upsert(version(o.where("o_orderstatus = 'F'"), 30, "old"), version(o.where("o_orderstatus <> 'F'"), 25, "new"), ["key"], rank)
+
+
+@query("delete_reload", "SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN 'reloaded' ELSE c_mktsegment END AS segment FROM customer")
+def delete_reload(spark, d):
+    old = table(spark, d, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"))
+    return M.replace_rows(old, old.where("c_custkey % 10 = 0").withColumn("segment", F.lit("reloaded")), ["c_custkey"])
+
+
+@query(
+    "name_counters",
+    """SELECT name, sum(m)::BIGINT AS male_count, sum(f)::BIGINT AS female_count, CASE WHEN sum(m) + sum(f) > 0 THEN sum(m) / (sum(m) + sum(f)) END AS male_pct FROM
+       (SELECT c_nationkey AS name, (c_custkey % 2)::BIGINT AS m, (1 - c_custkey % 2)::BIGINT AS f FROM customer UNION ALL SELECT s_nationkey, -1 * (s_suppkey % 2)::BIGINT, 1 FROM supplier) GROUP BY 1""",
+)
+def name_counters(spark, d):
+    c, s = table(spark, d, "customer"), table(spark, d, "supplier")
+    odd = F.col("c_custkey") % 2
+    old = c.groupBy(F.col("c_nationkey").alias("name")).agg(F.sum(odd).alias("male_count"), F.sum(1 - odd).alias("female_count"))
+    change = s.select(F.col("s_nationkey").alias("name"), (-(F.col("s_suppkey") % 2)).alias("male_count"), F.lit(1).cast("long").alias("female_count"))
+    return M.add_counts(old, change, "name")
+
+
+@query(
+    "feed_bounds",
+    """WITH f AS (SELECT c_custkey AS feed, DATE '1995-01-01' + (c_custkey % 100)::INT AS first_seen, DATE '1997-01-01' + (c_custkey % 100)::INT AS last_seen, DATE '1998-01-01' + (c_custkey % 200)::INT AS last_checked FROM customer),
+       n AS (SELECT o_custkey AS feed, min(CAST(o_orderdate AS DATE)) AS lo, max(CAST(o_orderdate AS DATE)) AS hi FROM orders GROUP BY 1)
+       SELECT feed, least(first_seen, lo) AS first_seen, greatest(last_seen, hi) AS last_seen, CASE WHEN NOT coalesce(hi > last_checked, false) THEN last_checked END AS last_checked FROM f LEFT JOIN n USING (feed)""",
+)
+def feed_bounds(spark, d):
+    day = lambda s, n: F.date_add(F.lit(s).cast("date"), (F.col("c_custkey") % n).cast("int"))
+    feeds = table(spark, d, "customer").select(F.col("c_custkey").alias("feed"), day("1995-01-01", 100).alias("first_seen"), day("1997-01-01", 100).alias("last_seen"), day("1998-01-01", 200).alias("last_checked"))
+    seen = table(spark, d, "orders").select(F.col("o_custkey").alias("feed"), F.to_date("o_orderdate").alias("day"))
+    return M.feed_bounds(feeds, seen, "feed")
+
+
+@query(
+    "distinct_dates_gap",
+    """WITH d AS (SELECT DISTINCT o_custkey AS feed, CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-02' AND CAST(o_orderdate AS DATE) >= DATE '1996-01-01'),
+       g AS (SELECT feed, count(*) AS n_days, min(day) AS first_day, max(day) AS last_day FROM d GROUP BY 1),
+       q AS (SELECT *, (last_day - first_day) // n_days AS mean_gap, greatest(0, DATE '1998-01-01' - last_day - 3) AS quiet FROM g)
+       SELECT *, quiet > 3 * mean_gap OR quiet > 21 AS alert FROM q""",
+)
+def distinct_dates_gap(spark, d):
+    days = table(spark, d, "orders").select(F.col("o_custkey").alias("feed"), F.to_date("o_orderdate").alias("day"))
+    return M.inactivity(days, "feed", F.lit("1998-01-01").cast("date"))
+
+
+@query("first_nicknames", "SELECT c_nationkey, array_to_string(list_sort(list_distinct(list(lower(c_mktsegment)))), ' ') AS alt_names FROM customer WHERE c_acctbal > 0 GROUP BY 1")
+def first_nicknames(spark, d):
+    c = table(spark, d, "customer").where("c_acctbal > 0")
+    return c.groupBy("c_nationkey").agg(F.array_join(F.array_sort(F.collect_set(F.lower("c_mktsegment"))), " ").alias("alt_names"))
