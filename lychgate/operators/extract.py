@@ -146,7 +146,7 @@ def name_parts(name: Column) -> Column:
     """(last, first, middle) of "Last, First Middle" or "First Middle Last"; titles, suffixes and what is in
     brackets left out, particles kept with the surname."""
     c = F.regexp_replace(name, r"\([^)]*\)|\b(?:Mr|Mrs|Ms|Dr|Rev|Jr|Sr|II|III)\.?(?=[\s,]|$)", " ")
-    c = F.regexp_replace(c, r"\b(De La|De|Du|La|Le|Van Der|Van|Von|St\.?) (?=\p{Lu})", "$1_")
+    c = F.regexp_replace(c, r"\b(De|Du|La|Le|Van|Der|Von|St\.?) (?=\p{Lu})", "$1_")
     c = F.trim(F.regexp_replace(c, r"[\s]+", " "))
     comma = F.contains(c, F.lit(","))
     w = F.filter(F.split(F.when(comma, F.regexp_replace(c, "^[^,]*,", "")).otherwise(c), " "), lambda x: F.length(x) > 0)
