@@ -105,3 +105,29 @@ def next_run(last: Column, option: Column, weekday: Column, monthday: Column, ma
         .when(option == 4, ahead(by_week + 7)).when(option == 5, monthly).when(option == 6, ahead(by_mask))
     )
     return F.to_timestamp(F.concat(date.cast("string"), F.lit(" 05:00:00")))
+
+
+def date_pair(a: Column, b: Column, as_of: Column) -> Column:
+    """Two dates of three numbers each (arrays day-or-month, month-or-day, year) read in one order, the one that
+    both allow; month first if both orders do."""
+
+    def read(x: Column, swapped: bool) -> Column:
+        m, d = (F.get(x, F.lit(1)), F.get(x, F.lit(0))) if swapped else (F.get(x, F.lit(0)), F.get(x, F.lit(1)))
+        text = F.format_string("%04d-%02d-%02d", F.get(x, F.lit(2)), m, d)
+        date = F.when(m.between(1, 12) & d.between(1, 31), F.try_to_date(text, "yyyy-MM-dd"))
+        return F.when(date <= as_of, date)
+
+    first, second = (F.struct(read(a, s).alias("first"), read(b, s).alias("second")) for s in (False, True))
+    fits = lambda p: p["first"].isNotNull() & p["second"].isNotNull() & (p["first"] <= p["second"])
+    return F.when(fits(first), first).when(fits(second), second)
+
+
+def repaired(birth: Column, death: Column, years: Column) -> Column:
+    """(birth, death, age, codes) after checks: dates exchanged if death comes first, the age set from both dates
+    if it is off, ages over 130 emptied."""
+    swapped = death < birth
+    b, d = F.when(swapped, death).otherwise(birth), F.when(swapped, birth).otherwise(death)
+    real = F.floor(F.months_between(d, b) / 12).cast("int")
+    age = F.when(real.isNotNull(), real).otherwise(F.when(years <= 130, years))
+    codes = F.array_compact(F.array(F.when(swapped, F.lit("swapped")), F.when(real != years, F.lit("age")), F.when(years > 130, F.lit("too_old"))))
+    return F.struct(b.alias("birth"), d.alias("death"), age.alias("age"), codes.alias("codes"))

@@ -98,3 +98,41 @@ def hyphen_parts(names: Column, most: int = 4) -> Column:
 
 def union_sorted(a: Column, b: Column) -> Column:
     return F.array_sort(F.array_union(F.coalesce(a, F.array().cast("array<string>")), F.coalesce(b, F.array().cast("array<string>"))))
+
+
+#: How far a single name's share is trusted, by credibility tier.
+TRUST = {"zero": 0.0, "low": 0.8, "medium": 0.875, "high": 0.95, "veryHigh": 1.0}
+
+
+def trusted_share(male: Column, female: Column) -> Column:
+    """The male share drawn towards one half by its counts' credibility; one half without counts."""
+    tier = credibility(male, female)
+    trust = F.create_map(*[F.lit(x) for kv in TRUST.items() for x in kv])[tier]
+    return F.lit(0.5) + (F.coalesce(male_share(male, female), F.lit(0.5)) - 0.5) * trust
+
+
+def gender_of(shares: Column, first: float = 0.7) -> Column:
+    """From 0 (female) to 1 (male) of a list of trusted shares: the first name weighs `first`, the others share the
+    rest; one half for no names."""
+    n = F.size(shares)
+    tail = F.aggregate(F.slice(shares, F.lit(2), F.greatest(F.lit(0), n - 1)), F.lit(0.0), lambda a, x: a + x)
+    return F.when(n == 0, 0.5).when(n == 1, F.get(shares, F.lit(0))).otherwise(F.get(shares, F.lit(0)) * first + tail * (1 - first) / (n - 1))
+
+
+def likely_kind(name: Column, given: Column, surnames: Column, known_gender: Column) -> Column:
+    """given, surname or unsure: one letter is given; else by surnames for a given name, halved if the gender is
+    unknown."""
+    ratio = surnames * 1.25 * F.when(known_gender, 1.0).otherwise(0.5) / F.nullif(given, F.lit(0))
+    return (
+        F.when(F.length(name) == 1, "given").when((given == 0) & (surnames > 0), "surname").when(ratio > 3, "surname").when(ratio < 0.333, "given").otherwise("unsure")
+    )
+
+
+def valid_given(name: Column) -> Column:
+    """A name to be counted: two letters or more after a closing full stop is cut, and no bare initial."""
+    return (F.length(F.rtrim(name, F.lit("."))) >= 2) & ~name.rlike(r"^\p{L}\.$")
+
+
+def formal_version(name: Column, nicknames: Column) -> Column:
+    """Whether a name is in a list of formal names, up to accents and case."""
+    return F.exists(nicknames, lambda x: same_name(x, name))

@@ -116,3 +116,35 @@ def variant_rows(df: DataFrame, names: str, most: int = 4) -> DataFrame:
     rows = df.withColumn("_v", F.slice(F.col(names), 1, most)).select("*", F.posexplode("_v").alias("position", "variant"))
     weight = F.when(F.col("position") == n - 1, F.round(1 - (n - 1) * part, 2)).otherwise(part)
     return rows.withColumn("weight", weight).drop("_v")
+
+
+def merged_names(old: Column, new: Column, nicknames: Column, most: int = 3) -> Column:
+    """First names of a record and its update: old ones first, without repeats up to accents and case, formal ones
+    before nicknames, `most` at most."""
+    from lychgate.functions import names
+
+    empty = F.array().cast("array<string>")
+    both = F.concat(F.coalesce(old, empty), F.coalesce(new, empty))
+    kept = F.aggregate(both, empty, lambda done, x: F.when(F.exists(done, lambda y: names.same_name(x, y)), done).otherwise(F.concat(done, F.array(x))))
+    return F.slice(names.formal_first(kept, nicknames), 1, most)
+
+
+def filled(old: Column, new: Column, unknown=None) -> Column:
+    """The old value, or the new one where the old is null or stands for unknown."""
+    known = old if unknown is None else F.nullif(old, F.lit(unknown))
+    return F.coalesce(known, new)
+
+
+def tightened(old_low: Column, old_high: Column, new_low: Column, new_high: Column) -> Column:
+    """The common part of two ranges; the old one where they do not meet."""
+    low, high = F.greatest(old_low, new_low), F.least(old_high, new_high)
+    apart = F.coalesce(low > high, F.lit(False))
+    return F.struct(F.when(apart, old_low).otherwise(low).alias("low"), F.when(apart, old_high).otherwise(high).alias("high"))
+
+
+def source_match(records: DataFrame, known: DataFrame, compat: bool = False) -> DataFrame:
+    """Records with the ids of stored sources of the same provider and id: `exact` if the provider's key is the
+    same too, else `family`. compat: never exact."""
+    k = known.select("provider_id", "source_id", F.col("provider_key").alias("_key"), F.col("id").alias("found_id"))
+    kind = F.when(F.lit(not compat) & (F.col("provider_key") == F.col("_key")), "exact").otherwise("family")
+    return records.join(k, ["provider_id", "source_id"]).withColumn("kind", kind).drop("_key")

@@ -54,3 +54,14 @@ def unless_missing(*values: Column) -> Column:
 def changed_columns(columns: list[str], prefix: str) -> Column:
     """Names of the columns that differ, nulls being equal, from those of the same name with a prefix."""
     return F.array_compact(F.array(*[F.when(~F.col(c).eqNullSafe(F.col(prefix + c)), F.lit(c)) for c in columns]))
+
+
+def valid_record_exists(df: DataFrame, other: DataFrame, on: list[str], number: str, compat: bool = False) -> DataFrame:
+    """df with `found`: whether other has its keys. compat: only where the number found there is 0."""
+    seen = other.groupBy(*on).agg(F.max(number).alias("_n")).withColumn("_hit", (F.col("_n") == 0) if compat else F.lit(True))
+    return df.join(seen.select(*on, "_hit"), on, "left").withColumn("found", F.coalesce("_hit", F.lit(False))).drop("_hit")
+
+
+def shuffled(df: DataFrame, seed: int, ordinal: str = "ordinal") -> DataFrame:
+    """df in random order, with a column by which sorting restores the order it had by `ordinal`."""
+    return df.orderBy(F.xxhash64(F.col(ordinal), F.lit(seed)))

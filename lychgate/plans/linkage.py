@@ -238,3 +238,54 @@ def hyphenated_names(spark, d):
     return p.select("p_partkey", F.array_join(names.hyphen_parts(F.array(joined)), "|").alias("names"))
 
 
+
+
+@query(
+    "gender_of_names",
+    f"""WITH {_NAMES_SQL}, t AS (SELECT name_id, 0.5 + (coalesce(male / nullif(male + female, 0), 0.5) - 0.5) * CASE WHEN male + female = 0 THEN 0.0
+        WHEN male + female <= 10 AND NOT ((male = 0 OR female = 0) AND male + female >= 5) THEN 0.8 WHEN male + female <= 50 AND NOT ((male = 0 OR female = 0) AND male + female >= 5) THEN 0.875
+        WHEN male + female <= 250 AND NOT ((male = 0 OR female = 0) AND male + female >= 100) THEN 0.95 ELSE 1.0 END AS share FROM n)
+        SELECT a.name_id, round(a.share * 0.7 + b.share * 0.3, 9) AS p_male FROM t a JOIN t b ON b.name_id = (a.name_id + 1) % 25""",
+)
+def gender_of_names(spark, d):
+    t = _name_counts(spark, d).select("name_id", names.trusted_share(F.col("male"), F.col("female")).alias("share"))
+    other = t.select(((F.col("name_id") + 24) % 25).alias("name_id"), F.col("share").alias("second"))
+    return t.join(other, "name_id").select("name_id", F.round(names.gender_of(F.array("share", "second")), 9).alias("p_male"))
+
+
+@query(
+    "name_kind",
+    f"""WITH {_NAMES_SQL} SELECT name_id, CASE WHEN male = 0 AND female > 0 THEN 'surname' WHEN female * 1.25 * (CASE WHEN name_id % 2 = 0 THEN 1.0 ELSE 0.5 END) / nullif(male, 0) > 3 THEN 'surname'
+        WHEN female * 1.25 * (CASE WHEN name_id % 2 = 0 THEN 1.0 ELSE 0.5 END) / nullif(male, 0) < 0.333 THEN 'given' ELSE 'unsure' END AS kind FROM n""",
+)
+def name_kind(spark, d):
+    kind = names.likely_kind(F.lit("xx"), F.col("male"), F.col("female"), F.col("name_id") % 2 == 0)
+    return _name_counts(spark, d).select("name_id", kind.alias("kind"))
+
+
+@query(
+    "merge_records",
+    """SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'Alan|Ann|Al' ELSE 'Ann|Bea|Al' END AS names, coalesce(nullif(c_nationkey, 0), 99) AS place,
+       DATE '1950-01-01' + (c_custkey % 10)::INT AS low, CASE WHEN c_custkey % 10 > 5 THEN DATE '1950-01-20' ELSE DATE '1950-01-10' END AS high FROM customer""",
+)
+def merge_records(spark, d):
+    k = F.col("c_custkey")
+    old = F.array(F.lit("Al"), F.when(k % 3 == 0, "Alan").otherwise("Ann"))
+    new = F.array(F.when(k % 3 == 0, "Ann").otherwise("ann"), F.when(k % 3 == 0, "AL").otherwise("Bea"))
+    lit = lambda s: F.lit(s).cast("date")
+    ends = L.tightened(lit("1950-01-01"), F.when(k % 10 > 5, lit("1950-01-20")).otherwise(lit("1950-01-10")), F.date_add(lit("1950-01-01"), (k % 10).cast("int")), lit("1950-02-01"))
+    return table(spark, d, "customer").select(
+        "c_custkey", F.array_join(L.merged_names(old, new, F.array(F.lit("Al"))), "|").alias("names"), L.filled(F.col("c_nationkey"), F.lit(99), 0).alias("place"),
+        ends["low"].alias("low"), ends["high"].alias("high"),
+    )
+
+
+@query(
+    "source_ids",
+    """SELECT o.o_orderkey, l.l_partkey AS found_id, CASE WHEN o.o_orderkey % 7 = l.l_partkey % 7 THEN 'exact' ELSE 'family' END AS kind FROM orders o
+       JOIN lineitem l ON o.o_orderkey = l.l_orderkey AND o.o_custkey % 10 = l.l_suppkey % 10""",
+)
+def source_ids(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_orderkey").alias("source_id"), (F.col("o_custkey") % 10).alias("provider_id"), (F.col("o_orderkey") % 7).alias("provider_key"))
+    l = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("source_id"), (F.col("l_suppkey") % 10).alias("provider_id"), (F.col("l_partkey") % 7).alias("provider_key"), F.col("l_partkey").alias("id"))
+    return L.source_match(o, l).select("o_orderkey", "found_id", "kind")

@@ -215,3 +215,26 @@ def haversine(spark, d):
 def postal_province(spark, d):
     named = F.when(F.col("n_nationkey") % 2 == 0, "Québec").otherwise("on")
     return table(spark, d, "nation").select("n_nationkey", geo.province_of_code(F.col("n_name")).alias("province"), geo.province_code(named).alias("by_name"))
+
+
+@query(
+    "date_pairs",
+    """SELECT o_orderkey, d AS first, DATE '2000-05-20' AS second
+       FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders) WHERE d <= DATE '2000-05-20'""",
+)
+def date_pairs(spark, d):
+    day = F.to_date("o_orderdate")
+    a = F.array(F.dayofmonth(day), F.month(day), F.year(day))
+    p = dates.date_pair(a, F.array(F.lit(20), F.lit(5), F.lit(2000)), F.lit("2010-01-01").cast("date"))
+    return table(spark, d, "orders").where(day <= F.lit("2000-05-20").cast("date")).select("o_orderkey", p["first"].alias("first"), p["second"].alias("second"))
+
+
+@query(
+    "date_repair",
+    """SELECT l_orderkey, l_linenumber, l_partkey, least(a, b) AS birth, greatest(a, b) AS death, date_diff('year', least(a, b), greatest(a, b))
+         - CASE WHEN month(greatest(a, b)) * 31 + day(greatest(a, b)) < month(least(a, b)) * 31 + day(least(a, b)) AND NOT (greatest(a, b) = last_day(greatest(a, b)) AND least(a, b) = last_day(least(a, b)) AND month(a) = month(b)) THEN 1 ELSE 0 END AS age,
+       b < a AS swapped FROM (SELECT l_orderkey, l_linenumber, l_partkey, CAST(o_orderdate AS DATE) AS a, CAST(l_shipdate AS DATE) AS b FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",
+)
+def date_repair(spark, d):
+    r = dates.repaired(F.col("a"), F.col("b"), F.lit(50))
+    return _days(spark, d).select("l_orderkey", "l_linenumber", "l_partkey", r["birth"].alias("birth"), r["death"].alias("death"), r["age"].alias("age"), F.array_contains(r["codes"], "swapped").alias("swapped"))
