@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +78,57 @@ def filter_texts(df: DataFrame, keep: Callable, model) -> DataFrame:
     return small_batches(df).mapInArrow(run, df.schema)
 
 
+#: Bits of the filter of likely(): 4 MB, whatever the tables' size.
+FILTER_BITS = 25
+
+
+def _places(ids: np.ndarray) -> np.ndarray:
+    h = ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - FILTER_BITS)
+
+
+def bitmap_of(ids: DataFrame) -> np.ndarray:
+    """One bit an id (a column of longs), at a hashed place of a bitmap of fixed size."""
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = np.unique(_places(batch.column(0).drop_null().to_numpy(zero_copy_only=False)))
+            words, first = np.unique(places >> np.uint64(6), return_index=True)
+            if len(words):
+                one = np.bitwise_or.reduceat(np.uint64(1) << (places & np.uint64(63)), first)
+                yield pa.RecordBatch.from_arrays([pa.array(words.astype(np.int32)), pa.array(one.view(np.int64))], names=["word", "bits"])
+
+    words = ids.mapInArrow(bits, "word int, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    bitmap = np.zeros(2 ** (FILTER_BITS - 6), np.uint64)
+    bitmap[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    return bitmap
+
+
+def _sieve(df: DataFrame, shared, column: str, inside: bool) -> DataFrame:
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                known = batch[column].is_valid().to_numpy(zero_copy_only=False)
+                at = _places(batch[column].fill_null(0).to_numpy(zero_copy_only=False))
+                hit = (shared.value[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool) & known
+                yield batch.filter(pa.array(hit == inside))
+
+    return small_batches(df).mapInArrow(keep, df.schema)
+
+
+def likely(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """Rows of df whose integer `column` may be in ids (one column of longs): all that are, and of the others a
+    share that grows with the number of ids. Only the bitmap is broadcast; a join with ids then need not
+    shuffle rows without partner."""
+    return _sieve(df, df.sparkSession.sparkContext.broadcast(bitmap_of(ids)), column, True)
+
+
+def parted(df: DataFrame, ids: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """(rows that may be in ids, all other rows), as likely() tells them apart."""
+    shared = df.sparkSession.sparkContext.broadcast(bitmap_of(ids))
+    return _sieve(df, shared, column, True), _sieve(df, shared, column, False)
+
+
 def small_batches(df: DataFrame) -> DataFrame:
     """Bounds the bytes of Arrow batches: few rows each."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lychgate.llm.common import docs_of, map_batches, to_arrow, written
+from lychgate.llm.common import docs_of, likely, map_batches, parted, to_arrow, written
 from lychgate.llm.graph import components
 from lychgate.llm.shingles import common, set_key, shingle_set
 
@@ -179,7 +179,8 @@ def family_sets(docs: DataFrame, families: DataFrame) -> DataFrame:
             "elements": [s.tobytes() for s in sets], "packed": packed,
         }
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(families, "node")
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
+    rows = likely(texts, families.select("node"), "node").join(families.hint("merge"), "node")
     return map_batches(rows, batch, "family long, node long, n long, elements binary, packed binary").where("n > 0")
 
 
@@ -265,9 +266,13 @@ def _component() -> Column:
 
 def one_of_each(docs: DataFrame, percent: int = 85) -> DataFrame:
     """docs without those near a document of smaller id; rows of an id kept once, rows without id all."""
-    gone = near_duplicates(docs, percent).where("not kept and doc_id is not null").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti")
-    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))
+    groups = written(near_duplicates(docs, percent).where("doc_id is not null").select("doc_id", "kept"), "groups")
+    # Rows that go, and those of an id that stands more than once; all others pass without a shuffle.
+    told = groups.groupBy("doc_id").agg(F.count("*").alias("n"), F.bool_or("kept").alias("kept")).where("n > 1 or not kept")
+    told = written(told, "told")
+    maybe, rest = parted(docs, told.select("doc_id"), "doc_id")
+    gone = told.where("not kept").select("doc_id")
+    return rest.unionByName(maybe.join(gone.hint("merge"), "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(docs.columns))
 
 
 def op6_minhash(spark, sf_dir: str) -> DataFrame:
