@@ -22,5 +22,24 @@ def queries() -> dict[str, Callable]:
     }
 
 
+#: Near-duplicate groups by all pairs that share a shingle; regular expressions with the words' separators.
+OP6_SQL = r"""
+WITH RECURSIVE w AS MATERIALIZED (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS a FROM documents),
+s AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN len(a) = 0 THEN []::VARCHAR[] WHEN len(a) < 5 THEN [array_to_string(a, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(a) - 3), lambda i: array_to_string(a[i:i + 4], ' '))) END AS s FROM w),
+e AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+c AS MATERIALIZED (
+  SELECT p.doc_id AS i, q.doc_id AS j FROM e p JOIN e q ON p.x = q.x AND p.doc_id < q.doc_id GROUP BY 1, 2
+  HAVING 100 * count(*) >= 85 * (any_value(p.n) + any_value(q.n) - count(*))),
+b AS MATERIALIZED (SELECT i, j FROM c UNION ALL SELECT j, i FROM c),
+r AS (SELECT DISTINCT i, i AS j FROM b UNION SELECT r.i, b.j FROM r JOIN b ON r.j = b.i)
+SELECT s.doc_id, len(s.s) AS n_shingles, coalesce(m.component_id, s.doc_id) AS component_id, coalesce(m.component_id, s.doc_id) = s.doc_id AS kept
+FROM s LEFT JOIN (SELECT i, min(j) AS component_id FROM r GROUP BY 1) m ON m.i = s.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The other operators tokenize, fit models, or store forms that SQL cannot make."""
+    return {"op6_minhash": OP6_SQL}
