@@ -122,7 +122,7 @@ def _products(sets: list[np.ndarray], rows: list[int], cols: list[int]) -> np.nd
         member = np.zeros((len(used), 1024), np.float32)
         member[owner[lo:hi], ids[lo:hi] - first] = 1
         out += member[r] @ member[c].T
-    return out
+    return out.astype(np.int64)
 
 
 def link_sets(sets: list[np.ndarray], packed: np.ndarray, left: list[int], right: list[int], percent: int) -> list[tuple[int, int]]:
