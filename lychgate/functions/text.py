@@ -167,3 +167,59 @@ def sorted_list(a: Column, fold: bool = False, descending: bool = False, unique:
     out = F.array_sort(a, lambda x, y: F.when(key(x) < key(y), -1).when(key(x) > key(y), 1).when(x < y, -1).when(x > y, 1).otherwise(0))
     out = F.array_distinct(out) if unique else out
     return F.reverse(out) if descending else out
+
+
+def between(c: Column, left: str, right: str) -> Column:
+    """Text after the first `left` up to the next `right`, null if either is missing. Both are plain text."""
+    rest = after(c, left)
+    return F.when(F.locate(right, rest) > 0, F.substring_index(rest, right, 1))
+
+
+def after(c: Column, mark: str) -> Column:
+    """Text after the first mark, null if there is none."""
+    at = F.locate(mark, c)
+    return F.when(at > 0, F.substr(c, at + len(mark)))
+
+
+def before(c: Column, mark: str) -> Column:
+    """Text before the first mark, the whole if there is none."""
+    return F.substring_index(c, mark, 1)
+
+
+def first_of(c: Column, *marks: str) -> Column:
+    """The mark that comes first, null if none does."""
+    places = F.array_sort(F.array_compact(F.array(*[F.when(F.locate(m, c) > 0, F.struct(F.locate(m, c).alias("at"), F.lit(m).alias("mark"))) for m in marks])))
+    return F.try_element_at(places, F.lit(1))["mark"]
+
+
+def nth_position(c: Column, mark: str, n: int) -> Column:
+    """Place, from 1, of the n-th mark, 0 if there are fewer."""
+    head = F.substring_index(c, mark, n)
+    return F.when(F.size(F.split(c, "\\Q" + mark + "\\E", -1)) > n, F.length(head) + 1).otherwise(0)
+
+
+def straight_quotes(c: Column) -> Column:
+    """Curly and angle quotation marks as plain ones."""
+    return F.translate(F.translate(c, "“”„«»", '"' * 5), "‘’‚", "'" * 3)
+
+
+def clean(c: Column) -> Column:
+    """Text ready for sentences: plain quotes, one blank for several, none before marks, one after, brackets
+    without blanks inside, points inside abbreviations of letters left out."""
+    c = F.regexp_replace(straight_quotes(c), r"\s+", " ")
+    c = F.regexp_replace(c, r"\b((?:\p{Lu}\.){2,})", "$1\u0001")
+    c = F.regexp_replace(c, r"(?<=\p{Lu})\.(?=\p{Lu}\.|\u0001)", "")
+    c = F.replace(c, F.lit("\u0001"), F.lit(""))
+    c = F.regexp_replace(c, r" +([,;:!?.])", "$1")
+    c = F.regexp_replace(c, r"([,;])(?=\p{L})", "$1 ")
+    return F.trim(F.regexp_replace(F.regexp_replace(c, r"\( +", "("), r" +\)", ")"))
+
+
+def occurrences(c: Column, word: str) -> Column:
+    """How often a whole word stands in a text, case aside."""
+    return F.regexp_count(c, F.lit(rf"(?i)(?<![\p{{L}}]){word}(?![\p{{L}}])"))
+
+
+def by_length(a: Column) -> Column:
+    """A list from short to long, equal lengths by text."""
+    return F.array_sort(a, lambda x, y: F.when(F.length(x) != F.length(y), F.length(x) - F.length(y)).when(x < y, -1).when(x > y, 1).otherwise(0))

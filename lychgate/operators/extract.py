@@ -178,3 +178,42 @@ def valid_record(birth: Column, death: Column, years: Column) -> Column:
         F.when(real > 125, F.lit("too_old")),
     )
     return F.array_compact(codes)
+
+
+#: Words after which a notice speaks of others.
+RELATIONS = ("survived by", "predeceased by", "leaves behind", "mourned by")
+#: Bits of what a run extracts.
+RUN_BITS = {"names": 1, "dates": 2, "age": 4, "gender": 8, "spouse": 16, "service": 32, "place": 64}
+
+
+def before_relations(text: Column) -> Column:
+    """A notice up to the first word that turns to the family."""
+    return F.regexp_replace(text, "(?is)\\b(" + "|".join(RELATIONS) + r")\b.*$", "")
+
+
+def head_sentences(text: Column, n: int) -> Column:
+    return F.array_join(F.slice(T.sentences(text), 1, n), " ")
+
+
+def wants(run_types: Column, what: str) -> Column:
+    """Whether a run's bits ask for an extraction."""
+    return run_types.bitwiseAND(F.lit(RUN_BITS[what])) != 0
+
+
+def back_to_back(text: Column) -> Column:
+    """(first, second) of two written dates with a dash between, in order of time."""
+    pair = F.filter(F.transform(F.regexp_extract_all(text, F.lit(rf"({_WRITTEN})\s*[-–~]\s*({_WRITTEN})"), F.lit(0)), written_dates), lambda d: F.size(d) == 2)
+    one = F.try_element_at(pair, F.lit(1))
+    return F.when(one.isNotNull(), F.struct(F.array_min(one).alias("first"), F.array_max(one).alias("second")))
+
+
+def first_word_tally(text: Column, words) -> Column:
+    """How many sentences begin with one of the words."""
+    return F.size(F.filter(T.sentences(text), lambda s: F.lower(F.regexp_extract(s, r"^(\p{L}+)", 1)).isin(*words)))
+
+
+def places_named(docs: DataFrame, places: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(id_col, place) for every place of a dimension (column place, lower case) that a text names as one word. Words
+    are joined with the dimension, so the number of places does not multiply the texts."""
+    words = docs.select(id_col, F.explode(F.array_distinct(T.words(F.col(text)))).alias("place"))
+    return words.join(places.select("place").distinct(), "place", "left_semi").select(id_col, "place")

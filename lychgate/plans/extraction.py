@@ -170,3 +170,35 @@ def scrape_rules(spark, d):
 def evidence_arbitration(spark, d):
     e = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("key"), F.col("l_returnflag").alias("field"), F.to_date("l_shipdate").alias("value"), "l_linenumber")
     return X.by_priority(e, "key", "field", F.col("l_linenumber")).select("key", "field", "value")
+
+
+@query(
+    "back_to_back_dates",
+    f"WITH {_FACTS} SELECT o_orderkey, born AS first, died AS second FROM f",
+)
+def back_to_back_dates(spark, d):
+    long = lambda c: F.concat(F.date_format(c, "MMMM d"), F.lit(", "), F.date_format(c, "yyyy"))
+    pair = X.back_to_back(F.concat(F.lit("In memory "), long("died"), F.lit(" - "), long("born"), F.lit(" at rest")))
+    return notices(spark, d).select("o_orderkey", pair["first"].alias("first"), pair["second"].alias("second"))
+
+
+@query("relation_cut", f"WITH {_FACTS} SELECT o_orderkey, 'She died. ' AS kept, o_orderkey % 128 & 4 <> 0 AS wants_age FROM f")
+def relation_cut(spark, d):
+    text = F.concat(F.lit("She died. Survived by "), F.col("o_orderkey").cast("string"), F.lit(" sons."))
+    return table(spark, d, "orders").select("o_orderkey", X.before_relations(text).alias("kept"), X.wants(F.col("o_orderkey") % 128, "age").alias("wants_age"))
+
+
+@query(
+    "first_word_gender",
+    f"""WITH {_SENTENCES_SQL} SELECT doc_id, len(list_filter(parts, lambda x: lower(regexp_extract(x, '^(\\p{{L}}+)', 1)) IN {_in(X.GENDER_WORDS['M'])})) AS male,
+        len(list_filter(parts, lambda x: lower(regexp_extract(x, '^(\\p{{L}}+)', 1)) IN {_in(X.GENDER_WORDS['F'])})) AS female FROM s""",
+)
+def first_word_gender(spark, d):
+    t = F.col("text")
+    return table(spark, d, "documents").select("doc_id", *[X.first_word_tally(t, X.GENDER_WORDS[g]).cast("long").alias(n) for g, n in (("M", "male"), ("F", "female"))])
+
+
+@query("places_named", f"WITH {_WORDS_SQL} SELECT DISTINCT doc_id, word AS place FROM w WHERE word IN ('he', 'she', 'that', 'les', 'und', 'del')")
+def places_named(spark, d):
+    places = spark.createDataFrame([(x,) for x in ("he", "she", "that", "les", "und", "del")], "place string")
+    return X.places_named(table(spark, d, "documents"), places, "doc_id", "text")

@@ -238,3 +238,23 @@ def date_pairs(spark, d):
 def date_repair(spark, d):
     r = dates.repaired(F.col("a"), F.col("b"), F.lit(50))
     return _days(spark, d).select("l_orderkey", "l_linenumber", "l_partkey", r["birth"].alias("birth"), r["death"].alias("death"), r["age"].alias("age"), F.array_contains(r["codes"], "swapped").alias("swapped"))
+
+
+@query(
+    "cursor_reads",
+    """SELECT page_id, split_part(split_part(html, '<title>', 2), '</title>', 1) AS title, split_part(url, '://', 1) AS scheme, strpos(url, '/') AS slash, substr(url, strpos(url, '//') + 2) AS rest FROM pages WHERE strpos(html, '<title>') > 0""",
+)
+def cursor_reads(spark, d):
+    p = table(spark, d, "pages").where(F.locate("<title>", F.col("html")) > 0)
+    return p.select("page_id", text.between(F.col("html"), "<title>", "</title>").alias("title"), text.before(F.col("url"), "://").alias("scheme"), text.nth_position(F.col("url"), "/", 1).cast("long").alias("slash"), text.after(F.col("url"), "//").alias("rest"))
+
+
+@query("occurrences", "SELECT doc_id, len(regexp_extract_all(' ' || regexp_replace(lower(text), '[^\\p{L}]+', '  ', 'g') || ' ', ' the ')) AS n FROM documents")
+def occurrences(spark, d):
+    return table(spark, d, "documents").select("doc_id", text.occurrences(F.col("text"), "the").cast("long").alias("n"))
+
+
+@query("list_by_length", "SELECT n_regionkey, array_to_string(list_transform(list_sort(list((length(n_name), n_name))), lambda x: x[2]), ',') AS names FROM nation GROUP BY 1")
+def list_by_length(spark, d):
+    g = table(spark, d, "nation").groupBy("n_regionkey").agg(F.collect_list("n_name").alias("v"))
+    return g.select("n_regionkey", F.array_join(text.by_length(F.col("v")), ",").alias("names"))

@@ -135,3 +135,38 @@ def test_actuarial():
     assert both + second == pytest.approx(monthly, abs=1e-3)
     assert A.frequency(13) is None and A.frequency(12.02).compounding == 2
     assert A.parse_basis("CUP942015G") == {"deferral": "C", "table": "UP94", "year": 2015, "projection": "generational"} and A.parse_basis("?") is None
+
+
+def test_cleaning_and_cursors(spark):
+    r = one(
+        spark, c=text.clean(F.lit("He said “hi” ,then  left ( quickly ) the U.S.A. today")), none=text.between(F.lit("a(b"), "(", ")"), inner=text.between(F.lit("a(b)c"), "(", ")"), first=text.first_of(F.lit("x;y,z"), ",", ";"),
+        third=text.nth_position(F.lit("a.b.c.d"), ".", 3), fourth=text.nth_position(F.lit("a.b.c.d"), ".", 4), n=text.occurrences(F.lit("The theme, the end: the"), "the"), s=text.by_length(L("ccc", "b", "aa", "a")),
+    )
+    assert r["c"] == 'He said "hi", then left (quickly) the USA today'
+    assert (r["none"], r["inner"], r["first"], r["third"], r["fourth"], r["n"], r["s"]) == (None, "b", ";", 6, 0, 3, ["a", "b", "aa", "ccc"])
+
+
+def test_repairs_and_pairs(spark):
+    n = lambda *v: L(*v)
+    p = lambda a, b: dates.date_pair(n(*a), n(*b), D("2021-01-01"))
+    r = one(spark, m=p((3, 4, 1990), (5, 20, 2000)), d=p((3, 4, 1990), (20, 5, 2000)), no=p((30, 30, 1990), (20, 5, 2000)), x=dates.repaired(D("2000-05-01"), D("1930-05-02"), F.lit(50)), y=dates.repaired(F.lit(None).cast("date"), D("2000-01-01"), F.lit(140)))
+    assert [v.isoformat() for v in r["m"]] == ["1990-03-04", "2000-05-20"] and [v.isoformat() for v in r["d"]] == ["1990-04-03", "2000-05-20"] and r["no"] is None
+    assert r["x"]["birth"] == dt.date(1930, 5, 2) and r["x"]["age"] == 69 and r["x"]["codes"] == ["swapped", "age"] and r["y"]["age"] is None and r["y"]["codes"] == ["too_old"]
+
+
+def test_merging(spark):
+    r = one(
+        spark, n=linkage.merged_names(L("Al", "Renée"), L("renee", "Alan", "Bea", "Cy"), L("Al")), e=linkage.merged_names(F.lit(None).cast("array<string>"), L("A"), L("x")), f=linkage.filled(F.lit(0), F.lit(7), 0), g=linkage.filled(F.lit(3), F.lit(7), 0),
+        t=linkage.tightened(D("1950-01-01"), D("1950-12-31"), D("1950-03-01"), D("1951-01-01")), apart=linkage.tightened(D("1950-01-01"), D("1950-12-31"), D("1960-03-01"), D("1961-01-01")), one=names.gender_of(L(0.9)), none=names.gender_of(F.array().cast("array<double>")),
+    )
+    assert r["n"] == ["Renée", "Alan", "Bea"] and r["e"] == ["A"] and (r["f"], r["g"]) == (7, 3)
+    assert r["t"]["low"] == dt.date(1950, 3, 1) and r["t"]["high"] == dt.date(1950, 12, 31) and r["apart"]["low"] == dt.date(1950, 1, 1) and (r["one"], r["none"]) == (0.9, 0.5)
+
+
+def test_compatible_lookups(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    other = spark.createDataFrame([(1, 0), (2, 5)], "k int, number int")
+    found = lambda compat: {r["k"]: r["found"] for r in lookup.valid_record_exists(df, other, ["k"], "number", compat).collect()}
+    assert found(False) == {1: True, 2: True, 3: False} and found(True) == {1: True, 2: False, 3: False}
+    mixed = lookup.shuffled(spark.range(50).withColumnRenamed("id", "ordinal"), 3)
+    assert [r["ordinal"] for r in mixed.collect()] != list(range(50)) and [r["ordinal"] for r in mixed.orderBy("ordinal").collect()] == list(range(50))
