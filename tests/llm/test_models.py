@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lychgate.llm import ann, language, quality, toxicity
+from lychgate.llm import ann, labelled, language, quality, toxicity
 from tests.llm.conftest import TEXTS
 
 SF = "/root/testdata/sf0.01"
@@ -62,7 +62,7 @@ def _logp(m, gram):
     def find(table, g):
         keys, values = table
         codes = np.frombuffer(g.encode("utf-32-le"), np.uint32).astype(np.uint64)
-        h = language._hash(codes, len(g))[0]
+        h = language._hash_at(codes, np.array([len(g) - 1]), len(g))[0]
         at = np.searchsorted(keys, h)
         return values[at, 0] if at < len(keys) and keys[at] == h else None
 
@@ -89,6 +89,31 @@ def test_language_costs_against_single_lookups():
         assert m.costs([w, "other"])[0, 0] == pytest.approx(plain, rel=1e-5)
 
 
+def test_language_costs_of_unseen_grams():
+    """A language's costs are the same whether or not another language fills in its unseen grams."""
+    rng = random.Random(2)
+    counts = {"x": {}, "y": {}}
+    for lang, letters in (("x", "abcd"), ("y", "cdef")):
+        for _ in range(200):
+            p = language.MARK * 4 + "".join(rng.choice(letters) for _ in range(rng.randint(1, 6))) + language.MARK
+            for i in range(len(p) - 4):
+                counts[lang][p[i : i + 5]] = counts[lang].get(p[i : i + 5], 0) + 1
+    both = language.build(counts)
+    words = ["".join(rng.choice("abcdefg") for _ in range(rng.randint(1, 9))) for _ in range(200)]
+    for k, lang in enumerate(both.langs):
+        alone = language.build({lang: counts[lang]}).costs(words)
+        assert np.allclose(both.costs(words)[:, k], alone[:, 0], rtol=1e-5)
+
+
+def test_scorer_keeps_costs_over_generations(monkeypatch):
+    monkeypatch.setattr(language, "_CACHE_WORDS", 20)
+    m = language.build({"x": {"\x02\x02\x02\x02a": 3, "\x02\x02\x02ab": 2, "\x02\x02ab\x02": 2}})
+    scorer, rng = language.Scorer(m), random.Random(1)
+    for _ in range(60):
+        words = ["".join(rng.choice("ab") for _ in range(rng.randint(1, 7))) for _ in range(9)]
+        assert np.allclose(scorer.total(" ".join(words)), m.costs(words).sum(axis=0))
+
+
 def test_language_on_documents(spark):
     got = language.op5_language(spark, SF).join(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id")
     r = got.where("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.min("score"), F.max("score")).first()
@@ -108,6 +133,13 @@ def test_language_edges(spark, make):
     assert language.identify(make([]), m).count() == 0
 
 
+def test_held_out_rows(spark):
+    import zlib
+
+    rows = spark.range(300).select("id", language.held_out(F.col("id")), labelled.held_out(F.col("id"))).collect()
+    assert all((a, b) == (zlib.crc32(str(i).encode()) % 4 == 2, zlib.crc32(str(i).encode()) % 5 == 0) for i, a, b in rows)
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
