@@ -1,7 +1,8 @@
 """Toxicity: a lexicon trie walked together with a Levenshtein automaton, and the hits' contexts.
 
 Lexicon. From a bounded sample of labelled rows: words, and beginnings of words, that stand in at least
-SUPPORT toxic texts, and a hundredth of them, and in nearly no other (PRECISION). A beginning replaces the words that it begins.
+SUPPORT toxic texts, whatever the size of the sample, and in nearly no other (PRECISION), so unevenly that chance does
+not explain it (EVIDENCE). A beginning replaces the words that it begins.
 At most LEXICON terms are kept, the best supported.
 
 Match. A word, in lower case without marks at its ends, is a hit if it is a term, if a beginning
@@ -27,7 +28,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -37,6 +38,8 @@ from lychgate.llm.labelled import TRAIN_ROWS, held_out, training_rows
 SUPPORT, PRECISION, LEXICON, FUZZY = 5, 0.9, 4096, 5
 STEM = (4, 5, 6)
 WINDOW = 8
+#: The least log likelihood ratio of a term's toxic share against that of all texts; SUPPORT toxic texts and no other always do.
+EVIDENCE = 7.0
 THRESHOLD = 0.5
 #: Words of reporting in the languages of the corpus.
 REPORTING = frozenset("said says called calls word words term quote quoted wrote dit mot sagte wort dijo palabra".split())
@@ -183,12 +186,18 @@ def term_counts(rows: DataFrame) -> DataFrame:
     return small_batches(rows).mapInArrow(run, schema).groupBy("term", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 
-def choose(table: DataFrame, toxic: int, share: float) -> tuple[list[str], list[str]]:
-    """Words and beginnings for the lexicon; toxic: texts that are, and their share."""
-    support = max(SUPPORT, toxic // 100)
+def _evidence(share: float) -> Column:
+    """Log likelihood ratio of the toxic and other counts against share; more texts in the same proportion have more."""
+    n = F.col("toxic") + F.col("other")
+    part = lambda k, p: F.when(k > 0, k * F.log(k / (n * p))).otherwise(0.0)
+    return part(F.col("toxic"), share) + part(F.col("other"), 1 - share)
+
+
+def choose(table: DataFrame, share: float) -> tuple[list[str], list[str]]:
+    """Words and beginnings for the lexicon; share: of the texts that are toxic."""
     # In as many texts as if both labels were equally frequent.
     other = F.col("other") * (share / (1 - share))
-    good = table.where((F.col("toxic") >= support) & (F.col("toxic") / (F.col("toxic") + other) >= PRECISION))
+    good = table.where((F.col("toxic") >= SUPPORT) & (_evidence(share) >= min(EVIDENCE, -SUPPORT * np.log(share)) - 1e-9) & (F.col("toxic") / (F.col("toxic") + other) >= PRECISION))
     rows = good.orderBy(F.desc("toxic"), "term", "stem").limit(LEXICON).collect()
     words = {r["term"]: r["toxic"] for r in rows if not r["stem"]}
     stems: dict[str, int] = {}
@@ -196,7 +205,7 @@ def choose(table: DataFrame, toxic: int, share: float) -> tuple[list[str], list[
         term, n = r["term"], r["toxic"]
         # A beginning stands for many words; one that a single word makes up is that word's.
         alone = max((k for w, k in words.items() if w.startswith(term)), default=0)
-        if n >= 2 * support and n > 1.5 * alone and not any(term.startswith(s) for s in stems):
+        if n >= 2 * SUPPORT and n > 1.5 * alone and not any(term.startswith(s) for s in stems):
             stems[term] = n
     return [w for w in words if not any(w.startswith(s) for s in stems)], list(stems)
 
@@ -231,7 +240,7 @@ def train(spark, docs: DataFrame, sf_dir: str, rows: int = TRAIN_ROWS) -> Model:
     if not n or toxic in (0, n):
         share = min(1 - 1e-6, max(1e-6, toxic / n)) if n else 0.5
         return Model([], [], np.array([np.log(share / (1 - share))]))
-    model = Model(*choose(term_counts(sample), toxic, toxic / n))
+    model = Model(*choose(term_counts(sample), toxic / n))
     shared = spark.sparkContext.broadcast(model)
 
     def batch(cols):

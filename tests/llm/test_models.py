@@ -169,6 +169,20 @@ def test_lexicon_kinds_and_context():
     assert kinds('he wrote "you idiot" today') == [(toxicity.EXACT, True)] and kinds("") == []
 
 
+def test_rare_terms_of_a_large_sample(spark):
+    """A term of a few texts stays a term however many toxic texts there are."""
+    docs, labels = [], []
+    for i in range(4000):
+        toxic = i % 2
+        docs.append((i, ("filthor" if toxic else "garden") + (" zarquon" if toxic and i < 60 else "")))
+        labels.append((i, 1, toxic))
+    rows = spark.createDataFrame([(t, x[2]) for (_, t), x in zip(docs, labels)], "text string, label int")
+    words, _ = toxicity.choose(toxicity.term_counts(rows), 0.5)
+    assert "zarquon" in words and "garden" not in words
+    table = spark.createDataFrame([("pure", False, 5, 0), ("chance", False, 5, 4)], "term string, stem boolean, toxic long, other long")
+    assert toxicity.choose(table, 0.1)[0] == ["pure"]
+
+
 def fixture_texts():
     rng = random.Random(4)
     good = lambda: " ".join("".join(rng.choice("aeinrst") for _ in range(rng.randint(2, 8))) for _ in range(60)) + "."
