@@ -2,7 +2,7 @@
 
 Lexicon. From a bounded sample of labelled rows: words, and beginnings of words, that stand in at least
 SUPPORT toxic texts, whatever the size of the sample, and in nearly no other (PRECISION), so unevenly that chance does
-not explain it (EVIDENCE). A beginning replaces the words that it begins.
+not explain it (EVIDENCE). The words that a beginning begins stay terms, from which misspelt ones are told.
 At most LEXICON terms are kept, the best supported.
 
 Match. A word, in lower case without marks at its ends, is a hit if it is a term, if a beginning
@@ -207,7 +207,7 @@ def choose(table: DataFrame, share: float) -> tuple[list[str], list[str]]:
         alone = max((k for w, k in words.items() if w.startswith(term)), default=0)
         if n >= 2 * SUPPORT and n > 1.5 * alone and not any(term.startswith(s) for s in stems):
             stems[term] = n
-    return [w for w in words if not any(w.startswith(s) for s in stems)], list(stems)
+    return list(words), list(stems)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, damp: float = 1.0) -> np.ndarray:

@@ -169,6 +169,13 @@ def test_lexicon_kinds_and_context():
     assert kinds('he wrote "you idiot" today') == [(toxicity.EXACT, True)] and kinds("") == []
 
 
+def test_misspelt_words_of_a_beginning(spark):
+    rows = [("stup", True, 60, 0), ("stupid", False, 30, 0), ("stupidly", False, 25, 0), ("stupor", False, 20, 0)]
+    lexicon = toxicity.Lexicon(*toxicity.choose(spark.createDataFrame(rows, "term string, stem boolean, toxic long, other long"), 0.5))
+    assert lexicon.stems == ["stup"] and lexicon.find("stupidity") == (toxicity.BEGUN, "stup")
+    assert all(lexicon.find(w) == (toxicity.NEAR, "stupid") for w in ("stopid", "sttupid", "supid"))
+
+
 def test_rare_terms_of_a_large_sample(spark):
     """A term of a few texts stays a term however many toxic texts there are."""
     docs, labels = [], []
