@@ -5,9 +5,8 @@ characters; a word is preceded by ORDER - 1 marks and followed by one, so grams
 All training rows but the calibration sample are counted, in partial sums by task. Lower orders are not
 counted again: their Kneser-Ney counts are the numbers of distinct characters before a gram.
 
-Model. Grams are folded to 2**HASH_BITS values a language (grams that share a value share counts),
-which bounds what reaches the driver and every worker at languages * 2**HASH_BITS grams whatever
-the corpus (the number of languages is that of the labels). For each gram of each order the model holds its
+Model. Every distinct gram of a language is kept with its own count, so what reaches the driver and every worker
+grows with the corpus' distinct grams. For each gram of each order the model holds its
 interpolated probability in every language, and for each context its weight, in arrays sorted by 64-bit gram hash.
 
 Prediction. The language of the lowest cross-entropy a character; the score is the softmax over the
@@ -35,7 +34,6 @@ from pyspark.sql.types import StructType
 from lychgate.llm.common import crc_mod, docs_of, map_batches, small_batches, to_arrow
 
 ORDER = 5
-HASH_BITS = 20
 LONG = 64
 CALIBRATION_ROWS = 5_000
 REJECT_QUANTILE = 0.995
@@ -275,13 +273,8 @@ def train(docs: DataFrame, rows: Column) -> Models:
     known = docs.where(rows & F.col("lang").isNotNull() & F.col("text").isNotNull())
     part = max(10, known.count() // CALIBRATION_ROWS)
     chosen = F.pmod(F.xxhash64("doc_id"), F.lit(part)) == 0
-    folded = (
-        gram_counts(known.where(~chosen))
-        .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-        .groupBy("lang", F.expr(f"xxhash64(gram) & {2**HASH_BITS - 1}").alias("h")).agg(F.sum("n").alias("n"), F.min("gram").alias("gram"))
-    )
     counts: dict[str, dict[str, int]] = {}
-    table = folded.select("lang", "gram", "n").toArrow()
+    table = gram_counts(known.where(~chosen)).groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     for batch in table.to_batches():
         for lang, gram, n in zip(*(batch[c].to_pylist() for c in ("lang", "gram", "n")), strict=True):
             counts.setdefault(lang, {})[gram] = n

@@ -120,6 +120,15 @@ def test_language_on_documents(spark):
     assert r[0] > 0.98 and 0 <= r[1] <= r[2] <= 1
 
 
+def test_language_keeps_every_gram(spark, make):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(8)) for _ in range(1500)]
+    marked = [language.MARK * 4 + w + language.MARK for w in words]
+    grams = {p[i : i + 5] for p in marked for i in range(len(p) - 4)}
+    m = language.train(make([(i, " ".join(words)) for i in range(30)], ["en"] * 30), F.lit(True))
+    assert len(m.grams[-1][0]) == len(grams) > 10_000
+
+
 def test_language_edges(spark, make):
     rows = [*enumerate(TEXTS), (90, "12 34 !!"), *((100 + i, "der die und das " * 5) for i in range(30)), *((200 + i, "the and of with " * 5) for i in range(30)), (400, "the " + "x" * 100_000)]
     lang = [None] * 7 + ["de"] * 30 + ["en"] * 30 + [None]
