@@ -9,7 +9,8 @@ places found to be dead ends are marked, so a word takes time linear in its leng
 
 Defined results: a null text counts as empty and has no tokens; words of any length are encoded
 whole; strings of the file's special tokens become those tokens, as the tokenizers library does.
-Words are cached per worker in two generations of bounded size.
+Words are cached per worker in two generations of bounded bytes. Rows are taken one by one, so a repeated doc_id gives
+a row each; an empty table gives an empty one; columns other than the id and the text are not read.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ import hashlib
 import json
 import unicodedata
 from collections.abc import Iterable
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lychgate.llm.common import BEYOND_LATIN, TwoGenerations, docs_of, map_batches
+from lychgate.llm.common import BEYOND_LATIN, CACHE_BYTES, TwoGenerations, docs_of, held, map_batches
 
 #: Stands for the end of a word inside automaton keys; a private-use character.
 _END = "\ue000"
@@ -122,7 +122,7 @@ class BacktrackingEncoder:
                         pair = out[-1] << 20 | token
                         ok = fits.get(pair)
                         if ok is None:
-                            if len(fits) > 2_000_000:
+                            if len(fits) > 100_000:
                                 fits.clear()
                             ok = fits[pair] = self._compatible(out[-1], token)
                         stepped = ok
@@ -181,7 +181,7 @@ class WordBpe:
     pattern, byte characters, merges with an end-of-word mark; without a decoder, decoding joins
     token strings by one space."""
 
-    def __init__(self, file: str, cache: int = 200_000):
+    def __init__(self, file: str, cache: int = CACHE_BYTES):
         from tokenizers import Tokenizer
 
         with open(file, encoding="utf-8") as f:
@@ -194,9 +194,9 @@ class WordBpe:
         self.chars = byte_characters()
         self.library = Tokenizer.from_file(file)  # its normaliser and word split, for rare scripts only
         self.table = OffsetTable({i: t for t, i in (model["vocab"] | self.special).items()}, " ")
-        self.word = TwoGenerations(self._word, cache)
+        self.word = TwoGenerations(self._word, cache // 3, lambda ids: 28 * len(ids))
         #: By space-delimited piece: decimal ids, their number, decoded text.
-        self.piece = TwoGenerations(self._piece, cache)
+        self.piece = TwoGenerations(self._piece, cache - cache // 3, lambda p: 100 + len(p[0]) + len(p[2]))
 
     def _bytes_word(self, word: str) -> list[int]:
         chars = self.chars
@@ -256,9 +256,8 @@ def _pair(merge) -> tuple[str, str]:
     return a, b
 
 
-@lru_cache(2)
 def word_bpe(file: str) -> WordBpe:
-    return WordBpe(file)
+    return held(("word_bpe", file), lambda: WordBpe(file))
 
 
 def encode_table(docs: DataFrame, file: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:

@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-#: Rows of one Arrow batch handed to Python; whole texts are held, so batches are kept short.
-BATCH_ROWS = 1000
+#: Rows and bytes of one Arrow batch handed to Python; whole texts are held, so batches are kept short. A row
+#: that is longer alone makes a batch of its own.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+#: Bytes that a worker's caches hold together, about, and the longest key that is kept.
+CACHE_BYTES, CACHE_KEY = 48 << 20, 256
 
 _own_dirs: dict[str, str] = {}
 
@@ -24,29 +31,47 @@ def docs_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; where unset (tests), a temporary one."""
+    """The shared folder named by spark.checkpoint.dir. Where it is unset, a temporary one if Spark runs in one
+    process, as in tests; on a cluster that is an error, for its machines do not share one."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     app = spark.sparkContext.applicationId
     if app not in _own_dirs:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="lychgate-")
     return _own_dirs[app]
 
 
+def _tables(spark: SparkSession) -> str:
+    """This application's scratch tables, deleted when it ends."""
+    path = f"{scratch_dir(spark)}/lychgate/{spark.sparkContext.applicationId}"
+    if path not in _own_dirs:
+        _hadoop(spark, path, lambda fs, p: fs.mkdirs(p) and fs.deleteOnExit(p))
+        _own_dirs[path] = path
+    return path
+
+
+def _hadoop(spark: SparkSession, path: str, act: Callable):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return act(where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder, reread: cuts the lineage and outlives a lost executor."""
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/lychgate/{name}-{uuid.uuid4().hex}"
+    path = f"{_tables(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:
-    """Delete every scratch table of the shared folder; results read before stay valid only if written."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark)}/lychgate")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    """Delete every scratch table of this application; results read before stay valid only if written. Without
+    it they go when the application ends."""
+    path = _tables(spark)
+    _hadoop(spark, path, lambda fs, p: fs.delete(p, True))
+    _own_dirs.pop(path)
 
 
 def map_batches(
@@ -130,8 +155,11 @@ def parted(df: DataFrame, ids: DataFrame, column: str) -> tuple[DataFrame, DataF
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """Bounds the bytes of Arrow batches: few rows each."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Bounds the rows and bytes of Arrow batches. They are settings of the session, read when a plan is made
+    ready to run, so they stay set."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df
 
 
@@ -147,22 +175,49 @@ def crc_mod(id_col: Column, n: int) -> Column:
 
 
 class TwoGenerations(dict):
-    """A cache of at most 2 * cap entries: what the last generation used is kept, the rest goes."""
+    """A cache of at most `budget` bytes, about: what the last generation used is kept, the rest goes. Long keys are
+    made anew each time. weigh: bytes of a value besides its own object's."""
 
-    def __init__(self, make: Callable, cap: int):
+    def __init__(self, make: Callable, budget: int, weigh: Callable = lambda value: 0):
         super().__init__()
-        self.make, self.cap, self.old = make, cap, {}
+        self.make, self.weigh, self.old, self.used, self.half = make, weigh, {}, 0, budget // 2
 
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= self.cap:
-            self.old = dict(self)
+        if len(key) > CACHE_KEY:
+            return value
+        self.used += 100 + sys.getsizeof(key) + sys.getsizeof(value) + self.weigh(value)
+        if self.used > self.half:
+            self.old, self.used = dict(self), 0
             self.clear()
         self[key] = value
         return value
 
 
+_held: dict = {}
+
+
+def held(owner: tuple, make: Callable, model=None):
+    """What an operator keeps in this worker, made anew for another model. A worker serves one operator after the
+    other, so what another one kept goes first and its memory is given back."""
+    if owner not in _held or _held[owner][0] is not model:
+        forget()
+        _held[owner] = model, make()
+    return _held[owner][1]
+
+
+def forget() -> None:
+    """Drop what operators keep in this worker; the driver keeps its own."""
+    if _held and TaskContext.get():
+        _held.clear()
+        gc.collect()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library gives memory back by itself or not at all
+            pass
+
+
 #: Characters whose case, normal form and class do not differ between libraries' Unicode versions.
 BEYOND_LATIN = re.compile("[^\x00-\u024f\u1e00-\u1eff\u2010-\u2027\u2030-\u205e]")

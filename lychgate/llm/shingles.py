@@ -11,11 +11,8 @@ import hashlib
 import numpy as np
 import xxhash
 
-from lychgate.llm.common import TwoGenerations
-
 WORDS = 5
 
-_word_hash = TwoGenerations(xxhash.xxh3_64_intdigest, 400_000)
 _rng = np.random.Generator(np.random.PCG64(20240601))
 _PLACE = _rng.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -32,7 +29,7 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_word_hash.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def shingle_hashes(h: np.ndarray, words: int = WORDS) -> np.ndarray:

@@ -1,7 +1,7 @@
 """Token ids of a byte-level tokenizer file, for the packing operators.
 
 Texts are cut at single spaces between other characters, where the tokenizer always cuts too; the
-pieces' ids are kept per worker, in two generations of bounded size, so a text costs one lookup a
+pieces' ids are kept per worker, in two generations of bounded bytes, so a text costs one lookup a
 piece. New pieces are encoded from the file's own vocabulary by tiktoken, whose merges by rank are
 those of the file if its ids follow its merges; that is checked, and else, and for characters whose
 classes differ between Unicode versions, the tokenizers library does it. A text that holds the string of a
@@ -13,13 +13,13 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
 from array import array
-from functools import lru_cache
 
 import numpy as np
 
 from lychgate.llm.bpe import byte_characters
-from lychgate.llm.common import BEYOND_LATIN
+from lychgate.llm.common import BEYOND_LATIN, CACHE_BYTES, CACHE_KEY, held
 
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
@@ -47,7 +47,7 @@ def by_rank(file: str):
 
 
 class ByteBpe:
-    def __init__(self, file: str, cap: int = 400_000):
+    def __init__(self, file: str, cache: int = CACHE_BYTES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -56,26 +56,30 @@ class ByteBpe:
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.ordinary = by_rank(file)
-        self.cap, self.known, self.old = cap, {}, {}
+        self.half, self.used, self.known, self.old = cache // 2, 0, {}, {}
 
     def _raw(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, pieces: list[str]) -> None:
-        """All of pieces are known afterwards; a piece stands for itself after a space."""
-        if len(self.known) > self.cap:
-            self.old, self.known = self.known, {}
-        rest = []
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of new pieces, a piece standing for itself after a space; all but long ones are known afterwards."""
+        if self.used > self.half:
+            self.old, self.known, self.used = self.known, {}, 0
+        rest, new = [], {}
         known, old, ordinary = self.known, self.old, self.ordinary
         for p in {p for p in pieces if p not in known}:
             if p in old:
-                known[p] = old[p]
+                new[p] = old[p]
             elif ordinary is None or not p.isascii() and BEYOND_LATIN.search(p):
                 rest.append(p)
             else:
-                known[p] = array("I", ordinary(" " + p)).tobytes()
+                new[p] = array("I", ordinary(" " + p)).tobytes()
         for p, e in zip(rest, self.library.encode_batch_fast([f" {p}" for p in rest], add_special_tokens=False), strict=True):
-            known[p] = np.array(e.ids, "<u4").tobytes()
+            new[p] = np.array(e.ids, "<u4").tobytes()
+        kept = {p: x for p, x in new.items() if len(p) <= CACHE_KEY}
+        known.update(kept)
+        self.used += sum(200 + sys.getsizeof(p) + len(x) for p, x in kept.items())
+        return new
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
@@ -88,11 +92,10 @@ class ByteBpe:
             try:
                 out.append(b"".join(map(self.known.__getitem__, block)))
             except KeyError:
-                self._learn(block)
-                out.append(b"".join(map(self.known.__getitem__, block)))
+                new, known = self._learn(block), self.known
+                out.append(b"".join([new[p] if p in new else known[p] for p in block]))
         return b"".join(out)
 
 
-@lru_cache(2)
 def byte_bpe(file: str) -> ByteBpe:
-    return ByteBpe(file)
+    return held(("byte_bpe", file), lambda: ByteBpe(file))
