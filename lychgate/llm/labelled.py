@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lychgate.llm.common import crc_mod, map_batches, written
-from lychgate.llm.shingles import mix, shingle_hashes, word_hashes, words_of
+from lychgate.llm.shingles import set_key, shingle_set
 
 #: The most labelled rows that a classifier is fitted on, about.
 TRAIN_ROWS = 20_000
@@ -19,24 +19,18 @@ def held_out(id_col: Column) -> Column:
 def training_rows(spark: SparkSession, docs: DataFrame, sf_dir: str, label: str, rows: int = TRAIN_ROWS) -> DataFrame:
     """(text, label 0/1) of labelled documents outside the held-out part: all of them, or an even sample of
     about `rows` by hash of the id. Only ids and labels of the sample are broadcast, so the bound holds
-    for that too. Of several labels of an id the largest counts; rows without one are left out. Of copies and
-    near copies, as told by the least hash of their shingles, one stands for all, lest their words count as
-    often as they were copied. The sample is written once, for it is read several times."""
+    for that too. Of several labels of an id the largest counts; rows without one are left out. Of texts with the same
+    set of shingles and the same label one stands for all, lest their words count as often as they were
+    copied; of those without words, of equal ones. The sample is written once, for it is read several times."""
     known = spark.read.parquet(f"{sf_dir}/labels.parquet").where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     part = max(1, -(-known.count() // rows))
     chosen = known.where(F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(part)) == 0)
     chosen = chosen.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max(label) > 0).cast("int").alias("label"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
-
     def batch(cols):
-        yield cols | {"sketch": [_sketch(t) for t in cols["text"]]}
+        yield cols | {"set": [set_key(s) if len(s := shingle_set(t)) else t.encode() for t in cols["text"]]}
 
-    sketched = map_batches(texts.join(F.broadcast(chosen), "doc_id").select("text", "label"), batch, "text string, label int, sketch long")
-    one = sketched.groupBy("sketch", "label").agg(F.min("text").alias("text"))
+    keyed = map_batches(texts.join(F.broadcast(chosen), "doc_id").select("text", "label"), batch, "text string, label int, set binary")
+    one = keyed.groupBy("set", "label").agg(F.min("text").alias("text"))
     return written(one.select("text", "label"), "labelled")
-
-
-def _sketch(text: str) -> int:
-    s = shingle_hashes(word_hashes(words_of(text)))
-    return int(mix(s).min() >> 1) if len(s) else -1

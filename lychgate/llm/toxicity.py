@@ -2,14 +2,15 @@
 
 Lexicon. From a bounded sample of labelled rows: words, and beginnings of words, that stand in at least
 SUPPORT toxic texts, whatever the size of the sample, and in nearly no other (PRECISION), so unevenly that chance does
-not explain it (EVIDENCE). The words that a beginning begins stay terms, from which misspelt ones are told.
-At most LEXICON terms are kept, the best supported.
+not explain it (EVIDENCE). Words may hold digits, hyphens and other marks inside; scripts that do not part
+words by spaces are read as pairs of neighbouring characters. The words that a beginning begins stay terms, from which
+misspelt ones are told. All such terms are kept; the bound of the sample bounds them.
 
 Match. A word, in lower case without marks at its ends, is a hit if it is a term, if a beginning
-begins it, or if it is within one edit of a term of FUZZY letters or more: the automaton's two sets of
-positions (no edit so far, one edit) are bit masks that are carried down the trie, and a branch ends
-where both are empty. Digits and signs that stand for letters are read as these. Results are cached by
-word in two generations of bounded size.
+begins it, or if it is within EDITS edits of a term of FUZZY letters or more: the automaton's sets of
+positions, one a number of edits so far, are bit masks that are carried down the trie, and a branch ends
+where all are empty. Digits and signs that stand for letters are read as these. Results are cached by
+word in two generations of bounded bytes.
 
 Context. A hit is quoted if a quotation mark opens in the WINDOW words before it and one closes in
 those after it, or if a word of reporting stands in that window. A logistic model over counts of direct and
@@ -17,7 +18,9 @@ quoted hits of each kind, distinct terms and density, fitted on the same sample,
 
 Defined results: null and empty texts have no hits and get the score of that; without training rows,
 or with one label only, the score is that share of ones (0.5 without any); a text of any length counts
-whole; equal texts get equal scores; extra columns are not read.
+whole; equal texts get equal scores; rows are scored one by one, so a repeated doc_id gives a row each; of several terms
+within the edits of a word the one that the walk meets first is named, which is the same in every run; an empty table
+gives an empty one; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -28,14 +31,15 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lychgate.llm.common import TwoGenerations, docs_of, filter_texts, map_batches, small_batches, to_arrow
+from lychgate.llm.common import CACHE_BYTES, TwoGenerations, docs_of, filter_texts, held, map_batches, small_batches, to_arrow
 from lychgate.llm.labelled import TRAIN_ROWS, held_out, training_rows
 
-SUPPORT, PRECISION, LEXICON, FUZZY = 5, 0.9, 4096, 5
+SUPPORT, PRECISION, FUZZY, EDITS = 5, 0.9, 5, 1
 STEM = (4, 5, 6)
 WINDOW = 8
 #: The least log likelihood ratio of a term's toxic share against that of all texts; SUPPORT toxic texts and no other always do.
@@ -46,7 +50,10 @@ REPORTING = frozenset("said says called calls word words term quote quoted wrote
 _MARKS = string.punctuation + "«»“”„‘’…¡¿"
 _QUOTES = frozenset("\"'«»“”„‘’")
 _LEET = str.maketrans("013457@$!", "oieastasi")
-_FLUSH = 400_000
+_FLUSH = 100_000
+_LETTER = regex.compile(r"\p{L}")
+#: Scripts that do not part words by spaces.
+_UNPARTED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]+")
 EXACT, BEGUN, NEAR = 1, 2, 3
 
 
@@ -54,11 +61,28 @@ def plain(word: str) -> str:
     return word.strip(_MARKS)
 
 
+def words_of(text: str | None) -> list[str]:
+    """Words in lower case; a run of an unparted script as its pairs of neighbouring characters."""
+    words = (text or "").lower().split()
+    if text and not text.isascii() and _UNPARTED.search(text):
+        words = [x for w in words for x in _pairs(w)]
+    return words
+
+
+def _pairs(word: str) -> list[str]:
+    out, at = [], 0
+    for m in _UNPARTED.finditer(word):
+        out += [word[at : m.start()]] if at < m.start() else []
+        out += [word[i : i + 2] for i in range(m.start(), max(m.start() + 1, m.end() - 1))]
+        at = m.end()
+    return [*out, word[at:]] if at < len(word) else out
+
+
 class Lexicon:
     """Terms and beginnings in a trie; find(word) gives (kind, term) or None."""
 
-    def __init__(self, words: list[str], stems: list[str]):
-        self.words, self.stems = sorted(words), sorted(stems)
+    def __init__(self, words: list[str], stems: list[str], edits: int = EDITS):
+        self.words, self.stems, self.edits = sorted(words), sorted(stems), edits
         self.root: dict = {}
         for kind, terms in ((EXACT, self.words), (BEGUN, self.stems)):
             for t in terms:
@@ -79,12 +103,40 @@ class Lexicon:
         else:
             if EXACT in node:
                 return EXACT, node[EXACT]
-        if FUZZY - 1 <= len(word) <= self.longest + 1 and (near := self.near(word)):
+        if self.edits and FUZZY - self.edits <= len(word) <= self.longest + self.edits and (near := self.near(word)):
             return NEAR, near
         return None
 
     def near(self, word: str) -> str | None:
-        """The first term of FUZZY letters or more within one edit of word."""
+        """The first term of FUZZY letters or more within the edits of word."""
+        return self._within_one(word) if self.edits == 1 else self._within(word)
+
+    def _within(self, word: str) -> str | None:
+        places: dict[str, int] = {}
+        for i, c in enumerate(word):
+            places[c] = places.get(c, 0) | 1 << i
+        end, edits = 1 << len(word), self.edits
+        stack = [(self.root, [(2 << e) - 1 for e in range(edits + 1)])]  # with e edits the first e letters may be left out
+        while stack:
+            node, states = stack.pop()
+            if states[edits] & end and (t := node.get(EXACT)) and len(t) >= FUZZY:
+                return t
+            for c, child in node.items():
+                if c.__class__ is int:
+                    continue
+                at, after = places.get(c, 0), []
+                for e, state in enumerate(states):
+                    # The letter matches; or after an edit: replaces one, is put in, or one of the word is left out.
+                    to = (state & at) << 1
+                    if e:
+                        to |= states[e - 1] << 1 | states[e - 1] | after[e - 1] << 1 | after[e - 1]
+                    after.append(to & (2 * end - 1))
+                if after[edits]:
+                    stack.append((child, after))
+        return None
+
+    def _within_one(self, word: str) -> str | None:
+        """What _within() does for one edit, the usual number, in fewer steps."""
         places: dict[str, int] = {}
         for i, c in enumerate(word):
             places[c] = places.get(c, 0) | 1 << i
@@ -117,6 +169,7 @@ class Model:
     words: list[str]
     stems: list[str]
     weights: np.ndarray = field(default_factory=lambda: np.zeros(1))
+    edits: int = EDITS
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         z = np.hstack([np.ones((len(x), 1)), x]) @ self.weights if len(self.weights) > 1 else np.full(len(x), self.weights[0])
@@ -125,8 +178,8 @@ class Model:
 
 class Matcher:
     def __init__(self, model: Model):
-        self.model, self.lexicon = model, Lexicon(model.words, model.stems)
-        self.known = TwoGenerations(self._find, 300_000)
+        self.model, self.lexicon = model, Lexicon(model.words, model.stems, model.edits)
+        self.known = TwoGenerations(self._find, CACHE_BYTES)
 
     def _find(self, word: str) -> tuple[int, str]:
         w = plain(word)
@@ -151,7 +204,7 @@ class Matcher:
         return out
 
     def features(self, text: str | None) -> list[float]:
-        words = (text or "").lower().split()
+        words = words_of(text)
         hits = self.hits(words)
         if not hits:
             return [0.0] * 8
@@ -176,9 +229,9 @@ def term_counts(rows: DataFrame) -> DataFrame:
         counts = (Counter(), Counter())
         for batch in batches:
             for text, label in zip(batch["text"].to_pylist(), batch["label"].to_pylist(), strict=True):
-                words = {w for x in set(text.lower().split()) if len(w := plain(x)) > 2 and w.isalpha() and len(w) <= 40}
+                words = {w for x in set(words_of(text)) if (len(w := plain(x)) > 2 or _UNPARTED.match(w)) and _LETTER.search(w)}
                 counts[label].update((w, False) for w in words)
-                counts[label].update({(w[:n], True) for w in words for n in STEM if len(w) > n})
+                counts[label].update({(w[:n], True) for w in words if w.isalpha() for n in STEM if len(w) > n})
                 if len(counts[0]) + len(counts[1]) > _FLUSH:
                     yield flush(counts)
         yield flush(counts)
@@ -198,7 +251,7 @@ def choose(table: DataFrame, share: float) -> tuple[list[str], list[str]]:
     # In as many texts as if both labels were equally frequent.
     other = F.col("other") * (share / (1 - share))
     good = table.where((F.col("toxic") >= SUPPORT) & (_evidence(share) >= min(EVIDENCE, -SUPPORT * np.log(share)) - 1e-9) & (F.col("toxic") / (F.col("toxic") + other) >= PRECISION))
-    rows = good.orderBy(F.desc("toxic"), "term", "stem").limit(LEXICON).collect()
+    rows = good.orderBy(F.desc("toxic"), "term", "stem").collect()
     words = {r["term"]: r["toxic"] for r in rows if not r["stem"]}
     stems: dict[str, int] = {}
     for r in sorted((r for r in rows if r["stem"]), key=lambda r: (len(r["term"]), r["term"])):
@@ -224,23 +277,18 @@ def logistic(x: np.ndarray, y: np.ndarray, damp: float = 1.0) -> np.ndarray:
     return w
 
 
-_matchers: list[Matcher] = []
-
-
 def _matcher(model: Model) -> Matcher:
     """One matcher a worker, for the model used last."""
-    if not _matchers or _matchers[0].model is not model:
-        _matchers[:] = [Matcher(model)]
-    return _matchers[0]
+    return held(("toxicity",), lambda: Matcher(model), model)
 
 
-def train(spark, docs: DataFrame, sf_dir: str, rows: int = TRAIN_ROWS) -> Model:
+def train(spark, docs: DataFrame, sf_dir: str, rows: int = TRAIN_ROWS, edits: int = EDITS) -> Model:
     sample = training_rows(spark, docs, sf_dir, "toxic", rows)
     n, toxic = sample.agg(F.count("*"), F.sum("label")).first()
     if not n or toxic in (0, n):
         share = min(1 - 1e-6, max(1e-6, toxic / n)) if n else 0.5
         return Model([], [], np.array([np.log(share / (1 - share))]))
-    model = Model(*choose(term_counts(sample), toxic / n))
+    model = Model(*choose(term_counts(sample), toxic / n), edits=edits)
     shared = spark.sparkContext.broadcast(model)
 
     def batch(cols):
