@@ -5,50 +5,58 @@ characters; a word is preceded by ORDER - 1 marks and followed by one, so grams
 All training rows but the calibration sample are counted, in partial sums by task. Lower orders are not
 counted again: their Kneser-Ney counts are the numbers of distinct characters before a gram.
 
-Model. Every distinct gram of a language is kept with its own count, so what reaches the driver and every worker
-grows with the corpus' distinct grams. For each gram of each order the model holds its
-interpolated probability in every language, and for each context its weight, in arrays sorted by 64-bit gram hash.
+Model. Counts, context sums, discounts and interpolated probabilities are aggregations and joins on the gram, so
+they are spread over the cluster, all languages of a gram in one row. Every distinct gram is kept with its
+own count. Only the finished arrays reach the driver and the workers: for each gram of each order a 64-bit hash, in
+ascending order, and its probability in every language, and for each context its weights. They grow with the
+corpus' distinct grams, which are far fewer than its words.
 
 Prediction. The language of the lowest cross-entropy a character; the score is the softmax over the
 languages' total costs, tempered so that it is calibrated on a sample of training rows that the
-counts leave out (one in ten, about CALIBRATION_ROWS at most). The same sample gives the cross-entropy above
+counts leave out (one in ten, about CALIBRATION_ROWS at most; rows of a language that has no other ones are
+counted instead). The same sample gives the cross-entropy above
 which a text is marked rejected: it is like none of the languages, and lang_pred is then only the nearest of them.
 
-Defined results: null texts and texts without a letter are `und` with score 0; words over LONG
-characters are read in parts; without training rows every text is `und`; equal texts get equal results; extra
+Defined results: null texts and texts without a letter (Unicode category L) are `und` with score 0; words of any
+length are read whole, those over LONG characters in parts that know the characters before them; of languages of
+equal cost the first in order of their names is taken; rows are told one by one, so a repeated doc_id gives a row
+each; without training rows every text is `und`; an empty table gives an empty one; equal texts get equal results; extra
 columns are not read.
 """
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lychgate.llm.common import crc_mod, docs_of, map_batches, small_batches, to_arrow
+from lychgate.llm.common import crc_mod, docs_of, held, map_batches, small_batches, to_arrow, written
 
 ORDER = 5
 LONG = 64
 CALIBRATION_ROWS = 5_000
 REJECT_QUANTILE = 0.995
 MARK = "\x02"
-_FLUSH_WORDS = 150_000
-_CACHE_WORDS = 300_000
-_LETTER = re.compile(r"[^\W\d_]")
+_FLUSH_WORDS = 100_000
+_CACHE_WORDS = 150_000
+_LETTER = regex.compile(r"\p{L}")
 _PLACE = np.random.Generator(np.random.PCG64(5)).integers(1, 2**63, ORDER + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def words_of(text: str) -> list[str]:
-    words = text.lower().split()
-    if max(map(len, words), default=0) > LONG:
-        words = [w[i : i + LONG] for w in words for i in range(0, len(w), LONG)]
-    return words
+    return text.lower().split()
+
+
+def marked(word: str) -> list[str]:
+    """A word with its marks, in parts of LONG characters, each after the ORDER - 1 characters before it."""
+    p = MARK * (ORDER - 1) + word + MARK
+    return [p] if len(word) < LONG else [p[i : i + LONG + ORDER - 1] for i in range(0, len(p) - ORDER + 1, LONG)]
 
 
 def held_out(id_col: Column) -> Column:
@@ -65,9 +73,9 @@ def gram_counts(docs: DataFrame) -> DataFrame:
         for lang, words in counts.items():
             own: Counter = Counter()
             for w, n in words.items():
-                p = MARK * (ORDER - 1) + w + MARK
-                for i in range(len(p) - ORDER + 1):
-                    own[p[i : i + ORDER]] += n
+                for p in marked(w):
+                    for i in range(len(p) - ORDER + 1):
+                        own[p[i : i + ORDER]] += n
             langs += [lang] * len(own)
             grams += own.keys()
             numbers += own.values()
@@ -112,9 +120,12 @@ class Models:
 
     def costs(self, words: list[str]) -> np.ndarray:
         """Negative log probabilities (words, languages) and, in the last column, characters counted."""
-        text = "".join([MARK * (ORDER - 1) + w + MARK for w in words])
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        lengths = np.array([len(w) + 1 for w in words])
+        return self.costs_of([MARK * (ORDER - 1) + w + MARK for w in words])
+
+    def costs_of(self, parts: list[str]) -> np.ndarray:
+        """The same of parts that begin with the ORDER - 1 characters before them."""
+        codes = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        lengths = np.array([len(p) - ORDER + 1 for p in parts])
         ends = np.cumsum(lengths + ORDER - 1)
         starts = ends - lengths
         place = np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(int(lengths.sum()))
@@ -144,9 +155,87 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, keys[at] == wanted
 
 
+def discount_of(once: int, twice: int) -> float:
+    """From the numbers of grams counted once and twice."""
+    return min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
+
+
+def _per(langs: list[str], what) -> list[Column]:
+    return [what(k, F.col(f"n{k}")).alias(f"n{k}") for k in range(len(langs))]
+
+
+def fitted(partial: DataFrame) -> Models:
+    """Models from partial counts (lang, gram, n) of ORDER-grams: interpolated Kneser-Ney, by aggregations and joins on
+    the gram. Where a language has not seen a gram that another has, the same sums give what its lower orders say."""
+    partial = written(partial, "grams")
+    langs = sorted(r["lang"] for r in partial.select("lang").distinct().collect())
+    if not langs:
+        return build({})
+    own = [F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("n"))), F.lit(0)).alias(f"n{k}") for k, x in enumerate(langs)]
+    tables = {ORDER: written(partial.groupBy("gram").agg(*own), "order")}
+    for order in range(ORDER - 1, 0, -1):
+        below = tables[order + 1].groupBy(F.substring("gram", 2, order).alias("gram"))
+        tables[order] = written(below.agg(*_per(langs, lambda k, n: F.sum((n > 0).cast("long")))), "order")
+
+    def told(order: int) -> DataFrame:
+        sums = [f(F.col(f"n{k}")).alias(f"{name}{k}") for k in range(len(langs)) for name, f in (
+            ("once", lambda n: F.sum((n == 1).cast("long"))), ("twice", lambda n: F.sum((n == 2).cast("long"))), ("total", F.sum), ("kinds", lambda n: F.sum((n > 0).cast("long"))),
+        )]
+        return tables[order].agg(F.lit(order).alias("order"), *sums)
+
+    facts = told(1)
+    for order in range(2, ORDER + 1):
+        facts = facts.union(told(order))
+    of = {r["order"]: r for r in facts.collect()}
+    discount = {o: [discount_of(r[f"once{k}"], r[f"twice{k}"]) for k in range(len(langs))] for o, r in of.items()}
+    # Order 1: what is left of the sum is shared evenly by an alphabet twice as large as what was seen.
+    share = [discount[1][k] * of[1][f"kinds{k}"] / of[1][f"total{k}"] / max(256, 2 * of[1][f"kinds{k}"]) for k in range(len(langs))]
+    cut = lambda k, n, order: F.greatest(n - F.lit(discount[order][k]), F.lit(0.0))
+    chance = {1: written(tables[1].select("gram", *_per(langs, lambda k, n: cut(k, n, 1) / of[1][f"total{k}"] + F.lit(share[k]))), "chance")}
+    out = []
+    for order in range(2, ORDER + 1):
+        context = F.substring("gram", 1, order - 1)
+        sums = [F.sum(F.col(f"n{k}")).alias(f"t{k}") for k in range(len(langs))]
+        left = [
+            F.when(F.sum(F.col(f"n{k}")) > 0, F.lit(discount[order][k]) * F.sum((F.col(f"n{k}") > 0).cast("long")) / F.sum(F.col(f"n{k}"))).otherwise(F.lit(1.0)).alias(f"l{k}")
+            for k in range(len(langs))
+        ]
+        contexts = written(tables[order].groupBy(context.alias("context")).agg(*sums, *left), "contexts")
+        out.append(contexts.select(F.lit(-(order - 1)).alias("order"), F.col("context").alias("gram"), F.array(*[F.log(f"l{k}").cast("float") for k in range(len(langs))]).alias("logs")))
+        lower = chance[order - 1].select(F.col("gram").alias("suffix"), *[F.col(f"n{k}").alias(f"p{k}") for k in range(len(langs))])
+        both = tables[order].withColumn("context", context).withColumn("suffix", F.substring("gram", 2, order - 1)).join(contexts, "context").join(lower, "suffix")
+        now = both.select("gram", *_per(langs, lambda k, n: F.when(F.col(f"t{k}") > 0, cut(k, n, order) / F.col(f"t{k}")).otherwise(F.lit(0.0)) + F.col(f"l{k}") * F.col(f"p{k}")))
+        chance[order] = written(now, "chance")
+    for order, table in chance.items():
+        out.append(table.select(F.lit(order).alias("order"), "gram", F.array(*[F.log(f"n{k}").cast("float") for k in range(len(langs))]).alias("logs")))
+    rows = out[0]
+    for more in out[1:]:
+        rows = rows.union(more)
+
+    def hashed(cols):
+        at = {}
+        for i, o in enumerate(cols["order"]):
+            at.setdefault(o, []).append(i)
+        for o, places in at.items():
+            n = abs(o)
+            codes = np.frombuffer("".join([cols["gram"][i] for i in places]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+            hashes = _hash_at(codes, np.arange(n - 1, len(codes), n), n).view(np.int64)
+            yield {"order": [o] * len(places), "hash": hashes.tolist(), "logs": [cols["logs"][i] for i in places]}
+
+    got = map_batches(rows, hashed, "order int, hash long, logs array<float>").toArrow().combine_chunks()
+    orders, hashes = got["order"].to_numpy(), got["hash"].to_numpy().view(np.uint64)
+    logs = got["logs"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(langs))
+
+    def array(order: int) -> tuple[np.ndarray, np.ndarray]:
+        own = np.flatnonzero(orders == order)
+        own = own[np.argsort(hashes[own])]
+        return hashes[own], logs[own]
+
+    return Models(langs, [array(o) for o in range(1, ORDER + 1)], [array(-o) for o in range(1, ORDER)], np.log(share))
+
+
 def build(counts: dict[str, dict[str, int]]) -> Models:
-    """Interpolated Kneser-Ney from ORDER-gram counts by language; discounts from the numbers of grams
-    counted once and twice."""
+    """What fitted() gives, from ORDER-gram counts by language in one process."""
     langs = sorted(counts)
     probability: list[dict[str, np.ndarray]] = [{} for _ in range(ORDER)]
     weight: list[dict[str, np.ndarray]] = [{} for _ in range(ORDER)]
@@ -160,7 +249,7 @@ def build(counts: dict[str, dict[str, int]]) -> Models:
         for order, own in enumerate(by_order, 1):
             once = sum(1 for n in own.values() if n == 1)
             twice = sum(1 for n in own.values() if n == 2)
-            discount = min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
+            discount = discount_of(once, twice)
             total, kinds = Counter(), Counter()
             for g, n in own.items():
                 total[g[:-1]] += n
@@ -229,6 +318,13 @@ class Scorer:
         """Cost by language and, last, the characters counted."""
         out = np.zeros(self.costs.shape[1])
         words = words_of(text)
+        if max(map(len, words), default=0) >= LONG:
+            long = [w for w in words if len(w) >= LONG]
+            words = [w for w in words if len(w) < LONG]
+            for w in long:
+                parts = marked(w)
+                for at in range(0, len(parts), 1_000):
+                    out += self.models.costs_of(parts[at : at + 1_000]).sum(axis=0)
         for at in range(0, len(words), 50_000):
             block = words[at : at + 50_000]
             try:
@@ -255,16 +351,9 @@ def softmax(costs: np.ndarray, temper: float) -> np.ndarray:
     return e / e.sum()
 
 
-_scorers: dict[int, Scorer] = {}
-
-
 def _scorer(shared) -> Scorer:
     """One scorer a worker, for the model used last; a worker keeps a broadcast value between tasks."""
-    models = shared.value
-    if id(models) not in _scorers or _scorers[id(models)].models is not models:
-        _scorers.clear()
-        _scorers[id(models)] = Scorer(models)
-    return _scorers[id(models)]
+    return held(("language",), lambda: Scorer(shared.value), shared.value)
 
 
 def train(docs: DataFrame, rows: Column) -> Models:
@@ -273,23 +362,21 @@ def train(docs: DataFrame, rows: Column) -> Models:
     known = docs.where(rows & F.col("lang").isNotNull() & F.col("text").isNotNull())
     part = max(10, known.count() // CALIBRATION_ROWS)
     chosen = F.pmod(F.xxhash64("doc_id"), F.lit(part)) == 0
-    counts: dict[str, dict[str, int]] = {}
-    table = gram_counts(known.where(~chosen)).groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
-    for batch in table.to_batches():
-        for lang, gram, n in zip(*(batch[c].to_pylist() for c in ("lang", "gram", "n")), strict=True):
-            counts.setdefault(lang, {})[gram] = n
-    models = build(counts)
+    # A language of which all rows are chosen is counted all the same.
+    rare = [r["lang"] for r in known.groupBy("lang").agg(F.min(chosen.cast("int")).alias("all")).where("all = 1").collect()]
+    sampled = chosen & ~F.col("lang").isin(rare) if rare else chosen
+    models = fitted(gram_counts(known.where(~sampled)))
     if not models.langs:
         return models
-    sample = known.where(chosen)
     shared = spark.sparkContext.broadcast(models)
 
     def batch(cols):
         scorer = _scorer(shared)
-        kept = [(lang, scorer.total(t)) for lang, t in zip(cols["lang"], cols["text"], strict=True) if _LETTER.search(t)]
+        kept = [(lang, scorer.total(t)) for lang, t in zip(cols["lang"], cols["text"], strict=True) if lang in models_of and _LETTER.search(t)]
         yield {"lang": [k[0] for k in kept], "costs": [k[1].tolist() for k in kept]}
 
-    seen = map_batches(sample.select("lang", "text"), batch, "lang string, costs array<double>").toArrow().to_pydict()
+    models_of = set(models.langs)
+    seen = map_batches(known.where(sampled).select("lang", "text"), batch, "lang string, costs array<double>").toArrow().to_pydict()
     if seen["lang"]:
         costs = np.array(seen["costs"])
         own = np.array([models.langs.index(x) for x in seen["lang"]])

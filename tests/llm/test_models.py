@@ -1,6 +1,7 @@
 """Language, quality, toxicity and nearest neighbours: parts against plain versions, held-out accuracy, edge cases."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -142,6 +143,60 @@ def test_language_edges(spark, make):
     assert language.identify(make([]), m).count() == 0
 
 
+def plain_kneser_ney(words, order=5):
+    """Probability of a character after others by interpolated Kneser-Ney, by definition: from the words of one language."""
+    runs = [language.MARK * (order - 1) + w + language.MARK for w in words]
+    grams = Counter(r[i : i + order] for r in runs for i in range(len(r) - order + 1))
+    counts = {order: grams}
+    for n in range(order - 1, 0, -1):
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
+    discounts = {}
+    for n, own in counts.items():
+        once, twice = (sum(x == k for x in own.values()) for k in (1, 2))
+        discounts[n] = min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
+
+    def chance(gram):
+        n = len(gram)
+        after = {g: x for g, x in counts[n].items() if g[:-1] == gram[:-1]}
+        total = sum(after.values())
+        if n == 1:
+            return max(0.0, after.get(gram, 0) - discounts[1]) / total + discounts[1] * len(after) / total / max(256, 2 * len(after))
+        if not total:
+            return chance(gram[1:])
+        return max(0.0, after.get(gram, 0) - discounts[n]) / total + discounts[n] * len(after) / total * chance(gram[1:])
+
+    return chance
+
+
+def test_language_model_against_its_definition(spark):
+    rng = random.Random(3)
+    own = {lang: ["".join(rng.choice(letters) for _ in range(rng.randint(1, 7))) for _ in range(120)] for lang, letters in (("x", "abcd"), ("y", "cdefé"), ("z", "a"))}
+    own["x"].append("long" * 40)
+    rows = [(lang, " ".join(words[i : i + 10])) for lang, words in own.items() for i in range(0, len(words), 10)]
+    m = language.fitted(language.gram_counts(spark.createDataFrame(rows, "lang string, text string")))
+    assert m.langs == ["x", "y", "z"]
+    scorer = language.Scorer(m)
+    for w in ("abba", "é", "zq", "cdefc", "long" * 33, "x" * 64, "y" * 63):
+        r = language.MARK * 4 + w + language.MARK
+        for k, lang in enumerate(m.langs):
+            chance = plain_kneser_ney(own[lang])
+            assert scorer.total(w)[k] == pytest.approx(-sum(np.log(chance(r[i - 4 : i + 1])) for i in range(4, len(r))), rel=1e-6)
+        assert scorer.total(w)[-1] == len(w) + 1
+
+
+def test_rare_language_and_texts_without_letters(spark, make):
+    """A language of which every training row is a calibration row is learned; numerals are no letters."""
+    rows = [(i, "the and of with this that " * 3) for i in range(100)]
+    docs = make(rows, ["en"] * 100)
+    rare = docs.select("doc_id").where(F.pmod(F.xxhash64("doc_id"), F.lit(10)) == 0).first()[0]
+    rows[rare] = (rare, "õun järv öö jää")
+    rows += [(200, "²½ ①"), (201, "²½ ① ö"), (202, "öö jää")]
+    docs = make(rows, [*("et" if i == rare else "en" for i in range(100)), None, None, None])
+    m = language.train(docs, F.lit(True))
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(docs, m).collect()}
+    assert m.langs == ["en", "et"] and got[200] == "und" and got[201] != "und" and got[202] == "et" and got[rare] == "et"
+
+
 def test_held_out_rows(spark):
     import zlib
 
@@ -170,6 +225,29 @@ def test_automaton_against_distances():
         assert near is None or distance(w, near) <= 1
 
 
+def test_automaton_of_more_edits():
+    rng = random.Random(7)
+    terms = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(4, 9))) for _ in range(25)})
+    long = [t for t in terms if len(t) >= toxicity.FUZZY]
+    one = toxicity.Lexicon(terms, [])
+    for edits in (0, 1, 2, 3):
+        lexicon = toxicity.Lexicon(terms, [], edits)
+        for _ in range(600):
+            w = "".join(rng.choice("abcd") for _ in range(rng.randint(2, 11)))
+            near = lexicon._within(w)
+            assert (near is not None) == any(distance(w, t) <= edits for t in long)
+            assert near is None or distance(w, near) <= edits
+            assert edits != 1 or (near is None) == (one.near(w) is None)
+
+
+def test_terms_with_digits_hyphens_and_unparted_scripts(spark):
+    rows = [("w3rd-one x 笨蛋东西", 1), ("garden 花园", 0)] * 10
+    words, _ = toxicity.choose(toxicity.term_counts(spark.createDataFrame(rows, "text string, label int")), 0.5)
+    assert {"w3rd-one", "笨蛋", "蛋东"} <= set(words) and "花园" not in words
+    m = toxicity.Matcher(toxicity.Model(words, []))
+    assert [t for _, _, t, _ in m.hits(toxicity.words_of("A W3RD-0NE 你是笨蛋"))] == ["w3rd-one", "笨蛋"]
+
+
 def test_lexicon_kinds_and_context():
     m = toxicity.Matcher(toxicity.Model(["idiot", "scum"], ["grum"]))
     kinds = lambda text: [(k, q) for _, k, _, q in m.hits(text.lower().split())]
