@@ -3,14 +3,16 @@
 1. Documents with equal sets form a class; its least id stands for it.
 2. HASHES minima a class give BANDS band keys of ROWS minima each, and BITS low bits of every minimum,
    packed. A pair at the least linked similarity shares no band with a probability of 4e-7.
-3. Classes that meet in a band are joined to the band's least id; the components of these unproven
-   edges are families. Every candidate pair lies in one family, and a class in one family only.
-4. Whole sets of the classes in families are made again from the texts. A family is dealt to blocks
-   of bounded size and a task takes two blocks: it estimates all similarities by bit counts, corrected
-   for chance collisions, and confirms those not already linked that come within MARGIN of the
-   threshold: one by one where they are few, else by products of membership matrices over the
-   shingles that two sets share. A task reports a spanning forest of its links, not its pairs.
-5. The components of the forests are the groups.
+3. Classes that meet in a band are candidates where their similarity, estimated by bit counts and corrected for chance
+   collisions, comes within MARGIN of the threshold. Each is compared with the least id of its band; where
+   some in a band are not near that one, all in the band are compared, in blocks. Families are the
+   components of these near pairs, so classes that only met by common phrases are in none together.
+4. Whole sets of the classes in families are made again from the texts. Each is compared with its family's least id.
+   Those not linked with it, and they alone, are compared with the rest: they are dealt to blocks
+   of bounded size, a task takes two blocks and confirms candidates that are not already linked: one by one where they
+   are few, else by products of membership matrices over the shingles that two sets share. A task
+   reports a spanning forest of its links, not its pairs.
+5. The components of the proven links are the groups.
 
 Defined results: a null, empty or wordless text has an empty set and is linked with nothing; equal
 texts are linked; rows that share a doc_id count as one document; a row without doc_id takes no part
@@ -27,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lychgate.llm.common import docs_of, likely, map_batches, parted, to_arrow, written
+from lychgate.llm.common import docs_of, forget, likely, map_batches, parted, small_batches, to_arrow, written
 from lychgate.llm.graph import components
 from lychgate.llm.shingles import common, set_key, shingle_set
 
@@ -125,9 +127,16 @@ def _products(sets: list[np.ndarray], rows: list[int], cols: list[int]) -> np.nd
     return out.astype(np.int64)
 
 
-def link_sets(sets: list[np.ndarray], packed: np.ndarray, left: list[int], right: list[int], percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links between a set in left and one in right; all of them are proven."""
+def link_sets(
+    sets: list[np.ndarray], packed: np.ndarray, left: list[int], right: list[int], percent: int, done: np.ndarray | None = None
+) -> list[tuple[int, int]]:
+    """A spanning forest of the links between a set in left and one in right; all of them are proven. Sets that are
+    done are linked with each other already."""
     forest = Forest(len(sets))
+    done = np.zeros(len(sets), bool) if done is None else done
+    linked_already = np.flatnonzero(done)
+    for i in linked_already[1:].tolist():
+        forest.up[i] = int(linked_already[0])
     sizes = np.array([len(s) for s in sets])
     same = left == right
     for at in range(0, len(left), 512):
@@ -136,6 +145,7 @@ def link_sets(sets: list[np.ndarray], packed: np.ndarray, left: list[int], right
         near = estimates(packed[tile], packed[others]) >= percent / 100 - MARGIN
         a, b = sizes[tile][:, None], sizes[others][None, :]
         near &= 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
+        near &= ~(done[tile][:, None] & done[others][None, :])
         if same:
             near &= np.arange(len(others))[None, :] > np.arange(len(tile))[:, None]
         if np.count_nonzero(near) > max(64, near.size // 50):
@@ -150,28 +160,91 @@ def link_sets(sets: list[np.ndarray], packed: np.ndarray, left: list[int], right
     return forest.edges
 
 
+def near_forest(packed: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of packed signatures whose estimated similarity is `least` or more: from one
+    signature to the next, those not yet reached are compared with those just reached."""
+    left, edges = np.arange(1, len(packed)), []
+    reached = np.zeros(min(1, len(packed)), np.int64)
+    while len(left):
+        found = []
+        for at in range(0, len(reached), 512):
+            part = reached[at : at + 512]
+            near = estimates(packed[part], packed[left]) >= least
+            hit = near.any(axis=0)
+            edges += zip(part[near[:, hit].argmax(axis=0)].tolist(), left[hit].tolist(), strict=True)
+            found.append(left[hit])
+            left = left[~hit]
+        reached = np.concatenate(found)
+        if not len(reached):
+            reached, left = left[:1], left[1:]
+    return edges
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_shingles, key of its set, band keys (none for an empty set)."""
+    """Per row: doc_id, n_shingles, key of its set, band keys and packed minima (none for an empty set)."""
 
     def batch(cols):
-        sizes, keys, bands = [], [], []
-        known: dict[bytes, list[int]] = {}
+        forget()
+        sizes, keys, bands, packed = [], [], [], []
+        known: dict[bytes, tuple[list[int], list[int]]] = {}
         for t in cols["text"]:
             s = shingle_set(t)
             sizes.append(len(s))
             keys.append(k := set_key(s) if len(s) else None)
             if k is not None and k not in known:
-                known[k] = band_keys(minima(s)).tolist()
-            bands.append(known.get(k, []))
-        yield {"doc_id": cols["doc_id"], "n_shingles": sizes, "key": keys, "bands": bands}
+                m = minima(s)
+                known[k] = band_keys(m).tolist(), pack_bits(m).view(np.int64).tolist()
+            own = known.get(k, ([], []))
+            bands.append(own[0])
+            packed.append(own[1])
+        yield {"doc_id": cols["doc_id"], "n_shingles": sizes, "key": keys, "bands": bands, "packed": packed}
+
+    schema = "doc_id long, n_shingles long, key binary, bands array<long>, packed array<long>"
+    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), batch, schema)
+
+
+def _estimate(a: str, b: str) -> Column:
+    """estimates() of two columns of packed minima."""
+    unequal = F.lit(0)
+    for w in range(HASHES * BITS // 64):
+        x = F.col(a)[w].bitwiseXOR(F.col(b)[w])
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        unequal = unequal + F.bit_count(x.bitwiseAND(F.lit(int(_NIBBLES))))
+    chance = 2.0**-BITS
+    return (1 - unequal / HASHES - chance) / (1 - chance)
 
-    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), batch, "doc_id long, n_shingles long, key binary, bands array<long>")
+
+def near_pairs(classes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of classes with a band in common and an estimate within MARGIN of the threshold, as many as
+    connect all that such pairs connect."""
+    least = percent / 100 - MARGIN
+    met = classes.select("node", F.explode("bands").alias("band"), "packed")
+    hubs = met.groupBy("band").agg(F.min(F.struct("node", "packed")).alias("hub"), F.max("node").alias("last")).where("hub.node < last")
+    hubs = written(hubs.select("band", F.col("hub.node").alias("hub"), F.col("hub.packed").alias("hub_packed")), "hubs")
+    star = met.join(hubs, "band").where("node > hub").select("band", "node", "hub", (_estimate("packed", "hub_packed") >= least).alias("near"))
+    star = written(star, "star")
+    # Bands in which some are not near the least id, but may be near each other.
+    mixed = written(star.groupBy("band").agg(F.min("near").alias("all"), F.count("*").alias("n")).where("not all and n > 1").select("band"), "mixed")
+    members = met.join(mixed, "band").select(F.col("band").alias("family"), "node", F.lit(1).cast("long").alias("n"), F.lit(True).alias("open"), "packed")
+    kinds = to_arrow(StructType.fromDDL("a long, b long"))
+
+    def link(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("family", "ascending"), ("node", "ascending")])
+        node = table["node"].to_numpy()
+        bits = table["packed"].combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(node), -1)
+        edges = [(first + x, first + y) for first, end in _runs(table["family"].to_numpy()) for x, y in near_forest(bits[first:end], least)]
+        return pa.table({"a": node[[e[0] for e in edges]], "b": node[[e[1] for e in edges]]} if edges else {"a": [], "b": []}, schema=kinds)
+
+    more = in_tasks(written(members, "mixed"), 200_000).groupBy("task", "i", "j").applyInArrow(link, "a long, b long")
+    return star.where("near").select(F.col("node").alias("a"), F.col("hub").alias("b")).union(more).distinct()
 
 
 def family_sets(docs: DataFrame, families: DataFrame) -> DataFrame:
     """Whole sets and packed minima of the classes in families (node, root)."""
 
     def batch(cols):
+        forget()
         sets = [shingle_set(t) for t in cols["text"]]
         packed = [pack_bits(minima(s)).tobytes() if len(s) else b"" for s in sets]
         yield {
@@ -184,79 +257,97 @@ def family_sets(docs: DataFrame, families: DataFrame) -> DataFrame:
     return map_batches(rows, batch, "family long, node long, n long, elements binary, packed binary").where("n > 0")
 
 
+def starred(members: DataFrame, percent: int) -> DataFrame:
+    """members, but for the least of a family, with open: whether it is not linked with that one."""
+    # Several texts of one id: the smallest set stands for the family.
+    hubs = members.where("node = family").groupBy("family").agg(F.min("elements").alias("hub"))
+    schema = "family long, node long, n long, elements binary, packed binary, open boolean"
+    kinds = to_arrow(StructType.fromDDL(schema))
+
+    def run(batches):
+        for batch in batches:
+            pairs = zip(batch["elements"], batch["hub"], strict=True)
+            sets = [(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) for x, y in pairs]
+            far = [not linked(common(x, y), len(x), len(y), percent) for x, y in sets]
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in kinds.names[:-1]), pa.array(far, pa.bool_())], schema=kinds)
+
+    return small_batches(members.join(written(hubs, "least"), "family")).mapInArrow(run, schema)
+
+
+def _runs(x: np.ndarray) -> list[tuple[int, int]]:
+    """Where equal neighbours begin and end."""
+    if not len(x):
+        return []
+    starts = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])).tolist()
+    return [*zip(starts, [*starts[1:], len(x)], strict=True)]
+
+
+def in_tasks(members: DataFrame, weight: int) -> DataFrame:
+    """members (family, node, n, open, ...) with task, i, j and block: every two members of a family one of which at
+    least is open meet in a task (task, i, j). A task has two blocks of `weight` in n and BLOCK_SETS members at most, about,
+    or small families together."""
+    blocks_of = lambda n, sets: F.ceil(F.greatest(F.col(n) / weight, F.col(sets) / BLOCK_SETS)).cast("int")
+    sums = [F.sum(F.when(F.col("open") == F.lit(o), x)).alias(name) for o in (True, False) for x, name in ((F.col("n"), f"n_{o}"), (F.lit(1), f"sets_{o}"))]
+    sized = members.groupBy("family").agg(F.sum("n").alias("n"), F.count("*").alias("sets"), *sums).na.fill(0).where("sets_True > 0")
+    sized = sized.select("family", "n", (blocks_of("n", "sets") <= 1).alias("small"), blocks_of("n_True", "sets_True").alias("opens"), blocks_of("n_False", "sets_False").alias("rest"))
+    sized = written(sized, "sized")
+    bins = max(1, -(-(sized.where("small").agg(F.sum("n").alias("t")).first()["t"] or 0) // weight))
+    part = lambda n: F.pmod(F.xxhash64("node"), F.greatest(F.lit(1), F.col(n))).cast("int")
+    block = F.when(F.col("small"), F.lit(0)).when(F.col("open"), part("opens")).otherwise(F.col("opens") + part("rest"))
+    # An open block meets every block, another one the open ones.
+    last = F.when(F.col("small"), F.lit(0)).when(F.col("open"), F.col("opens") + F.col("rest") - 1).otherwise(F.col("opens") - 1)
+    pairs = F.transform(F.sequence(F.lit(0), last), lambda j: F.struct(F.least(j, "block").alias("i"), F.greatest(j, "block").alias("j")))
+    task = F.when(F.col("small"), -1 - F.pmod(F.xxhash64("family"), F.lit(bins))).otherwise(F.col("family"))
+    dealt = members.join(sized.drop("n"), "family").withColumn("block", block).withColumn("pair", F.explode(pairs))
+    return dealt.withColumn("task", task).select("task", "pair.i", "pair.j", "block", *members.columns)
+
+
 def confirmed_links(members: DataFrame, percent: int) -> DataFrame:
-    """(a, b): a spanning forest of the proven links in every family."""
-    by_family = members.groupBy("family").agg(F.sum("n").alias("total"), F.count("*").alias("sets"))
-    blocks = F.ceil(F.greatest(F.col("total") / BLOCK_SHINGLES, F.col("sets") / BLOCK_SETS)).cast("int")
-    sized = by_family.withColumn("blocks", blocks)
-    small = sized.where("blocks <= 1").agg(F.sum("total").alias("t")).first()["t"] or 0
-    bins = max(1, -(-small // BLOCK_SHINGLES))
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    pairs = F.when(F.col("blocks") > 1, F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(j, "block").alias("i"), F.greatest(j, "block").alias("j"))
-    )).otherwise(F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"))))
-    # Small families share tasks by hash; a task of a large one has two of its blocks.
-    task = F.when(F.col("blocks") > 1, F.col("family")).otherwise(-1 - F.pmod(F.xxhash64("family"), F.lit(bins)))
-    dealt = (
-        members.join(sized.drop("total", "sets"), "family")
-        .withColumn("block", block)
-        .withColumn("pair", F.explode(pairs))
-        .select(task.alias("task"), "pair.i", "pair.j", "block", "family", "node", "elements", "packed")
-    )
+    """(a, b): a spanning forest of the proven links in every family but those with its least id; of starred()."""
     schema = "a long, b long"
     kinds = to_arrow(StructType.fromDDL(schema))
 
     def link(table: pa.Table) -> pa.Table:
         table = table.sort_by([("family", "ascending"), ("node", "ascending")])
         family, node, blocks_of = (table[c].to_numpy() for c in ("family", "node", "block"))
+        done = ~table["open"].to_numpy()
         elements, packed = table["elements"], table["packed"]
         edges: list[tuple[int, int]] = []
-        starts = np.flatnonzero(np.concatenate([[True], family[1:] != family[:-1]])) if len(family) else []
-        for first, end in zip(starts, [*starts[1:], len(family)], strict=True):
+        for first, end in _runs(family):
             sets = [np.frombuffer(x.as_py(), np.uint64) for x in elements[first:end]]
             bits = np.frombuffer(b"".join(x.as_py() for x in packed[first:end]), np.uint64).reshape(end - first, -1)
             of = blocks_of[first:end]
-            lo, hi = int(of.min()), int(of.max())
-            if int(table["i"][first].as_py()) == int(table["j"][first].as_py()):
-                left = right = list(range(end - first))
-            else:
-                left, right = (np.flatnonzero(of == b).tolist() for b in (lo, hi))
-                if lo == hi:
-                    continue  # the other block is empty
-            edges += [(int(node[first + x]), int(node[first + y])) for x, y in link_sets(sets, bits, left, right, percent)]
+            i, j = (int(table[c][first].as_py()) for c in "ij")
+            left, right = ([*range(end - first)],) * 2 if i == j else (np.flatnonzero(of == b).tolist() for b in (i, j))
+            edges += [(int(node[first + x]), int(node[first + y])) for x, y in link_sets(sets, bits, left, right, percent, done[first:end])]
         return pa.table({"a": [e[0] for e in edges], "b": [e[1] for e in edges]}, schema=kinds)
 
-    return dealt.groupBy("task", "i", "j").applyInArrow(link, schema)
+    return in_tasks(members, BLOCK_SHINGLES).groupBy("task", "i", "j").applyInArrow(link, schema)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """Per row of docs: doc_id, n_shingles, component_id, kept."""
     rows = written(signatures(docs), "signatures")
-    classes = (
-        rows.where("n_shingles > 0 and doc_id is not null")
-        .groupBy("key")
-        .agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
-    )
+    known = rows.where("n_shingles > 0 and doc_id is not null")
+    classes = known.groupBy("key").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("packed").alias("packed"))
     classes = written(classes, "classes")
-    met = classes.select("node", F.explode("bands").alias("band"))
-    hubs = met.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").drop("last")
-    families = components(met.join(hubs, "band").where("node > hub").select(F.col("node").alias("a"), F.col("hub").alias("b")))
-    links = confirmed_links(written(family_sets(docs, families), "sets"), percent)
+    families = components(near_pairs(classes, percent))
+    members = written(starred(written(family_sets(docs, families), "sets"), percent), "starred")
+    star = members.where("not open and node != family").select(F.col("node").alias("a"), F.col("family").alias("b"))
+    links = star.union(confirmed_links(members, percent))
     # Rows of one doc_id with different texts are one document.
-    ids = rows.where("n_shingles > 0 and doc_id is not null").select("key", "doc_id").join(classes.select("key", "node"), "key")
+    ids = known.select("key", "doc_id").join(classes.select("key", "node"), "key")
     again = ids.where("doc_id != node").groupBy("doc_id").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
     twice = ids.join(classes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").where("doc_id != node")
     more = again.where("lo < hi").select(F.col("lo").alias("a"), F.col("hi").alias("b"))
     more = more.union(twice.select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
     roots = components(links.union(more))
+    # Rows without a set or an id have no class; they need no join, and would all meet in one task.
+    told = known.select("doc_id", "n_shingles", "key").join(classes.select("key", "node"), "key").select("doc_id", "n_shingles", "node")
+    other = rows.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("node"), F.lit(None).cast("long").alias("root"))
     return (
-        rows.select("doc_id", "n_shingles", "key")
-        .join(classes.select("key", "node"), "key", "left")
-        .join(roots, "node", "left")
-        .select(
-            "doc_id", "n_shingles",
-            _component().alias("component_id"), F.coalesce(F.col("doc_id") == _component(), F.lit(False)).alias("kept"),
-        )
+        written(told, "told").join(roots, "node", "left").select("doc_id", "n_shingles", "node", "root").union(other)
+        .select("doc_id", "n_shingles", _component().alias("component_id"), F.coalesce(F.col("doc_id") == _component(), F.lit(False)).alias("kept"))
     )
 
 

@@ -122,3 +122,43 @@ def test_words_follow_the_pattern(text):
 
     pattern = re.findall(rb"[^\x20\x09-\x0D]+", text.encode())
     assert shingles.words_of(text) == [w.lower() for w in pattern]
+
+
+def test_near_forest_connects_what_pairs_connect():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**63, (6, 5), dtype=np.uint64)
+    packed = base[rng.integers(0, 6, 300)].copy()
+    for row in packed:
+        row[rng.integers(0, 5)] ^= rng.integers(0, 2**40, dtype=np.uint64)
+    for least in (0.5, 0.8, 0.95):
+        near = near_dup.estimates(packed, packed) >= least
+        forest, whole = near_dup.Forest(300), near_dup.Forest(300)
+        for x, y in near_dup.near_forest(packed, least):
+            assert near[x, y]
+            forest.join(x, y)
+        for x, y in np.argwhere(near):
+            whole.join(int(x), int(y))
+        assert len(forest.edges) == len(whole.edges) and all(forest.root(x) == forest.root(y) for x, y in np.argwhere(near))
+    assert near_dup.near_forest(packed[:0], 0.5) == [] == near_dup.near_forest(packed[:1], 0.5)
+
+
+def test_common_phrases_make_no_families(spark, make):
+    """Documents that share boilerplate, and so bands, but are not near each other are never compared on whole sets."""
+    rng = random.Random(12)
+    phrase = [f"b{i}" for i in range(60)]
+    rows = [(i, " ".join([*phrase, *(f"{i}w{rng.randrange(10**6)}" for _ in range(60))])) for i in range(300)]
+    rows += [(1000 + i, t) for i, t in enumerate(near_copies(rng, [f"c{i}" for i in range(90)], 12, 2))]
+    docs = make(rows)
+    classes = near_dup.signatures(docs).selectExpr("doc_id as node", "bands", "packed")
+    met = classes.selectExpr("node", "explode(bands) as band").groupBy("band").count().where("count > 1 and count < 13").count()
+    pairs = {(r["a"], r["b"]) for r in near_dup.near_pairs(classes, 85).collect()}
+    assert met > 0 and pairs and all(a >= 1000 and b >= 1000 for a, b in pairs)
+    check(docs, rows)
+
+
+def test_many_rows_without_words(spark):
+    docs = spark.range(10_000).selectExpr("id as doc_id", "if(id % 3 = 0, null, if(id % 3 = 1, '', ' ')) as text")
+    got = near_dup.near_duplicates(docs.union(spark.createDataFrame([(20_000, "a b"), (20_001, "A b")], "doc_id long, text string")))
+    rows = {r["doc_id"]: r for r in got.collect()}
+    assert len(rows) == 10_002 and rows[20_001]["component_id"] == 20_000
+    assert all(rows[i]["component_id"] == i and rows[i]["kept"] and rows[i]["n_shingles"] == 0 for i in range(10_000))
