@@ -26,11 +26,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lychgate.llm.common import BEYOND_LATIN, CACHE_BYTES, TwoGenerations, docs_of, held, map_batches
+from lychgate.llm.common import BEYOND_LATIN, TwoGenerations, docs_of, held, map_batches
 
 #: Stands for the end of a word inside automaton keys; a private-use character.
 _END = "\ue000"
 _BASE = -1
+#: Bytes of words and pieces that a worker keeps, about; new ones cost many steps each.
+WORD_BYTES = 256 << 20
 
 
 class BacktrackingEncoder:
@@ -181,7 +183,7 @@ class WordBpe:
     pattern, byte characters, merges with an end-of-word mark; without a decoder, decoding joins
     token strings by one space."""
 
-    def __init__(self, file: str, cache: int = CACHE_BYTES):
+    def __init__(self, file: str, cache: int = WORD_BYTES):
         from tokenizers import Tokenizer
 
         with open(file, encoding="utf-8") as f:

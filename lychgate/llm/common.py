@@ -21,7 +21,7 @@ from pyspark.sql.types import StructType
 #: that is longer alone makes a batch of its own.
 BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 #: Bytes that a worker's caches hold together, about, and the longest key that is kept.
-CACHE_BYTES, CACHE_KEY = 48 << 20, 256
+CACHE_BYTES, CACHE_KEY = 96 << 20, 256
 
 _own_dirs: dict[str, str] = {}
 

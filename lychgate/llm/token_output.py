@@ -176,13 +176,18 @@ def as_matrix(rows: list, capacity: int = CAPACITY) -> np.ndarray:
 
 def digest_rows(rows: DataFrame) -> DataFrame:
     """Rows with checksums in place of the binary columns."""
+    return with_digests(rows).drop("ids", "positions")
+
+
+def with_digests(rows: DataFrame) -> DataFrame:
+    """Rows with checksums of the binary columns."""
     return rows.select(
         "row_id", "n_tokens", F.size("doc_ids").cast("long").alias("n_segments"), "doc_ids", "starts", "cu_seqlens",
-        F.crc32("ids").alias("ids_crc32"), F.crc32("positions").alias("positions_crc32"),
+        "ids", "positions", F.crc32("ids").alias("ids_crc32"), F.crc32("positions").alias("positions_crc32"),
     )
 
 
 def op9_token_output(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return digest_rows(token_rows(docs_of(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json")))
+    return with_digests(token_rows(docs_of(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json")))

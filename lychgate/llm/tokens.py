@@ -78,7 +78,7 @@ class ByteBpe:
             new[p] = np.array(e.ids, "<u4").tobytes()
         kept = {p: x for p, x in new.items() if len(p) <= CACHE_KEY}
         known.update(kept)
-        self.used += sum(200 + sys.getsizeof(p) + len(x) for p, x in kept.items())
+        self.used += sum(130 + sys.getsizeof(p) + len(x) for p, x in kept.items())
         return new
 
     def encode(self, text: str) -> bytes:

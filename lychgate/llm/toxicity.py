@@ -7,9 +7,9 @@ words by spaces are read as pairs of neighbouring characters. The words that a b
 misspelt ones are told. All such terms are kept; the bound of the sample bounds them.
 
 Match. A word, in lower case without marks at its ends, is a hit if it is a term, if a beginning
-begins it, or if it is within EDITS edits of a term of FUZZY letters or more: the automaton's sets of
-positions, one a number of edits so far, are bit masks that are carried down the trie, and a branch ends
-where all are empty. Digits and signs that stand for letters are read as these. Results are cached by
+begins it, or if it is within EDITS edits of a term of FUZZY letters or more: the automaton's states, a place in the
+word and the number of edits so far, are carried down the trie, and a branch ends where no step is left to a state or
+the letter that must follow is missing. Digits and signs that stand for letters are read as these. Results are cached by
 word in two generations of bounded bytes.
 
 Context. A hit is quoted if a quotation mark opens in the WINDOW words before it and one closes in
@@ -90,7 +90,7 @@ class Lexicon:
                 for c in t:
                     node = node.setdefault(c, {})
                 node[kind] = t
-        self.longest = max(map(len, self.words), default=0)
+        self.lengths = {len(t) for t in self.words if len(t) >= FUZZY}
 
     def find(self, word: str) -> tuple[int, str] | None:
         node = self.root
@@ -103,66 +103,38 @@ class Lexicon:
         else:
             if EXACT in node:
                 return EXACT, node[EXACT]
-        if self.edits and FUZZY - self.edits <= len(word) <= self.longest + self.edits and (near := self.near(word)):
+        if self.edits and not self.lengths.isdisjoint(range(len(word) - self.edits, len(word) + self.edits + 1)) and (near := self.near(word)):
             return NEAR, near
         return None
 
     def near(self, word: str) -> str | None:
         """The first term of FUZZY letters or more within the edits of word."""
-        return self._within_one(word) if self.edits == 1 else self._within(word)
-
-    def _within(self, word: str) -> str | None:
-        places: dict[str, int] = {}
-        for i, c in enumerate(word):
-            places[c] = places.get(c, 0) | 1 << i
-        end, edits = 1 << len(word), self.edits
-        stack = [(self.root, [(2 << e) - 1 for e in range(edits + 1)])]  # with e edits the first e letters may be left out
+        n, edits = len(word), self.edits
+        stack = [(self.root, 0, 0)]
         while stack:
-            node, states = stack.pop()
-            if states[edits] & end and (t := node.get(EXACT)) and len(t) >= FUZZY:
+            node, i, e = stack.pop()
+            if e == edits:  # the rest has to match letter for letter
+                while i < n and (node := node.get(word[i])) is not None:
+                    i += 1
+                if node is not None and (t := node.get(EXACT)) and len(t) >= FUZZY:
+                    return t
+                continue
+            if n - i <= edits - e and (t := node.get(EXACT)) and len(t) >= FUZZY:
                 return t
+            letter, after = word[i : i + 1], word[i + 1 : i + 2]
             for c, child in node.items():
                 if c.__class__ is int:
                     continue
-                at, after = places.get(c, 0), []
-                for e, state in enumerate(states):
-                    # The letter matches; or after an edit: replaces one, is put in, or one of the word is left out.
-                    to = (state & at) << 1
-                    if e:
-                        to |= states[e - 1] << 1 | states[e - 1] | after[e - 1] << 1 | after[e - 1]
-                    after.append(to & (2 * end - 1))
-                if after[edits]:
-                    stack.append((child, after))
+                if c == letter:
+                    stack.append((child, i + 1, e))
+                elif letter and (e + 1 < edits or not after or after in child):
+                    stack.append((child, i + 1, e + 1))  # another letter stands for it
+                if e + 1 < edits or not letter or letter in child:
+                    stack.append((child, i, e + 1))  # it was left out
+            if letter:
+                stack.append((node, i + 1, e + 1))  # the word has one more
         return None
 
-    def _within_one(self, word: str) -> str | None:
-        """What _within() does for one edit, the usual number, in fewer steps."""
-        places: dict[str, int] = {}
-        for i, c in enumerate(word):
-            places[c] = places.get(c, 0) | 1 << i
-        end = 1 << len(word)
-        stack = [(self.root, 1, 2)]  # position 0 without an edit; 1 with one, the first letter left out
-        while stack:
-            node, none, one = stack.pop()
-            if (none | one) & end and (t := node.get(EXACT)) and len(t) >= FUZZY:
-                return t
-            for c, child in node.items():
-                if c.__class__ is int:
-                    continue
-                at = places.get(c, 0)
-                kept = (none & at) << 1
-                # One edit: the letter matches after an edit, replaces one, is put in, or one is left out.
-                edited = (one & at) << 1 | none << 1 | none | kept << 1
-                if kept or edited & (2 * end - 1):
-                    if kept or self._goes_on(child, edited, places, end):
-                        stack.append((child, kept, edited & (2 * end - 1)))
-        return None
-
-    @staticmethod
-    def _goes_on(node: dict, one: int, places: dict[str, int], end: int) -> bool:
-        """Whether, with the edit spent, the node ends a term here or some next letter still matches."""
-        return bool(one & end) or any(c.__class__ is str and places.get(c, 0) & one for c in node)
-
 
 @dataclass
 class Model:
