@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -356,14 +356,17 @@ def _component() -> Column:
 
 
 def one_of_each(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """docs without those near a document of smaller id; rows of an id kept once, rows without id all."""
+    """docs without those near a document of smaller id; of the rows of an id the one with the least text (null last,
+    then by its other columns) is kept, of rows without id all."""
     groups = written(near_duplicates(docs, percent).where("doc_id is not null").select("doc_id", "kept"), "groups")
     # Rows that go, and those of an id that stands more than once; all others pass without a shuffle.
     told = groups.groupBy("doc_id").agg(F.count("*").alias("n"), F.bool_or("kept").alias("kept")).where("n > 1 or not kept")
     told = written(told, "told")
     maybe, rest = parted(docs, told.select("doc_id"), "doc_id")
     gone = told.where("not kept").select("doc_id")
-    return rest.unionByName(maybe.join(gone.hint("merge"), "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(docs.columns))
+    stay = maybe.join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)
+    order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last(), F.to_json(F.struct(*docs.columns)))
+    return rest.unionByName(stay.withColumn("__place", F.row_number().over(order)).where("__place = 1").drop("__place"))
 
 
 def op6_minhash(spark, sf_dir: str) -> DataFrame:

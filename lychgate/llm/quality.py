@@ -10,8 +10,9 @@ Fitted on a sample of TRAIN_ROWS labelled rows at most (labelled.py), by its fea
 the driver.
 
 Defined results: null and empty texts have features of 0 and get the score of these; without
-training rows, or with one label only, every score is that share of ones (0.5 without any); equal texts
-get equal scores; extra columns are not read.
+training rows, or with one label only, every score is that share of ones (0.5 without any); a text of any length is
+counted whole; rows are scored one by one, so a repeated doc_id gives a row each, and equal texts get equal scores; an
+empty table gives an empty one; extra columns are not read.
 """
 
 from __future__ import annotations
