@@ -27,6 +27,7 @@ columns are not read.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,6 +46,8 @@ REJECT_QUANTILE = 0.995
 MARK = "\x02"
 _FLUSH_WORDS = 150_000
 _CACHE_WORDS = 300_000
+#: Words that are looked up together, about.
+_PART_WORDS = 50_000
 _LETTER = regex.compile(r"\p{L}")
 _PLACE = np.random.Generator(np.random.PCG64(5)).integers(1, 2**63, ORDER + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -63,24 +66,35 @@ def held_out(id_col: Column) -> Column:
     return crc_mod(id_col, 4) == 2
 
 
+def count_grams(words: list[tuple[str, int]]) -> tuple[list[str], np.ndarray]:
+    """Distinct ORDER-grams of words with their counts, told apart by their 64-bit hashes."""
+    parts, numbers = [], []
+    for w, n in words:
+        own = marked(w)
+        parts += own
+        numbers += [n] * len(own)
+    text = "".join(parts)
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    sizes = np.array([len(p) for p in parts])
+    lengths = sizes - ORDER + 1
+    place = np.repeat(np.cumsum(sizes) - np.cumsum(lengths), lengths) + np.arange(int(lengths.sum()))
+    _, first, of = np.unique(_hash_at(codes, place, ORDER), return_index=True, return_inverse=True)
+    counts = np.bincount(of, np.repeat(np.array(numbers, np.float64), lengths), len(first)).astype(np.int64)
+    return [text[e - ORDER + 1 : e + 1] for e in place[first].tolist()], counts
+
+
 def gram_counts(docs: DataFrame) -> DataFrame:
     """(lang, gram, n) partial counts of ORDER-grams over all rows of docs (lang, text)."""
     schema = "lang string, gram string, n long"
     kinds = to_arrow(StructType.fromDDL(schema))
 
-    def flush(counts: dict[str, Counter]) -> pa.RecordBatch:
-        langs, grams, numbers = [], [], []
+    def flush(counts: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
         for lang, words in counts.items():
-            own: Counter = Counter()
-            for w, n in words.items():
-                for p in marked(w):
-                    for i in range(len(p) - ORDER + 1):
-                        own[p[i : i + ORDER]] += n
-            langs += [lang] * len(own)
-            grams += own.keys()
-            numbers += own.values()
+            own = [*words.items()]
+            for at in range(0, len(own), _PART_WORDS):
+                grams, numbers = count_grams(own[at : at + _PART_WORDS])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.string()), pa.array(numbers)], schema=kinds)
         counts.clear()
-        return pa.RecordBatch.from_pydict({"lang": langs, "gram": grams, "n": numbers}, schema=kinds)
 
     def run(batches):
         counts: dict[str, Counter] = {}
@@ -90,8 +104,8 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                 for at in range(0, len(words), _FLUSH_WORDS):
                     counts.setdefault(lang, Counter()).update(words[at : at + _FLUSH_WORDS])
                     if sum(map(len, counts.values())) > _FLUSH_WORDS:
-                        yield flush(counts)
-        yield flush(counts)
+                        yield from flush(counts)
+        yield from flush(counts)
 
     return small_batches(docs.select("lang", "text")).mapInArrow(run, schema)
 
@@ -160,22 +174,22 @@ def discount_of(once: int, twice: int) -> float:
     return min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
 
 
-def _per(langs: list[str], what) -> list[Column]:
-    return [what(k, F.col(f"n{k}")).alias(f"n{k}") for k in range(len(langs))]
+def _per(places, what) -> list[Column]:
+    return [what(k, F.col(f"n{k}")).alias(f"n{k}") for k in places]
 
 
-def fitted(partial: DataFrame) -> Models:
+def fitted(partial: DataFrame, langs: list[str] | None = None) -> Models:
     """Models from partial counts (lang, gram, n) of ORDER-grams: interpolated Kneser-Ney, by aggregations and joins on
-    the gram. Where a language has not seen a gram that another has, the same sums give what its lower orders say."""
-    partial = written(partial, "grams")
-    langs = sorted(r["lang"] for r in partial.select("lang").distinct().collect())
+    the gram. Where a language has not seen a gram that another has, the same sums give what its lower orders say.
+    langs: all languages there, if known; one without grams is left out."""
+    langs = sorted(langs if langs is not None else (r["lang"] for r in partial.select("lang").distinct().collect()))
     if not langs:
         return build({})
     own = [F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("n"))), F.lit(0)).alias(f"n{k}") for k, x in enumerate(langs)]
     tables = {ORDER: written(partial.groupBy("gram").agg(*own), "order")}
     for order in range(ORDER - 1, 0, -1):
         below = tables[order + 1].groupBy(F.substring("gram", 2, order).alias("gram"))
-        tables[order] = written(below.agg(*_per(langs, lambda k, n: F.sum((n > 0).cast("long")))), "order")
+        tables[order] = written(below.agg(*_per(range(len(langs)), lambda k, n: F.sum((n > 0).cast("long")))), "order")
 
     def told(order: int) -> DataFrame:
         sums = [f(F.col(f"n{k}")).alias(f"{name}{k}") for k in range(len(langs)) for name, f in (
@@ -187,27 +201,30 @@ def fitted(partial: DataFrame) -> Models:
     for order in range(2, ORDER + 1):
         facts = facts.union(told(order))
     of = {r["order"]: r for r in facts.collect()}
-    discount = {o: [discount_of(r[f"once{k}"], r[f"twice{k}"]) for k in range(len(langs))] for o, r in of.items()}
+    seen = [k for k in range(len(langs)) if of[1][f"total{k}"]]
+    if not seen:
+        return build({})
+    discount = {o: {k: discount_of(r[f"once{k}"], r[f"twice{k}"]) for k in seen} for o, r in of.items()}
     # Order 1: what is left of the sum is shared evenly by an alphabet twice as large as what was seen.
-    share = [discount[1][k] * of[1][f"kinds{k}"] / of[1][f"total{k}"] / max(256, 2 * of[1][f"kinds{k}"]) for k in range(len(langs))]
+    share = {k: discount[1][k] * of[1][f"kinds{k}"] / of[1][f"total{k}"] / max(256, 2 * of[1][f"kinds{k}"]) for k in seen}
     cut = lambda k, n, order: F.greatest(n - F.lit(discount[order][k]), F.lit(0.0))
-    chance = {1: written(tables[1].select("gram", *_per(langs, lambda k, n: cut(k, n, 1) / of[1][f"total{k}"] + F.lit(share[k]))), "chance")}
+    chance = {1: written(tables[1].select("gram", *_per(seen, lambda k, n: cut(k, n, 1) / of[1][f"total{k}"] + F.lit(share[k]))), "chance")}
     out = []
     for order in range(2, ORDER + 1):
         context = F.substring("gram", 1, order - 1)
-        sums = [F.sum(F.col(f"n{k}")).alias(f"t{k}") for k in range(len(langs))]
+        sums = [F.sum(F.col(f"n{k}")).alias(f"t{k}") for k in seen]
         left = [
             F.when(F.sum(F.col(f"n{k}")) > 0, F.lit(discount[order][k]) * F.sum((F.col(f"n{k}") > 0).cast("long")) / F.sum(F.col(f"n{k}"))).otherwise(F.lit(1.0)).alias(f"l{k}")
-            for k in range(len(langs))
+            for k in seen
         ]
         contexts = written(tables[order].groupBy(context.alias("context")).agg(*sums, *left), "contexts")
-        out.append(contexts.select(F.lit(-(order - 1)).alias("order"), F.col("context").alias("gram"), F.array(*[F.log(f"l{k}").cast("float") for k in range(len(langs))]).alias("logs")))
-        lower = chance[order - 1].select(F.col("gram").alias("suffix"), *[F.col(f"n{k}").alias(f"p{k}") for k in range(len(langs))])
+        out.append(contexts.select(F.lit(-(order - 1)).alias("order"), F.col("context").alias("gram"), F.array(*[F.log(f"l{k}").cast("float") for k in seen]).alias("logs")))
+        lower = chance[order - 1].select(F.col("gram").alias("suffix"), *[F.col(f"n{k}").alias(f"p{k}") for k in seen])
         both = tables[order].withColumn("context", context).withColumn("suffix", F.substring("gram", 2, order - 1)).join(contexts, "context").join(lower, "suffix")
-        now = both.select("gram", *_per(langs, lambda k, n: F.when(F.col(f"t{k}") > 0, cut(k, n, order) / F.col(f"t{k}")).otherwise(F.lit(0.0)) + F.col(f"l{k}") * F.col(f"p{k}")))
+        now = both.select("gram", *_per(seen, lambda k, n: F.when(F.col(f"t{k}") > 0, cut(k, n, order) / F.col(f"t{k}")).otherwise(F.lit(0.0)) + F.col(f"l{k}") * F.col(f"p{k}")))
         chance[order] = written(now, "chance")
     for order, table in chance.items():
-        out.append(table.select(F.lit(order).alias("order"), "gram", F.array(*[F.log(f"n{k}").cast("float") for k in range(len(langs))]).alias("logs")))
+        out.append(table.select(F.lit(order).alias("order"), "gram", F.array(*[F.log(f"n{k}").cast("float") for k in seen]).alias("logs")))
     rows = out[0]
     for more in out[1:]:
         rows = rows.union(more)
@@ -224,14 +241,14 @@ def fitted(partial: DataFrame) -> Models:
 
     got = map_batches(rows, hashed, "order int, hash long, logs array<float>").toArrow().combine_chunks()
     orders, hashes = got["order"].to_numpy(), got["hash"].to_numpy().view(np.uint64)
-    logs = got["logs"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(langs))
+    logs = got["logs"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(seen))
 
     def array(order: int) -> tuple[np.ndarray, np.ndarray]:
         own = np.flatnonzero(orders == order)
         own = own[np.argsort(hashes[own])]
         return hashes[own], logs[own]
 
-    return Models(langs, [array(o) for o in range(1, ORDER + 1)], [array(-o) for o in range(1, ORDER)], np.log(share))
+    return Models([langs[k] for k in seen], [array(o) for o in range(1, ORDER + 1)], [array(-o) for o in range(1, ORDER)], np.log([share[k] for k in seen]))
 
 
 def build(counts: dict[str, dict[str, int]]) -> Models:
@@ -301,7 +318,7 @@ class Scorer:
         if len(self.known) > _CACHE_WORDS:
             self.old, self.old_costs = self.known, self.costs
             self.known, self.costs = {}, np.zeros_like(self.costs)
-        new = list({w for w in words if w not in self.known})
+        new = list(set(words).difference(self.known))
         first = len(self.known)
         if first + len(new) > len(self.costs):
             self.costs = np.vstack([self.costs[:first], np.zeros((first + 2 * len(new), self.costs.shape[1]))])
@@ -314,36 +331,51 @@ class Scorer:
             self.costs[first + at : first + at + len(part)] = self.models.costs(part)
         self.known.update(zip(new, range(first, first + len(new)), strict=True))
 
-    def total(self, text: str) -> np.ndarray:
-        """Cost by language and, last, the characters counted."""
-        out = np.zeros(self.costs.shape[1])
-        words = words_of(text)
-        if max(map(len, words), default=0) >= LONG:
-            long = [w for w in words if len(w) >= LONG]
-            words = [w for w in words if len(w) < LONG]
-            for w in long:
-                parts = marked(w)
-                for at in range(0, len(parts), 1_000):
-                    out += self.models.costs_of(parts[at : at + 1_000]).sum(axis=0)
-        for at in range(0, len(words), 50_000):
-            block = words[at : at + 50_000]
-            try:
-                rows = np.fromiter(map(self.known.__getitem__, block), np.int64, len(block))
-            except KeyError:
-                self._learn(block)
-                rows = np.fromiter(map(self.known.__getitem__, block), np.int64, len(block))
-            out += self.costs[rows].sum(axis=0)
+    def totals(self, texts: list[str]) -> np.ndarray:
+        """By text: cost by language and, last, the characters counted."""
+        out = np.zeros((len(texts), self.costs.shape[1]))
+        flat: list[str] = []
+        starts: list[int] = []
+        own: list[int] = []
+
+        def add():
+            if flat:
+                self._learn(flat)
+                rows = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+                out[own] += np.add.reduceat(self.costs[rows], starts, axis=0)
+            flat.clear(), starts.clear(), own.clear()
+
+        for k, text in enumerate(texts):
+            words = words_of(text)
+            if max(map(len, words), default=0) >= LONG:
+                long = [w for w in words if len(w) >= LONG]
+                words = [w for w in words if len(w) < LONG]
+                for w in long:
+                    parts = marked(w)
+                    for at in range(0, len(parts), 1_000):
+                        out[k] += self.models.costs_of(parts[at : at + 1_000]).sum(axis=0)
+            for at in range(0, len(words), _PART_WORDS):  # a longer text adds up from parts of its own
+                if at or len(words) > _PART_WORDS or len(flat) > _PART_WORDS:
+                    add()
+                starts.append(len(flat))
+                own.append(k)
+                flat += words[at : at + _PART_WORDS]
+        add()
         return out
 
-    def predict(self, text: str | None) -> tuple[str, float, float | None, bool]:
-        """(language or und, score, cross-entropy in nats a character, rejected)."""
-        if not text or not self.models.langs or not _LETTER.search(text):
-            return "und", 0.0, None, True
-        *costs, n = self.total(text)
-        costs = np.array(costs)
-        best = int(np.argmin(costs))
-        entropy = float(costs[best] / n)
-        return self.models.langs[best], float(softmax(costs, self.models.temper)[best]), entropy, entropy > self.models.reject
+    def total(self, text: str) -> np.ndarray:
+        return self.totals([text])[0]
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float, float | None, bool]]:
+        """By text: (language or und, score, cross-entropy in nats a character, rejected)."""
+        told = [k for k, t in enumerate(texts) if t and self.models.langs and _LETTER.search(t)]
+        out: list[tuple] = [("und", 0.0, None, True)] * len(texts)
+        for k, row in zip(told, self.totals([texts[k] for k in told]) if told else (), strict=True):
+            costs, n = row[:-1], row[-1]
+            best = int(np.argmin(costs))
+            entropy = float(costs[best] / n)
+            out[k] = self.models.langs[best], float(softmax(costs, self.models.temper)[best]), entropy, entropy > self.models.reject
+        return out
 
 
 def softmax(costs: np.ndarray, temper: float) -> np.ndarray:
@@ -363,17 +395,18 @@ def train(docs: DataFrame, rows: Column) -> Models:
     part = max(10, known.count() // CALIBRATION_ROWS)
     chosen = F.pmod(F.xxhash64("doc_id"), F.lit(part)) == 0
     # A language of which all rows are chosen is counted all the same.
-    rare = [r["lang"] for r in known.groupBy("lang").agg(F.min(chosen.cast("int")).alias("all")).where("all = 1").collect()]
+    of = {r["lang"]: r["all"] for r in known.groupBy("lang").agg(F.min(chosen.cast("int")).alias("all")).collect()}
+    rare = [lang for lang, every in of.items() if every]
     sampled = chosen & ~F.col("lang").isin(rare) if rare else chosen
-    models = fitted(gram_counts(known.where(~sampled)))
+    models = fitted(gram_counts(known.where(~sampled)), [*of])
     if not models.langs:
         return models
     shared = spark.sparkContext.broadcast(models)
 
     def batch(cols):
         scorer = _scorer(shared)
-        kept = [(lang, scorer.total(t)) for lang, t in zip(cols["lang"], cols["text"], strict=True) if lang in models_of and _LETTER.search(t)]
-        yield {"lang": [k[0] for k in kept], "costs": [k[1].tolist() for k in kept]}
+        kept = [(lang, t) for lang, t in zip(cols["lang"], cols["text"], strict=True) if lang in models_of and _LETTER.search(t)]
+        yield {"lang": [k[0] for k in kept], "costs": scorer.totals([k[1] for k in kept]).tolist()}
 
     models_of = set(models.langs)
     seen = map_batches(known.where(sampled).select("lang", "text"), batch, "lang string, costs array<double>").toArrow().to_pydict()
@@ -397,7 +430,7 @@ def identify(docs: DataFrame, models: Models) -> DataFrame:
 
     def batch(cols):
         scorer = _scorer(shared)
-        rows = [scorer.predict(t) for t in cols["text"]]
+        rows = scorer.predict(cols["text"])
         names = ("lang_pred", "score", "entropy", "rejected")
         yield {"doc_id": cols["doc_id"]} | {n: [r[k] for r in rows] for k, n in enumerate(names)}
 
