@@ -1,29 +1,39 @@
-"""Record linkage: blocking in passes, evidence bits, match keys, best candidates, load actions.
+"""Record linkage: blocking in passes, evidence bits, match keys, decisions, best candidates, load actions.
 
-Candidates come from equality joins of several key sets, tagged with the pass; each comparator sets bits of
-`same` or `differs`; the match key is one decision chain over the bits. Scores are numbers whose higher bits
-weigh more, so the best candidate is the greatest (key, score) with ties to the earliest.
+Candidates come from equality joins of several key sets, tagged with the pass; each comparator gives its part of
+the evidence: bits of `same` or `differs`, whether the record has news or is unlike the stored one, how many data
+could match and how many names do. The match key is one decision chain over the bits, and a decision follows from key
+and evidence. Scores are numbers whose higher bits weigh more, so the best candidate is the greatest (key, score) with
+ties to the earliest.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Evidence bits, the most telling the highest.
+from lychgate.functions import dates
+
+#: The evidence bits. Scores are compared as numbers, so the order is the bits' importance.
 BITS = {
-    "spouse": 0, "gender": 1, "postal": 2, "age": 3, "middle": 4, "yod": 5, "yob": 6, "dob_range": 7, "first_like": 8,
-    "first": 9, "last_alt": 10, "last": 11, "dod": 12, "dob": 13, "id": 14,
+    "prefix": 0, "suffix": 1, "middle": 2, "min_dob": 3, "max_dob": 4, "yob": 5, "yod": 6, "gender": 7, "first_like": 8,
+    "first_aka2": 9, "first_aka1": 10, "first": 11, "dod": 12, "dob": 13, "second": 14, "last_alt3": 15, "last_alt2": 16,
+    "last_alt1": 17, "last": 18, "dob_within": 19, "age": 20, "spouse": 21, "place": 22,
 }
 
-#: Match keys in ascending order of certainty.
+#: Match keys in ascending order of certainty.
 KEYS = (
-    "none", "no_key_alt_name_alt", "no_key_alt_name", "no_key_alt", "no_key", "dod_alt_name_alt", "dod_alt_name", "dod_name_alt",
-    "dod_name", "close_dob_alt", "close_dob", "dob_alt_name_alt", "dob_name_alt", "alt_key", "alt_key_dod", "key", "key_dod",
+    "none", "no_key_alt_name_alt", "no_key_alt", "no_key_alt_name", "no_key", "close_dob_alt_name", "close_dob_name",
+    "dod_alt_name_alt", "dod_name_alt", "dob_alt_name_alt", "dob_name_alt", "dod_alt_name", "dod_name", "dod_dob_alt_name",
+    "dod_dob_name", "alt_key", "key", "alt_key_dob_dod_name_alt", "key_dob_dod_name_alt", "alt_key_dod", "key_dod", "id",
 )
 
+#: Dates up to this one stand for unknown ones, and the first from which a stored range counts.
+UNKNOWN_DATE, LEAST_DATE = "1900-01-01", "1875-01-01"
+
 
 def bit(name: str) -> int:
     return 1 << BITS[name]
@@ -36,20 +46,24 @@ def has(column: str, *names: str) -> Column:
 
 
 def candidates(records: DataFrame, master: DataFrame, passes: list[list[str]]) -> DataFrame:
-    """(rec_id, cand_id, pass): pairs that agree on all keys of a pass; the first pass that finds a pair.
-    records and master hold id and the keys; null keys do not meet."""
+    """(rec_id, cand_id, pass, position): pairs that agree on all keys of a pass; the first pass that finds a pair, and the
+    place in the record of the name that it was found by. records and master hold id and the keys, records also position
+    (0 to 9); null keys do not meet."""
     found = []
     for n, keys in enumerate(passes, 1):
-        l = records.select(F.col("id").alias("rec_id"), *keys)
+        l = records.select(F.col("id").alias("rec_id"), (n * 10 + F.col("position")).alias("block"), *keys)
         r = master.select(F.col("id").alias("cand_id"), *keys)
-        found.append(l.join(r, keys).select("rec_id", "cand_id", F.lit(n).alias("pass")))
-    return reduce(DataFrame.union, found).groupBy("rec_id", "cand_id").agg(F.min("pass").alias("pass"))
+        found.append(l.join(r, keys).select("rec_id", "cand_id", "block"))
+    first = reduce(DataFrame.union, found).groupBy("rec_id", "cand_id").agg(F.min("block").alias("block"))
+    return first.select("rec_id", "cand_id", F.floor(F.col("block") / 10).cast("int").alias("pass"), (F.col("block") % 10).alias("position"))
 
 
-def early_stop(scored: DataFrame, sufficient: Column) -> DataFrame:
-    """Of each record only the passes up to the first that held a sufficient candidate."""
+def early_stop(scored: DataFrame, sufficient: Column, block: str = "pass") -> DataFrame:
+    """Of each record only the blocks (numbers in order: passes, or passes by last name) up to the first that held a
+    sufficient candidate."""
     w = Window.partitionBy("rec_id")
-    return scored.withColumn("_stop", F.min(F.when(sufficient, F.col("pass"))).over(w)).where(F.col("_stop").isNull() | (F.col("pass") <= F.col("_stop"))).drop("_stop")
+    first = F.min(F.when(sufficient, F.col(block))).over(w)
+    return scored.withColumn("_stop", first).where(F.col("_stop").isNull() | (F.col(block) <= F.col("_stop"))).drop("_stop")
 
 
 def flag(test: Column, name: str) -> Column:
@@ -61,32 +75,237 @@ def either(*flags: Column) -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), flags)
 
 
+#: What evidence is made of, each with what no evidence is.
+_NOTHING = {"same": 0, "differs": 0, "news": False, "unlike": False, "potential": 0, "names": 0, "enough": False, "close": False}
+
+
+def evidence(**parts: Column) -> dict[str, Column]:
+    return {k: parts.get(k, F.lit(v)) for k, v in _NOTHING.items()}
+
+
+def together(*parts: dict[str, Column]) -> list[Column]:
+    """The columns of _NOTHING of all comparators: bits are united, numbers added, and any yes is a yes."""
+    out = []
+    for k, nothing in _NOTHING.items():
+        own = [p[k] for p in parts]
+        how = either if k in ("same", "differs") else (lambda *x: reduce(lambda a, b: a | b, x)) if nothing is False else (lambda *x: reduce(lambda a, b: a + b, x))
+        out.append(how(*own).alias(k))
+    return out
+
+
+def _yes(test: Column) -> Column:
+    """A test on nulls does not hold."""
+    return F.coalesce(test, F.lit(False))
+
+
+def _one(test: Column) -> Column:
+    return _yes(test).cast("int")
+
+
+def genders(rec: Column, db: Column) -> dict[str, Column]:
+    """Genders, null if unknown."""
+    one_sided = rec.isNull() != db.isNull()
+    return evidence(
+        same=flag(rec == db, "gender"), differs=flag(rec != db, "gender"), news=rec.isNotNull() & db.isNull(), unlike=one_sided | _yes(rec != db),
+        potential=(rec.isNotNull() | db.isNotNull()).cast("int"),
+    )
+
+
+def _hits(rec: Column, db: Column, same: Callable[[Column, Column], Column]) -> Column:
+    """In how many pairs of two lists the names are the same."""
+    return F.aggregate(rec, F.lit(0), lambda n, x: n + F.size(F.filter(db, lambda y: same(x, y))))
+
+
+def _missing(rec: Column, db: Column, same: Callable[[Column, Column], Column]) -> Column:
+    return F.exists(rec, lambda x: ~F.exists(db, lambda y: same(x, y)))
+
+
+def _equal(x: Column, y: Column) -> Column:
+    return x == y
+
+
+def _initial_or_equal(x: Column, y: Column) -> Column:
+    """A record's name of one letter is any stored one that it begins."""
+    return F.when(F.length(x) == 1, F.left(y, F.lit(1)) == x).otherwise(x == y)
+
+
+def last_names(rec: Column, db: Column) -> dict[str, Column]:
+    """Lists of last names; a bit tells the place in the stored list. Names left over on both sides differ; two or more that
+    are all of the shorter list are enough."""
+    n, shorter, longer = _hits(rec, db, _equal), F.least(F.size(rec), F.size(db)), F.greatest(F.size(rec), F.size(db))
+    bits = [flag(F.array_contains(rec, F.get(db, F.lit(j))), name) for j, name in enumerate(("last", "last_alt1", "last_alt2", "last_alt3"))]
+    apart = (F.size(db) > n) & (F.size(rec) > n)
+    return evidence(
+        same=either(*bits), differs=flag(apart, "last"), news=_missing(rec, db, _equal), unlike=(F.size(rec) != F.size(db)) | (n != F.size(db)), potential=longer,
+        names=F.when(apart, 0).otherwise(n), enough=(n >= 2) & (n == shorter),
+    )
+
+
+def first_names(rec: Column, db: Column, related: Callable[[Column, Column], Column] = lambda x, y: F.lit(False)) -> dict[str, Column]:
+    """Lists of first names; related(record's, stored) tells formal and informal versions, which count less and are news.
+    `enough` is left to be met with that of the last names."""
+    n = _hits(rec, db, _initial_or_equal)
+    like = F.exists(rec, lambda x: (F.length(x) > 1) & F.exists(db, lambda y: (x != y) & related(x, y)))
+    return evidence(
+        same=either(flag(n > 0, "first"), flag(like, "first_like")), news=_missing(rec, db, _initial_or_equal), unlike=(F.size(rec) != F.size(db)) | (n != F.size(db)),
+        potential=F.greatest(F.size(rec), F.size(db)), names=(n >= 1).cast("int"), enough=n >= 1,
+    )
+
+
+def middle_names(rec: Column, db: Column) -> dict[str, Column]:
+    n = _hits(rec, db, _initial_or_equal)
+    apart = (F.size(db) > n) & (F.size(rec) > n)
+    return evidence(
+        same=flag(n > 0, "middle"), differs=flag(apart, "middle"), news=_missing(rec, db, _initial_or_equal), unlike=(F.size(rec) != F.size(db)) | (n != F.size(db)),
+        potential=F.greatest(F.size(rec), F.size(db)), names=F.when(apart, 0).otherwise(n),
+    )
+
+
+def named(last: dict, first: dict, middle: dict) -> list[dict]:
+    """The three comparators of names, enough only if last and first names both are."""
+    enough = last["enough"] & first["enough"]
+    return [last | {"enough": enough}, first | {"enough": F.lit(False)}, middle]
+
+
+def _known(d: Column) -> Column:
+    return _yes(d > F.lit(UNKNOWN_DATE).cast("date"))
+
+
+def _width(low: Column, high: Column, least: str) -> Column:
+    """Years of a range, 99 if it is not known."""
+    return F.when(_yes(low > F.lit(least).cast("date")) & high.isNotNull(), dates.elapse_actuarial(low, high)).otherwise(F.lit(99.0))
+
+
+def births(rec: Column, db: Column) -> dict[str, Column]:
+    """Dates of birth as structs (exact, year, low, high), null where unknown."""
+    a, b = rec["exact"], db["exact"]
+    have, stored = _known(a), _known(b)
+    rec_width, db_width = _width(rec["low"], rec["high"], UNKNOWN_DATE), _width(db["low"], db["high"], LEAST_DATE)
+    both, neither = have & stored, ~have & ~stored
+    years = ~both & _yes(rec["year"] > 0) & _yes(db["year"] > 0)
+    only_rec, only_db = have & ~stored & (db_width < 2), stored & ~have & (rec_width < 2)
+    in_db, in_rec = _yes(a.between(db["low"], db["high"])), _yes(b.between(rec["low"], rec["high"]))
+    ranges = neither & (db_width < 2) & (rec_width < 2)
+    shared = ((rec["low"] == db["low"]) | (rec["high"] == db["high"])) & (db_width <= 1) & (rec_width <= 1)
+    held = _yes((rec["low"] >= db["low"]) & (rec["high"] <= db["high"])) | _yes(shared)
+    apart = _yes(rec["low"] > db["high"]) | _yes(rec["high"] < db["low"])
+    off = [both & (a != b), years & (rec["year"] != db["year"]), only_rec & ~in_db, only_db & ~in_rec, ranges & ~held, apart]
+    return evidence(
+        same=either(flag(both & (a == b), "dob"), flag(years & (rec["year"] == db["year"]), "yob"), flag((only_rec & in_db) | (only_db & in_rec), "dob_within"), flag(ranges & held, "min_dob"), flag(ranges & held, "max_dob")),
+        differs=either(flag(off[0] | off[2] | off[3] | apart, "dob"), flag(off[1], "yob"), flag(off[4] | apart, "min_dob"), flag(off[4] | apart, "max_dob")),
+        news=(have & ~stored & ((db_width >= 2) | in_db)) | (neither & (db_width >= 2) & (rec_width < 2)), unlike=_yes(reduce(lambda x, y: x | y, off)),
+        potential=(have | stored | _yes(rec["year"] > 0) | _yes(db["year"] > 0)).cast("int"), close=~apart & _yes(F.year(db["high"]) - F.year(rec["low"]) <= 1),
+    )
+
+
+def deaths(rec: Column, db: Column) -> dict[str, Column]:
+    """Dates of death as structs (exact, year)."""
+    a, b, x, y = rec["exact"], db["exact"], rec["year"], db["year"]
+    have, stored = _known(a), _known(b)
+    both = have & stored
+    years = ~both & _yes(x > 0) & _yes(y > 0)
+    other = ~both & ~years & (~a.eqNullSafe(b) | ~x.eqNullSafe(y))
+    return evidence(
+        same=either(flag(both & (a == b), "dod"), flag(years & (x == y), "yod")), differs=either(flag(both & (a != b), "dod"), flag(years & (x != y), "yod")),
+        news=(have & ~stored) | (_yes(x > 0) & ~_yes(y > 0)), unlike=_yes(both & (a != b)) | _yes(years & (x != y)) | other,
+        potential=(have | stored | _yes(x > 0) | _yes(y > 0)).cast("int"),
+    )
+
+
+def births_and_deaths(rec_dob: Column, db_dob: Column, rec_dod: Column, db_dod: Column) -> dict[str, Column]:
+    """One side's death after the other's latest birth, where that one has no dates but an open range: such a latest birth
+    stands for the death."""
+
+    def after(dod: Column, other_dod: Column, other_dob: Column) -> Column:
+        open_range = _yes(other_dob["low"] <= F.lit(UNKNOWN_DATE).cast("date"))
+        return _known(dod["exact"]) & ~_known(other_dod["exact"]) & ~_known(other_dob["exact"]) & open_range & _yes(dod["exact"] > other_dob["high"])
+
+    off = after(rec_dod, db_dod, db_dob) | after(db_dod, rec_dod, rec_dob)
+    return evidence(differs=flag(off, "dod"), unlike=off)
+
+
+def ages(rec: Column, db: Column) -> dict[str, Column]:
+    """Ages, null if unknown."""
+    return evidence(same=flag(rec == db, "age"), differs=flag(rec != db, "age"), unlike=~rec.eqNullSafe(db), potential=(rec.isNotNull() | db.isNotNull()).cast("int"))
+
+
+def spouses(rec: Column, db: Column, related: Callable[[Column, Column], Column] = lambda x, y: F.lit(False)) -> dict[str, Column]:
+    same = (F.lower(rec) == F.lower(db)) | related(rec, db)
+    both = (F.length(rec) > 0) & (F.length(db) > 0)
+    return evidence(same=flag(both & same, "spouse"), differs=flag(both & ~same, "spouse"))
+
+
+def places(km: Column) -> dict[str, Column]:
+    """By distance, null if a place is not known."""
+    return evidence(same=flag(km <= 25, "place"), differs=flag(km > 1500, "place"), unlike=_yes(km > 200))
+
+
+def by_pass(n: Column, parts: list[dict], dob: dict, dod: dict, both: dict) -> list[Column]:
+    """Evidence of the comparators and of dates: what a pass was joined on is the same without comparing."""
+    first, second, third = n == 1, n == 2, n == 3
+    joined = evidence(
+        same=F.when(first, F.lit(bit("dob") | bit("dod") | bit("yob") | bit("yod"))).when(second, F.lit(bit("dob") | bit("yob"))).when(third, F.lit(bit("dod") | bit("yod"))).otherwise(F.lit(0)),
+        potential=F.when(first, 2).when(second | third, 1).otherwise(0),
+    )
+
+    def where(test: Column, part: dict) -> dict:
+        return {k: F.when(test, c).otherwise(F.lit(_NOTHING[k])) for k, c in part.items()}
+
+    return together(*parts, joined, where(~(first | second), dob), where(~(first | third), dod), where(~(first | second | third), both))
+
+
 def match_key(same: str = "same", differs: str = "differs") -> Column:
     """The match key's place in KEYS, from evidence bits."""
     k = KEYS.index
     dob, dod = has(same, "dob"), has(same, "dod")
-    near = dob | has(same, "postal")
-    last, alt = has(same, "last"), has(same, "last_alt")
-    first, like = has(same, "first"), has(same, "first_like")
-    clash = has(differs, "dob", "dod", "age")
-    keyed = (
-        F.when(near & last & first, F.when(dod, k("key_dod")).otherwise(k("key")))
-        .when(dob & alt & first, F.when(dod, k("alt_key_dod")).otherwise(k("alt_key")))
-        .when(dob & last & like, k("dob_name_alt"))
-        .when(dob & alt & like, k("dob_alt_name_alt"))
-        .when(has(same, "dob_range") & last & like, k("close_dob"))
-        .when(has(same, "dob_range") & alt & like, k("close_dob_alt"))
-        .when(dod & last & first, k("dod_name"))
-        .when(dod & last & like, k("dod_name_alt"))
-        .when(dod & alt & first, k("dod_alt_name"))
-        .when(dod & alt & like, k("dod_alt_name_alt"))
-        .when(last & first, k("no_key"))
-        .when(last & like, k("no_key_alt"))
-        .when(alt & first, k("no_key_alt_name"))
-        .when(alt & like, k("no_key_alt_name_alt"))
+    last, alt = has(same, "last"), has(same, "last_alt1", "last_alt2", "last_alt3")
+    first, like, within = has(same, "first"), has(same, "first_like"), has(same, "dob_within")
+    clash = has(differs, "dob", "yob", "dod", "yod", "age")
+
+    def by_dod(with_dod: str, without: str) -> Column:
+        return F.when(dod, k(with_dod)).otherwise(k(without))
+
+    born = (
+        F.when(dob & last, by_dod("key_dob_dod_name_alt", "dob_name_alt")).when(dob & alt, by_dod("alt_key_dob_dod_name_alt", "dob_alt_name_alt"))
+        .when(last, by_dod("dod_dob_name", "dod_dob_alt_name")).when(alt, by_dod("close_dob_name", "close_dob_alt_name")).otherwise(k("none"))
+    )
+    return F.when(clash | has(differs, "last"), F.lit(k("none"))).otherwise(
+        F.when((dob | has(same, "place")) & last & first, by_dod("key_dod", "key"))
+        .when(dob & alt & first, by_dod("alt_key_dod", "alt_key"))
+        .when((dob | within) & like, born)
+        .when(last & first, by_dod("dod_name", "no_key"))
+        .when(last & like, by_dod("dod_name_alt", "no_key_alt"))
+        .when(~last & alt & first, by_dod("dod_alt_name", "no_key_alt_name"))
+        .when(~last & alt & like, by_dod("dod_alt_name_alt", "no_key_alt_name_alt"))
         .otherwise(k("none"))
     )
-    return F.when(clash | has(differs, "last"), F.lit(k("none"))).otherwise(keyed)
+
+
+def decided(rows: DataFrame, recent: Column | None = None, family: Column | None = None, by_alternate: Column | None = None, same_id: Column | None = None) -> DataFrame:
+    """rows of evidence with match_key, known (the record is stored already) and sufficient (nothing is left to ask).
+
+    Keys from dod_name on decide; below, nothing that differs, six data that could match on like records, enough names, or
+    three names with close births or places promote a candidate; what is left with anything that differs is none.
+    recent: the death lies less than 60 days back; family: the source is of the same family; by_alternate: found by an alternate
+    last name, by which a key is only an alternate one; same_id: the source's id is the same, which is the highest key."""
+    k, none = KEYS.index, F.lit(False)
+    clean, key = F.col("differs") == 0, F.col("_key")
+    high = key >= k("dod_name")
+    plain = clean & ((key >= k("dod_alt_name_alt")) | ((key >= k("dod_alt_name")) & has("same", "age")))
+    many = ~plain & (F.col("potential") >= 6) & ~F.col("unlike")
+    name = ~plain & ~many & (key >= k("no_key")) & clean & (F.col("enough") | ((F.col("names") >= 3) & (F.col("close") | has("same", "place"))))
+    enough = high | many | name
+    lost = ~enough & ~clean
+    rows = rows.withColumn("_key", match_key()).withColumn("_enough", enough).withColumn("_known", (enough | plain) & ~lost)
+    rows = rows.withColumn("_key", F.when(lost, F.lit(k("none"))).when((F.col("_key") == k("key")) & (none if by_alternate is None else by_alternate), F.lit(k("alt_key"))).otherwise(F.col("_key")))
+    minor = ~has("differs", "dob", "yob", "dod", "yod", "age")
+    told = F.col("_enough") | (F.col("_known") & (F.col("_key") >= k("dod_name")) & (none if recent is None else _yes(recent)))
+    told = told | (F.col("_known") & (F.col("_key") >= k("no_key")) & minor & (none if family is None else _yes(family)))
+    by_id = none if same_id is None else _yes(same_id)
+    return rows.select(
+        *[c for c in rows.columns if c not in ("_key", "_enough", "_known")], F.when(by_id, F.lit(k("id"))).otherwise(F.col("_key")).alias("match_key"),
+        (by_id | F.col("_known")).alias("known"), (by_id | told).alias("sufficient"),
+    )
 
 
 def net_score(same: str = "same", differs: str = "differs") -> Column:

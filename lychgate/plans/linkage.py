@@ -1,8 +1,8 @@
 """Record linkage over records made from customers, suppliers and parts.
 
 Records: one a customer, its last name from a bounded list, alternates, first and middle names, birth and
-death dates, place and gender, all functions of the key, so that SQL can make the same ones. Incoming records are
-every fourth customer, perturbed by key.
+death dates or ranges, place, age, spouse and gender, all functions of the key, so that SQL can make the same ones. Incoming
+records are all customers, perturbed by key. The SQL spells the bits and keys as numbers of its own.
 """
 
 from __future__ import annotations
@@ -16,41 +16,59 @@ from lychgate.operators import rank
 from lychgate.registry import query
 from lychgate.sources.tables import table
 
-_MASTER_SQL = """m AS (SELECT c_custkey AS id, 'last' || (c_custkey % 97) AS last, CASE WHEN c_custkey % 5 = 0 THEN 'last' || (c_custkey % 89) END AS alt,
- 'first' || (c_custkey % 13) AS first, DATE '1930-01-01' + CAST(c_custkey % 400 AS INTEGER) AS dob, DATE '2015-01-01' + CAST(c_custkey % 300 AS INTEGER) AS dod, c_custkey % 2 AS gender FROM customer)"""
-_INCOMING_SQL = """i AS (SELECT id, CASE WHEN id % 12 = 0 THEN coalesce(alt, last) ELSE last END AS last, CASE WHEN id % 20 = 0 THEN left(first, 1) ELSE first END AS first,
- CASE WHEN id % 16 = 0 THEN NULL ELSE dob END AS dob, CASE WHEN id % 28 = 0 THEN dod + 1 ELSE dod END AS dod, CASE WHEN id % 36 = 0 THEN 1 - gender ELSE gender END AS gender FROM m WHERE id % 4 = 0)"""
+_MASTER_SQL = """b AS (SELECT c_custkey AS id, c_custkey % 11 AS r, DATE '1930-01-01' + CAST(c_custkey % 400 AS INTEGER) AS born FROM customer),
+ m AS (SELECT id, 'last' || (id % 97) AS last, CASE WHEN id % 5 = 0 AND id % 97 <> id % 89 THEN 'last' || (id % 89) END AS alt, 'first' || (id % 13) AS first, CASE WHEN id % 9 <> 0 THEN 'mid' || (id % 4) END AS middle,
+ born, CASE WHEN r > 1 THEN born END AS dob, CASE WHEN r <> 0 THEN year(born) END AS yob, born - (CASE r WHEN 0 THEN 100 WHEN 1 THEN 800 ELSE 0 END) AS low, born + (CASE r WHEN 0 THEN 100 WHEN 1 THEN 800 ELSE 0 END) AS high,
+ CASE WHEN id % 17 <> 0 THEN DATE '2015-01-01' + CAST(id % 300 AS INTEGER) END AS dod, CASE WHEN id % 34 <> 0 THEN 2015 END AS yod, CASE WHEN id % 19 <> 0 THEN id % 2 END AS gender,
+ CASE WHEN id % 6 = 0 THEN 80 + id % 3 END AS age, CASE id % 7 WHEN 0 THEN 'Ann' WHEN 1 THEN 'Bea' END AS spouse, 42.5::DOUBLE + id % 17 AS lat, -60.5::DOUBLE - id % 23 AS lon FROM b)"""
+_INCOMING_SQL = """i AS (SELECT id, CASE WHEN id % 12 = 0 THEN [coalesce(alt, last)] WHEN id % 10 = 0 AND alt IS NOT NULL THEN [last, alt] ELSE [last] END AS lasts,
+ CASE WHEN id % 20 = 0 THEN 'f' WHEN id % 24 = 5 THEN replace(first, 'first', 'nick') ELSE first END AS first, CASE id % 18 WHEN 1 THEN 'm' WHEN 3 THEN 'other' ELSE middle END AS middle,
+ CASE WHEN id % 16 <> 0 AND id % 32 <> 8 THEN dob END AS dob, CASE WHEN id % 16 <> 0 THEN yob END AS yob, CASE WHEN id % 32 = 8 THEN born - 50 WHEN id % 16 <> 0 THEN low END AS low,
+ CASE WHEN id % 32 = 8 THEN born + 50 WHEN id % 16 <> 0 THEN high END AS high, CASE WHEN id % 28 = 0 THEN dod + 1 ELSE dod END AS dod, yod, CASE WHEN id % 36 = 0 THEN 1 - gender ELSE gender END AS gender,
+ CASE WHEN id % 30 = 0 THEN age + 1 ELSE age END AS age, CASE WHEN id % 14 = 0 THEN 'ANN' WHEN id % 21 = 0 THEN 'Cy' ELSE spouse END AS spouse, lat + (CASE WHEN id % 40 = 0 THEN 20 WHEN id % 44 = 0 THEN 3 ELSE 0 END) AS lat, lon FROM m)"""
 _PASSES = [["last", "dob", "dod"], ["last", "dob"], ["last", "dod"], ["last", "first"]]
-_CANDIDATES_SQL = """v AS (SELECT id, last, first, dob, dod FROM m UNION ALL SELECT id, alt, first, dob, dod FROM m WHERE alt IS NOT NULL AND alt <> last),
- c AS (SELECT rec_id, cand_id, min(pass) AS pass FROM (
-  SELECT i.id AS rec_id, v.id AS cand_id, 1 AS pass FROM i JOIN v USING (last, dob, dod)
-  UNION ALL SELECT i.id, v.id, 2 FROM i JOIN v USING (last, dob) UNION ALL SELECT i.id, v.id, 3 FROM i JOIN v USING (last, dod)
-  UNION ALL SELECT i.id, v.id, 4 FROM i JOIN v USING (last, first)) GROUP BY 1, 2)"""
+_CANDIDATES_SQL = """v AS (SELECT id, last, first, dob, dod FROM m UNION ALL SELECT id, alt, first, dob, dod FROM m WHERE alt IS NOT NULL),
+ j AS (SELECT id, unnest(lasts) AS last, generate_subscripts(lasts, 1) - 1 AS position, first, dob, dod FROM i),
+ c AS (SELECT rec_id, cand_id, min(block) // 10 AS pass, min(block) % 10 AS position FROM (
+  SELECT j.id AS rec_id, v.id AS cand_id, 10 + position AS block FROM j JOIN v USING (last, dob, dod)
+  UNION ALL SELECT j.id, v.id, 20 + position FROM j JOIN v USING (last, dob) UNION ALL SELECT j.id, v.id, 30 + position FROM j JOIN v USING (last, dod)
+  UNION ALL SELECT j.id, v.id, 40 + position FROM j JOIN v USING (last, first)) GROUP BY 1, 2)"""
 
 
 def master(spark, d) -> DataFrame:
-    k = F.col("c_custkey")
+    k, r = F.col("id"), F.col("id") % 11
     word = lambda w, n: F.concat(F.lit(w), (k % n).cast("string"))
-    return table(spark, d, "customer").select(
-        k.alias("id"), word("last", 97).alias("last"), F.when(k % 5 == 0, word("last", 89)).alias("alt"), word("first", 13).alias("first"),
-        F.date_add(F.lit("1930-01-01").cast("date"), (k % 400).cast("int")).alias("dob"),
-        F.date_add(F.lit("2015-01-01").cast("date"), (k % 300).cast("int")).alias("dod"), (k % 2).alias("gender"),
+    wide = F.when(r == 0, 100).when(r == 1, 800).otherwise(0)
+    rows = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.date_add(F.lit("1930-01-01").cast("date"), (F.col("c_custkey") % 400).cast("int")).alias("born"))
+    return rows.select(
+        "id", word("last", 97).alias("last"), F.when((k % 5 == 0) & (k % 97 != k % 89), word("last", 89)).alias("alt"), word("first", 13).alias("first"),
+        F.when(k % 9 != 0, word("mid", 4)).alias("middle"), "born", F.when(r > 1, F.col("born")).alias("dob"), F.when(r != 0, F.year("born")).alias("yob"),
+        F.date_sub("born", wide).alias("low"), F.date_add("born", wide).alias("high"),
+        F.when(k % 17 != 0, F.date_add(F.lit("2015-01-01").cast("date"), (k % 300).cast("int"))).alias("dod"), F.when(k % 34 != 0, 2015).alias("yod"),
+        F.when(k % 19 != 0, k % 2).alias("gender"), F.when(k % 6 == 0, 80 + k % 3).alias("age"), F.when(k % 7 == 0, "Ann").when(k % 7 == 1, "Bea").alias("spouse"),
+        (42.5 + k % 17).alias("lat"), (-60.5 - k % 23).alias("lon"),
     )
 
 
 def incoming(spark, d) -> DataFrame:
-    i = F.col("id")
-    return master(spark, d).where(i % 4 == 0).select(
-        "id", F.when(i % 12 == 0, F.coalesce("alt", "last")).otherwise(F.col("last")).alias("last"),
-        F.when(i % 20 == 0, F.left("first", F.lit(1))).otherwise(F.col("first")).alias("first"), F.when(i % 16 != 0, F.col("dob")).alias("dob"),
-        F.when(i % 28 == 0, F.date_add("dod", 1)).otherwise(F.col("dod")).alias("dod"), F.when(i % 36 == 0, 1 - F.col("gender")).otherwise(F.col("gender")).alias("gender"),
+    i, col = F.col("id"), F.col
+    told, ranged = i % 16 != 0, i % 32 == 8
+    return master(spark, d).select(
+        "id", F.when(i % 12 == 0, F.array(F.coalesce("alt", "last"))).when((i % 10 == 0) & col("alt").isNotNull(), F.array("last", "alt")).otherwise(F.array("last")).alias("lasts"),
+        F.when(i % 20 == 0, "f").when(i % 24 == 5, F.replace("first", F.lit("first"), F.lit("nick"))).otherwise(col("first")).alias("first"),
+        F.when(i % 18 == 1, "m").when(i % 18 == 3, "other").otherwise(col("middle")).alias("middle"),
+        F.when(told & ~ranged, col("dob")).alias("dob"), F.when(told, col("yob")).alias("yob"), F.when(ranged, F.date_sub("born", 50)).when(told, col("low")).alias("low"),
+        F.when(ranged, F.date_add("born", 50)).when(told, col("high")).alias("high"), F.when(i % 28 == 0, F.date_add("dod", 1)).otherwise(col("dod")).alias("dod"), "yod",
+        F.when(i % 36 == 0, 1 - col("gender")).otherwise(col("gender")).alias("gender"), F.when(i % 30 == 0, col("age") + 1).otherwise(col("age")).alias("age"),
+        F.when(i % 14 == 0, "ANN").when(i % 21 == 0, "Cy").otherwise(col("spouse")).alias("spouse"),
+        (col("lat") + F.when(i % 40 == 0, 20).when(i % 44 == 0, 3).otherwise(0)).alias("lat"), "lon",
     )
 
 
 def candidates(spark, d) -> DataFrame:
-    m = master(spark, d)
-    variants = m.withColumn("last", F.explode(F.array_distinct(F.array_compact(F.array("last", "alt"))))).drop("alt")
-    return L.candidates(incoming(spark, d), variants, _PASSES)
+    variants = master(spark, d).withColumn("last", F.explode(F.array_compact(F.array("last", "alt"))))
+    records = incoming(spark, d).select("id", F.posexplode("lasts").alias("position", "last"), "first", "dob", "dod")
+    return L.candidates(records, variants, _PASSES)
 
 
 @query("blocking_passes", f"WITH {_MASTER_SQL}, {_INCOMING_SQL}, {_CANDIDATES_SQL} SELECT * FROM c")
@@ -58,77 +76,108 @@ def blocking_passes(spark, d):
     return candidates(spark, d)
 
 
-_SCORED_SQL = f"""{_MASTER_SQL}, {_INCOMING_SQL}, {_CANDIDATES_SQL}, e AS (SELECT rec_id, cand_id, pass,
- (CASE WHEN i.last = m.last THEN {L.bit('last')} WHEN i.last = m.alt THEN {L.bit('last_alt')} ELSE 0 END)
- | (CASE WHEN i.first = m.first THEN {L.bit('first')} WHEN left(i.first, 1) = left(m.first, 1) AND length(i.first) = 1 THEN {L.bit('first_like')} ELSE 0 END)
- | (CASE WHEN i.dob = m.dob THEN {L.bit('dob')} ELSE 0 END) | (CASE WHEN year(i.dob) = year(m.dob) THEN {L.bit('yob')} ELSE 0 END)
- | (CASE WHEN i.dod = m.dod THEN {L.bit('dod')} ELSE 0 END) | (CASE WHEN year(i.dod) = year(m.dod) THEN {L.bit('yod')} ELSE 0 END)
- | (CASE WHEN i.gender = m.gender THEN {L.bit('gender')} ELSE 0 END) AS same,
- (CASE WHEN i.dob <> m.dob THEN {L.bit('dob')} ELSE 0 END) | (CASE WHEN i.gender <> m.gender THEN {L.bit('gender')} ELSE 0 END) AS differs
+_KM = "2 * 6371.0 * asin(sqrt(pow(sin((radians(m.lat) - radians(i.lat)) / 2), 2) + cos(radians(i.lat)) * cos(radians(m.lat)) * pow(sin((radians(m.lon) - radians(i.lon)) / 2), 2)))"
+_YEARS = "round(year({1}) + (dayofyear({1}) - 1) / (CASE WHEN year({1}) % 4 = 0 THEN 366.0 ELSE 365.0 END) - year({0}) - (dayofyear({0}) - 1) / (CASE WHEN year({0}) % 4 = 0 THEN 366.0 ELSE 365.0 END), 4)"
+_EVIDENCE_SQL = f"""{_MASTER_SQL}, {_INCOMING_SQL}, {_CANDIDATES_SQL}, w AS (SELECT rec_id, cand_id, pass, position, i.lasts, CASE WHEN m.alt IS NULL THEN [m.last] ELSE [m.last, m.alt] END AS stored,
+ i.first AS f, m.first AS g, i.middle AS x, m.middle AS y, i.gender AS s, m.gender AS t, i.age AS a, m.age AS z, i.spouse AS p, m.spouse AS q, {_KM} AS km, i.dob AS d, m.dob AS e, i.yob AS yd, m.yob AS ye,
+ i.low AS il, i.high AS ih, m.low AS ml, m.high AS mh, i.dod AS o, m.dod AS u, i.yod AS yo, m.yod AS yu, coalesce({_YEARS.format('i.low', 'i.high')}, 99) AS iw, coalesce({_YEARS.format('m.low', 'm.high')}, 99) AS mw
  FROM c JOIN i ON rec_id = i.id JOIN m ON cand_id = m.id),
- k AS (SELECT *, CASE WHEN differs & {L.bit('dob')} <> 0 THEN 0
- WHEN same & {L.bit('dob')} <> 0 AND same & {L.bit('last')} <> 0 AND same & {L.bit('first')} <> 0 THEN CASE WHEN same & {L.bit('dod')} <> 0 THEN {L.KEYS.index('key_dod')} ELSE {L.KEYS.index('key')} END
- WHEN same & {L.bit('dob')} <> 0 AND same & {L.bit('last_alt')} <> 0 AND same & {L.bit('first')} <> 0 THEN CASE WHEN same & {L.bit('dod')} <> 0 THEN {L.KEYS.index('alt_key_dod')} ELSE {L.KEYS.index('alt_key')} END
- WHEN same & {L.bit('dob')} <> 0 AND same & {L.bit('last')} <> 0 AND same & {L.bit('first_like')} <> 0 THEN {L.KEYS.index('dob_name_alt')}
- WHEN same & {L.bit('dob')} <> 0 AND same & {L.bit('last_alt')} <> 0 AND same & {L.bit('first_like')} <> 0 THEN {L.KEYS.index('dob_alt_name_alt')}
- WHEN same & {L.bit('dod')} <> 0 AND same & {L.bit('last')} <> 0 AND same & {L.bit('first')} <> 0 THEN {L.KEYS.index('dod_name')}
- WHEN same & {L.bit('dod')} <> 0 AND same & {L.bit('last')} <> 0 AND same & {L.bit('first_like')} <> 0 THEN {L.KEYS.index('dod_name_alt')}
- WHEN same & {L.bit('dod')} <> 0 AND same & {L.bit('last_alt')} <> 0 AND same & {L.bit('first')} <> 0 THEN {L.KEYS.index('dod_alt_name')}
- WHEN same & {L.bit('dod')} <> 0 AND same & {L.bit('last_alt')} <> 0 AND same & {L.bit('first_like')} <> 0 THEN {L.KEYS.index('dod_alt_name_alt')}
- WHEN same & {L.bit('last')} <> 0 AND same & {L.bit('first')} <> 0 THEN {L.KEYS.index('no_key')}
- WHEN same & {L.bit('last')} <> 0 AND same & {L.bit('first_like')} <> 0 THEN {L.KEYS.index('no_key_alt')}
- WHEN same & {L.bit('last_alt')} <> 0 AND same & {L.bit('first')} <> 0 THEN {L.KEYS.index('no_key_alt_name')}
- WHEN same & {L.bit('last_alt')} <> 0 AND same & {L.bit('first_like')} <> 0 THEN {L.KEYS.index('no_key_alt_name_alt')} ELSE 0 END AS match_key,
- same - 2 * bit_count(differs) AS net_score FROM e)"""
+ h AS (SELECT *, len(list_intersect(lasts, stored)) AS ln, CASE WHEN (length(f) = 1 AND left(g, 1) = f) OR f = g THEN 1 ELSE 0 END AS fn, CASE WHEN (length(x) = 1 AND left(y, 1) = x) OR x = y THEN 1 ELSE 0 END AS mn,
+ (x IS NOT NULL)::INT AS xs, (y IS NOT NULL)::INT AS ys, pass IN (3, 4) AS born, pass IN (2, 4) AS died,
+ coalesce(il > mh, false) OR coalesce(ih < ml, false) AS apart, coalesce(d BETWEEN ml AND mh, false) AS inm, coalesce(e BETWEEN il AND ih, false) AS ini,
+ coalesce((il >= ml AND ih <= mh) OR ((il = ml OR ih = mh) AND iw <= 1 AND mw <= 1), false) AS held FROM w),
+ n AS (SELECT *, d IS NULL AND e IS NULL AND iw < 2 AND mw < 2 AS ranges, d IS NOT NULL AND e IS NULL AND mw < 2 AS onlyi, d IS NULL AND e IS NOT NULL AND iw < 2 AS onlym,
+ NOT (d IS NOT NULL AND e IS NOT NULL) AND yd IS NOT NULL AND ye IS NOT NULL AS years, NOT (o IS NOT NULL AND u IS NOT NULL) AND yo IS NOT NULL AND yu IS NOT NULL AS dyears FROM h),
+ e AS (SELECT rec_id, cand_id, pass, position,
+ (CASE WHEN list_contains(lasts, stored[1]) THEN 262144 ELSE 0 END) | (CASE WHEN len(stored) > 1 AND list_contains(lasts, stored[2]) THEN 131072 ELSE 0 END) | (CASE WHEN fn = 1 THEN 2048 ELSE 0 END)
+ | (CASE WHEN length(f) > 1 AND f <> g AND replace(f, 'nick', 'first') = g THEN 256 ELSE 0 END) | (CASE WHEN mn = 1 THEN 4 ELSE 0 END) | (CASE WHEN s = t THEN 128 ELSE 0 END) | (CASE WHEN a = z THEN 1048576 ELSE 0 END)
+ | (CASE WHEN lower(p) = lower(q) THEN 2097152 ELSE 0 END) | (CASE WHEN km <= 25 THEN 4194304 ELSE 0 END) | (CASE pass WHEN 1 THEN 12384 WHEN 2 THEN 8224 WHEN 3 THEN 4160 ELSE 0 END)
+ | (CASE WHEN born THEN (CASE WHEN d = e THEN 8192 ELSE 0 END) | (CASE WHEN years AND yd = ye THEN 32 ELSE 0 END) | (CASE WHEN (onlyi AND inm) OR (onlym AND ini) THEN 524288 ELSE 0 END) | (CASE WHEN ranges AND held THEN 24 ELSE 0 END) ELSE 0 END)
+ | (CASE WHEN died THEN (CASE WHEN o = u THEN 4096 ELSE 0 END) | (CASE WHEN dyears AND yo = yu THEN 64 ELSE 0 END) ELSE 0 END) AS same,
+ (CASE WHEN len(stored) > ln AND len(lasts) > ln THEN 262144 ELSE 0 END) | (CASE WHEN xs > mn AND ys > mn THEN 4 ELSE 0 END) | (CASE WHEN s <> t THEN 128 ELSE 0 END) | (CASE WHEN a <> z THEN 1048576 ELSE 0 END)
+ | (CASE WHEN lower(p) <> lower(q) THEN 2097152 ELSE 0 END) | (CASE WHEN km > 1500 THEN 4194304 ELSE 0 END)
+ | (CASE WHEN born THEN (CASE WHEN d <> e OR (onlyi AND NOT inm) OR (onlym AND NOT ini) OR apart THEN 8192 ELSE 0 END) | (CASE WHEN years AND yd <> ye THEN 32 ELSE 0 END) | (CASE WHEN (ranges AND NOT held) OR apart THEN 24 ELSE 0 END) ELSE 0 END)
+ | (CASE WHEN died THEN (CASE WHEN o <> u THEN 4096 ELSE 0 END) | (CASE WHEN dyears AND yo <> yu THEN 64 ELSE 0 END) ELSE 0 END) AS differs,
+ len(list_filter(lasts, lambda l: NOT list_contains(stored, l))) > 0 OR fn = 0 OR xs > mn OR (s IS NOT NULL AND t IS NULL)
+ OR (born AND ((d IS NOT NULL AND e IS NULL AND (mw >= 2 OR inm)) OR (d IS NULL AND e IS NULL AND mw >= 2 AND iw < 2))) OR (died AND ((o IS NOT NULL AND u IS NULL) OR (yo IS NOT NULL AND yu IS NULL))) AS news,
+ len(lasts) <> len(stored) OR ln <> len(stored) OR fn = 0 OR xs <> ys OR mn <> ys OR (s IS NULL) <> (t IS NULL) OR coalesce(s <> t, false) OR a IS DISTINCT FROM z OR km > 200
+ OR (born AND (coalesce(d <> e, false) OR (years AND yd <> ye) OR (onlyi AND NOT inm) OR (onlym AND NOT ini) OR (ranges AND NOT held) OR apart))
+ OR (died AND (coalesce(o <> u, false) OR (dyears AND yo <> yu) OR (NOT dyears AND (o IS NULL OR u IS NULL) AND (o IS DISTINCT FROM u OR yo IS DISTINCT FROM yu)))) AS unlike,
+ greatest(len(lasts), len(stored)) + 1 + greatest(xs, ys) + (s IS NOT NULL OR t IS NOT NULL)::INT + (a IS NOT NULL OR z IS NOT NULL)::INT + (CASE pass WHEN 1 THEN 2 WHEN 4 THEN 0 ELSE 1 END)
+ + (CASE WHEN born AND (d IS NOT NULL OR e IS NOT NULL OR yd IS NOT NULL OR ye IS NOT NULL) THEN 1 ELSE 0 END) + (CASE WHEN died AND (o IS NOT NULL OR u IS NOT NULL OR yo IS NOT NULL OR yu IS NOT NULL) THEN 1 ELSE 0 END) AS potential,
+ (CASE WHEN len(stored) > ln AND len(lasts) > ln THEN 0 ELSE ln END) + fn + (CASE WHEN xs > mn AND ys > mn THEN 0 ELSE mn END) AS names,
+ ln >= 2 AND ln = least(len(lasts), len(stored)) AND fn = 1 AS enough, born AND NOT apart AND coalesce(year(mh) - year(il) <= 1, false) AS close FROM n)"""
 
 
 def scored(spark, d) -> DataFrame:
-    i = incoming(spark, d).select(*[F.col(c).alias(f"i_{c}") for c in ("id", "last", "first", "dob", "dod", "gender")])
-    m = master(spark, d).select(*[F.col(c).alias(f"m_{c}") for c in ("id", "last", "alt", "first", "dob", "dod", "gender")])
-    c = candidates(spark, d).join(i, F.col("rec_id") == F.col("i_id")).join(m, F.col("cand_id") == F.col("m_id"))
-    col = F.col
-    last, first = col("i_last") == col("m_last"), col("i_first") == col("m_first")
-    like = names.initial_match(col("i_first"), col("m_first")) & (F.length("i_first") == 1)
-    same = L.either(
-        L.flag(last, "last"), L.flag(~last & (col("i_last") == col("m_alt")), "last_alt"), L.flag(first, "first"), L.flag(~first & like, "first_like"),
-        L.flag(col("i_dob") == col("m_dob"), "dob"), L.flag(F.year("i_dob") == F.year("m_dob"), "yob"), L.flag(col("i_dod") == col("m_dod"), "dod"),
-        L.flag(F.year("i_dod") == F.year("m_dod"), "yod"), L.flag(col("i_gender") == col("m_gender"), "gender"),
-    )
-    differs = L.either(L.flag(col("i_dob") != col("m_dob"), "dob"), L.flag(col("i_gender") != col("m_gender"), "gender"))
-    rows = c.select("rec_id", "cand_id", "pass", same.alias("same"), differs.alias("differs"))
-    return rows.withColumn("match_key", L.match_key()).withColumn("net_score", L.net_score())
+    i = incoming(spark, d).select(F.col("id").alias("rec_id"), F.struct("*").alias("i"))
+    m = master(spark, d).select(F.col("id").alias("cand_id"), F.struct("*").alias("m"))
+    rows = candidates(spark, d).join(i, "rec_id").join(m, "cand_id")
+    i, m = F.col("i"), F.col("m")
+    listed = lambda *c: F.array_compact(F.array(*c))
+    nick = lambda x, y: F.replace(x, F.lit("nick"), F.lit("first")) == y
+    dob = [F.struct(c["dob"].alias("exact"), c["yob"].alias("year"), c["low"].alias("low"), c["high"].alias("high")) for c in (i, m)]
+    dod = [F.struct(c["dod"].alias("exact"), c["yod"].alias("year")) for c in (i, m)]
+    parts = [
+        *L.named(L.last_names(i["lasts"], listed(m["last"], m["alt"])), L.first_names(F.array(i["first"]), F.array(m["first"]), nick), L.middle_names(listed(i["middle"]), listed(m["middle"]))),
+        L.genders(i["gender"], m["gender"]), L.ages(i["age"], m["age"]), L.spouses(i["spouse"], m["spouse"]), L.places(geo.haversine(i["lat"], i["lon"], m["lat"], m["lon"])),
+    ]
+    told = L.by_pass(F.col("pass"), parts, L.births(*dob), L.deaths(*dod), L.births_and_deaths(*dob, *dod))
+    return rows.select("rec_id", "cand_id", "pass", "position", *told).withColumn("net_score", L.net_score())
+
+
+@query("candidate_evidence", f"WITH {_EVIDENCE_SQL} SELECT *, same - 2 * bit_count(differs) AS net_score FROM e")
+def candidate_evidence(spark, d):
+    return scored(spark, d)
 
 
-@query("candidate_evidence", f"WITH {_SCORED_SQL} SELECT rec_id, cand_id, pass, same, differs, net_score FROM k")
-def candidate_evidence(spark, d):
-    return scored(spark, d).select("rec_id", "cand_id", "pass", "same", "differs", "net_score")
+_KEY_SQL = f"""{_EVIDENCE_SQL}, y AS (SELECT *, differs & 1060960 <> 0 AS clash, same & 8192 <> 0 AS dob, same & 4096 <> 0 AS dod, same & 262144 <> 0 AS last, same & 229376 <> 0 AS alt, same & 2048 <> 0 AS first, same & 256 <> 0 AS like_,
+ same & 524288 <> 0 AS within, same & 4194304 <> 0 AS place, differs = 0 AS clean FROM e),
+ r AS (SELECT *, CASE WHEN clash OR differs & 262144 <> 0 THEN 0 WHEN (dob OR place) AND last AND first THEN CASE WHEN dod THEN 20 ELSE 16 END WHEN dob AND alt AND first THEN CASE WHEN dod THEN 19 ELSE 15 END
+ WHEN (dob OR within) AND like_ THEN CASE WHEN dob AND last THEN CASE WHEN dod THEN 18 ELSE 10 END WHEN dob AND alt THEN CASE WHEN dod THEN 17 ELSE 9 END
+  WHEN last THEN CASE WHEN dod THEN 14 ELSE 13 END WHEN alt THEN CASE WHEN dod THEN 6 ELSE 5 END ELSE 0 END
+ WHEN last AND first THEN CASE WHEN dod THEN 12 ELSE 4 END WHEN last AND like_ THEN CASE WHEN dod THEN 8 ELSE 2 END WHEN last THEN 0
+ WHEN alt AND first THEN CASE WHEN dod THEN 11 ELSE 3 END WHEN alt AND like_ THEN CASE WHEN dod THEN 7 ELSE 1 END ELSE 0 END AS k0 FROM y),
+ f AS (SELECT *, k0 >= 12 OR (NOT (k0 >= 7 AND clean) AND ((potential >= 6 AND NOT unlike) OR (k0 >= 4 AND clean AND (enough OR (names >= 3 AND (close OR place)))))) AS sure FROM r),
+ k AS (SELECT *, CASE WHEN rec_id % 50 = 0 AND rec_id = cand_id THEN 21 WHEN NOT sure AND NOT clean THEN 0 WHEN k0 = 16 AND position <> 0 THEN 15 ELSE k0 END AS match_key,
+ (rec_id % 50 = 0 AND rec_id = cand_id) OR ((sure OR (k0 >= 7 AND clean)) AND NOT (NOT sure AND NOT clean)) AS known,
+ (rec_id % 50 = 0 AND rec_id = cand_id) OR sure OR ((k0 >= 7 AND clean) AND k0 >= 4 AND NOT clash AND rec_id % 3 = 0) AS sufficient, same - 2 * bit_count(differs) AS net_score FROM f)"""
 
 
-@query("match_keys", f"WITH {_SCORED_SQL} SELECT rec_id, cand_id, match_key FROM k")
+def decided(spark, d) -> DataFrame:
+    rec = F.col("rec_id")
+    return L.decided(scored(spark, d), family=rec % 3 == 0, by_alternate=F.col("position") != 0, same_id=(rec % 50 == 0) & (rec == F.col("cand_id")))
+
+
+@query("match_keys", f"WITH {_KEY_SQL} SELECT rec_id, cand_id, match_key, known, sufficient FROM k")
 def match_keys(spark, d):
-    return scored(spark, d).select("rec_id", "cand_id", "match_key")
+    return decided(spark, d).select("rec_id", "cand_id", "match_key", "known", "sufficient")
+
+
+_STOP_SQL = f"""{_KEY_SQL}, s AS (SELECT *, min(CASE WHEN match_key >= 15 THEN pass * 10 + position END) OVER (PARTITION BY rec_id) AS stop FROM k),
+ t AS (SELECT * FROM s WHERE stop IS NULL OR pass * 10 + position <= stop), best AS (SELECT *, row_number() OVER (PARTITION BY rec_id ORDER BY match_key DESC, net_score DESC, cand_id) AS rn FROM t)"""
 
 
-_STOP_SQL = f"""{_SCORED_SQL}, s AS (SELECT *, min(CASE WHEN match_key >= {L.KEYS.index('alt_key')} THEN pass END) OVER (PARTITION BY rec_id) AS stop FROM k),
- t AS (SELECT * FROM s WHERE stop IS NULL OR pass <= stop), b AS (SELECT *, row_number() OVER (PARTITION BY rec_id ORDER BY match_key DESC, net_score DESC, cand_id) AS n FROM t)"""
+def stopped(spark, d) -> DataFrame:
+    rows = decided(spark, d).withColumn("block", F.col("pass") * 10 + F.col("position"))
+    return L.early_stop(rows, F.col("match_key") >= L.KEYS.index("alt_key"), "block")
 
 
 def best_candidates(spark, d) -> DataFrame:
-    stopped = L.early_stop(scored(spark, d), F.col("match_key") >= L.KEYS.index("alt_key"))
-    return L.best(stopped, "rec_id", F.desc("match_key"), F.desc("net_score"), F.col("cand_id"))
+    return L.best(stopped(spark, d), "rec_id", F.desc("match_key"), F.desc("net_score"), F.col("cand_id"))
 
 
-@query("early_stop_passes", f"WITH {_STOP_SQL} SELECT rec_id, cand_id, pass FROM t")
+@query("early_stop_passes", f"WITH {_STOP_SQL} SELECT rec_id, cand_id, pass, position FROM t")
 def early_stop_passes(spark, d):
-    return L.early_stop(scored(spark, d), F.col("match_key") >= L.KEYS.index("alt_key")).select("rec_id", "cand_id", "pass")
+    return stopped(spark, d).select("rec_id", "cand_id", "pass", "position")
 
 
-@query("linkage_best", f"WITH {_STOP_SQL} SELECT rec_id, cand_id, match_key, net_score FROM b WHERE n = 1")
+@query("linkage_best", f"WITH {_STOP_SQL} SELECT rec_id, cand_id, match_key, net_score FROM best WHERE rn = 1")
 def linkage_best(spark, d):
     return best_candidates(spark, d).select("rec_id", "cand_id", "match_key", "net_score")
 
 
-@query("linkage_histogram", f"WITH {_STOP_SQL} SELECT match_key, count(*) AS n FROM b WHERE n = 1 GROUP BY 1")
+@query("linkage_histogram", f"WITH {_STOP_SQL} SELECT match_key, count(*) AS n FROM best WHERE rn = 1 GROUP BY 1")
 def linkage_histogram(spark, d):
     return best_candidates(spark, d).groupBy("match_key").agg(F.count("*").alias("n"))
 
@@ -136,14 +185,12 @@ def linkage_histogram(spark, d):
 @query(
     "load_action",
     f"""WITH {_STOP_SQL} SELECT rec_id, CASE WHEN rec_id % 100 = 0 THEN 'force_new' WHEN rec_id % 52 = 0 THEN 'override' WHEN rec_id % 44 = 0 THEN 'junk'
-        WHEN match_key >= {L.KEYS.index('dod_name')} AND (differs <> 0 OR rec_id % 8 <> 0 OR match_key >= {L.KEYS.index('key')}) THEN 'update'
-        WHEN match_key >= {L.KEYS.index('dod_name')} THEN 'skip' ELSE 'insert' END AS action FROM b WHERE n = 1""",
+        WHEN known AND (news OR rec_id % 8 <> 0 OR sufficient) THEN 'update' WHEN known THEN 'skip' ELSE 'insert' END AS action FROM best WHERE rn = 1""",
 )
 def load_action(spark, d):
     r = F.col("rec_id")
     code = F.when(r % 100 == 0, 100).when(r % 52 == 0, 101).when(r % 44 == 0, 900).otherwise(0)
-    key = F.col("match_key")
-    action = L.run_action(code, key >= L.KEYS.index("dod_name"), F.col("differs") != 0, r % 8 == 0, key >= L.KEYS.index("key"))
+    action = L.run_action(code, F.col("known"), F.col("news"), r % 8 == 0, F.col("sufficient"))
     return best_candidates(spark, d).select("rec_id", action.alias("action"))
 
 
