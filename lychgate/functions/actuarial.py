@@ -29,6 +29,17 @@ def makeham(a: float = 0.0002, b: float = 0.00003, c: float = 1.1) -> np.ndarray
     return q
 
 
+def improved_by_year(q: np.ndarray, scale: np.ndarray, base: int, year: int, generational: bool = False) -> np.ndarray:
+    """Rates after yearly improvements from a base year to `year` by a scale of (age, year from the base on), whose last
+    year stands for later ones; generational: an age is reached a year later than the one before."""
+    out = np.array(q, float)
+    for x in range(len(q)):
+        years = max(0, year + (x if generational else 0) - base)
+        known = scale[x, :years]
+        out[x] *= np.prod(1 - known) * (1 - scale[x, -1]) ** (years - len(known))
+    return np.clip(np.round(out, 6), 0, 1)
+
+
 def improved(q: np.ndarray, scale: np.ndarray, years: int, generational: bool = False) -> np.ndarray:
     """Rates after `years` of improvement, or one more a year of age lived if generational."""
     n = years + np.arange(len(q)) if generational else years
@@ -111,66 +122,141 @@ def tpx(l: np.ndarray, age: np.ndarray, t: np.ndarray) -> np.ndarray:
     return np.round(lx(age + t) / np.maximum(lx(age), 1e-300), 6)
 
 
-def _times(f: Frequency, years: float) -> np.ndarray:
-    n = np.arange(int(np.ceil(years * f.payments)))
-    return (n + f.arrears) / f.payments
-
-
-def _discount(i: float, t: np.ndarray) -> np.ndarray:
-    return (1 + i) ** -t
-
+def _steps(f: Frequency, years: float) -> np.ndarray:
+    """Payments' places, counted in payment periods from the start."""
+    if f.arrears:
+        return np.arange(1, int(years * f.payments + 0.0005) + 1)
+    return np.arange(1 + int(max(0.0, years * f.payments - 0.0001)))
 
-def annuity(l: np.ndarray, age: float, i: float, f: Frequency, guarantee: float = 0.0, cola: float = 0.0, deferral: float = 0.0) -> float:
-    """Value of 1 a year for life, payments within the guarantee certain; four places."""
-    t = _times(f, LAST_AGE - age - deferral + 1)
-    alive = tpx(l, np.full(len(t), age + deferral), t)
-    paid = np.where(t < guarantee + f.arrears / f.payments, 1.0, alive)
-    start = float(tpx(l, np.array([age]), np.array([deferral]))[0]) * _discount(i, np.array([deferral]))[0]
-    return round(float((paid * _discount(i, t) * (1 + cola) ** np.floor(t)).sum() / f.payments * start), 4)
 
+def discounts(rates, t: np.ndarray) -> np.ndarray:
+    """Value of 1 due in t years; rates: one, or [r1, n1, r2, n2, ..., rk] as in vt()."""
+    rates = np.atleast_1d(np.asarray(rates, float))
+    left, log = np.asarray(t, float).copy(), np.zeros(len(t))
+    for k in range(0, len(rates), 2):
+        now = np.minimum(left, rates[k + 1]) if k + 1 < len(rates) else left
+        log -= now * np.log1p(rates[k])
+        left = left - now
+    return np.exp(log)
 
-#: What is paid in each of the states (both alive, first only, second only); p is the joint share.
-REDUCTIONS = {
-    0: lambda p: (1.0, 1.0, 1.0), 1: lambda p: (1.0, 1.0, p), 2: lambda p: (1.0, p, 1.0), 3: lambda p: (1.0, p, p),
-    4: lambda p: (1.0, 0.0, 0.0), 5: lambda p: (0.0, 0.0, p),
-}
 
-
-def joint(l1: np.ndarray, l2: np.ndarray, age1: float, age2: float, i: float, f: Frequency, share: float, option: int) -> float:
-    """Value of 1 a year on two lives with a reduction option; four places."""
-    t = _times(f, LAST_AGE - min(age1, age2) + 1)
-    a, b = tpx(l1, np.full(len(t), age1), t), tpx(l2, np.full(len(t), age2), t)
-    both, first, second = REDUCTIONS[option](share)
-    paid = both * a * b + first * a * (1 - b) + second * b * (1 - a)
-    return round(float((paid * _discount(i, t)).sum() / f.payments), 4)
+def dropped(rates, t: float) -> list[float]:
+    """The rate list as it stands after t years."""
+    rates = [float(x) for x in np.atleast_1d(np.asarray(rates, float))]
+    while len(rates) > 1 and rates[1] <= t:
+        t -= rates[1]
+        rates = rates[2:]
+    return rates if len(rates) == 1 else [rates[0], rates[1] - t, *rates[2:]]
+
+
+def series(rates, f: Frequency, years: float, stepped: bool = False) -> np.ndarray:
+    """Discounts at the payments of so many years. stepped: interest is credited every `compounding` payments only."""
+    steps = _steps(f, years)
+    return discounts(rates, (steps // f.compounding * f.compounding if stepped else steps) / f.payments)
+
+
+def vt_series(rates: Column, years: int, payments: int, arrears: bool = False) -> Column:
+    """series() as an array column, each to four places."""
+    steps = F.sequence(F.lit(int(arrears)), F.lit(years * payments - (not arrears)))
+    return F.transform(steps, lambda k: vt(k / payments, rates))
+
+
+def _sure(f: Frequency, guarantee: float, n: int) -> np.ndarray:
+    """1 for payments within the guarantee, which are made in any case."""
+    paid = int(f.payments * guarantee + 0.0005) if f.arrears else 1 + int(max(0.0, f.payments * guarantee - 0.0001))
+    return (np.arange(n) < paid).astype(float)
+
+
+def _value(paid: np.ndarray, f: Frequency, years: float, rates, cola, deferral: float, alive: float) -> float:
+    """Payments discounted, raised by cola, deferred; four places."""
+    worth = series(dropped(rates, deferral), f, years) / series(dropped(cola, deferral), f, years, stepped=True)
+    wait = np.array([deferral])
+    start = discounts(rates, wait)[0] / discounts(cola, wait)[0] * alive
+    return round(float((paid * worth).sum() / f.payments * start), 4)
+
+
+def annuity(l: np.ndarray, age: float, i, f: Frequency, guarantee: float = 0.0, cola=0.0, deferral: float = 0.0, mortal: bool = True) -> float:
+    """Value of 1 a year for life, payments within the guarantee certain; four places. i and cola are rates or lists of
+    rates and years. mortal: the deferral has to be survived."""
+    years = LAST_AGE - age - deferral + 1
+    t = _steps(f, years) / f.payments
+    x = tpx(l, np.full(len(t), age + deferral), t)
+    alive = float(tpx(l, np.array([age]), np.array([deferral]))[0]) if mortal else 1.0
+    return _value(np.maximum(x, _sure(f, guarantee, len(t))), f, years, i, cola, deferral, alive)
+
+
+def joint(l1: np.ndarray, l2: np.ndarray, age1: float, age2: float, i, f: Frequency, share: float, option: int, guarantee: float = 0.0, cola=0.0, deferral: float = 0.0, mortal: bool = True) -> float:
+    """Value of 1 a year on two lives, of which the part `share` remains after a death; four places. Option 1: after the first
+    life's death, 2: after the second's, 3: after either's. The guarantee is on the life or lives whose death reduces
+    payments; options 4, 5 and 6 pay like 1, 2 and 3, with the guarantee on the reduced part instead."""
+    if option not in range(1, 7) or not 0 <= share <= 5 or guarantee < 0:
+        raise ValueError("option, share or guarantee out of range")
+    years = LAST_AGE - min(age1, age2) - deferral + 1
+    t = _steps(f, years) / f.payments
+    x, y = (tpx(l, np.full(len(t), age + deferral), t) for l, age in ((l1, age1), (l2, age2)))
+    sure = _sure(f, guarantee, len(t))
+    if option in (2, 5):
+        x, y = y, x
+    full = x * y if option in (3, 6) else x  # all is paid while both live, or while the first does
+    either = x + y - x * y
+    if option <= 3:
+        paid = np.maximum(sure, full + share * (either - full))
+    elif option == 6:
+        paid = full + share * (np.maximum(sure, either) - full)
+    else:
+        kept = np.maximum(sure, y)
+        paid = x + share * (kept - x * kept)
+    alive = float(np.prod([tpx(l, np.array([age]), np.array([deferral]))[0] for l, age in ((l1, age1), (l2, age2))])) if mortal else 1.0
+    return _value(paid, f, years, i, cola, deferral, alive)
 
 
 def functions(q: np.ndarray):
-    """tPx, LIFE and JOINT over a table of death rates, as pandas UDFs; errors give null."""
+    """tPx, LIFE and JOINT over a table of death rates, as pandas UDFs; errors give null. Rates and cola are lists."""
     l = survivors(q)
 
+    def value(make, code, *args) -> float | None:
+        f = frequency(code)
+        try:
+            return make(f, *args) if f else None
+        except ValueError:
+            return None
+
     @F.pandas_udf("double")
     def tpx_(age: pd.Series, t: pd.Series) -> pd.Series:
         ok = age.between(0, LAST_AGE) & (t >= 0)
         return pd.Series(tpx(l, age.clip(0, LAST_AGE).to_numpy(float), t.clip(0).to_numpy(float))).where(ok)
 
     @F.pandas_udf("double")
-    def life_(age: pd.Series, i: pd.Series, freq: pd.Series, guarantee: pd.Series) -> pd.Series:
-        out = [annuity(l, a, r, f, g) if (f := frequency(c)) and 0 <= a <= LAST_AGE else None for a, r, c, g in zip(age, i, freq, guarantee)]
-        return pd.Series(out, dtype=float)
+    def life_(age: pd.Series, rates: pd.Series, freq: pd.Series, guarantee: pd.Series, cola: pd.Series, deferral: pd.Series) -> pd.Series:
+        one = lambda f, a, r, g, c, d: annuity(l, a, r, f, g, c, d) if 0 <= a and a + d <= LAST_AGE else None
+        return pd.Series([value(one, n, a, r, g, c, d) for a, r, n, g, c, d in zip(age, rates, freq, guarantee, cola, deferral)], dtype=float)
 
     @F.pandas_udf("double")
-    def joint_(age1: pd.Series, age2: pd.Series, i: pd.Series, freq: pd.Series, share: pd.Series, option: pd.Series) -> pd.Series:
-        out = [joint(l, l, a, b, r, f, s, int(o)) if (f := frequency(c)) else None for a, b, r, c, s, o in zip(age1, age2, i, freq, share, option)]
-        return pd.Series(out, dtype=float)
+    def joint_(age1: pd.Series, age2: pd.Series, rates: pd.Series, freq: pd.Series, share: pd.Series, option: pd.Series, guarantee: pd.Series) -> pd.Series:
+        one = lambda f, a, b, r, s, o, g: joint(l, l, a, b, r, f, s, int(o), g)
+        return pd.Series([value(one, n, a, b, r, s, o, g) for a, b, r, n, s, o, g in zip(age1, age2, rates, freq, share, option, guarantee)], dtype=float)
 
     return tpx_, life_, joint_
 
 
+#: SQL functions without Python: elapse of two dates, vt of a time and a rate list, eligdate of a date and years from it.
+_SQL = (
+    """elapse(a DATE, b DATE) RETURNS DOUBLE RETURN round(
+         year(b) + (dayofyear(b) - 1) / dayofyear(make_date(year(b), 12, 31)) - year(a) - (dayofyear(a) - 1) / dayofyear(make_date(year(a), 12, 31)), 4)""",
+    """vt(t DOUBLE, rates ARRAY<DOUBLE>) RETURNS DOUBLE RETURN CASE WHEN size(rates) % 2 = 1 AND forall(filter(rates, (x, i) -> i % 2 = 0), r -> r BETWEEN 0 AND 1) THEN round(exp(aggregate(
+         sequence(0, cast((size(rates) - 1) / 2 AS int)), named_struct('log', 0D, 'left', t), (acc, i) -> named_struct(
+         'log', acc.log - least(acc.left, coalesce(get(rates, 2 * i + 1), double('infinity'))) * log1p(get(rates, 2 * i)),
+         'left', acc.left - least(acc.left, coalesce(get(rates, 2 * i + 1), double('infinity')))), acc -> acc.log)), 4) END""",
+    "eligdate(d DATE, years DOUBLE) RETURNS DATE RETURN date_add(add_months(d, 12 * int(floor(years))), cast(round((years - floor(years)) * datediff(add_months(d, 12 * int(floor(years)) + 12), add_months(d, 12 * int(floor(years))))) AS int))",
+)
+
+
 def register(spark, q: np.ndarray | None = None) -> None:
-    """SQL names tpx, life and joint for a mortality table (Makeham's by default)."""
+    """SQL names tpx, life and joint for a mortality table (Makeham's by default), and elapse, vt and eligdate."""
     for name, f in zip(("tpx", "life", "joint"), functions(makeham() if q is None else q)):
         spark.udf.register(name, f)
+    for text in _SQL:
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {text}")
 
 
 def error_code(age: Column, freq: Column, rates: Column) -> Column:

@@ -63,10 +63,12 @@ def numeric_date(a: Column, b: Column, c: Column, as_of: Column) -> Column:
 
 
 def date_at_age(birth: Column, age: Column, option: int = 0) -> Column:
-    """The date a fractional age is reached, by whole years and months, days rounded; then month_round."""
-    months = F.floor(age * 12)
-    days = F.round((age * 12 - months) * 30).cast("int")
-    return month_round(F.date_add(F.add_months(birth, months.cast("int")), days), option)
+    """The date a fractional age is reached: the whole years, and the part of the year that follows, in days rounded;
+    then month_round."""
+    whole = F.floor(age)
+    last = F.add_months(birth, (12 * whole).cast("int"))
+    days = F.round((age - whole) * F.datediff(F.add_months(birth, (12 * whole + 12).cast("int")), last)).cast("int")
+    return month_round(F.date_add(last, days), option)
 
 
 def eligibility(birth: Column, hired: Column, age: Column, service: Column, points: Column, latest: bool = False) -> Column:

@@ -130,9 +130,22 @@ def test_actuarial():
     assert A.tpx(l, np.array([60.0]), np.array([0.5]))[0] == pytest.approx(1 - q[60] / 2, abs=1e-6)
     monthly, arrears = A.annuity(l, 65, 0.04, A.frequency(12)), A.annuity(l, 65, 0.04, A.frequency(112))
     assert monthly - arrears == pytest.approx(1 / 12, abs=1e-3) and A.annuity(l, 65, 0.04, A.frequency(12), guarantee=10) > monthly
-    both = A.joint(l, l, 65, 65, 0.04, A.frequency(12), 0.0, 4)
-    second = A.joint(l, l, 65, 65, 0.04, A.frequency(12), 1.0, 5)
-    assert both + second == pytest.approx(monthly, abs=1e-3)
+    pays = lambda option, share, **more: A.joint(l, l, 65, 60, 0.04, A.frequency(12), share, option, **more)
+    first, second = A.annuity(l, 65, 0.04, A.frequency(12)), A.annuity(l, 60, 0.04, A.frequency(12))
+    assert pays(1, 0.0) == pytest.approx(first, abs=1e-3) and pays(2, 0.0) == pytest.approx(second, abs=1e-3)
+    assert pays(3, 0.0) + pays(3, 1.0) == pytest.approx(first + second, abs=1e-3)  # both alive, and either
+    assert all(pays(o, 0.6) == pytest.approx(pays(o + 3, 0.6), abs=1e-3) for o in (1, 2, 3))  # without a guarantee
+    assert pays(1, 0.6, guarantee=10) > pays(4, 0.6, guarantee=10) > pays(4, 0.6)
+    assert A.annuity(l, 50, [0.05, 10, 0.03], A.frequency(1), deferral=15.0) == pytest.approx(
+        A.discounts([0.05, 10, 0.03], np.array([15.0]))[0] * A.tpx(l, np.array([50.0]), np.array([15.0]))[0] * A.annuity(l, 65, 0.03, A.frequency(1)), abs=1e-3
+    )
+    assert A.annuity(l, 65, 0.04, A.frequency(12.12), cola=0.02) < A.annuity(l, 65, 0.04, A.frequency(12), cola=0.02)  # raised once a year only
+    for wrong in (0, 7):
+        with pytest.raises(ValueError):
+            pays(wrong, 0.6)
+    scale = np.full((len(q), 3), 0.02)
+    assert np.allclose(A.improved_by_year(q, scale, 2000, 2010), A.improved(q, np.full(len(q), 0.02), 10), atol=1e-6)
+    assert np.allclose(A.improved_by_year(q, scale, 2000, 2010, True), A.improved(q, np.full(len(q), 0.02), 10, True), atol=1e-6)
     assert A.frequency(13) is None and A.frequency(12.02).compounding == 2
     assert A.parse_basis("CUP942015G") == {"deferral": "C", "table": "UP94", "year": 2015, "projection": "generational"} and A.parse_basis("?") is None
 
