@@ -32,18 +32,26 @@ def initial_match(a: Column, b: Column) -> Column:
 
 
 def similarity(a: Column, b: Column, multiple: bool = False) -> Column:
-    """Of two name lists: 1 a name found in the other list, 0.5 if only as an initial. Single: the best, at
-    most 1. Multiple: the sum, or minus the shorter list's length if fewer than that many are found."""
-
-    def points(x: Column) -> Column:
-        full = F.exists(b, lambda y: same_name(x, y))
-        return F.when(full, F.lit(1.0)).when(F.exists(b, lambda y: initial_match(x, y)), F.lit(0.5)).otherwise(F.lit(0.0))
-
-    each = F.transform(a, points)
+    """Of two name lists: a pair of equal names counts 1, one where either is the other's initial 0.5. Single: the sum,
+    1 at most. Multiple: the sum, or minus the shorter list's length if fewer pairs than that match. A name takes no more
+    pairs after an equal one, nor an initial after its first."""
+    start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("hits"), F.lit(False).alias("done"))
+
+    def meet(x: Column):
+        def step(acc: Column, y: Column) -> Column:
+            p, q = name_key(x), name_key(y)
+            initial = (F.length(p) == 1) | (F.length(q) == 1)
+            hit = ~acc["done"] & F.when(initial, F.left(p, F.lit(1)) == F.left(q, F.lit(1))).otherwise(p == q)
+            points = F.when(hit, F.when(initial, 0.5).otherwise(1.0)).otherwise(0.0)
+            return F.struct((acc["sum"] + points).alias("sum"), (acc["hits"] + hit.cast("int")).alias("hits"), (acc["done"] | (hit & (~initial | (F.length(p) == 1)))).alias("done"))
+
+        return F.aggregate(b, start, step)
+
+    each = F.transform(a, meet)
+    total = F.aggregate(each, F.lit(0.0), lambda s, x: s + x["sum"])
     if not multiple:
-        return F.coalesce(F.array_max(each), F.lit(0.0))
-    total = F.aggregate(each, F.lit(0.0), lambda s, x: s + x)
-    hits = F.size(F.filter(each, lambda x: x > 0))
+        return F.least(F.lit(1.0), total)
+    hits = F.aggregate(each, F.lit(0), lambda s, x: s + x["hits"])
     least = F.least(F.size(a), F.size(b))
     return F.when(hits < least, -least.cast("double")).otherwise(total)
 
@@ -58,13 +66,34 @@ def credibility(male: Column, female: Column) -> Column:
     unanimous = (male == 0) | (female == 0)
     return (
         F.when(n == 0, "zero")
-        .when((n <= 10) & ~(unanimous & (n >= 5)), "low")
+        .when((n <= 10) & ~unanimous, "low")
         .when((n <= 50) & ~(unanimous & (n >= 5)), "medium")
         .when((n <= 250) & ~(unanimous & (n >= 100)), "high")
         .otherwise("veryHigh")
     )
 
 
+def corrected(male: Column, female: Column, surnames: Column) -> Column:
+    """(male, female, surnames) without what are likely errors of reading: the other gender where one has more than
+    0.9975, and fewer than ten surnames of a name given more than 5000 times."""
+    share = male_share(male, female)
+    m, f = F.when(share < 0.0025, F.lit(0)).otherwise(male), F.when(share > 0.9975, F.lit(0)).otherwise(female)
+    return F.struct(m.alias("male"), f.alias("female"), F.when((surnames < 10) & (m + f > 5000), F.lit(0)).otherwise(surnames).alias("surnames"))
+
+
+#: The least share of a gender that a name of it may have, by credibility tier.
+CONSISTENT = {"veryHigh": 0.95, "high": 0.90, "medium": 0.75, "low": 0.50, "zero": 0.25}
+
+
+def gender_consistent(male: Column, female: Column, gender: Column, others: Column = None) -> Column:
+    """Whether a name goes with a gender (M or F): its share must be above the tier's. For a null gender the likelihood of
+    `others` (0 female to 1 male) decides if it is beyond 0.9 or 0.1."""
+    share = F.coalesce(male_share(male, female), F.lit(0.0))
+    least = F.create_map(*[F.lit(x) for kv in CONSISTENT.items() for x in kv])[credibility(male, female)]
+    told = gender if others is None else F.coalesce(gender, F.when(others > 0.9, "M").when(others < 0.1, "F"))
+    return F.coalesce(F.when(told == "M", share > least).when(told == "F", share < 1 - least), F.lit(False))
+
+
 def gendered(male: Column, female: Column, gender: Column) -> Column:
     """Whether a name may be of a gender (M, F or null): by count when rare, else by share."""
     n = male + female
@@ -111,12 +140,25 @@ def trusted_share(male: Column, female: Column) -> Column:
     return F.lit(0.5) + (F.coalesce(male_share(male, female), F.lit(0.5)) - 0.5) * trust
 
 
-def gender_of(shares: Column, first: float = 0.7) -> Column:
-    """From 0 (female) to 1 (male) of a list of trusted shares: the first name weighs `first`, the others share the
-    rest; one half for no names."""
-    n = F.size(shares)
-    tail = F.aggregate(F.slice(shares, F.lit(2), F.greatest(F.lit(0), n - 1)), F.lit(0.0), lambda a, x: a + x)
-    return F.when(n == 0, 0.5).when(n == 1, F.get(shares, F.lit(0))).otherwise(F.get(shares, F.lit(0)) * first + tail * (1 - first) / (n - 1))
+#: The weight of the first of several names, by credibility tier.
+FIRST_WEIGHT = {"zero": 0.7, "low": 0.7, "medium": 0.7, "high": 0.8, "veryHigh": 0.9}
+
+
+def gender_of(counts: Column) -> Column:
+    """From 0 (female) to 1 (male) of names as structs (male, female), the first name first; one half for none. One name:
+    its trusted share. More: the first weighs FIRST_WEIGHT, the others share the rest; then a quarter of what is missing to
+    certainty is added as often as the names agree on it, by the square of their mean share."""
+    n = F.size(counts)
+    shares = F.transform(counts, lambda c: F.coalesce(male_share(c["male"], c["female"]), F.lit(0.5)))
+    first = F.get(counts, F.lit(0))
+    weight = F.create_map(*[F.lit(x) for kv in FIRST_WEIGHT.items() for x in kv])[credibility(first["male"], first["female"])]
+    total = F.aggregate(shares, F.lit(0.0), lambda a, x: a + x)
+    lead = F.get(shares, F.lit(0))
+    mean = weight * lead + (1 - weight) * (total - lead) / (n - 1)  # towards male above one half
+    agree = F.when(mean >= 0.5, total / n).otherwise(1 - total / n)
+    more = (1 - F.abs(mean - 0.5) / 0.5) * agree * agree * 0.25
+    several = F.when(mean >= 0.5, mean + more).otherwise(mean - more)
+    return F.when(n == 0, 0.5).when(n == 1, trusted_share(first["male"], first["female"])).otherwise(several)
 
 
 def likely_kind(name: Column, given: Column, surnames: Column, known_gender: Column) -> Column:

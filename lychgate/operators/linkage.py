@@ -337,6 +337,20 @@ def variant_rows(df: DataFrame, names: str, most: int = 4) -> DataFrame:
     return rows.withColumn("weight", weight).drop("_v")
 
 
+def with_variations(records: DataFrame, names: str, first_names: DataFrame, nicknames: DataFrame, out: str = "variations") -> DataFrame:
+    """records (id, ...) with the names of a list column and all their versions: alternatives of first_names (name, alt_names)
+    and formal names of nicknames (nickname, formal_names), without accents, sorted, each once."""
+    from lychgate.functions.names import name_key, unaccent
+
+    own = records.select("id", F.explode(names).alias("_name")).withColumn("_key", name_key(F.col("_name")))
+    known = first_names.select(name_key(F.col("name")).alias("_key"), F.explode("alt_names").alias("_other")).unionByName(
+        nicknames.select(name_key(F.col("nickname")).alias("_key"), F.explode("formal_names").alias("_other"))
+    )
+    more = own.join(known, "_key").select("id", F.col("_other").alias("_name"))
+    grouped = own.select("id", "_name").union(more).groupBy("id").agg(F.array_sort(F.collect_set(unaccent(F.col("_name")))).alias(out))
+    return records.join(grouped, "id", "left").withColumn(out, F.coalesce(out, F.array().cast("array<string>")))
+
+
 def merged_names(old: Column, new: Column, nicknames: Column, most: int = 3) -> Column:
     """First names of a record and its update: old ones first, without repeats up to accents and case, formal ones
     before nicknames, `most` at most."""

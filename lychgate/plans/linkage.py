@@ -217,12 +217,15 @@ def rank_monitored(spark, d):
 
 @query(
     "name_similarity",
-    """SELECT p_partkey, CASE WHEN len(list_intersect(a, b)) > 0 THEN 1.0 WHEN len(list_filter(a, lambda x: len(list_filter(b, lambda y: (length(x) = 1 OR length(y) = 1) AND x[1] = y[1])) > 0)) > 0
-       THEN 0.5 ELSE 0.0 END::DOUBLE AS sim FROM (SELECT p_partkey, string_split(lower(p_name), ' ') AS a, [lower(p_type), substr(lower(p_name), 1, 1), lower(p_brand)] AS b FROM part)""",
+    """SELECT p_partkey, least(1.0, list_sum(list_transform(a, lambda x: CASE WHEN x = kind OR x = brand THEN 1.0 ELSE 0.0 END + CASE WHEN x[1] = letter THEN 0.5 ELSE 0.0 END)))::DOUBLE AS sim,
+       CASE WHEN len(list_filter(a, lambda x: x[1] = letter OR x = a[1])) < least(len(a), 2) THEN -least(len(a), 2)
+            ELSE len(list_filter(a, lambda x: x[1] = letter AND x <> a[1])) * 0.5 + len(list_filter(a, lambda x: x = a[1])) END::DOUBLE AS many
+       FROM (SELECT p_partkey, string_split(lower(p_name), ' ') AS a, lower(p_type) AS kind, lower(p_brand) AS brand, substr(lower(p_name), 1, 1) AS letter FROM part)""",
 )
 def name_similarity(spark, d):
-    a, b = F.split("p_name", " "), F.array("p_type", F.substring("p_name", 1, 1), "p_brand")
-    return table(spark, d, "part").select("p_partkey", names.similarity(a, b).alias("sim"))
+    a, letter = F.split("p_name", " "), F.substring("p_name", 1, 1)
+    single = names.similarity(a, F.array("p_type", letter, "p_brand"))
+    return table(spark, d, "part").select("p_partkey", single.alias("sim"), names.similarity(a, F.array(F.upper(a[0]), letter), multiple=True).alias("many"))
 
 
 _NAMES_SQL = "n AS (SELECT c_nationkey AS name_id, count(*) FILTER (WHERE c_custkey % 3 = 0) AS male, count(*) FILTER (WHERE c_custkey % 3 <> 0 AND c_custkey % 7 > c_nationkey % 7) AS female FROM customer GROUP BY 1)"
@@ -238,7 +241,7 @@ def _name_counts(spark, d):
 @query(
     "name_credibility",
     f"""WITH {_NAMES_SQL} SELECT name_id, CASE WHEN male + female > 0 THEN male / (male + female) END AS male_pct, CASE WHEN male + female = 0 THEN 'zero'
-        WHEN male + female <= 10 AND NOT ((male = 0 OR female = 0) AND male + female >= 5) THEN 'low' WHEN male + female <= 50 AND NOT ((male = 0 OR female = 0) AND male + female >= 5) THEN 'medium'
+        WHEN male + female <= 10 AND male > 0 AND female > 0 THEN 'low' WHEN male + female <= 50 AND NOT ((male = 0 OR female = 0) AND male + female >= 5) THEN 'medium'
         WHEN male + female <= 250 AND NOT ((male = 0 OR female = 0) AND male + female >= 100) THEN 'high' ELSE 'veryHigh' END AS tier,
         (male + female >= 10 AND (male / (male + female) >= 0.8 OR male / (male + female) <= 0.2)) AS convincing FROM n""",
 )
@@ -286,18 +289,61 @@ def hyphenated_names(spark, d):
 
 
 
+#: Counts around the tiers' borders, unanimous and mixed.
+_TIERS = [(0, 0), (9, 1), (10, 1), (49, 1), (50, 1), (249, 1), (250, 1), (1, 0), (0, 4), (5, 0), (0, 100), (99, 0), (3, 0), (7, 3), (20, 40), (999, 2), (2, 999), (5001, 1), (1, 9000)]
+_TIERS_SQL = "v(k, male, female) AS (VALUES " + ", ".join(f"({k}, {m}, {f})" for k, (m, f) in enumerate(_TIERS)) + ")"
+
+
+_TIER_SQL = """CASE WHEN male + female = 0 THEN 'zero' WHEN male * female > 0 THEN CASE WHEN male + female > 250 THEN 'veryHigh' WHEN male + female > 50 THEN 'high' WHEN male + female > 10 THEN 'medium' ELSE 'low' END
+ WHEN male + female >= 100 THEN 'veryHigh' WHEN male + female >= 5 THEN 'high' ELSE 'medium' END"""
+
+
+@query(
+    "name_tiers",
+    f"""WITH {_TIERS_SQL} SELECT c_custkey, {_TIER_SQL} AS tier, (CASE WHEN male + female > 0 THEN male / (male + female)::DOUBLE ELSE 0 END) > (CASE {_TIER_SQL} WHEN 'veryHigh' THEN 0.95 WHEN 'high' THEN 0.9 WHEN 'medium' THEN 0.75 WHEN 'low' THEN 0.5 ELSE 0.25 END) AS male_ok,
+        (CASE WHEN male + female > 0 THEN male / (male + female)::DOUBLE ELSE 0 END) < (CASE {_TIER_SQL} WHEN 'veryHigh' THEN 0.05 WHEN 'high' THEN 0.1 WHEN 'medium' THEN 0.25 WHEN 'low' THEN 0.5 ELSE 0.75 END) AS female_ok,
+        CASE WHEN male + female > 0 AND male::DOUBLE / (male + female) < 0.0025 THEN 0 ELSE male END AS male, CASE WHEN male + female > 0 AND male::DOUBLE / (male + female) > 0.9975 THEN 0 ELSE female END AS female,
+        CASE WHEN c_custkey % 13 < 10 AND k >= 17 THEN 0 ELSE c_custkey % 13 END AS surnames FROM customer JOIN v ON k = c_custkey % {len(_TIERS)}""",
+)
+def name_tiers(spark, d):
+    tiers = spark.createDataFrame([(i, (m, f)) for i, (m, f) in enumerate(_TIERS)], "k int, p struct<male:int,female:int>")
+    c = table(spark, d, "customer").join(F.broadcast(tiers), F.col("c_custkey") % len(_TIERS) == F.col("k"))
+    m, f, k = F.col("p.male"), F.col("p.female"), F.col("c_custkey")
+    fixed = names.corrected(m, f, k % 13)
+    return c.select(
+        "c_custkey", names.credibility(m, f).alias("tier"), names.gender_consistent(m, f, F.lit("M")).alias("male_ok"), names.gender_consistent(m, f, F.lit(None).cast("string"), F.lit(0.05)).alias("female_ok"),
+        fixed["male"].alias("male"), fixed["female"].alias("female"), fixed["surnames"].alias("surnames"),
+    )
+
 
 @query(
     "gender_of_names",
-    f"""WITH {_NAMES_SQL}, t AS (SELECT name_id, 0.5 + (coalesce(male / nullif(male + female, 0), 0.5) - 0.5) * CASE WHEN male + female = 0 THEN 0.0
-        WHEN male + female <= 10 AND NOT ((male = 0 OR female = 0) AND male + female >= 5) THEN 0.8 WHEN male + female <= 50 AND NOT ((male = 0 OR female = 0) AND male + female >= 5) THEN 0.875
-        WHEN male + female <= 250 AND NOT ((male = 0 OR female = 0) AND male + female >= 100) THEN 0.95 ELSE 1.0 END AS share FROM n)
-        SELECT a.name_id, round(a.share * 0.7 + b.share * 0.3, 9) AS p_male FROM t a JOIN t b ON b.name_id = (a.name_id + 1) % 25""",
+    f"""WITH {_TIERS_SQL}, t AS (SELECT k, CASE WHEN male + female > 0 THEN male / (male + female)::DOUBLE ELSE 0.5 END AS s, {_TIER_SQL} AS tier FROM v),
+        c AS (SELECT c_custkey, c_custkey % 4 AS n, a.s AS s, a.tier AS tier, b.s AS s2, e.s AS s3 FROM customer JOIN t a ON a.k = c_custkey % {len(_TIERS)} JOIN t b ON b.k = c_custkey // 7 % {len(_TIERS)} JOIN t e ON e.k = c_custkey // 11 % {len(_TIERS)}),
+        w AS (SELECT *, CASE tier WHEN 'veryHigh' THEN 0.9 WHEN 'high' THEN 0.8 ELSE 0.7 END::DOUBLE AS w, CASE tier WHEN 'zero' THEN 0.0 WHEN 'low' THEN 0.8 WHEN 'medium' THEN 0.875 WHEN 'high' THEN 0.95 ELSE 1.0 END::DOUBLE AS trust,
+         CASE n WHEN 2 THEN s2 ELSE (s2 + s3) / 2 END AS rest, CASE n WHEN 2 THEN (s + s2) / 2 ELSE (s + s2 + s3) / 3 END AS mean FROM c),
+        x AS (SELECT *, w * (0.5 - s) + (1 - w) * (0.5 - rest) AS c FROM w)
+        SELECT c_custkey, round(CASE n WHEN 0 THEN 0.5 WHEN 1 THEN 0.5 - (0.5 - s) * trust ELSE 0.5 - CASE WHEN c <= 0 THEN c - (1 + c / 0.5) * mean * mean * 0.25 ELSE c + (1 - c / 0.5) * (1 - mean) * (1 - mean) * 0.25 END END, 9) AS p_male FROM x""",
 )
 def gender_of_names(spark, d):
-    t = _name_counts(spark, d).select("name_id", names.trusted_share(F.col("male"), F.col("female")).alias("share"))
-    other = t.select(((F.col("name_id") + 24) % 25).alias("name_id"), F.col("share").alias("second"))
-    return t.join(other, "name_id").select("name_id", F.round(names.gender_of(F.array("share", "second")), 9).alias("p_male"))
+    k, n = F.col("c_custkey"), len(_TIERS)
+    tiers = spark.createDataFrame([(i, (m, f)) for i, (m, f) in enumerate(_TIERS)], "k int, pair struct<male:int,female:int>")
+    rows = table(spark, d, "customer").select("c_custkey")
+    for name, place in (("first", k % n), ("second", F.floor(k / 7) % n), ("third", F.floor(k / 11) % n)):
+        rows = rows.join(F.broadcast(tiers.select("k", F.col("pair").alias(name))), place == F.col("k")).drop("k")
+    listed = F.slice(F.array("first", "second", "third"), F.lit(1), (k % 4).cast("int"))
+    return rows.select("c_custkey", F.round(names.gender_of(listed), 9).alias("p_male"))
+
+
+@query(
+    "name_variations",
+    """SELECT c_custkey, array_to_string(list_sort(list_distinct(list_concat(['Al' || c_custkey % 3, 'Zoe'], CASE c_custkey % 3 WHEN 0 THEN ['Alan', 'Alf', 'Albert'] WHEN 1 THEN ['Andre'] ELSE [] END))), '|') AS variations FROM customer""",
+)
+def name_variations(spark, d):
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.array(F.concat(F.lit("Al"), (F.col("c_custkey") % 3).cast("string")), F.lit("Zoé")).alias("names"))
+    first = spark.createDataFrame([("al0", ["Alan", "Alf"]), ("Nobody", ["X"])], "name string, alt_names array<string>")
+    nick = spark.createDataFrame([("AL0", ["Albert", "Alan"]), ("al1", ["André"])], "nickname string, formal_names array<string>")
+    return L.with_variations(c, "names", first, nick).select(F.col("id").alias("c_custkey"), F.array_join("variations", "|").alias("variations"))
 
 
 @query(

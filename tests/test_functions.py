@@ -170,10 +170,21 @@ def test_repairs_and_pairs(spark):
 def test_merging(spark):
     r = one(
         spark, n=linkage.merged_names(L("Al", "Renée"), L("renee", "Alan", "Bea", "Cy"), L("Al")), e=linkage.merged_names(F.lit(None).cast("array<string>"), L("A"), L("x")), f=linkage.filled(F.lit(0), F.lit(7), 0), g=linkage.filled(F.lit(3), F.lit(7), 0),
-        t=linkage.tightened(D("1950-01-01"), D("1950-12-31"), D("1950-03-01"), D("1951-01-01")), apart=linkage.tightened(D("1950-01-01"), D("1950-12-31"), D("1960-03-01"), D("1961-01-01")), one=names.gender_of(L(0.9)), none=names.gender_of(F.array().cast("array<double>")),
+        t=linkage.tightened(D("1950-01-01"), D("1950-12-31"), D("1950-03-01"), D("1951-01-01")), apart=linkage.tightened(D("1950-01-01"), D("1950-12-31"), D("1960-03-01"), D("1961-01-01")), one=names.gender_of(F.array(F.struct(F.lit(90).alias("male"), F.lit(10).alias("female")))), none=names.gender_of(F.array().cast("array<struct<male:int,female:int>>")),
     )
     assert r["n"] == ["Renée", "Alan", "Bea"] and r["e"] == ["A"] and (r["f"], r["g"]) == (7, 3)
-    assert r["t"]["low"] == dt.date(1950, 3, 1) and r["t"]["high"] == dt.date(1950, 12, 31) and r["apart"]["low"] == dt.date(1950, 1, 1) and (r["one"], r["none"]) == (0.9, 0.5)
+    assert r["t"]["low"] == dt.date(1950, 3, 1) and r["t"]["high"] == dt.date(1950, 12, 31) and r["apart"]["low"] == dt.date(1950, 1, 1) and r["one"] == pytest.approx(0.5 + 0.4 * 0.95) and r["none"] == 0.5
+
+
+def test_names_as_worked_by_hand(spark):
+    pair = lambda m, f: F.struct(F.lit(m).alias("male"), F.lit(f).alias("female"))
+    r = one(
+        spark, both=names.similarity(L("A", "B"), L("Alan", "Bea")), letter=names.similarity(L("A"), L("A")), rare=names.credibility(F.lit(3), F.lit(0)), four=names.credibility(F.lit(0), F.lit(4)), ten=names.credibility(F.lit(9), F.lit(1)),
+        two=names.gender_of(F.array(pair(300, 0), pair(6, 2))), against=names.gender_of(F.array(pair(6, 2), pair(0, 300))),
+    )
+    assert (r["both"], r["letter"], r["rare"], r["four"], r["ten"]) == (1.0, 0.5, "medium", "medium", "low")
+    # 0.9 of a sure name and 0.1 of 0.75 are 0.975; 0.05 is missing, of which 0.25 * 0.875 squared is added.
+    assert r["two"] == pytest.approx(0.975 + 0.05 * 0.25 * 0.875**2) and r["against"] == pytest.approx(0.525 + 0.95 * 0.25 * 0.375**2)
 
 
 def test_compatible_lookups(spark):
