@@ -11,6 +11,11 @@ ABBREVIATIONS = ("Mr", "Mrs", "Ms", "Dr", "St", "Rev", "Jr", "Sr", "Mme", "Mlle"
 ENTITIES = {"&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " "}
 
 
+def once(value: Column, use) -> Column:
+    """use(value) with value computed once a row, however often use mentions it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def drop_left(c: Column, n: int) -> Column:
     return F.substr(c, F.lit(n + 1))
 

@@ -18,11 +18,22 @@ LANGUAGE_WORDS = {
     "fr": ("le", "la", "les", "de", "des", "et", "un", "une", "du", "est", "dans", "son", "sa", "qui"),
     "es": ("el", "los", "las", "del", "y", "que", "en", "con", "su", "por", "una", "se", "al"),
 }
-#: Words that tell the gender of the person spoken of.
+#: Words that tell the gender of the person spoken of, by language.
 GENDER_WORDS = {
-    "M": ("he", "his", "him", "father", "husband", "son", "brother", "grandfather", "uncle", "il", "père", "époux", "fils", "frère"),
-    "F": ("she", "her", "hers", "mother", "wife", "daughter", "sister", "grandmother", "aunt", "elle", "mère", "épouse", "fille", "soeur"),
+    "en": {
+        "M": ("he", "his", "him", "father", "husband", "son", "brother", "grandfather", "uncle"),
+        "F": ("she", "her", "hers", "mother", "wife", "daughter", "sister", "grandmother", "aunt"),
+    },
+    "fr": {"M": ("il", "père", "époux", "fils", "frère"), "F": ("elle", "mère", "épouse", "fille", "soeur")},
+    "es": {"M": ("él", "padre", "esposo", "hijo", "hermano"), "F": ("ella", "madre", "esposa", "hija", "hermana")},
 }
+#: Words of those left behind that tell the gender of who is spoken of, after a word of affection.
+RELATION_WORDS = {
+    "M": ("husband", "father", "dad", "son", "brother", "grandfather", "grandpa", "uncle", "nephew", "époux", "père", "fils", "frère"),
+    "F": ("wife", "mother", "mom", "daughter", "sister", "grandmother", "grandma", "aunt", "niece", "épouse", "mère", "fille", "soeur"),
+}
+AFFECTION = r"(?:beloved|loving|devoted|dear|cherished|proud|caring|cher|chère|bien-aimée?|tendre)"
+DEITY = r"\b(?:God|Lord|Jesus|Christ|Dieu|Seigneur|Dios|Señor)\b"
 TITLES = {"M": ("mr", "monsieur", "m", "sir"), "F": ("mrs", "ms", "miss", "mme", "madame", "mlle")}
 #: Month names.
 MONTHS = {
@@ -40,25 +51,95 @@ def count_in(words: Column, lexicon) -> Column:
     return F.size(F.filter(words, lambda w: w.isin(*lexicon)))
 
 
+def language_counts(text: Column, use) -> Column:
+    """use(counts) with the number of each language's frequent words, {language: column}; the words are made once, and those
+    of no list are left out before they are counted."""
+    every = sorted({w for words in LANGUAGE_WORDS.values() for w in words})
+    kept = F.filter(T.words(text), lambda w: w.isin(*every))
+    return T.once(kept, lambda w: use({k: count_in(w, v) for k, v in LANGUAGE_WORDS.items()}))
+
+
+def _vote(n: dict[str, Column], prior: Column | None) -> Column:
+    vote = F.when((n["fr"] > n["en"]) & (n["fr"] >= n["es"]), "fr").when((n["es"] > n["en"]) & (n["es"] > n["fr"]), "es").otherwise("en")
+    return F.when(n["en"] + n["fr"] + n["es"] == 0, F.lit(None).cast("string") if prior is None else prior).otherwise(vote)
+
+
 def language_vote(text: Column, prior: Column | None = None) -> Column:
     """en on ties, fr if more than en and no fewer than es, es if more than both; the prior if none counts."""
-    w = T.words(text)
-    en, fr, es = (count_in(w, LANGUAGE_WORDS[k]) for k in ("en", "fr", "es"))
-    vote = F.when((fr > en) & (fr >= es), "fr").when((es > en) & (es > fr), "es").otherwise("en")
-    return F.when(en + fr + es == 0, F.lit(None) if prior is None else prior).otherwise(vote)
+    return language_counts(text, lambda n: _vote(n, prior))
+
+
+def languages_counted(text: Column, known: Column | None = None, least: int = 5) -> Column:
+    """How many languages count `least` words, and 10 more if the known language is another one than the text's."""
+
+    def use(n: dict[str, Column]) -> Column:
+        several = sum(((c >= least).cast("int") for c in n.values()), F.lit(0))
+        return several if known is None else several + F.when(F.coalesce(known != _vote(n, None), F.lit(False)), 10).otherwise(0)
+
+    return language_counts(text, use)
+
+
+def bilingual(text: Column, known: Column | None = None, least: int = 5) -> Column:
+    """Whether two languages or more count `least` words, or the known one is another."""
+    return languages_counted(text, known, least) >= 2
+
+
+def gender_counts(text: Column, language: Column, use) -> Column:
+    """use(male, female) with the words of the language that tell a gender; none for a null language."""
+    every = sorted({w for of in GENDER_WORDS.values() for words in of.values() for w in words})
+
+    def count(words: Column, gender: str) -> Column:
+        n = F.lit(0)
+        for k, of in GENDER_WORDS.items():
+            n = F.when(language == k, count_in(words, of[gender])).otherwise(n)
+        return n
+
+    return T.once(F.filter(T.words(text), lambda w: w.isin(*every)), lambda w: use(count(w, "M"), count(w, "F")))
+
+
+def gender_vote(text: Column, language: Column | None = None, margin: int = 3) -> Column:
+    """M or F where the words for one in the text's language (the one given, or by vote) are more than `margin` ahead, else
+    null."""
+    told = language_vote(text) if language is None else language
+    return gender_counts(text, told, lambda m, f: F.when(m > f + margin, "M").when(f > m + margin, "F"))
+
+
+def deity_corrected(gender: Column, text: Column, male: Column, female: Column, share: Column) -> Column:
+    """A male gender of a text that speaks of a deity, whose pronouns are male: where the names' likelihood of a male (share,
+    0 to 1) is below 0.75, fewer female words allow it only for likelier names, and two or more take it back. Of more than
+    15 male words a fifth of those beyond 10 is set off against the female ones."""
+    net = F.when((female > 0) & (male > 15), F.greatest(F.lit(0), female - F.floor((male - 10) / 5))).otherwise(female)
+    unsure = F.lit(None).cast("string")
+    told = (
+        F.when(net == 0, F.when(share < 0.025, "F").when(share < 0.1, unsure).otherwise(gender))
+        .when(net == 1, F.when(share < 0.05, "F").when(share < 0.2, unsure).otherwise(gender))
+        .when(net == 2, unsure).otherwise("F")
+    )
+    return F.when((gender == "M") & text.rlike(DEITY) & (share < 0.75), told).otherwise(gender)
 
 
-def bilingual(text: Column, least: int = 5) -> Column:
-    """Whether two languages or more count `least` words."""
-    w = T.words(text)
-    return reduce(lambda a, b: a + b, [(count_in(w, v) >= least).cast("int") for v in LANGUAGE_WORDS.values()]) >= 2
+def relation_gender(text: Column) -> Column:
+    """M or F where words like "beloved wife" tell more often of one, else null."""
+    n = {g: F.regexp_count(text, F.lit(rf"(?i)\b{AFFECTION}\s+(?:{'|'.join(words)})\b")) for g, words in RELATION_WORDS.items()}
+    return F.when(n["M"] > n["F"], "M").when(n["F"] > n["M"], "F")
 
 
-def gender_vote(text: Column, margin: int = 3) -> Column:
-    """M or F where the words for one are more than `margin` ahead, else null."""
-    w = T.words(text)
-    m, f = count_in(w, GENDER_WORDS["M"]), count_in(w, GENDER_WORDS["F"])
-    return F.when(m > f + margin, "M").when(f > m + margin, "F")
+def gender_by_evidence(*evidence: Column) -> Column:
+    """The first of ordered evidence that tells: title, pronouns, other names, relations, likelihood of the names."""
+    return F.coalesce(*evidence)
+
+
+def gender_by_share(share: Column, sure: float = 0.9) -> Column:
+    """M or F by the names' likelihood of a male."""
+    return F.when(share >= sure, "M").when(share <= 1 - sure, "F")
+
+
+def name_order(first_given: Column, first_surname: Column, last_given: Column, last_surname: Column, often: int = 3) -> Column:
+    """keep, swap or unsure for a first and a last name, from how often each stands as a given name and as a surname: swapped if
+    each is `often` times as frequent in the other's place and neither fits its own."""
+    fits = (first_given >= first_surname) | (last_surname >= last_given)
+    turned = (first_surname > often * first_given) & (last_given > often * last_surname)
+    return F.when(turned, "swap").when(fits, "keep").otherwise("unsure")
 
 
 def title_gender(name: Column) -> Column:
@@ -88,30 +169,73 @@ def date_near(text: Column, keyword: str) -> Column:
     """The first date in the first sentence that holds the keyword and a date: after the keyword if there
     is one, else the sentence's first."""
     hit = F.filter(T.sentences(text), lambda s: s.rlike(keyword) & s.rlike(_WRITTEN))
-    s = F.try_element_at(hit, F.lit(1))
     # [\s\S] also runs over line ends.
-    after = F.try_element_at(written_dates(F.regexp_replace(s, rf"^[\s\S]*?{keyword.replace('(?i)', '(?i:', 1)})", "")), F.lit(1))
-    return F.coalesce(after, F.try_element_at(written_dates(s), F.lit(1)))
+    before = rf"^[\s\S]*?{keyword.replace('(?i)', '(?i:', 1)})"
+    told = lambda s: F.coalesce(F.try_element_at(written_dates(F.regexp_replace(s, before, "")), F.lit(1)), F.try_element_at(written_dates(s), F.lit(1)))
+    return T.once(F.try_element_at(hit, F.lit(1)), told)
 
 
 def service_date(text: Column) -> Column:
     """The date of a sentence that speaks of a service and holds exactly one."""
-    one = F.filter(T.sentences(text), lambda s: s.rlike(SERVICE) & (F.size(written_dates(s)) == 1))
-    return F.try_element_at(written_dates(F.try_element_at(one, F.lit(1))), F.lit(1))
+    dates = F.transform(F.filter(T.sentences(text), lambda s: s.rlike(SERVICE)), written_dates)
+    return F.try_element_at(F.try_element_at(F.filter(dates, lambda d: F.size(d) == 1), F.lit(1)), F.lit(1))
+
+
+def numeric_dates(text: Column, as_of: Column) -> Column:
+    """Dates written in numbers, in order: structs (date, conviction) as dates.numeric_date() reads them."""
+    from lychgate.functions import dates
+
+    found = F.regexp_extract_all(text, F.lit(r"(?<![0-9./-])[0-9]{1,4}([-/.])[0-9]{1,2}\1[0-9]{1,4}(?![0-9]|[./-][0-9])"), F.lit(0))
+    parts = F.transform(found, lambda x: F.transform(F.split(x, "[-/.]"), lambda p: p.cast("int")))
+    return F.filter(F.transform(parts, lambda p: dates.numeric_date(p[0], p[1], p[2], as_of)), lambda r: r["date"].isNotNull())
+
+
+def years_in(text: Column, as_of: Column) -> Column:
+    """Years that stand alone, from 1875 to that of as_of, in order and once each."""
+    found = F.regexp_extract_all(text, F.lit(r"(?<![0-9./-])[0-9]{4}(?![0-9]|[./-][0-9])"), F.lit(0))
+    return F.array_distinct(F.filter(F.transform(found, lambda y: y.cast("int")), lambda y: y.between(1875, F.year(as_of))))
+
+
+def partial_dates(text: Column) -> Column:
+    """Days and months without a year, in order: structs (month, day, code); the code 9900 + month marks such a date."""
+    found = F.regexp_extract_all(text, F.lit(rf"{_MONTH_RE} [0-9]{{1,2}}(?:st|nd|rd|th)?\b(?!,? [0-9]{{4}})|\b[0-9]{{1,2}}(?:er|st|nd|rd|th)? {_MONTH_RE}\b(?!,? [0-9]{{4}})"), F.lit(0))
+
+    def read(x: Column) -> Column:
+        m = _month(F.regexp_extract(x, r"(\p{L}{3,})", 1))
+        return F.struct(m.alias("month"), F.regexp_extract(x, r"([0-9]{1,2})", 1).try_cast("int").alias("day"), (9900 + m).alias("code"))
+
+    return F.filter(F.transform(found, read), lambda p: p["month"].isNotNull() & p["day"].between(1, 31))
+
+
+def age_sentences(text: Column, death: Column) -> Column:
+    """Sentences in which an age may be read: those without a date, or with one only, the date of death."""
+    ok = lambda s: T.once(written_dates(s), lambda d: (F.size(d) == 0) | ((F.size(d) == 1) & F.coalesce(F.get(d, F.lit(0)) == death, F.lit(False))))
+    return F.filter(T.sentences(text), ok)
+
+
+#: How many of a unit make a year of age.
+AGE_UNITS = {"day": 365, "week": 52, "month": 12}
+
+
+def age_in_units(text: Column) -> Column:
+    """Whole years of an age told in days, weeks or months; null if it is not."""
+    n = F.regexp_extract(text, r"(?i)\b([0-9]+) (?:day|week|month)s? old", 1).try_cast("int")
+    unit = F.lower(F.regexp_extract(text, r"(?i)\b[0-9]+ (day|week|month)s? old", 1))
+    return F.floor(n / F.try_element_at(F.create_map(*[F.lit(x) for kv in AGE_UNITS.items() for x in kv]), unit)).cast("int")
 
 
 def age(text: Column) -> Column:
     """Age at death: "aged N", "N years of age", "was N", "Nth birthday", ", N,"; one less for "in his Nth
-    year"; below 125; 0 for ages in days, weeks or months; numbers of anniversaries do not count."""
+    year"; below 125; whole years of ages in days, weeks or months; numbers of anniversaries do not count."""
     t = F.regexp_replace(text, r"(?i)[0-9]+(st|nd|rd|th)? (wedding )?anniversary", " ")
-    small = t.rlike(r"(?i)\b[0-9]+ (days|weeks|months) old")
+    small = age_in_units(t)
     year = F.regexp_extract(t, r"(?i)in (?:his|her) ([0-9]{1,3})(?:st|nd|rd|th) year", 1).try_cast("int") - 1
     plain = F.regexp_extract(t, r"(?i)(?:\baged?:? (?:of )?|\bwas |\bat the age of )([0-9]{1,3})\b(?! (?:days|weeks|months|a\.m|p\.m|lbs))", 1).try_cast("int")
     years = F.regexp_extract(t, r"(?i)\b([0-9]{1,3}) (?:years of age|years old)", 1).try_cast("int")
     day = F.regexp_extract(t, r"(?i)\b([0-9]{1,3})(?:st|nd|rd|th) birthday", 1).try_cast("int")
     comma = F.regexp_extract(t, r", ([0-9]{1,3}),", 1).try_cast("int")
     found = F.coalesce(year, plain, years, day, comma)
-    return F.when(small, 0).otherwise(F.when(found < 125, found))
+    return F.coalesce(small, F.when(found < 125, found))
 
 
 def spouse(text: Column) -> Column:
@@ -163,11 +287,16 @@ def by_priority(evidence: DataFrame, key: str, field: str, rank: Column) -> Data
     return evidence.where("value is not null").withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
-def apply_rules(pages: DataFrame, rules: DataFrame, text: str) -> DataFrame:
-    """Rows of pages with every rule (field, pattern) that matches: the first group of its pattern. The rules
-    are a small table, one row a provider and field."""
-    found = pages.crossJoin(F.broadcast(rules)) if "provider" not in rules.columns else pages.join(F.broadcast(rules), "provider")
-    return found.withColumn("value", F.expr(f"regexp_extract({text}, pattern, 1)")).where("value != ''")
+def apply_rules(pages: DataFrame, rules: list[tuple], text: str) -> DataFrame:
+    """Rows of pages with every rule (field, pattern), or (provider, field, pattern) for pages of that provider, that matches: the
+    first group of its pattern as value. The rules are columns of one scan."""
+    found = []
+    for *provider, field, pattern in rules:
+        value = F.regexp_extract(text, pattern, 1)
+        if provider:
+            value = F.when(F.col("provider") == provider[0], value)
+        found.append(F.struct(F.lit(field).alias("field"), value.alias("value")))
+    return pages.withColumn("_found", F.explode(F.filter(F.array(*found), lambda r: r["value"] != ""))).select(*pages.columns, "_found.*")
 
 
 def valid_record(birth: Column, death: Column, years: Column) -> Column:

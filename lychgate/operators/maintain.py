@@ -6,14 +6,16 @@ written as a new version.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def numbered(df: DataFrame, order: str, name: str, first: int) -> DataFrame:
     """df with consecutive numbers from `first` in order of a column, without bringing all rows into one
-    task: ranges are sorted apart, and the sizes of those before are added."""
-    sorted_ = df.repartitionByRange(F.col(order)).withColumn("_part", F.spark_partition_id())
+    task: ranges are sorted apart, and the sizes of those before are added. The ranges are kept on disk, for both the
+    sizes and the rows have to be of the same ones."""
+    sorted_ = df.repartitionByRange(F.col(order)).withColumn("_part", F.spark_partition_id()).persist(StorageLevel.DISK_ONLY)
     own = Window.partitionBy("_part").orderBy(order)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sorted_.groupBy("_part").count().withColumn("_before", F.coalesce(F.sum("count").over(before), F.lit(0)))
@@ -53,10 +55,13 @@ def feed_bounds(feeds: DataFrame, seen: DataFrame, key: str) -> DataFrame:
     )
 
 
-def inactivity(days: DataFrame, key: str, as_of: Column, grace: int = 3, longest: int = 21, factor: int = 3) -> DataFrame:
+def inactivity(days: DataFrame, key: str, as_of: Column, grace: int = 3, longest: int = 21, factor: int = 3, name: str | None = None) -> DataFrame:
     """Per feed: distinct days of the last two years, the mean gap (whole days), days since the last one
-    less grace, and whether that is an alert."""
-    recent = days.where((F.col("day") <= as_of) & (F.col("day") >= F.add_months(as_of, -24))).select(key, "day").distinct()
+    less grace, and whether that is an alert. Rows whose `name` column marks them as junk (BR and one more character at the
+    beginning) do not count."""
+    if name:
+        days = days.where(F.coalesce(~F.col(name).like("BR_%"), F.lit(True)))
+    recent = days.where((F.col("day") <= as_of) & (F.col("day") > F.add_months(as_of, -24))).select(key, "day").distinct()
     g = recent.groupBy(key).agg(F.count("*").alias("n_days"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
     gap = F.floor(F.datediff("last_day", "first_day") / F.col("n_days"))
     quiet = F.greatest(F.lit(0), F.datediff(as_of, "last_day") - grace)

@@ -15,6 +15,7 @@ def _in(words) -> str:
     return "(" + ", ".join(f"'{w}'" for w in words) + ")"
 
 
+_FACTS = "f AS (SELECT o_orderkey, born, CAST(born + to_years(years) AS DATE) AS died, years FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS born, (o_orderkey % 90 + 1)::INT AS years FROM orders))"
 _WORDS_SQL = "w AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}]+'), lambda x: length(x) > 0)) AS word FROM documents)"
 
 
@@ -35,20 +36,86 @@ def lang_vote(spark, d):
     return table(spark, d, "documents").select("doc_id", X.language_vote(F.col("text")).alias("vote"))
 
 
-@query("bilingual_flag", f"WITH {_LANG_SQL} SELECT doc_id, coalesce((en >= 5)::INT + (fr >= 5)::INT + (es >= 5)::INT, 0) >= 2 AS bilingual FROM documents LEFT JOIN n USING (doc_id)")
+@query(
+    "bilingual_flag",
+    f"""WITH {_LANG_SQL} SELECT doc_id, coalesce((en >= 5)::INT + (fr >= 5)::INT + (es >= 5)::INT, 0) + CASE WHEN coalesce(en + fr + es, 0) > 0 AND lang IN ('en', 'fr', 'es') AND
+        lang <> CASE WHEN fr > en AND fr >= es THEN 'fr' WHEN es > en AND es > fr THEN 'es' ELSE 'en' END THEN 10 ELSE 0 END AS counted FROM documents LEFT JOIN n USING (doc_id)""",
+)
 def bilingual_flag(spark, d):
-    return table(spark, d, "documents").select("doc_id", X.bilingual(F.col("text")).alias("bilingual"))
+    known = F.when(F.col("lang").isin("en", "fr", "es"), F.col("lang"))
+    return table(spark, d, "documents").select("doc_id", X.languages_counted(F.col("text"), known).alias("counted"))
 
 
-@query(
-    "gender_vote",
-    f"""WITH {_WORDS_SQL}, n AS (SELECT doc_id, count(*) FILTER (WHERE word IN {_in(X.GENDER_WORDS['M'])}) AS m, count(*) FILTER (WHERE word IN {_in(X.GENDER_WORDS['F'])}) AS f FROM w GROUP BY 1)
-        SELECT doc_id, CASE WHEN m > f + 3 THEN 'M' WHEN f > m + 3 THEN 'F' END AS gender FROM documents LEFT JOIN n USING (doc_id)""",
-)
+_GENDER_SQL = f"""{_LANG_SQL}, l AS (SELECT doc_id, CASE WHEN fr > en AND fr >= es THEN 'fr' WHEN es > en AND es > fr THEN 'es' WHEN en > 0 THEN 'en' END AS lang FROM n),
+ g AS (SELECT doc_id, count(*) FILTER (WHERE (lang = 'en' AND word IN ('he', 'his', 'him', 'father', 'husband', 'son', 'brother', 'grandfather', 'uncle')) OR (lang = 'fr' AND word IN ('il', 'père', 'époux', 'fils', 'frère'))
+  OR (lang = 'es' AND word IN ('él', 'padre', 'esposo', 'hijo', 'hermano'))) AS m, count(*) FILTER (WHERE (lang = 'en' AND word IN ('she', 'her', 'hers', 'mother', 'wife', 'daughter', 'sister', 'grandmother', 'aunt'))
+  OR (lang = 'fr' AND word IN ('elle', 'mère', 'épouse', 'fille', 'soeur')) OR (lang = 'es' AND word IN ('ella', 'madre', 'esposa', 'hija', 'hermana'))) AS f FROM w JOIN l USING (doc_id) GROUP BY 1)"""
+
+
+@query("gender_vote", f"WITH {_GENDER_SQL} SELECT doc_id, CASE WHEN m > f + 3 THEN 'M' WHEN f > m + 3 THEN 'F' END AS gender FROM documents LEFT JOIN g USING (doc_id)")
 def gender_vote(spark, d):
     return table(spark, d, "documents").select("doc_id", X.gender_vote(F.col("text")).alias("gender"))
 
 
+@query(
+    "deity_correction",
+    """WITH p AS (SELECT o_orderkey, CASE WHEN o_orderkey % 8 = 0 THEN 'F' ELSE 'M' END AS gender, o_orderkey % 5 <> 0 AS deity, o_orderkey % 23 AS m, o_orderkey % 4 AS f, o_orderkey % 41 / 40.0::DOUBLE AS share FROM orders),
+       q AS (SELECT *, CASE WHEN f > 0 AND m > 15 THEN greatest(0, f - (m - 10) // 5) ELSE f END AS net FROM p)
+       SELECT o_orderkey, CASE WHEN gender = 'M' AND deity AND share < 0.75 THEN CASE WHEN net = 0 THEN CASE WHEN share < 0.025 THEN 'F' WHEN share < 0.1 THEN NULL ELSE 'M' END
+         WHEN net = 1 THEN CASE WHEN share < 0.05 THEN 'F' WHEN share < 0.2 THEN NULL ELSE 'M' END WHEN net = 2 THEN NULL ELSE 'F' END ELSE gender END AS gender FROM q""",
+)
+def deity_correction(spark, d):
+    k = F.col("o_orderkey")
+    text = F.when(k % 5 != 0, "He went to be with the Lord.").otherwise("He went home.")
+    got = X.deity_corrected(F.when(k % 8 == 0, "F").otherwise("M"), text, k % 23, k % 4, k % 41 / 40)
+    return table(spark, d, "orders").select("o_orderkey", got.alias("gender"))
+
+
+@query(
+    "ordered_gender",
+    """SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'F' WHEN c_custkey % 3 = 0 THEN 'M' WHEN c_custkey % 3 = 1 THEN 'F' WHEN c_custkey % 7 < 2 THEN CASE WHEN c_custkey % 7 = 0 THEN 'F' ELSE 'M' END END AS gender,
+       CASE WHEN c_custkey % 4 = 0 THEN 'swap' WHEN c_custkey % 4 = 3 THEN 'unsure' ELSE 'keep' END AS name_order FROM customer""",
+)
+def ordered_gender(spark, d):
+    k = F.col("c_custkey")
+    name = F.when(k % 5 == 0, "Mrs. Ann Roy").otherwise("Ann Roy")
+    text = F.when(k % 3 == 0, "Beloved husband of Ann, loving father of two and dear brother; a wife mourns.").when(k % 3 == 1, "Devoted MOTHER of Al.").otherwise("Loving mother, devoted father.")
+    share = F.when(k % 7 == 0, 0.05).when(k % 7 == 1, 0.95).otherwise(0.5)
+    count = lambda *n: F.element_at(F.array(*map(F.lit, n)), (k % 4 + 1).cast("int"))
+    order = X.name_order(count(1, 50, 5, 2), count(40, 2, 30, 4), count(60, 3, 9, 5), count(5, 70, 20, 3))
+    return table(spark, d, "customer").select("c_custkey", X.gender_by_evidence(X.title_gender(name), X.relation_gender(text), X.gender_by_share(share)).alias("gender"), order.alias("name_order"))
+
+
+@query(
+    "numeric_dates",
+    """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS first_date, CASE WHEN day(o_orderdate) > 12 OR day(o_orderdate) = month(o_orderdate) THEN CAST(o_orderdate AS DATE) ELSE make_date(year(o_orderdate), day(o_orderdate), month(o_orderdate)) END AS second_date,
+       CASE WHEN day(o_orderdate) > 12 THEN 'HIGH' WHEN day(o_orderdate) = month(o_orderdate) THEN 'LIKELY' ELSE 'POSSIBLE' END AS conviction, 3 AS n, 1900 + (o_orderkey % 90)::INT AS year_alone FROM orders""",
+)
+def numeric_dates(spark, d):
+    day, as_of = F.to_date("o_orderdate"), F.lit("2020-06-01").cast("date")
+    alone = 1900 + F.col("o_orderkey") % 90
+    text = F.concat(F.lit("Seen "), F.date_format(day, "yyyy-MM-dd"), F.lit(", again "), F.date_format(day, "dd/MM/yyyy"), F.lit(" and 25.12.1999, not 1.2.3.4 or 31/31/2000, in "), alone.cast("string"), F.lit(" or 1492."))
+    found = X.numeric_dates(text, as_of)
+    at = lambda n, f: F.get(found, F.lit(n))[f]
+    return table(spark, d, "orders").select(
+        "o_orderkey", at(0, "date").alias("first_date"), at(1, "date").alias("second_date"), at(1, "conviction").alias("conviction"), F.size(found).alias("n"), F.get(X.years_in(text, as_of), F.lit(0)).alias("year_alone")
+    )
+
+
+@query(
+    "partial_dates",
+    f"""WITH {_FACTS} SELECT o_orderkey, month(born)::INT AS month, day(born)::INT AS day, 9900 + month(born)::INT AS code, 2 AS n, 2 AS open_sentences,
+        CASE o_orderkey % 3 WHEN 0 THEN (o_orderkey % 800) // 365 WHEN 1 THEN (o_orderkey % 800) // 52 ELSE (o_orderkey % 800) // 12 END::INT AS units FROM f""",
+)
+def partial_dates(spark, d):
+    n, k = notices(spark, d), F.col("o_orderkey")
+    text = F.concat(F.lit("A gathering on "), F.date_format("born", "MMMM d"), F.lit(". Then on 3 mai, as on "), F.date_format("died", "MMMM d, yyyy"), F.lit(". Again on "), F.date_format("born", "MMMM d, yyyy"), F.lit("."))
+    found, one = X.partial_dates(text), F.get(X.partial_dates(text), F.lit(0))
+    unit = F.element_at(F.array(F.lit("days"), F.lit("weeks"), F.lit("months")), (k % 3 + 1).cast("int"))
+    units = X.age_in_units(F.concat(F.lit("He was "), (k % 800).cast("string"), F.lit(" "), unit, F.lit(" old.")))
+    return n.select("o_orderkey", one["month"].alias("month"), one["day"].alias("day"), one["code"].alias("code"), F.size(found).alias("n"), F.size(X.age_sentences(text, F.col("died"))).alias("open_sentences"), units.alias("units"))
+
+
 _MARK = "regexp_replace(regexp_replace(text, '(^|[^\\p{L}])(Mr|Mrs|Ms|Dr|St|Rev|Jr|Sr|Mme|Mlle|M|Ave|No|\\p{Lu})\\.', '\\1\\2' || chr(1), 'g'), '([.!?])[ \\t\\n\\r\\f\\v]+', '\\1' || chr(2), 'g')"
 _SENTENCES_SQL = f"s AS (SELECT doc_id, list_filter(list_transform(string_split({_MARK}, chr(2)), lambda x: trim(replace(x, chr(1), '.'))), lambda x: length(x) > 0) AS parts FROM documents)"
 
@@ -88,7 +155,6 @@ def notices(spark, d):
     return table(spark, d, "orders").select("o_orderkey", born.alias("born"), died.alias("died"), years.alias("years"), text.alias("text"))
 
 
-_FACTS = "f AS (SELECT o_orderkey, born, CAST(born + to_years(years) AS DATE) AS died, years FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS born, (o_orderkey % 90 + 1)::INT AS years FROM orders))"
 
 
 @query("born_died_assoc", f"WITH {_FACTS} SELECT o_orderkey, born, died FROM f")
@@ -156,9 +222,7 @@ def year_pairs(spark, d):
        UNION ALL SELECT page_id, 'paragraph', regexp_extract(html, '<p[^>]*>([^<]*)</p>', 1) FROM pages WHERE regexp_extract(html, '<p[^>]*>([^<]*)</p>', 1) <> ''""",
 )
 def scrape_rules(spark, d):
-    rules = spark.createDataFrame(
-        [("title", "<title>([^<]*)</title>"), ("heading", "<h1[^>]*>([^<]*)</h1>"), ("paragraph", "<p[^>]*>([^<]*)</p>")], "field string, pattern string"
-    )
+    rules = [("title", "<title>([^<]*)</title>"), ("heading", "<h1[^>]*>([^<]*)</h1>"), ("paragraph", "<p[^>]*>([^<]*)</p>")]
     return X.apply_rules(table(spark, d, "pages").select("page_id", "html"), rules, "html").select("page_id", "field", "value")
 
 
@@ -190,12 +254,12 @@ def relation_cut(spark, d):
 
 @query(
     "first_word_gender",
-    f"""WITH {_SENTENCES_SQL} SELECT doc_id, len(list_filter(parts, lambda x: lower(regexp_extract(x, '^(\\p{{L}}+)', 1)) IN {_in(X.GENDER_WORDS['M'])})) AS male,
-        len(list_filter(parts, lambda x: lower(regexp_extract(x, '^(\\p{{L}}+)', 1)) IN {_in(X.GENDER_WORDS['F'])})) AS female FROM s""",
+    f"""WITH {_SENTENCES_SQL} SELECT doc_id, len(list_filter(parts, lambda x: lower(regexp_extract(x, '^(\\p{{L}}+)', 1)) IN {_in(X.GENDER_WORDS['en']['M'])})) AS male,
+        len(list_filter(parts, lambda x: lower(regexp_extract(x, '^(\\p{{L}}+)', 1)) IN {_in(X.GENDER_WORDS['en']['F'])})) AS female FROM s""",
 )
 def first_word_gender(spark, d):
     t = F.col("text")
-    return table(spark, d, "documents").select("doc_id", *[X.first_word_tally(t, X.GENDER_WORDS[g]).cast("long").alias(n) for g, n in (("M", "male"), ("F", "female"))])
+    return table(spark, d, "documents").select("doc_id", *[X.first_word_tally(t, X.GENDER_WORDS["en"][g]).cast("long").alias(n) for g, n in (("M", "male"), ("F", "female"))])
 
 
 @query("places_named", f"WITH {_WORDS_SQL} SELECT DISTINCT doc_id, word AS place FROM w WHERE word IN ('he', 'she', 'that', 'les', 'und', 'del')")

@@ -59,14 +59,14 @@ def feed_bounds(spark, d):
 
 @query(
     "distinct_dates_gap",
-    """WITH d AS (SELECT DISTINCT o_custkey AS feed, CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-02' AND CAST(o_orderdate AS DATE) >= DATE '1996-01-01'),
+    """WITH d AS (SELECT DISTINCT o_custkey AS feed, CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-02' AND CAST(o_orderdate AS DATE) > DATE '1996-01-01' AND o_orderpriority NOT LIKE 'BR_%' AND o_orderkey % 9 <> 0),
        g AS (SELECT feed, count(*) AS n_days, min(day) AS first_day, max(day) AS last_day FROM d GROUP BY 1),
        q AS (SELECT *, (last_day - first_day) // n_days AS mean_gap, greatest(0, DATE '1998-01-01' - last_day - 3) AS quiet FROM g)
        SELECT *, quiet > 3 * mean_gap OR quiet > 21 AS alert FROM q""",
 )
 def distinct_dates_gap(spark, d):
-    days = table(spark, d, "orders").select(F.col("o_custkey").alias("feed"), F.to_date("o_orderdate").alias("day"))
-    return M.inactivity(days, "feed", F.lit("1998-01-01").cast("date"))
+    days = table(spark, d, "orders").select(F.col("o_custkey").alias("feed"), F.to_date("o_orderdate").alias("day"), F.when(F.col("o_orderkey") % 9 == 0, "BR_junk").otherwise("Roy").alias("last_name"))
+    return M.inactivity(days, "feed", F.lit("1998-01-01").cast("date"), name="last_name")
 
 
 @query("first_nicknames", "SELECT c_nationkey, array_to_string(list_sort(list_distinct(list(lower(c_mktsegment)))), ' ') AS alt_names FROM customer WHERE c_acctbal > 0 GROUP BY 1")

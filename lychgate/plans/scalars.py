@@ -17,10 +17,11 @@ def string_slices(spark, d):
 
 @query(
     "accent_fold",
-    """SELECT doc_id, replace(replace(translate(left(text, 200), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ', 'aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY'), 'ß', 'ss'), 'œ', 'oe') AS plain FROM documents""",
+    """SELECT doc_id, replace(replace(replace(replace(replace(replace(replace(translate(text, 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ', 'aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY'), 'ß', 'ss'), 'œ', 'oe'), 'Œ', 'OE'),
+       'æ', 'ae'), 'Æ', 'AE'), 'ﬁ', 'fi'), 'ﬂ', 'fl') AS plain FROM documents""",
 )
 def accent_fold(spark, d):
-    return table(spark, d, "documents").select("doc_id", names.unaccent(F.left("text", F.lit(200))).alias("plain"))
+    return table(spark, d, "documents").select("doc_id", names.unaccent(F.col("text")).alias("plain"))
 
 
 @query(

@@ -37,13 +37,15 @@ def issues(df: DataFrame, path: str) -> None:
     df.write.mode("append").partitionBy("category").parquet(path)
 
 
-def html_report(df: DataFrame, title: str, most: int = 1000) -> str:
-    """A small result as an HTML table with totals of its numeric columns."""
+def html_report(df: DataFrame, title: str, *order, most: int = 1000) -> str:
+    """A result as an HTML table: the first `most` rows in order (of all columns, if none is given), how many there are,
+    and totals of numeric columns over all of them."""
     import html
 
-    rows = df.limit(most).collect()
+    numeric = [c for c, t in df.dtypes if t in ("int", "bigint", "double", "float")]
+    totals = df.agg(F.count("*").alias("_n"), *[F.sum(c).alias(c) for c in numeric]).first()
+    rows = df.orderBy(*(order or df.columns)).limit(most).collect()
     head = "".join(f"<th>{html.escape(c)}</th>" for c in df.columns)
     body = "".join("<tr>" + "".join(f"<td>{html.escape('' if v is None else str(v))}</td>" for v in r) + "</tr>" for r in rows)
-    numeric = {c for c, t in df.dtypes if t in ("int", "bigint", "double", "float")}
-    sums = "".join(f"<td>{sum(r[c] or 0 for r in rows) if c in numeric else ''}</td>" for c in df.columns)
-    return f"<h1>{html.escape(title)}</h1><table><tr>{head}</tr>{body}<tr>{sums}</tr></table>"
+    sums = "".join(f"<td>{(totals[c] or 0) if c in numeric else ''}</td>" for c in df.columns)
+    return f"<h1>{html.escape(title)}</h1><p>{len(rows)} of {totals['_n']} rows</p><table><tr>{head}</tr>{body}<tr>{sums}</tr></table>"

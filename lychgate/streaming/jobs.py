@@ -25,20 +25,38 @@ def run_once(stream: DataFrame, apply, checkpoint: str):
     return q
 
 
-def upsert_parquet(keys: list[str], order: str, root: str):
-    """A batch function that keeps, in versions under root, the row of the greatest `order` a key. A batch
-    that is replayed writes the same version again."""
+def _versions(spark: SparkSession, root: str):
+    """(file system, Path, numbers of the finished versions under root in order)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(path(root))] if fs.exists(path(root)) else []
+    numbers = sorted(int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit())
+    return fs, path, [n for n in numbers if fs.exists(path(f"{root}/v={n}/_SUCCESS"))]
+
+
+def current(spark: SparkSession, root: str) -> DataFrame | None:
+    """The latest finished version of an upserted table, None before the first."""
+    _, _, done = _versions(spark, root)
+    return spark.read.parquet(f"{root}/v={done[-1]}") if done else None
+
+
+def upsert_parquet(keys: list[str], order: str, root: str, keep: int = 2):
+    """A batch function that keeps, in versions under root, the row of the greatest `order` a key, the stored one of equal
+    ones. A batch makes the version after the latest finished one, whatever its own number, so a batch that is tried
+    again and a replay under a new checkpoint add to what is stored and change nothing else. Versions older than the last
+    `keep` are deleted."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        old = f"{root}/v={batch_id - 1}"
-        rows = batch
-        if batch_id and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old)):
-            rows = spark.read.schema(batch.schema).parquet(old).unionByName(batch)
+        fs, path, done = _versions(spark, root)
+        rows = batch.withColumn("_stored", F.lit(0))
+        if done:
+            rows = spark.read.schema(batch.schema).parquet(f"{root}/v={done[-1]}").withColumn("_stored", F.lit(1)).unionByName(rows)
         rest = [c for c in batch.columns if c not in keys]
-        latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("r")).select(*keys, "r.*")
-        latest.select(*batch.columns).write.mode("overwrite").parquet(f"{root}/v={batch_id}")
+        latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(order, "_stored")).alias("r")).select(*keys, "r.*")
+        latest.select(*batch.columns).write.mode("overwrite").parquet(f"{root}/v={done[-1] + 1 if done else 0}")
+        for n in done[: 1 - keep] if keep > 1 else done:
+            fs.delete(path(f"{root}/v={n}"), True)
 
     return apply
 

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from lychgate.sources import readers, schemas, writers
 from lychgate.streaming import jobs
 
@@ -48,6 +50,17 @@ def test_stream_takes_what_landed(spark, tmp_path):
     jobs.run_once(jobs.landed_lists(spark, str(folder)), sink, state)
     got = {r["id"]: r["pub_date"] for r in spark.read.parquet(f"{root}/v=1").collect()}
     assert got == {"id1": "2020-03-01", "id2": "2020-01-01"}
+    # A replay under a new checkpoint adds to what is stored.
+    (folder / "a.obitList").write_text(line(4, "2020-01-01") + "\n")
+    (folder / "c.obitList").unlink()
+    jobs.run_once(jobs.landed_lists(spark, str(folder)), sink, str(tmp_path / "again"))
+    assert {r["id"]: r["pub_date"] for r in jobs.current(spark, root).collect()} == got | {"id4": "2020-01-01"}
+    assert jobs.current(spark, str(tmp_path / "none")) is None
+
+
+def test_report_totals(spark):
+    page = writers.html_report(spark.range(3000).withColumnRenamed("id", "n"), "All & more", F.desc("n"), most=2)
+    assert "<td>4498500</td>" in page and "2 of 3000 rows" in page and page.index("2999") < page.index("2998") and "All &amp; more" in page
 
 
 def test_fetch_plan(spark):
