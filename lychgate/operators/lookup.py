@@ -65,3 +65,44 @@ def valid_record_exists(df: DataFrame, other: DataFrame, on: list[str], number:
 def shuffled(df: DataFrame, seed: int, ordinal: str = "ordinal") -> DataFrame:
     """df in random order, with a column by which sorting restores the order it had by `ordinal`."""
     return df.orderBy(F.xxhash64(F.col(ordinal), F.lit(seed)))
+
+
+def place_of(df: DataFrame, codes: DataFrame, areas: DataFrame, on: str = "postal_code") -> DataFrame:
+    """df with place and province of a postal code (codes: on, place, province), or of its first three characters (areas: area,
+    place, province) where the code is not known."""
+    whole = codes.select(on, F.col("place").alias("_place"), F.col("province").alias("_province"))
+    part = areas.select(F.col("area").alias("_area"), F.col("place").alias("_near"), F.col("province").alias("_within"))
+    rows = df.join(whole, on, "left").join(part, F.left(F.col(on), F.lit(3)) == F.col("_area"), "left")
+    return rows.select(*df.columns, F.coalesce("_place", "_near").alias("place"), F.coalesce("_province", "_within").alias("province"))
+
+
+def pure_nicknames(df: DataFrame, nicknames: DataFrame, name: str) -> DataFrame:
+    """Rows of df whose name is a nickname (nickname, formal_names) without any formal one."""
+    return df.join(nicknames.where(F.coalesce(F.size("formal_names"), F.lit(0)) <= 0).select(F.col("nickname").alias(name)).distinct(), name, "left_semi")
+
+
+def only_one(df: DataFrame, key: str, *take: str) -> DataFrame:
+    """(key, take) of the keys that stand in one row only."""
+    return df.groupBy(key).agg(F.count("*").alias("_n"), F.first(F.struct(*take)).alias("_row")).where("_n = 1").select(key, "_row.*")
+
+
+def or_default(df: DataFrame, keys: DataFrame, key: str, default: dict) -> DataFrame:
+    """Rows of df for keys (one column), and a row of defaults for a key without any."""
+    return keys.join(df, key, "left").select(key, *[F.coalesce(F.col(c), F.lit(v)).alias(c) for c, v in default.items()])
+
+
+def urls_of(df: DataFrame, key: str, url: str) -> DataFrame:
+    """(key, urls): each key's urls in order, once."""
+    return df.where(F.col(url).isNotNull()).groupBy(key).agg(F.array_sort(F.collect_set(url)).alias("urls"))
+
+
+def kinds_of(lists: DataFrame, names: DataFrame) -> DataFrame:
+    """(id, are_surnames, are_names, are_places) of lists (id, values): whether all are surnames and no given names, all are given
+    names or nicknames, all are places, by names (name, kind: given, nickname, surname, place). False for empty lists."""
+    kinds = names.groupBy(F.lower("name").alias("_name")).agg(F.collect_set("kind").alias("_kinds"))
+    each = lists.select("id", F.explode("values").alias("_name")).withColumn("_name", F.lower("_name")).join(kinds, "_name", "left")
+    has = lambda k: F.coalesce(F.array_contains("_kinds", k), F.lit(False))
+    told = each.groupBy("id").agg(
+        F.bool_and(has("surname") & ~has("given")).alias("are_surnames"), F.bool_and(has("given") | has("nickname")).alias("are_names"), F.bool_and(has("place")).alias("are_places")
+    )
+    return lists.select("id").join(told, "id", "left").na.fill(False)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lychgate.sources import schemas as S
@@ -50,6 +50,32 @@ def whole_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(path).select(F.input_file_name().alias("path"), "value")
 
 
+def notice_files(spark: SparkSession, path: str, glob: str = "*.htm*") -> DataFrame:
+    """(path, provider_id, provider_key, id, value): a row a file that lies at .../provider/key/id.html; values without the
+    marks that a page's encoding may leave (byte order marks, ligatures, zero bytes)."""
+    place = F.regexp_extract_all("path", F.lit(r"([^/]+)/([^/]+)/([^/]+)\.html?$"), F.lit(0))
+    parts = F.split(F.get(place, F.lit(0)), "/")
+    files = spark.read.option("wholetext", True).option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path)
+    rows = files.select(F.input_file_name().alias("path"), cleaned(F.col("value")).alias("value"))
+    return rows.select("path", F.get(parts, F.lit(0)).alias("provider_id"), F.get(parts, F.lit(1)).alias("provider_key"), F.regexp_replace(F.get(parts, F.lit(2)), r"\.html?$", "").alias("id"), "value")
+
+
+def cleaned(text: Column) -> Column:
+    """A page's text without byte order marks and zero bytes, ligatures as letters, line ends as \\n."""
+    text = F.translate(F.regexp_replace(text, "\r\n?", "\n"), "\ufeff\x00", "")
+    for one, two in (("\ufb00", "ff"), ("\ufb01", "fi"), ("\ufb02", "fl"), ("\ufb03", "ffi"), ("\ufb04", "ffl")):
+        text = F.replace(text, F.lit(one), F.lit(two))
+    return text
+
+
+def decoded(content: Column, charset: Column) -> Column:
+    """Bytes of a page as text by the charset that it names: UTF-8, ISO-8859-1 (also for Windows-1252) or UTF-16; UTF-8 for
+    others."""
+    key = F.lower(charset)
+    latin = key.isin("iso-8859-1", "latin1", "windows-1252", "us-ascii")
+    return cleaned(F.when(latin, F.decode(content, "ISO-8859-1")).when(key.startswith("utf-16"), F.decode(content, "UTF-16")).otherwise(F.try_validate_utf8(content.cast("string"))))
+
+
 def lookup_table(spark: SparkSession, path: str) -> DataFrame:
     """"field value" lines as (field, value)."""
     return spark.read.text(path).select(F.regexp_extract("value", r"^(\S+)\s+(.*)$", 1).alias("field"), F.trim(F.regexp_extract("value", r"^(\S+)\s+(.*)$", 2)).alias("value")).where("field != ''")
