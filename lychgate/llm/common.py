@@ -63,7 +63,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{_tables(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table of written() of which everything that is still needed has been written too."""
+    _hadoop(table.sparkSession, table._scratch, lambda fs, p: fs.delete(p, True))
 
 
 def release(spark: SparkSession) -> None:
