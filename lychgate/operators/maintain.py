@@ -7,7 +7,7 @@ written as a new version.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -36,6 +36,20 @@ def replace_rows(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new)
 
 
+def insert_missing(old: DataFrame, new: DataFrame, key: str, name: str, *on: str) -> DataFrame:
+    """old and the rows of new that it lacks by `on`, once each, in order of `name`, with ids from the greatest on."""
+    rest = [c for c in old.columns if c != key]
+    added = new.select(*rest).join(old.select(*on), list(on), "left_anti").dropDuplicates(list(on))
+    first = (old.agg(F.max(key)).first()[0] or 0) + 1
+    return old.unionByName(numbered(added, name, key, first).select(*[F.col(c).cast(old.schema[c].dataType) for c in old.columns]))
+
+
+def observed(df: DataFrame, **counters: Column) -> tuple[DataFrame, Observation]:
+    """df, and counts by name of its rows for which a test holds, told once df has been run, without another scan."""
+    told = Observation()
+    return df.observe(told, F.count(F.lit(1)).alias("read"), *[F.count_if(test).alias(k) for k, test in counters.items()]), told
+
+
 def add_counts(old: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """male_count and female_count by name after signed changes, and the male share."""
     both = old.select(key, "male_count", "female_count").unionByName(changes.select(key, "male_count", "female_count"))
