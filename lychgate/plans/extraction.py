@@ -266,3 +266,15 @@ def first_word_gender(spark, d):
 def places_named(spark, d):
     places = spark.createDataFrame([(x,) for x in ("he", "she", "that", "les", "und", "del")], "place string")
     return X.places_named(table(spark, d, "documents"), places, "doc_id", "text")
+
+
+@query(
+    "notice_heads",
+    f"""WITH {_FACTS} SELECT o_orderkey, 'He was born in ' || CASE WHEN o_orderkey % 2 = 0 THEN 'the year ' ELSE '' END || year(born) || '. Dr. A. Field wrote this.' AS head, year(born)::INT AS born_in,
+       'He said "no", (so it is) in the USA; and left.' AS plain FROM f""",
+)
+def notice_heads(spark, d):
+    k = F.col("o_orderkey")
+    head = F.concat(F.lit("He was born in "), F.when(k % 2 == 0, F.lit("the year ")).otherwise(F.lit("")), F.year("born").cast("string"), F.lit(". Dr. A. Field wrote this. "), "text")
+    loose = F.lit("He  said “no” , ( so it is ) in the U.S.A.;and left .")
+    return notices(spark, d).select("o_orderkey", X.head_sentences(head, 2).alias("head"), X.born_year(head).alias("born_in"), T.clean(loose).alias("plain"))

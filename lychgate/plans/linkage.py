@@ -382,3 +382,21 @@ def source_ids(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", F.col("o_orderkey").alias("source_id"), (F.col("o_custkey") % 10).alias("provider_id"), (F.col("o_orderkey") % 7).alias("provider_key"))
     l = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("source_id"), (F.col("l_suppkey") % 10).alias("provider_id"), (F.col("l_partkey") % 7).alias("provider_key"), F.col("l_partkey").alias("id"))
     return L.source_match(o, l).select("o_orderkey", "found_id", "kind")
+
+
+@query(
+    "rank_points",
+    """SELECT s_suppkey, CASE s_suppkey % 5 WHEN 0 THEN 1000 WHEN 1 THEN 1000 WHEN 2 THEN 500 WHEN 3 THEN 250 ELSE 0 END AS bounds, CASE WHEN s_suppkey % 2 = 0 THEN 750.0 ELSE 562.5 END::DOUBLE AS first,
+       375.0::DOUBLE AS middle, CASE WHEN s_suppkey % 2 = 0 THEN 0.0 ELSE 375.0 END::DOUBLE AS spouse, s_suppkey % 2 = 1 AND s_suppkey % 3 = 0 AS again FROM supplier""",
+)
+def rank_points(spark, d):
+    k, dob = F.col("s_suppkey"), F.lit("1940-01-01").cast("date")
+    days = lambda *n: F.element_at(F.array(*[F.lit(x) for x in n]), (k % 5 + 1).cast("int"))
+    low, high = F.date_add(dob, days(0, 0, 20, 300, 5000)), F.date_add(dob, days(0, 400, 40, 310, 5010))
+    own, other = F.array(F.lit("ann")), F.when(k % 2 == 0, F.array(F.lit("ann"))).otherwise(F.array(F.lit("zoe")))
+    wide = F.when(k % 2 == 0, F.array(F.lit("bob"))).otherwise(F.array(F.lit("ann"), F.lit("zoe")))
+    again = rank.retry_reversed(F.when(k % 2 == 1, 1700).otherwise(1800), F.lit(True), k % 3 == 0, F.lit(True))
+    return table(spark, d, "supplier").select(
+        "s_suppkey", rank.bound_points(dob, low, high).cast("int").alias("bounds"), rank.first_points(own, other, own, wide).cast("double").alias("first"),
+        rank.middle_points(own, own).cast("double").alias("middle"), rank.spouse_points(own, wide).cast("double").alias("spouse"), again.alias("again"),
+    )

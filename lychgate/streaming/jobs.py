@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from lychgate.sources import readers
 
 
-def landed_lists(spark: SparkSession, path: str, kind: str = "obit") -> DataFrame:
-    """A stream of list rows from a folder of files."""
-    glob, parse = ("*.obitList", readers.obit_list) if kind == "obit" else ("*.obitURLlist", readers.url_list)
-    return parse(spark.readStream.option("pathGlobFilter", glob).text(path))
+def landed_lists(spark: SparkSession, path: str, kind: str = "obit", glob: str | None = None) -> DataFrame:
+    """A stream of list rows from a folder of files, those named for their kind unless glob says otherwise."""
+    named, parse = ("*.obitList", readers.obit_list) if kind == "obit" else ("*.obitURLlist", readers.url_list)
+    return parse(spark.readStream.option("pathGlobFilter", glob or named).text(path))
 
 
 def run_once(stream: DataFrame, apply, checkpoint: str):
