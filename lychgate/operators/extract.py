@@ -39,12 +39,13 @@ TITLES = {"M": ("mr", "monsieur", "m", "sir"), "F": ("mrs", "ms", "miss", "mme",
 MONTHS = {
     "en": ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"),
     "fr": ("janvier", "février", "mars", "avril", "mai", "juin", "juillet", "août", "septembre", "octobre", "novembre", "décembre"),
+    "es": ("enero", "febrero", "marzo", "abril", "mayo", "junio", "julio", "agosto", "septiembre", "octubre", "noviembre", "diciembre"),
 }
 BORN, DIED, MARRIED = r"(?i)\b(born|birth|née? le)\b", r"(?i)\b(died|passed away|death|décédée?)\b", r"(?i)\b(married|wed)\b"
 SERVICE = r"(?i)\b(funeral|service|memorial|visitation|funérailles)\b"
 SPOUSE = r"(?:[Hh]is wife|[Hh]er husband|[Hh]usband of|[Ww]ife of|[Bb]eloved spouse of)(?: (?:of )?[0-9]+ years)?,? (\p{Lu}\p{L}+)"
 _MONTH_RE = "(?i)(" + "|".join(m for names in MONTHS.values() for m in names) + ")"
-_WRITTEN = rf"(?i)(?:{_MONTH_RE[4:]} [0-9]{{1,2}},? [0-9]{{4}}|[0-9]{{1,2}}(?:er)? {_MONTH_RE[4:]},? [0-9]{{4}})"
+_WRITTEN = rf"(?i)(?:{_MONTH_RE[4:]} [0-9]{{1,2}},? [0-9]{{4}}|[0-9]{{1,2}}(?:er)? {_MONTH_RE[4:]},? [0-9]{{4}}|[0-9]{{1,2}} de {_MONTH_RE[4:]} del? [0-9]{{4}})"
 
 
 def count_in(words: Column, lexicon) -> Column:
@@ -341,8 +342,13 @@ def first_word_tally(text: Column, words) -> Column:
     return F.size(F.filter(T.sentences(text), lambda s: F.lower(F.regexp_extract(s, r"^(\p{L}+)", 1)).isin(*words)))
 
 
-def places_named(docs: DataFrame, places: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(id_col, place) for every place of a dimension (column place, lower case) that a text names as one word. Words
-    are joined with the dimension, so the number of places does not multiply the texts."""
-    words = docs.select(id_col, F.explode(F.array_distinct(T.words(F.col(text)))).alias("place"))
-    return words.join(places.select("place").distinct(), "place", "left_semi").select(id_col, "place")
+def places_named(docs: DataFrame, places: DataFrame, id_col: str, text: str, most: int = 1) -> DataFrame:
+    """(id_col, place) for every place of a dimension (column place, lower case, words parted by one blank) of up to `most`
+    words that a text names. Words in a row are joined with the dimension, so the number of places does not multiply the
+    texts."""
+    rows = docs.select(id_col, T.words(F.col(text)).alias("_1"))
+    for n in range(2, most + 1):  # n words are n - 1 of them and the word after
+        left = F.greatest(F.lit(0), F.size("_1") - n + 1)
+        rows = rows.withColumn(f"_{n}", F.zip_with(F.slice(f"_{n - 1}", 1, left), F.slice("_1", n, left), lambda a, b: F.concat(a, F.lit(" "), b)))
+    each = rows.select(id_col, F.explode(F.array_distinct(F.concat(*[f"_{n}" for n in range(1, most + 1)]))).alias("place"))
+    return each.join(places.select("place").distinct(), "place", "left_semi").select(id_col, "place")

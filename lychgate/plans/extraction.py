@@ -278,3 +278,21 @@ def notice_heads(spark, d):
     head = F.concat(F.lit("He was born in "), F.when(k % 2 == 0, F.lit("the year ")).otherwise(F.lit("")), F.year("born").cast("string"), F.lit(". Dr. A. Field wrote this. "), "text")
     loose = F.lit("He  said “no” , ( so it is ) in the U.S.A.;and left .")
     return notices(spark, d).select("o_orderkey", X.head_sentences(head, 2).alias("head"), X.born_year(head).alias("born_in"), T.clean(loose).alias("plain"))
+
+
+@query(
+    "places_of_words",
+    f"""WITH l AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}]+'), lambda x: length(x) > 0) AS a FROM documents),
+        r AS (SELECT doc_id, unnest(a) AS place FROM l UNION ALL SELECT doc_id, unnest(list_transform(range(1, len(a)), lambda i: a[i] || ' ' || a[i + 1])) FROM l)
+        SELECT DISTINCT doc_id, place FROM r WHERE place IN ('the', 'of the', 'de la', 'in der')""",
+)
+def places_of_words(spark, d):
+    places = spark.createDataFrame([(x,) for x in ("the", "of the", "de la", "in der")], "place string")
+    return X.places_named(table(spark, d, "documents"), places, "doc_id", "text", most=2)
+
+
+@query("spanish_dates", f"WITH {_FACTS} SELECT o_orderkey, 2::BIGINT AS n, born AS first_date, died AS last_date FROM f")
+def spanish_dates(spark, d):
+    said = lambda c, de: F.concat(F.dayofmonth(c).cast("string"), F.lit(" de "), F.element_at(F.array(*[F.lit(m) for m in X.MONTHS["es"]]), F.month(c)), F.lit(f" {de} "), F.year(c).cast("string"))
+    dates = X.written_dates(F.concat(F.lit("Nació el "), said("born", "de"), F.lit(" y murió el "), said("died", "del"), F.lit(".")))
+    return notices(spark, d).select("o_orderkey", F.size(dates).cast("long").alias("n"), dates[0].alias("first_date"), F.try_element_at(dates, F.lit(-1)).alias("last_date"))

@@ -179,13 +179,13 @@ def best_of_ties(spark, d):
 
 @query(
     "report_summary",
-    """SELECT o_orderpriority, count(*) AS n, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS total_cents, min(o_totalprice) AS least, max(o_totalprice) AS most,
+    """SELECT o_orderpriority, count(*) AS n, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS total_cents, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) // count(*) AS BIGINT) AS mean_cents, min(o_totalprice) AS least, max(o_totalprice) AS most,
        arg_max(o_totalprice, o_orderkey) AS last_value FROM orders GROUP BY 1""",
 )
 def report_summary(spark, d):
     cents = F.round(F.col("o_totalprice") * 100).cast("long")
     return table(spark, d, "orders").groupBy("o_orderpriority").agg(
-        F.count("*").alias("n"), F.sum(cents).alias("total_cents"), F.min("o_totalprice").alias("least"), F.max("o_totalprice").alias("most"),
+        F.count("*").alias("n"), F.sum(cents).alias("total_cents"), F.floor(F.sum(cents) / F.count("*")).alias("mean_cents"), F.min("o_totalprice").alias("least"), F.max("o_totalprice").alias("most"),
         F.max_by("o_totalprice", "o_orderkey").alias("last_value"),
     )
 
