@@ -45,7 +45,7 @@ BORN, DIED, MARRIED = r"(?i)\b(born|birth|née? le)\b", r"(?i)\b(died|passed awa
 SERVICE = r"(?i)\b(funeral|service|memorial|visitation|funérailles)\b"
 SPOUSE = r"(?:[Hh]is wife|[Hh]er husband|[Hh]usband of|[Ww]ife of|[Bb]eloved spouse of)(?: (?:of )?[0-9]+ years)?,? (\p{Lu}\p{L}+)"
 _MONTH_RE = "(?i)(" + "|".join(m for names in MONTHS.values() for m in names) + ")"
-_WRITTEN = rf"(?i)(?:{_MONTH_RE[4:]} [0-9]{{1,2}},? [0-9]{{4}}|[0-9]{{1,2}}(?:er)? {_MONTH_RE[4:]},? [0-9]{{4}}|[0-9]{{1,2}} de {_MONTH_RE[4:]} del? [0-9]{{4}})"
+_WRITTEN = rf"(?i)\b(?:{_MONTH_RE[4:]} [0-9]{{1,2}},? [0-9]{{4}}|[0-9]{{1,2}}(?:er)? {_MONTH_RE[4:]},? [0-9]{{4}}|[0-9]{{1,2}} de {_MONTH_RE[4:]} del? [0-9]{{4}})"
 
 
 def count_in(words: Column, lexicon) -> Column:
@@ -166,14 +166,23 @@ def written_dates(text: Column) -> Column:
     return F.filter(F.transform(F.regexp_extract_all(text, F.lit(_WRITTEN), F.lit(0)), as_date), lambda d: d.isNotNull())
 
 
+def dates_near(text: Column, **keywords: str) -> Column:
+    """A struct with a date for each keyword: the first one in the first sentence that holds the keyword and a date, after
+    the keyword if there is one, else the sentence's first. Sentences are parted, and those with dates chosen, once."""
+    dated = F.filter(T.sentences(text), lambda s: s.rlike("[0-9]{4}") & s.rlike(_WRITTEN))
+
+    def told(keyword: str):
+        # [\s\S] also runs over line ends.
+        before = rf"^[\s\S]*?{keyword.replace('(?i)', '(?i:', 1)})"
+        return lambda s: F.coalesce(F.try_element_at(written_dates(F.regexp_replace(s, before, "")), F.lit(1)), F.try_element_at(written_dates(s), F.lit(1)))
+
+    first = lambda all_, keyword: F.try_element_at(F.filter(all_, lambda s: s.rlike(keyword)), F.lit(1))
+    return T.once(dated, lambda all_: F.struct(*[T.once(first(all_, k), told(k)).alias(name) for name, k in keywords.items()]))
+
+
 def date_near(text: Column, keyword: str) -> Column:
-    """The first date in the first sentence that holds the keyword and a date: after the keyword if there
-    is one, else the sentence's first."""
-    hit = F.filter(T.sentences(text), lambda s: s.rlike(keyword) & s.rlike(_WRITTEN))
-    # [\s\S] also runs over line ends.
-    before = rf"^[\s\S]*?{keyword.replace('(?i)', '(?i:', 1)})"
-    told = lambda s: F.coalesce(F.try_element_at(written_dates(F.regexp_replace(s, before, "")), F.lit(1)), F.try_element_at(written_dates(s), F.lit(1)))
-    return T.once(F.try_element_at(hit, F.lit(1)), told)
+    """The date of one keyword as dates_near() finds it."""
+    return dates_near(text, date=keyword)["date"]
 
 
 def service_date(text: Column) -> Column:

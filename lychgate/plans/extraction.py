@@ -159,8 +159,7 @@ def notices(spark, d):
 
 @query("born_died_assoc", f"WITH {_FACTS} SELECT o_orderkey, born, died FROM f")
 def born_died_assoc(spark, d):
-    t = F.col("text")
-    return notices(spark, d).select("o_orderkey", X.date_near(t, X.BORN).alias("born"), X.date_near(t, X.DIED).alias("died"))
+    return notices(spark, d).select("o_orderkey", X.dates_near(F.col("text"), born=X.BORN, died=X.DIED).alias("d")).select("o_orderkey", "d.born", "d.died")
 
 
 @query("service_date", f"WITH {_FACTS} SELECT o_orderkey, died + 5 AS service FROM f")
