@@ -144,9 +144,8 @@ def json_value(c: Column, key: str) -> Column:
 def sentences(c: Column) -> Column:
     """Sentences; full stops after initials and common abbreviations do not end one."""
     guard = "|".join(ABBREVIATIONS)
-    marked = F.regexp_replace(c, rf"(^|[^\p{{L}}])({guard}|\p{{Lu}})\.", "$1$2\u0001")
-    parts = F.split(F.regexp_replace(marked, r"([.!?])\s+", "$1\u0002"), "\u0002")
-    return F.filter(F.transform(parts, lambda s: F.trim(F.replace(s, F.lit("\u0001"), F.lit(".")))), lambda s: F.length(s) > 0)
+    parts = F.split(c, rf"(?<=[.!?])(?<!(?:^|[^\p{{L}}])(?:{guard}|\p{{Lu}})\.)\s+")
+    return F.filter(F.transform(parts, F.trim), lambda s: F.length(s) > 0)
 
 
 def words(c: Column) -> Column:
