@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from lychgate.llm import ann, bpe, language, media, near_dup, packing, passages, quality, token_output, toxicity
+from lychgate.llm import ann, bpe, language, media, near_dup, packing, passages, quality, token_output, toxicity, url_rules
 
 
 def queries() -> dict[str, Callable]:
@@ -19,6 +19,7 @@ def queries() -> dict[str, Callable]:
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_token_output": token_output.op9_token_output,
         "op10_ogg_media": media.op10_ogg_media,
+        "op11_url_rules": url_rules.op11_url_rules,
     }
 
 
@@ -40,6 +41,20 @@ FROM s LEFT JOIN (SELECT i, min(j) AS component_id FROM r GROUP BY 1) m ON m.i =
 """
 
 
+#: Every address against every rule; the host's or a parent's rule whose path begins the address' path.
+OP11_SQL = r"""
+WITH rules(verdict, host, path) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+p AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+t AS (
+  SELECT DISTINCT p.host, p.path, r.host || r.path AS rule, r.verdict, length(r.host || r.path) AS n, length(r.host) AS m
+  FROM (SELECT DISTINCT host, path FROM p) p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)),
+b AS (SELECT host, path, rule, verdict FROM t QUALIFY row_number() OVER (PARTITION BY host, path ORDER BY n DESC, m DESC) = 1)
+SELECT p.page_id, p.host, p.path, b.rule, coalesce(b.verdict, 'allow') AS verdict FROM p LEFT JOIN b ON p.host = b.host AND p.path = b.path
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The other operators tokenize, fit models, or store forms that SQL cannot make."""
-    return {"op6_minhash": OP6_SQL}
+    return {"op6_minhash": OP6_SQL, "op11_url_rules": OP11_SQL}
