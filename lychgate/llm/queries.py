@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from lychgate.llm import ann, bpe, language, media, near_dup, packing, passages, quality, token_output, toxicity, url_rules
+from lychgate.llm import ann, bpe, conversations, language, media, near_dup, packing, passages, quality, token_output, toxicity, url_rules
 
 
 def queries() -> dict[str, Callable]:
@@ -20,6 +20,7 @@ def queries() -> dict[str, Callable]:
         "op9_token_output": token_output.op9_token_output,
         "op10_ogg_media": media.op10_ogg_media,
         "op11_url_rules": url_rules.op11_url_rules,
+        "op12_conversations": conversations.op12_conversations,
     }
 
 
@@ -54,7 +55,60 @@ b AS (SELECT host, path, rule, verdict FROM t QUALIFY row_number() OVER (PARTITI
 SELECT p.page_id, p.host, p.path, b.rule, coalesce(b.verdict, 'allow') AS verdict FROM p LEFT JOIN b ON p.host = b.host AND p.path = b.path
 """
 
+#: The unsigned CRC-32 of a text in UTF-8, by a table of 256 remainders that a rule makes: {0} is the text, t.c the table.
+CRC = "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, octet_length(encode({0}))), lambda i: ('0x' || substr(hex(encode({0})), 2 * i + 1, 2))::BIGINT)), lambda a, b: xor(a >> 8, t.c[xor(a, b) % 256 + 1])), 4294967295)"
+CRC_TABLE = """
+  SELECT list(c ORDER BY i) AS c FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c FROM (SELECT unnest(range(256)) AS i))
+"""
+
+#: Every conversation's cheapest audits spelt out, row by row, for each of four states.
+OP12_SQL = (
+    r"""
+WITH RECURSIVE t AS MATERIALIZED (""" + CRC_TABLE + r"""),
+r AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+k AS MATERIALIZED (SELECT r.* EXCLUDE (k), """ + CRC.format("k") + r""" % 20 AS kind FROM r, t),
+d AS MATERIALIZED (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE kind WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM k WHERE kind <> 0),
+n AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i, regexp_replace(text, '[ 	-
+]+$', '') AS bare FROM d),
+f AS MATERIALIZED (
+  SELECT *, left(role, 1) AS a, CASE WHEN bare = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+         WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM n),
+c AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (b IS NOT NULL AND a || b NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM (SELECT *, lead(a) OVER (PARTITION BY conv_id ORDER BY i) AS b FROM f) GROUP BY conv_id),
+step(q, a, p) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+ins(q, m, p, cost) AS (VALUES (0, '', 0, 0), (1, '', 1, 0), (2, '', 2, 0), (3, '', 3, 0), (0, 'I', 2, 5), (1, 'I', 2, 5), (2, 'I', 3, 5), (3, 'I', 2, 5), (0, 'II', 3, 10), (1, 'II', 3, 10), (2, 'II', 2, 10), (3, 'II', 3, 10)),
+edit AS (
+  SELECT q, m || 'D' AS m, NULL AS a, p, cost + 2 AS cost, true AS gone FROM ins
+  UNION ALL SELECT ins.q, m || 'K', a, step.p, cost, false FROM ins JOIN step ON ins.p = step.q
+  UNION ALL SELECT ins.q, m || 'R', NULL, step.p, cost + 1, false FROM ins JOIN step ON ins.p = step.q WHERE a <> 's'),
+g AS (
+  SELECT c.conv_id, 0::BIGINT AS i, 0 AS q, {'cost': 0, 'audit': ''} AS x FROM c
+  UNION ALL
+  SELECT conv_id, i, q, min(x) FROM (
+    SELECT g.conv_id, f.i, edit.p AS q, {'cost': g.x.cost + edit.cost + CASE WHEN gone OR f.fault <> 'truncated' THEN 0 ELSE 5 END, 'audit': g.x.audit || edit.m} AS x
+    FROM g JOIN f ON g.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = g.i + 1 JOIN edit ON edit.q = g.q AND (edit.a IS NULL OR edit.a = f.a) AND (gone OR f.fault NOT IN ('blank', 'duplicate')))
+  GROUP BY conv_id, i, q),
+e AS MATERIALIZED (
+  SELECT c.conv_id, min({'cost': g.x.cost + CASE g.q WHEN 1 THEN 10 WHEN 2 THEN 5 ELSE 0 END, 'audit': g.x.audit || CASE g.q WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END}) AS x
+  FROM c JOIN g ON c.conv_id IS NOT DISTINCT FROM g.conv_id AND g.i = c.n GROUP BY c.conv_id),
+l AS (SELECT conv_id, unnest(string_split(x.audit, '')) AS m, generate_subscripts(string_split(x.audit, ''), 1) AS place FROM e WHERE x.audit <> ''),
+o AS (SELECT *, count(*) FILTER (m <> 'I') OVER w AS i, count(*) FILTER (m <> 'D') OVER w AS j FROM l WINDOW w AS (PARTITION BY conv_id ORDER BY place)),
+w AS (
+  SELECT o.conv_id, o.j, o.m, f.role, CASE WHEN o.m = 'I' THEN '' ELSE f.text END AS text, max(o.j = 1 AND o.m = 'K' AND f.a = 's') OVER (PARTITION BY o.conv_id) AS s
+  FROM o LEFT JOIN f ON o.conv_id IS NOT DISTINCT FROM f.conv_id AND o.i = f.i AND o.m <> 'I' WHERE o.m <> 'D'),
+h AS (SELECT conv_id, sha256(string_agg(CASE WHEN m = 'K' THEN role WHEN (j - s::INT) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY j)) AS h FROM w GROUP BY conv_id)
+SELECT v.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate, coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal,
+       coalesce(e.x.cost, 0) AS cost, coalesce(e.x.audit, '') AS audit, coalesce(h.h, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) v LEFT JOIN c ON v.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN e ON v.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN h ON v.conv_id IS NOT DISTINCT FROM h.conv_id
+"""
+)
+
 
 def oracle_sql() -> dict[str, str]:
     """The other operators tokenize, fit models, or store forms that SQL cannot make."""
-    return {"op6_minhash": OP6_SQL, "op11_url_rules": OP11_SQL}
+    return {"op6_minhash": OP6_SQL, "op11_url_rules": OP11_SQL, "op12_conversations": OP12_SQL}
