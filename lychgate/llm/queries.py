@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from lychgate.llm import ann, bpe, conversations, language, media, near_dup, packing, passages, quality, token_output, toxicity, url_rules
+from lychgate.llm import ann, bpe, conversations, language, media, near_dup, packing, passages, quality, spelling, token_output, toxicity, url_rules
 
 
 def queries() -> dict[str, Callable]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable]:
         "op10_ogg_media": media.op10_ogg_media,
         "op11_url_rules": url_rules.op11_url_rules,
         "op12_conversations": conversations.op12_conversations,
+        "op13_spelling": spelling.op13_spelling,
     }
 
 
@@ -108,7 +109,28 @@ LEFT JOIN e ON v.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN h ON v.conv_id
 """
 )
 
+#: Near words by what is left when a code point is left out; roots by following forms.
+OP13_SQL = (
+    r"""
+WITH RECURSIVE t AS MATERIALIZED (""" + CRC_TABLE + r"""),
+r AS (SELECT coalesce(doc_id::VARCHAR, '') AS d, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+d AS MATERIALIZED (SELECT run, d || ':' || run AS k, count(*) AS n FROM r WHERE length(run) >= 5 GROUP BY d, run),
+h AS MATERIALIZED (SELECT run, n, """ + CRC.format("k") + r""" AS h FROM d, t),
+v AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+w AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM v WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+l AS MATERIALIZED (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS s FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+p AS (
+  SELECT a.word, b.word AS near, b.n FROM l a JOIN l b ON a.i = b.i AND a.s = b.s AND a.word <> b.word
+  UNION SELECT l.word, w.word, w.n FROM l JOIN w ON l.s = w.word UNION SELECT w.word, l.word, l.n FROM l JOIN w ON l.s = w.word),
+b AS (SELECT word, count(*) AS n_near, min({'n': -n, 'near': near}) AS x FROM p GROUP BY word),
+f AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN -b.x.n >= 2 * w.n THEN b.x.near END AS form, CASE WHEN -b.x.n >= 2 * w.n THEN -b.x.n END AS form_n FROM w LEFT JOIN b ON w.word = b.word),
+u AS (SELECT word, word AS root, form AS next FROM f UNION ALL SELECT u.word, f.word, f.form FROM u JOIN f ON u.next = f.word)
+SELECT f.word, f.form, u.root, f.n, f.n_near, f.form_n FROM f JOIN u ON f.word = u.word AND u.next IS NULL
+"""
+)
+
 
 def oracle_sql() -> dict[str, str]:
     """The other operators tokenize, fit models, or store forms that SQL cannot make."""
-    return {"op6_minhash": OP6_SQL, "op11_url_rules": OP11_SQL, "op12_conversations": OP12_SQL}
+    return {"op6_minhash": OP6_SQL, "op11_url_rules": OP11_SQL, "op12_conversations": OP12_SQL, "op13_spelling": OP13_SQL}

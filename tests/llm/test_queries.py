@@ -28,6 +28,11 @@ CONTRACT = {
     "op10_ogg_media": {
         "doc_id": "bigint", "n_bytes": "bigint", "payload_bytes": "bigint", "payload_sha256": "string", "tail_crc32": "bigint", "media_bytes": "bigint", "media_sha256": "string", "feature": "string",
     },
+    "op11_url_rules": {"page_id": "bigint", "host": "string", "path": "string", "rule": "string", "verdict": "string"},
+    "op12_conversations": {
+        "conv_id": "bigint", "gaps": "bigint", "blank": "bigint", "duplicate": "bigint", "truncated": "bigint", "illegal": "bigint", "cost": "bigint", "audit": "string", "repaired_sha256": "string",
+    },
+    "op13_spelling": {"word": "string", "form": "string", "root": "string", "n": "bigint", "n_near": "bigint", "form_n": "bigint"},
 }
 
 
