@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lychgate.functions import dates
+from lychgate.sources.scratch import written
 
 #: The evidence bits. Scores are compared as numbers, so the order is the bits' importance.
 BITS = {
@@ -49,15 +50,48 @@ def candidates(records: DataFrame, master: DataFrame, passes: list[list[str]]) -
     """(rec_id, cand_id, pass, position): pairs that agree on all keys of a pass; the first pass that finds a pair, and the
     place in the record of the name that it was found by. records and master hold id and the keys, records also position
     (0 to 9); null keys do not meet."""
-    found = []
-    for n, keys in enumerate(passes, 1):
-        l = records.select(F.col("id").alias("rec_id"), (n * 10 + F.col("position")).alias("block"), *keys)
-        r = master.select(F.col("id").alias("cand_id"), *keys)
-        found.append(l.join(r, keys).select("rec_id", "cand_id", "block"))
+    return first_blocks([candidates_of_pass(records, master, keys, n) for n, keys in enumerate(passes, 1)])
+
+
+def first_blocks(found: list[DataFrame]) -> DataFrame:
     first = reduce(DataFrame.union, found).groupBy("rec_id", "cand_id").agg(F.min("block").alias("block"))
     return first.select("rec_id", "cand_id", F.floor(F.col("block") / 10).cast("int").alias("pass"), (F.col("block") % 10).alias("position"))
 
 
+def candidates_of_pass(records: DataFrame, master: DataFrame, keys: list[str], n: int, most: int | None = None, refine: tuple[str, ...] = ()) -> DataFrame:
+    """(rec_id, cand_id, block) of pass n alone, block 10 times the pass and the position. Blocks, master rows of equal keys, of more than
+    `most` rows meet by the columns `refine`, too."""
+    l = records.select(F.col("id").alias("rec_id"), (n * 10 + F.col("position")).alias("block"), *keys, *refine)
+    r = master.select(F.col("id").alias("cand_id"), *keys, *refine)
+    if most is None:
+        return l.join(r.drop(*refine), keys).select("rec_id", "cand_id", "block")
+    large = written(r.groupBy(*keys).count().where(F.col("count") > most).select(*keys), "large")
+    small = l.join(large, keys, "left_anti").drop(*refine).join(r.drop(*refine), keys).select("rec_id", "cand_id", "block")
+    return small.union(l.join(large, keys, "left_semi").join(r, [*keys, *refine]).select("rec_id", "cand_id", "block"))
+
+
+def settled_in_passes(
+    records: DataFrame, master: DataFrame, rounds: list[list[list[str]]], score: Callable[[DataFrame], DataFrame], sufficient: Column, most: int | None = None, refine: tuple[str, ...] = ()
+) -> DataFrame:
+    """What early_stop() keeps of all passes, by joining and scoring one round of them after the other, and in each only the records
+    that no earlier one settled. Passes of sharp keys may share a round; those of wide ones get rounds of their own. score makes evidence
+    of candidates(); sufficient tells which of its rows settle a record; blocks are the record's names in a pass, in order. Every round is
+    written, so a later one reads what is left."""
+    todo, found, n = records, [], 0
+    for k, passes in enumerate(rounds, 1):
+        pairs = first_blocks([candidates_of_pass(todo, master, keys, n + j, most, refine) for j, keys in enumerate(passes, 1)])
+        n += len(passes)
+        for before in found:  # a pair counts in the first pass that finds it
+            pairs = pairs.join(before.select("rec_id", "cand_id"), ["rec_id", "cand_id"], "left_anti")
+        scored = score(pairs).withColumn("_block", F.col("pass") * 10 + F.col("position"))
+        rows = written(early_stop(scored, sufficient, "_block").withColumn("_settled", sufficient), f"round-{k}")
+        found.append(rows.drop("_settled", "_block"))
+        if k < len(rounds):
+            told = rows.where("_settled").select(F.col("rec_id").alias("id")).distinct()
+            todo = written(todo.join(told, "id", "left_anti"), f"todo-{k}")
+    return reduce(DataFrame.union, found)
+
+
 def early_stop(scored: DataFrame, sufficient: Column, block: str = "pass") -> DataFrame:
     """Of each record only the blocks (numbers in order: passes, or passes by last name) up to the first that held a
     sufficient candidate."""

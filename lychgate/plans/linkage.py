@@ -14,18 +14,21 @@ from lychgate.functions import geo, names
 from lychgate.operators import linkage as L
 from lychgate.operators import rank
 from lychgate.registry import query
+from lychgate.sources.scratch import written
 from lychgate.sources.tables import table
 
 _MASTER_SQL = """b AS (SELECT c_custkey AS id, c_custkey % 11 AS r, DATE '1930-01-01' + CAST(c_custkey % 400 AS INTEGER) AS born FROM customer),
- m AS (SELECT id, 'last' || (id % 97) AS last, CASE WHEN id % 5 = 0 AND id % 97 <> id % 89 THEN 'last' || (id % 89) END AS alt, 'first' || (id % 13) AS first, CASE WHEN id % 9 <> 0 THEN 'mid' || (id % 4) END AS middle,
- born, CASE WHEN r > 1 THEN born END AS dob, CASE WHEN r <> 0 THEN year(born) END AS yob, born - (CASE r WHEN 0 THEN 100 WHEN 1 THEN 800 ELSE 0 END) AS low, born + (CASE r WHEN 0 THEN 100 WHEN 1 THEN 800 ELSE 0 END) AS high,
- CASE WHEN id % 17 <> 0 THEN DATE '2015-01-01' + CAST(id % 300 AS INTEGER) END AS dod, CASE WHEN id % 34 <> 0 THEN 2015 END AS yod, CASE WHEN id % 19 <> 0 THEN id % 2 END AS gender,
+ m AS (SELECT id, 'last' || (id % 97 + id // 2000 * 97) AS last, CASE WHEN id % 5 = 0 AND id % 97 <> id % 89 THEN 'last' || (id % 89 + id // 2000 * 97) END AS alt, 'first' || (id % 13) AS first, CASE WHEN id % 9 <> 0 THEN 'mid' || (id % 4) END AS middle,
+ born, CASE WHEN r > 1 THEN born END AS dob, CASE WHEN r <> 0 THEN year(born) END AS yob, CASE WHEN r = 1 AND id % 2 = 0 THEN DATE '1900-01-01' ELSE born - (CASE r WHEN 0 THEN 100 WHEN 1 THEN 800 ELSE 0 END) END AS low, born + (CASE r WHEN 0 THEN 100 WHEN 1 THEN 800 ELSE 0 END) AS high,
+ CASE WHEN id % 17 <> 0 AND NOT (r = 1 AND id % 2 = 0) THEN DATE '2015-01-01' + CAST(id % 300 AS INTEGER) END AS dod, CASE WHEN id % 34 <> 0 THEN 2015 END AS yod, CASE WHEN id % 19 <> 0 THEN id % 2 END AS gender,
  CASE WHEN id % 6 = 0 THEN 80 + id % 3 END AS age, CASE id % 7 WHEN 0 THEN 'Ann' WHEN 1 THEN 'Bea' END AS spouse, 42.5::DOUBLE + id % 17 AS lat, -60.5::DOUBLE - id % 23 AS lon FROM b)"""
 _INCOMING_SQL = """i AS (SELECT id, CASE WHEN id % 12 = 0 THEN [coalesce(alt, last)] WHEN id % 10 = 0 AND alt IS NOT NULL THEN [last, alt] ELSE [last] END AS lasts,
  CASE WHEN id % 20 = 0 THEN 'f' WHEN id % 24 = 5 THEN replace(first, 'first', 'nick') ELSE first END AS first, CASE id % 18 WHEN 1 THEN 'm' WHEN 3 THEN 'other' ELSE middle END AS middle,
  CASE WHEN id % 16 <> 0 AND id % 32 <> 8 THEN dob END AS dob, CASE WHEN id % 16 <> 0 THEN yob END AS yob, CASE WHEN id % 32 = 8 THEN born - 50 WHEN id % 16 <> 0 THEN low END AS low,
  CASE WHEN id % 32 = 8 THEN born + 50 WHEN id % 16 <> 0 THEN high END AS high, CASE WHEN id % 28 = 0 THEN dod + 1 ELSE dod END AS dod, yod, CASE WHEN id % 36 = 0 THEN 1 - gender ELSE gender END AS gender,
  CASE WHEN id % 30 = 0 THEN age + 1 ELSE age END AS age, CASE WHEN id % 14 = 0 THEN 'ANN' WHEN id % 21 = 0 THEN 'Cy' ELSE spouse END AS spouse, lat + (CASE WHEN id % 40 = 0 THEN 20 WHEN id % 44 = 0 THEN 3 ELSE 0 END) AS lat, lon FROM m)"""
+#: The day on which the records come in.
+TODAY = "2015-11-01"
 _PASSES = [["last", "dob", "dod"], ["last", "dob"], ["last", "dod"], ["last", "first"]]
 _CANDIDATES_SQL = """v AS (SELECT id, last, first, dob, dod FROM m UNION ALL SELECT id, alt, first, dob, dod FROM m WHERE alt IS NOT NULL),
  j AS (SELECT id, unnest(lasts) AS last, generate_subscripts(lasts, 1) - 1 AS position, first, dob, dod FROM i),
@@ -38,13 +41,15 @@ _CANDIDATES_SQL = """v AS (SELECT id, last, first, dob, dod FROM m UNION ALL SEL
 def master(spark, d) -> DataFrame:
     k, r = F.col("id"), F.col("id") % 11
     word = lambda w, n: F.concat(F.lit(w), (k % n).cast("string"))
+    last = lambda n: F.concat(F.lit("last"), (k % n + F.floor(k / 2000) * 97).cast("string"))
+    open_ = (r == 1) & (k % 2 == 0)
     wide = F.when(r == 0, 100).when(r == 1, 800).otherwise(0)
     rows = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.date_add(F.lit("1930-01-01").cast("date"), (F.col("c_custkey") % 400).cast("int")).alias("born"))
     return rows.select(
-        "id", word("last", 97).alias("last"), F.when((k % 5 == 0) & (k % 97 != k % 89), word("last", 89)).alias("alt"), word("first", 13).alias("first"),
+        "id", last(97).alias("last"), F.when((k % 5 == 0) & (k % 97 != k % 89), last(89)).alias("alt"), word("first", 13).alias("first"),
         F.when(k % 9 != 0, word("mid", 4)).alias("middle"), "born", F.when(r > 1, F.col("born")).alias("dob"), F.when(r != 0, F.year("born")).alias("yob"),
-        F.date_sub("born", wide).alias("low"), F.date_add("born", wide).alias("high"),
-        F.when(k % 17 != 0, F.date_add(F.lit("2015-01-01").cast("date"), (k % 300).cast("int"))).alias("dod"), F.when(k % 34 != 0, 2015).alias("yod"),
+        F.when(open_, F.lit("1900-01-01").cast("date")).otherwise(F.date_sub("born", wide)).alias("low"), F.date_add("born", wide).alias("high"),
+        F.when((k % 17 != 0) & ~open_, F.date_add(F.lit("2015-01-01").cast("date"), (k % 300).cast("int"))).alias("dod"), F.when(k % 34 != 0, 2015).alias("yod"),
         F.when(k % 19 != 0, k % 2).alias("gender"), F.when(k % 6 == 0, 80 + k % 3).alias("age"), F.when(k % 7 == 0, "Ann").when(k % 7 == 1, "Bea").alias("spouse"),
         (42.5 + k % 17).alias("lat"), (-60.5 - k % 23).alias("lon"),
     )
@@ -65,10 +70,17 @@ def incoming(spark, d) -> DataFrame:
     )
 
 
+def by_name(rows: DataFrame) -> DataFrame:
+    """Records once for each of their last names, with its place."""
+    return rows.select("id", F.posexplode("lasts").alias("position", "last"), "first", "dob", "dod")
+
+
+def variants(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("last", F.explode(F.array_compact(F.array("last", "alt")))).select("id", "last", "first", "dob", "dod")
+
+
 def candidates(spark, d) -> DataFrame:
-    variants = master(spark, d).withColumn("last", F.explode(F.array_compact(F.array("last", "alt"))))
-    records = incoming(spark, d).select("id", F.posexplode("lasts").alias("position", "last"), "first", "dob", "dod")
-    return L.candidates(records, variants, _PASSES)
+    return L.candidates(by_name(incoming(spark, d)), variants(master(spark, d)), _PASSES)
 
 
 @query("blocking_passes", f"WITH {_MASTER_SQL}, {_INCOMING_SQL}, {_CANDIDATES_SQL} SELECT * FROM c")
@@ -85,6 +97,7 @@ _EVIDENCE_SQL = f"""{_MASTER_SQL}, {_INCOMING_SQL}, {_CANDIDATES_SQL}, w AS (SEL
  h AS (SELECT *, len(list_intersect(lasts, stored)) AS ln, CASE WHEN (length(f) = 1 AND left(g, 1) = f) OR f = g THEN 1 ELSE 0 END AS fn, CASE WHEN (length(x) = 1 AND left(y, 1) = x) OR x = y THEN 1 ELSE 0 END AS mn,
  (x IS NOT NULL)::INT AS xs, (y IS NOT NULL)::INT AS ys, pass IN (3, 4) AS born, pass IN (2, 4) AS died,
  coalesce(il > mh, false) OR coalesce(ih < ml, false) AS apart, coalesce(d BETWEEN ml AND mh, false) AS inm, coalesce(e BETWEEN il AND ih, false) AS ini,
+ pass = 4 AND (coalesce(o IS NOT NULL AND u IS NULL AND e IS NULL AND ml <= DATE '1900-01-01' AND o > mh, false) OR coalesce(u IS NOT NULL AND o IS NULL AND d IS NULL AND il <= DATE '1900-01-01' AND u > ih, false)) AS late,
  coalesce((il >= ml AND ih <= mh) OR ((il = ml OR ih = mh) AND iw <= 1 AND mw <= 1), false) AS held FROM w),
  n AS (SELECT *, d IS NULL AND e IS NULL AND iw < 2 AND mw < 2 AS ranges, d IS NOT NULL AND e IS NULL AND mw < 2 AS onlyi, d IS NULL AND e IS NOT NULL AND iw < 2 AS onlym,
  NOT (d IS NOT NULL AND e IS NOT NULL) AND yd IS NOT NULL AND ye IS NOT NULL AS years, NOT (o IS NOT NULL AND u IS NOT NULL) AND yo IS NOT NULL AND yu IS NOT NULL AS dyears FROM h),
@@ -97,10 +110,10 @@ _EVIDENCE_SQL = f"""{_MASTER_SQL}, {_INCOMING_SQL}, {_CANDIDATES_SQL}, w AS (SEL
  (CASE WHEN len(stored) > ln AND len(lasts) > ln THEN 262144 ELSE 0 END) | (CASE WHEN xs > mn AND ys > mn THEN 4 ELSE 0 END) | (CASE WHEN s <> t THEN 128 ELSE 0 END) | (CASE WHEN a <> z THEN 1048576 ELSE 0 END)
  | (CASE WHEN lower(p) <> lower(q) THEN 2097152 ELSE 0 END) | (CASE WHEN km > 1500 THEN 4194304 ELSE 0 END)
  | (CASE WHEN born THEN (CASE WHEN d <> e OR (onlyi AND NOT inm) OR (onlym AND NOT ini) OR apart THEN 8192 ELSE 0 END) | (CASE WHEN years AND yd <> ye THEN 32 ELSE 0 END) | (CASE WHEN (ranges AND NOT held) OR apart THEN 24 ELSE 0 END) ELSE 0 END)
- | (CASE WHEN died THEN (CASE WHEN o <> u THEN 4096 ELSE 0 END) | (CASE WHEN dyears AND yo <> yu THEN 64 ELSE 0 END) ELSE 0 END) AS differs,
+ | (CASE WHEN late THEN 4096 ELSE 0 END) | (CASE WHEN died THEN (CASE WHEN o <> u THEN 4096 ELSE 0 END) | (CASE WHEN dyears AND yo <> yu THEN 64 ELSE 0 END) ELSE 0 END) AS differs,
  len(list_filter(lasts, lambda l: NOT list_contains(stored, l))) > 0 OR fn = 0 OR xs > mn OR (s IS NOT NULL AND t IS NULL)
  OR (born AND ((d IS NOT NULL AND e IS NULL AND (mw >= 2 OR inm)) OR (d IS NULL AND e IS NULL AND mw >= 2 AND iw < 2))) OR (died AND ((o IS NOT NULL AND u IS NULL) OR (yo IS NOT NULL AND yu IS NULL))) AS news,
- len(lasts) <> len(stored) OR ln <> len(stored) OR fn = 0 OR xs <> ys OR mn <> ys OR (s IS NULL) <> (t IS NULL) OR coalesce(s <> t, false) OR a IS DISTINCT FROM z OR km > 200
+ len(lasts) <> len(stored) OR ln <> len(stored) OR fn = 0 OR xs <> ys OR mn <> ys OR (s IS NULL) <> (t IS NULL) OR coalesce(s <> t, false) OR a IS DISTINCT FROM z OR km > 200 OR late
  OR (born AND (coalesce(d <> e, false) OR (years AND yd <> ye) OR (onlyi AND NOT inm) OR (onlym AND NOT ini) OR (ranges AND NOT held) OR apart))
  OR (died AND (coalesce(o <> u, false) OR (dyears AND yo <> yu) OR (NOT dyears AND (o IS NULL OR u IS NULL) AND (o IS DISTINCT FROM u OR yo IS DISTINCT FROM yu)))) AS unlike,
  greatest(len(lasts), len(stored)) + 1 + greatest(xs, ys) + (s IS NOT NULL OR t IS NOT NULL)::INT + (a IS NOT NULL OR z IS NOT NULL)::INT + (CASE pass WHEN 1 THEN 2 WHEN 4 THEN 0 ELSE 1 END)
@@ -109,10 +122,8 @@ _EVIDENCE_SQL = f"""{_MASTER_SQL}, {_INCOMING_SQL}, {_CANDIDATES_SQL}, w AS (SEL
  ln >= 2 AND ln = least(len(lasts), len(stored)) AND fn = 1 AS enough, born AND NOT apart AND coalesce(year(mh) - year(il) <= 1, false) AS close FROM n)"""
 
 
-def scored(spark, d) -> DataFrame:
-    i = incoming(spark, d).select(F.col("id").alias("rec_id"), F.struct("*").alias("i"))
-    m = master(spark, d).select(F.col("id").alias("cand_id"), F.struct("*").alias("m"))
-    rows = candidates(spark, d).join(i, "rec_id").join(m, "cand_id")
+def evidence() -> list:
+    """Columns of evidence of rows with the structs i (incoming) and m (master), and the column pass."""
     i, m = F.col("i"), F.col("m")
     listed = lambda *c: F.array_compact(F.array(*c))
     nick = lambda x, y: F.replace(x, F.lit("nick"), F.lit("first")) == y
@@ -123,12 +134,21 @@ def scored(spark, d) -> DataFrame:
         L.genders(i["gender"], m["gender"]), L.ages(i["age"], m["age"]), L.spouses(i["spouse"], m["spouse"]), L.places(geo.haversine(i["lat"], i["lon"], m["lat"], m["lon"])),
     ]
     told = L.by_pass(F.col("pass"), parts, L.births(*dob), L.deaths(*dod), L.births_and_deaths(*dob, *dod))
+    return [*told, (F.lit(TODAY).cast("date") < F.date_add(i["dod"], 60)).alias("_recent")]
+
+
+def as_structs(rows: DataFrame, key: str, name: str) -> DataFrame:
+    return rows.select(F.col("id").alias(key), F.struct("*").alias(name))
+
+
+def scored(pairs: DataFrame, records: DataFrame, stored: DataFrame, told: list) -> DataFrame:
+    rows = pairs.join(as_structs(records, "rec_id", "i"), "rec_id").join(as_structs(stored, "cand_id", "m"), "cand_id")
     return rows.select("rec_id", "cand_id", "pass", "position", *told).withColumn("net_score", L.net_score())
 
 
 @query("candidate_evidence", f"WITH {_EVIDENCE_SQL} SELECT *, same - 2 * bit_count(differs) AS net_score FROM e")
 def candidate_evidence(spark, d):
-    return scored(spark, d)
+    return scored(candidates(spark, d), incoming(spark, d), master(spark, d), evidence()).drop("_recent")
 
 
 _KEY_SQL = f"""{_EVIDENCE_SQL}, y AS (SELECT *, differs & 1060960 <> 0 AS clash, same & 8192 <> 0 AS dob, same & 4096 <> 0 AS dod, same & 262144 <> 0 AS last, same & 229376 <> 0 AS alt, same & 2048 <> 0 AS first, same & 256 <> 0 AS like_,
@@ -144,14 +164,16 @@ _KEY_SQL = f"""{_EVIDENCE_SQL}, y AS (SELECT *, differs & 1060960 <> 0 AS clash,
  (rec_id % 50 = 0 AND rec_id = cand_id) OR sure OR ((k0 >= 7 AND clean) AND k0 >= 4 AND NOT clash AND rec_id % 3 = 0) AS sufficient, same - 2 * bit_count(differs) AS net_score FROM f)"""
 
 
-def decided(spark, d) -> DataFrame:
+def decided(pairs: DataFrame, records: DataFrame, stored: DataFrame, told: list) -> DataFrame:
     rec = F.col("rec_id")
-    return L.decided(scored(spark, d), family=rec % 3 == 0, by_alternate=F.col("position") != 0, same_id=(rec % 50 == 0) & (rec == F.col("cand_id")))
+    same_id = (rec % 50 == 0) & (rec == F.col("cand_id"))
+    return L.decided(scored(pairs, records, stored, told), F.col("_recent"), family=rec % 3 == 0, by_alternate=F.col("position") != 0, same_id=same_id).drop("_recent")
 
 
 @query("match_keys", f"WITH {_KEY_SQL} SELECT rec_id, cand_id, match_key, known, sufficient FROM k")
 def match_keys(spark, d):
-    return decided(spark, d).select("rec_id", "cand_id", "match_key", "known", "sufficient")
+    rows = decided(candidates(spark, d), incoming(spark, d), master(spark, d), evidence())
+    return rows.select("rec_id", "cand_id", "match_key", "known", "sufficient")
 
 
 _STOP_SQL = f"""{_KEY_SQL}, s AS (SELECT *, min(CASE WHEN match_key >= 15 THEN pass * 10 + position END) OVER (PARTITION BY rec_id) AS stop FROM k),
@@ -159,8 +181,9 @@ _STOP_SQL = f"""{_KEY_SQL}, s AS (SELECT *, min(CASE WHEN match_key >= 15 THEN p
 
 
 def stopped(spark, d) -> DataFrame:
-    rows = decided(spark, d).withColumn("block", F.col("pass") * 10 + F.col("position"))
-    return L.early_stop(rows, F.col("match_key") >= L.KEYS.index("alt_key"), "block")
+    records, stored, told = written(incoming(spark, d), "incoming"), written(master(spark, d), "master"), evidence()
+    settled = F.col("match_key") >= L.KEYS.index("alt_key")
+    return L.settled_in_passes(by_name(records), variants(stored), [_PASSES[:3], _PASSES[3:]], lambda pairs: decided(pairs, records, stored, told), settled)
 
 
 def best_candidates(spark, d) -> DataFrame:
@@ -194,25 +217,83 @@ def load_action(spark, d):
     return best_candidates(spark, d).select("rec_id", action.alias("action"))
 
 
+_PERSONS_SQL = """c AS (SELECT c_custkey AS id, c_custkey % 15 AS j, c_custkey // 15 AS f, DATE '1935-01-01' + (c_custkey * 61 % 5000)::INT AS born FROM customer),
+ q AS (SELECT id, 'Last' || f AS last, CASE WHEN id % 9 = 0 THEN ['Given' || (id % 5), 'Nick' || (id % 4)] WHEN id % 9 = 1 THEN ['Given' || (id % 5) || '-Ann'] ELSE ['Given' || (id % 5)] END AS firsts,
+  CASE id % 3 WHEN 0 THEN ['Mid' || (id % 2)] WHEN 1 THEN ['Mid' || (id % 2), 'X'] ELSE ['Given' || ((id + 1) % 5)] END AS middles, CASE id % 4 WHEN 0 THEN 'Bob' WHEN 1 THEN 'Zoe' END AS spouse,
+  CASE WHEN id % 8 <> 0 THEN id % 2 END AS gender, CASE WHEN id % 4 <> 1 THEN born END AS dob, CASE id % 12 WHEN 1 THEN NULL WHEN 5 THEN born ELSE born - (id % 7)::INT END AS low,
+  CASE id % 12 WHEN 1 THEN NULL WHEN 5 THEN born ELSE born + (id % 11 * 40)::INT END AS high, 42.5::DOUBLE + id % 17 AS lat, CASE WHEN id % 10 <> 0 THEN -60.5::DOUBLE - id % 23 END AS lon,
+  ['ON', 'QC', 'YT'][(id % 3 + 1)::INT] AS province FROM c),
+ s AS (SELECT s_suppkey AS id, s_suppkey * 15 + s_suppkey % 15 AS t FROM supplier),
+ p AS (SELECT id, CASE WHEN id % 7 = 3 THEN 'Given' || (t % 5) ELSE 'Last' || id END AS last, CASE WHEN id % 7 = 3 THEN 'last' || id WHEN id % 7 = 4 THEN 'Nick' || (t % 5) WHEN id % 7 = 5 THEN 'Given' || ((t + 1) % 5) ELSE 'Given' || (t % 5) END AS first,
+  CASE WHEN id % 3 = 0 THEN ['Mid' || (t % 2)] WHEN id % 3 = 1 THEN ['M'] ELSE [] END AS middles, CASE id % 4 WHEN 0 THEN 'Robert' WHEN 1 THEN 'Zoé' END AS spouse, t % 2 AS gender,
+  CASE WHEN id % 11 <> 0 THEN DATE '1935-01-01' + (t * 61 % 5000)::INT + (CASE id % 6 WHEN 1 THEN 10 WHEN 2 THEN 300 ELSE 0 END)::INT END AS dob, 42.5::DOUBLE + t % 17 AS lat, -60.5::DOUBLE - t % 23 AS lon,
+  ['ON', 'QC', 'YT'][(t % 3 + 1)::INT] AS province FROM s)"""
+_SHARED_SQL = "len(list_filter({0}, lambda x: list_contains({1}, x))) > 0"
+_VERSIONS_SQL = "flatten(list_transform({0}, lambda x: CASE WHEN x LIKE 'nick%' THEN [x, replace(x, 'nick', 'given')] WHEN x = 'given2' THEN [x, 'alt2', 'given3'] ELSE [x] END))"
+_RANK_SQL = f"""{_PERSONS_SQL},
+ q1 AS (SELECT *, list_transform(flatten(list_transform(firsts, lambda x: CASE WHEN contains(x, '-') THEN list_concat([x], string_split(x, '-')) ELSE [x] END)), lambda x: lower(x)) AS names,
+  CASE WHEN spouse = 'Bob' THEN ['bob', 'robert'] WHEN spouse IS NULL THEN [] ELSE [lower(spouse)] END AS spouses FROM q),
+ q2 AS (SELECT *, {_VERSIONS_SQL.format('names')} AS wide FROM q1),
+ p1 AS (SELECT *, lower(last) AS l, lower(first) AS g, false AS exchanged FROM p UNION ALL SELECT *, lower(first), lower(last), true FROM p),
+ p2 AS (SELECT *, {_VERSIONS_SQL.format('[g]')} AS wide, CASE spouse WHEN 'Robert' THEN ['robert'] WHEN 'Zoé' THEN ['zoe'] ELSE [] END AS spouses FROM p1),
+ m AS (SELECT p.id AS rec_id, q.id AS cand_id, p.exchanged, p.dob AS d, q.dob AS e, q.low, q.high, p.gender AS s, q.gender AS t, p.g, q.names, p.wide AS pw, q.wide AS qw, p.middles[1] AS x, q.middles AS y, p.spouses AS ps, q.spouses AS qs, p.province AS pp, q.province AS qp,
+  2 * 6371.0 * asin(sqrt(pow(sin((radians(q.lat) - radians(p.lat)) / 2), 2) + cos(radians(p.lat)) * cos(radians(q.lat)) * pow(sin((radians(q.lon) - radians(p.lon)) / 2), 2))) AS km
+  FROM p2 p JOIN q2 q ON p.l = lower(q.last) AND coalesce(q.low, q.dob, DATE '1800-01-01') <= coalesce((p.dob + INTERVAL 1 YEAR)::DATE + (CASE WHEN month(p.dob) = 2 AND day(p.dob) = 29 THEN 1 ELSE 0 END), DATE '2024-01-01')
+  AND coalesce(q.high, q.dob, DATE '2200-01-01') >= coalesce((p.dob - INTERVAL 1 YEAR)::DATE, DATE '1875-01-01')),
+ n AS (SELECT *, CASE WHEN d = low THEN 500 ELSE 0 END + CASE WHEN d = high THEN 500 ELSE 0 END AS ends, (high - low) + greatest(0, low - d, d - high) AS off,
+  len(list_filter(y, lambda v: v = x OR ((length(v) = 1 OR length(x) = 1) AND v[1] = x[1]))) AS hits, list_contains(names, g) AS same FROM m),
+ k AS (SELECT rec_id, cand_id, exchanged, (CASE WHEN d IS NULL THEN 0
+   WHEN e IS NULL THEN ends + CASE WHEN ends >= 1000 OR off IS NULL THEN 0 WHEN off <= 0 THEN 1000 WHEN off <= 31 THEN 500 WHEN off <= 366 THEN 250 WHEN off <= 1000 THEN 100 ELSE 0 END
+   WHEN d = e THEN 1000 WHEN (year(d) = year(e) AND month(d) = day(e) AND day(d) = month(e)) OR (year(d) = year(e))::INT + (month(d) = month(e))::INT + (day(d) = day(e))::INT = 2 THEN 0 ELSE -500 END)
+  + (CASE WHEN t IS NULL THEN 0 WHEN s = t THEN 100 ELSE -50 END)
+  + (CASE WHEN same THEN 750 WHEN {_SHARED_SQL.format('pw', 'qw')} THEN 562 WHEN {_SHARED_SQL.format('pw', 'list_transform(y, lambda v: lower(v))')} THEN 247 ELSE 0 END)
+  + (CASE WHEN x IS NULL THEN 0 WHEN hits < 1 THEN -375 WHEN list_contains(y, x) THEN 375 ELSE 187 END) + (CASE WHEN {_SHARED_SQL.format('ps', 'qs')} THEN 375 ELSE 0 END)
+  + (CASE WHEN km < 25 THEN 750 WHEN km < 100 THEN 500 WHEN km < 250 THEN 350 WHEN km < 750 THEN 250 WHEN pp = qp THEN CASE WHEN pp = 'YT' THEN 250 ELSE 150 END ELSE 0 END) AS points FROM n),
+ b AS (SELECT p.id AS rec_id, max(k.points) FILTER (NOT k.exchanged) AS best, max(k.points) FILTER (k.exchanged) AS other, any_value(p.dob) AS dob, any_value(p.last) AS last, any_value(p.first) AS first FROM p LEFT JOIN k ON k.rec_id = p.id GROUP BY 1),
+ u AS (SELECT rec_id, coalesce(best, 0) < 1750 AND dob IS NOT NULL AND last LIKE 'Given%' AND lower(first) LIKE 'last%' AND coalesce(other, 0) >= 2000 AS turned FROM b)"""
+
+
+def _monitored(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Monitored persons, one a supplier, and stored ones, 15 customers of each last name."""
+    word = lambda w, n: F.concat(F.lit(w), n.cast("string"))
+    pick = lambda k: F.element_at(F.array(F.lit("ON"), F.lit("QC"), F.lit("YT")), (k % 3 + 1).cast("int"))
+    days = lambda k: F.date_add(F.lit("1935-01-01").cast("date"), (k * 61 % 5000).cast("int"))
+    none = F.array().cast("array<string>")
+    k = F.col("c_custkey")
+    born, open_, sure = days(k), k % 12 == 1, k % 12 == 5
+    stored = table(spark, d, "customer").select(
+        k.alias("id"), word("Last", F.floor(k / 15)).alias("last"),
+        F.when(k % 9 == 0, F.array(word("Given", k % 5), word("Nick", k % 4))).when(k % 9 == 1, F.array(F.concat(word("Given", k % 5), F.lit("-Ann")))).otherwise(F.array(word("Given", k % 5))).alias("firsts"),
+        F.when(k % 3 == 0, F.array(word("Mid", k % 2))).when(k % 3 == 1, F.array(word("Mid", k % 2), F.lit("X"))).otherwise(F.array(word("Given", (k + 1) % 5))).alias("middles"),
+        F.when(k % 4 == 0, "Bob").when(k % 4 == 1, "Zoe").alias("spouse"), F.when(k % 8 != 0, k % 2).alias("gender"), F.when(k % 4 != 1, born).alias("dob"),
+        F.when(sure, born).when(~open_, F.date_sub(born, (k % 7).cast("int"))).alias("low"), F.when(sure, born).when(~open_, F.date_add(born, (k % 11 * 40).cast("int"))).alias("high"),
+        (42.5 + k % 17).alias("lat"), F.when(k % 10 != 0, -60.5 - k % 23).alias("lon"), pick(k).alias("province"),
+    )
+    k = F.col("s_suppkey")
+    t, turned = k * 15 + k % 15, k % 7 == 3
+    given, last = word("Given", t % 5), word("Last", k)
+    first = F.when(turned, word("last", k)).when(k % 7 == 4, word("Nick", t % 5)).when(k % 7 == 5, word("Given", (t + 1) % 5)).otherwise(given)
+    persons = table(spark, d, "supplier").select(
+        k.alias("id"), F.when(turned, given).otherwise(last).alias("last"), F.array(first).alias("firsts"),
+        F.when(k % 3 == 0, F.array(word("Mid", t % 2))).when(k % 3 == 1, F.array(F.lit("M"))).otherwise(none).alias("middles"), F.when(k % 4 == 0, "Robert").when(k % 4 == 1, "Zoé").alias("spouse"),
+        (t % 2).alias("gender"), F.when(k % 11 != 0, F.date_add(days(t), F.when(k % 6 == 1, 10).when(k % 6 == 2, 300).otherwise(0))).alias("dob"), (42.5 + t % 17).alias("lat"), (-60.5 - t % 23).alias("lon"), pick(t).alias("province"),
+    )
+    return persons, stored
+
+
 @query(
     "rank_monitored",
-    """WITH p AS (SELECT s_suppkey AS rec, s_nationkey AS place, DATE '1940-01-01' + CAST(s_suppkey % 700 AS INTEGER) AS dob, s_suppkey % 2 AS gender FROM supplier),
-       q AS (SELECT c_custkey AS cand, c_nationkey AS place, DATE '1940-01-01' + CAST(c_custkey % 700 AS INTEGER) AS dob, c_custkey % 3 % 2 AS gender FROM customer),
-       r AS (SELECT rec, cand, (CASE WHEN p.dob = q.dob THEN 1000 WHEN (year(p.dob) = year(q.dob) AND month(p.dob) = day(q.dob) AND day(p.dob) = month(q.dob))
-         OR (year(p.dob) = year(q.dob))::INT + (month(p.dob) = month(q.dob))::INT + (day(p.dob) = day(q.dob))::INT >= 2 THEN 0 ELSE -500 END)
-         + (CASE WHEN p.gender = q.gender THEN 100 ELSE -50 END) AS points FROM p JOIN q ON p.place = q.place AND q.dob BETWEEN p.dob - INTERVAL 1 YEAR AND p.dob + INTERVAL 1 YEAR)
-       SELECT rec, cand, points FROM (SELECT *, row_number() OVER (PARTITION BY rec ORDER BY points DESC, cand) AS n FROM r) WHERE n <= 3""",
+    f"""WITH {_RANK_SQL}, r AS (SELECT k.*, row_number() OVER (PARTITION BY rec_id ORDER BY points DESC, cand_id) AS n FROM k JOIN u USING (rec_id) WHERE k.exchanged = u.turned)
+        SELECT rec_id AS rec, cand_id AS cand, points, exchanged FROM r WHERE n <= 3""",
 )
 def rank_monitored(spark, d):
-    from pyspark.sql import Window
-
-    born = lambda k: F.date_add(F.lit("1940-01-01").cast("date"), (F.col(k) % 700).cast("int"))
-    p = table(spark, d, "supplier").select(F.col("s_suppkey").alias("rec"), F.col("s_nationkey").alias("place"), born("s_suppkey").alias("a"), (F.col("s_suppkey") % 2).alias("ag"))
-    q = table(spark, d, "customer").select(F.col("c_custkey").alias("cand"), F.col("c_nationkey").alias("place"), born("c_custkey").alias("b"), (F.col("c_custkey") % 3 % 2).alias("bg"))
-    near = p.join(q, "place").where(F.col("b").between(F.add_months("a", -12), F.add_months("a", 12)))
-    points = rank.dob_points(F.col("a"), F.col("b")) + rank.gender_points(F.col("ag"), F.col("bg"))
-    w = Window.partitionBy("rec").orderBy(F.desc("points"), "cand")
-    return near.select("rec", "cand", points.alias("points")).withColumn("n", F.row_number().over(w)).where("n <= 3").drop("n")
+    persons, stored = _monitored(spark, d)
+    listed = lambda *names: spark.createDataFrame([(n,) for n in names], "name string")
+    versions = spark.createDataFrame([("given2", ["Alt2", "Given3"]), ("Robert", [])], "name string, alt_names array<string>")
+    nicknames = spark.createDataFrame([(f"Nick{i}", [f"Given{i}"]) for i in range(5)] + [("bob", ["Robert"])], "nickname string, formal_names array<string>")
+    surnames = stored.select(F.col("last").alias("name")).union(persons.select(F.concat(F.lit("Last"), F.col("id").cast("string"))))
+    best = rank.ranked(persons, stored, F.lit("2024-01-01").cast("date"), versions, nicknames, listed(*(f"given{i}" for i in range(5))), surnames)
+    return best.select(F.col("rec_id").alias("rec"), F.col("cand_id").alias("cand"), "points", "exchanged")
 
 
 @query(

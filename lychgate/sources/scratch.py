@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
 
@@ -25,3 +25,10 @@ def folder(spark: SparkSession, name: str) -> str:
     fs.mkdirs(where)
     fs.deleteOnExit(where)
     return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in a new folder, reread: cuts the lineage and outlives a lost executor."""
+    path = f"{folder(df.sparkSession, name)}/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
