@@ -3,17 +3,17 @@ hyphens, and what announces a celebration instead of a name."""
 
 from __future__ import annotations
 
+import re
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lychgate.functions import written
 from lychgate.functions.names import unaccent
 
-CALLS = ("watch", "click", "view", "video", "stream", "book", "reserve", "http", "sign", "@")
-MONTHS = "January|February|March|April|May|June|July|August|September|October|November|December"
-SHORT_MONTHS = "Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sept|Sep|Oct|Nov|Dec"
-FRENCH_MONTHS = "janvier|f[eé]vrier|mars|avril|mai|juin|juillet|ao[uû]t|septembre|octobre|novembre|d[eé]cembre"
+#: Words by which the text of a link asks for something.
+ASKING = ("click", "here", "read more", "subscribe", "donate", "log in", "share", "order")
 
 
 def entities(c: Column, blank: bool = True) -> Column:
@@ -36,10 +36,10 @@ def entities(c: Column, blank: bool = True) -> Column:
     return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(F.split(c, "(?=&)", -1), told), "")).otherwise(c)
 
 
-def without_links(c: Column, calls_only: bool = False) -> Column:
-    """Markup without its links and their text; calls_only: only those whose text asks to do something (CALLS)."""
+def without_links(c: Column, calls_only: bool = False, asking: tuple[str, ...] = ASKING) -> Column:
+    """Markup without its links and their text; calls_only: only those whose text holds one of the words `asking`."""
     text = r"(?:(?!</a>).)*?"
-    inner = rf"{text}(?:{'|'.join(CALLS)}){text}" if calls_only else text
+    inner = rf"{text}\b(?:{'|'.join(map(re.escape, asking))})\b{text}" if calls_only else text
     return F.regexp_replace(c, rf"(?is)<a\b[^>]*>{inner}</a>", "")
 
 
@@ -54,11 +54,9 @@ def without_all(c: Column, chars: str) -> Column:
     return F.translate(c, chars, "")
 
 
-def even_brackets(c: Column, depth: int = 3) -> Column:
-    """Text without round brackets that have no partner; `depth` of them may be nested."""
-    for _ in range(depth):
-        c = F.regexp_replace(c, r"\(([^()]*)\)", "\u0001$1\u0002")
-    return F.translate(F.translate(c, "()", ""), "\u0001\u0002", "()")
+def even_brackets(c: Column) -> Column:
+    """Text without round brackets that have no partner."""
+    return written.even_brackets(c)
 
 
 def without_inner_points(c: Column) -> Column:
@@ -67,22 +65,13 @@ def without_inner_points(c: Column) -> Column:
 
 
 def plain_dates(c: Column) -> Column:
-    """Dates as 2020/1/31, or Jan. 5, 2020 and January 5, 2020, where hyphens part them; pairs of them parted by blanks."""
-    c = F.regexp_replace(c, r"([0-9]{4})/([0-9]+)/([0-9]+)-([0-9]{4})/([0-9]+)/([0-9]+)", "$1/$2/$3 - $4/$5/$6")
-    c = F.regexp_replace(c, r"([0-9]{4})-([0-9]+)-([0-9]+)", " $1/$2/$3 ")
-    c = F.regexp_replace(c, rf"\b({MONTHS})-([0-9]+)-([0-9]{{4}})", " $1 $2, $3 ")
-    c = F.regexp_replace(c, rf"\b({SHORT_MONTHS})-([0-9]+)-([0-9]{{4}})", " $1. $2, $3 ")
-    return F.trim(F.regexp_replace(F.regexp_replace(c, " +", " "), " +([,;])", "$1"))
+    """Dates whose fields hyphens part as 2020/1/31, Jan. 5, 2020 or January 5, 2020; a hyphen between two of them stands between blanks."""
+    return written.plain_dates(c)
 
 
 def pure_date_range(c: Column, language: str | None = None) -> Column:
     """Whether a text is two written dates with a hyphen and nothing else; by language (en, fr), or in any of them."""
-    day = "[0-9]+, [0-9]{4}"
-    kinds = {
-        "en": [rf"^(?:{MONTHS}) {day} - (?:{MONTHS}) {day}$", rf"^(?:{SHORT_MONTHS}) {day} - (?:{SHORT_MONTHS}) {day}$"],
-        "fr": [rf"^[0-9]+ (?:{FRENCH_MONTHS}) [0-9]{{4}} - [0-9]+ (?:{FRENCH_MONTHS}) [0-9]{{4}}$"],
-    }
-    return c.rlike("|".join(p for k, own in kinds.items() if language in (None, k) for p in own) or "(?!)")
+    return written.pure_date_range(c, language)
 
 
 def without_celebration(c: Column) -> Column:

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 #: Abbreviations whose full stop does not end a sentence.
 ABBREVIATIONS = ("Mr", "Mrs", "Ms", "Dr", "St", "Rev", "Jr", "Sr", "Mme", "Mlle", "M", "Ave", "No")
+#: Short months, whose full stop does not end a sentence before a number, and what goes on after a.m. and p.m. with a capital.
+SHORT_MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Sept", "Oct", "Nov", "Dec")
+DAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 #: Named entities.
 ENTITIES = {"&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " "}
 
@@ -142,9 +145,12 @@ def json_value(c: Column, key: str) -> Column:
 
 
 def sentences(c: Column) -> Column:
-    """Sentences; full stops after initials and common abbreviations do not end one."""
-    guard = "|".join(ABBREVIATIONS)
-    parts = F.split(c, rf"(?<=[.!?])(?<!(?:^|[^\p{{L}}])(?:{guard}|\p{{Lu}})\.)\s+")
+    """Sentences; full stops after initials and common abbreviations do not end one, nor those of short months before a number, nor
+    those of a.m. and p.m. before anything but a capital or before a weekday."""
+    guard, months, days = ("|".join(x) for x in (ABBREVIATIONS, SHORT_MONTHS, DAYS))
+    dated = rf"(?!(?<=(?:^|[^\p{{L}}])(?:{months})\.)\s+[0-9])"
+    timed = rf"(?!(?<=(?:^|[^\p{{L}}])[AaPp]\.[Mm]\.)\s+(?:[^\p{{Lu}}\s]|(?:{days})))"
+    parts = F.split(c, rf"(?<=[.!?])(?<!(?:^|[^\p{{L}}])(?:{guard}|\p{{Lu}})\.){dated}{timed}\s+")
     return F.filter(F.transform(parts, F.trim), lambda s: F.length(s) > 0)
 
 

@@ -1,6 +1,7 @@
 """Evidence from the text of a notice: language, gender, dates, ages, spouse, names, and its arbitration.
 
-All are column expressions over whole texts, so a corpus is read once and nothing leaves the JVM.
+All are columns over whole texts, so a corpus is read once. Written dates and ages are read in Arrow batches (functions/written.py); the rest
+stays in the JVM.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lychgate.functions import text as T
+from lychgate.functions import written as W
+from lychgate.functions.written import MONTHS as MONTHS
 
 #: Frequent words of each language.
 LANGUAGE_WORDS = {
@@ -35,17 +38,10 @@ RELATION_WORDS = {
 AFFECTION = r"(?:beloved|loving|devoted|dear|cherished|proud|caring|cher|chère|bien-aimée?|tendre)"
 DEITY = r"\b(?:God|Lord|Jesus|Christ|Dieu|Seigneur|Dios|Señor)\b"
 TITLES = {"M": ("mr", "monsieur", "m", "sir"), "F": ("mrs", "ms", "miss", "mme", "madame", "mlle")}
-#: Month names.
-MONTHS = {
-    "en": ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"),
-    "fr": ("janvier", "février", "mars", "avril", "mai", "juin", "juillet", "août", "septembre", "octobre", "novembre", "décembre"),
-    "es": ("enero", "febrero", "marzo", "abril", "mayo", "junio", "julio", "agosto", "septiembre", "octubre", "noviembre", "diciembre"),
-}
 BORN, DIED, MARRIED = r"(?i)\b(born|birth|née? le)\b", r"(?i)\b(died|passed away|death|décédée?)\b", r"(?i)\b(married|wed)\b"
 SERVICE = r"(?i)\b(funeral|service|memorial|visitation|funérailles)\b"
 SPOUSE = r"(?:[Hh]is wife|[Hh]er husband|[Hh]usband of|[Ww]ife of|[Bb]eloved spouse of)(?: (?:of )?[0-9]+ years)?,? (\p{Lu}\p{L}+)"
-_MONTH_RE = "(?i)(" + "|".join(m for names in MONTHS.values() for m in names) + ")"
-_WRITTEN = rf"(?i)\b(?:{_MONTH_RE[4:]} [0-9]{{1,2}},? [0-9]{{4}}|[0-9]{{1,2}}(?:er)? {_MONTH_RE[4:]},? [0-9]{{4}}|[0-9]{{1,2}} de {_MONTH_RE[4:]} del? [0-9]{{4}})"
+STILLBORN = r"(?i)\b(stillborn|born sleeping|mort-née?)\b"
 
 
 def count_in(words: Column, lexicon) -> Column:
@@ -148,36 +144,29 @@ def title_gender(name: Column) -> Column:
     return F.when(first.isin(*TITLES["M"]), "M").when(first.isin(*TITLES["F"]), "F")
 
 
-def _month(name: Column) -> Column:
-    pairs = [x for names in MONTHS.values() for i, m in enumerate(names, 1) for x in (F.lit(m), F.lit(i))]
-    return F.try_element_at(F.create_map(*pairs), F.lower(name))
-
-
-def as_date(written: Column) -> Column:
-    """A date written with a month's name, month or day first."""
-    y = F.regexp_extract(written, r"([0-9]{4})", 1)
-    d = F.regexp_extract(written, r"\b([0-9]{1,2})(?:er)?\b", 1)
-    m = _month(F.regexp_extract(written, r"(\p{L}{3,})", 1))
-    return F.try_to_date(F.format_string("%s-%02d-%s", y, m, F.lpad(d, 2, "0")), "yyyy-MM-dd")
-
-
 def written_dates(text: Column) -> Column:
     """All dates written with a month's name, in order."""
-    return F.filter(F.transform(F.regexp_extract_all(text, F.lit(_WRITTEN), F.lit(0)), as_date), lambda d: d.isNotNull())
+    return F.transform(F.filter(W.found_dates(T.sentences(text)), lambda d: d["date"].isNotNull()), lambda d: d["date"])
+
+
+def _with_sentences(text: Column, use) -> Column:
+    """use(sentences, complete dates in them)."""
+    told = F.struct(T.sentences(text).alias("sentences"), F.filter(W.found_dates(T.sentences(text)), lambda d: d["date"].isNotNull()).alias("dates"))
+    return T.once(told, lambda x: use(x["sentences"], x["dates"]))
 
 
 def dates_near(text: Column, **keywords: str) -> Column:
     """A struct with a date for each keyword: the first one in the first sentence that holds the keyword and a date, after
-    the keyword if there is one, else the sentence's first. Sentences are parted, and those with dates chosen, once."""
-    dated = F.filter(T.sentences(text), lambda s: s.rlike("[0-9]{4}") & s.rlike(_WRITTEN))
+    the keyword if there is one, else the sentence's first. Sentences are parted and read once."""
 
-    def told(keyword: str):
-        # [\s\S] also runs over line ends.
-        before = rf"^[\s\S]*?{keyword.replace('(?i)', '(?i:', 1)})"
-        return lambda s: F.coalesce(F.try_element_at(written_dates(F.regexp_replace(s, before, "")), F.lit(1)), F.try_element_at(written_dates(s), F.lit(1)))
+    def told(sentences: Column, dates: Column, keyword: str) -> Column:
+        # The words of ceremony are no keyword's, and come after what is told of the person.
+        own = F.filter(dates, lambda d: F.get(sentences, d["sentence"]).rlike(keyword))
+        first = F.filter(own, lambda d: d["sentence"] == F.get(own, F.lit(0))["sentence"])
+        after = F.filter(first, lambda d: d["start"] + 1 > F.regexp_instr(F.get(sentences, d["sentence"]), F.lit(keyword)))
+        return F.coalesce(F.get(after, F.lit(0)), F.get(first, F.lit(0)))["date"]
 
-    first = lambda all_, keyword: F.try_element_at(F.filter(all_, lambda s: s.rlike(keyword)), F.lit(1))
-    return T.once(dated, lambda all_: F.struct(*[T.once(first(all_, k), told(k)).alias(name) for name, k in keywords.items()]))
+    return _with_sentences(text, lambda s, d: F.struct(*[told(s, d, k).alias(name) for name, k in keywords.items()]))
 
 
 def date_near(text: Column, keyword: str) -> Column:
@@ -185,10 +174,47 @@ def date_near(text: Column, keyword: str) -> Column:
     return dates_near(text, date=keyword)["date"]
 
 
+def born_and_died(text: Column) -> Column:
+    """(born, died, credible): the dates of birth and death; both are the date of a stillbirth. Dates behind a word of ceremony do not count, and
+    nothing from the third sentence on is fully credible."""
+
+    def use(sentences: Column, dates: Column) -> Column:
+        own = F.filter(dates, lambda d: ~d["ceremony"])
+
+        def near(keyword: str) -> Column:
+            fit = F.filter(own, lambda d: F.get(sentences, d["sentence"]).rlike(keyword))
+            first = F.filter(fit, lambda d: d["sentence"] == F.get(fit, F.lit(0))["sentence"])
+            after = F.filter(first, lambda d: d["start"] + 1 > F.regexp_instr(F.get(sentences, d["sentence"]), F.lit(keyword)))
+            return F.coalesce(F.get(after, F.lit(0)), F.get(first, F.lit(0)))
+
+        still = near(STILLBORN)
+        born, died = F.coalesce(still, near(BORN)), F.coalesce(still, near(DIED))
+        last = F.greatest(born["sentence"], died["sentence"])
+        return F.struct(born["date"].alias("born"), died["date"].alias("died"), F.when(last.isNotNull(), last < 2).alias("credible"))
+
+    return _with_sentences(text, use)
+
+
 def service_date(text: Column) -> Column:
     """The date of a sentence that speaks of a service and holds exactly one."""
-    dates = F.transform(F.filter(T.sentences(text), lambda s: s.rlike(SERVICE)), written_dates)
-    return F.try_element_at(F.try_element_at(F.filter(dates, lambda d: F.size(d) == 1), F.lit(1)), F.lit(1))
+
+    def use(sentences: Column, dates: Column) -> Column:
+        alone = F.filter(dates, lambda d: F.get(sentences, d["sentence"]).rlike(SERVICE) & (F.size(F.filter(dates, lambda e: e["sentence"] == d["sentence"])) == 1))
+        return F.get(alone, F.lit(0))["date"]
+
+    return _with_sentences(text, use)
+
+
+def heading_dates(text: Column, words: int = 8) -> Column:
+    """(first, second) of a heading, null where none: dates that end within half of `words` words, and within all of them."""
+    dates = F.filter(W.found_dates(F.array(text)), lambda d: d["date"].isNotNull())
+
+    def use(found: Column) -> Column:
+        first, second = F.get(found, F.lit(0)), F.get(found, F.lit(1))
+        near = first["past"] <= words // 2
+        return F.struct(F.when(near, first["date"]).alias("first"), F.when(near & (second["past"] <= words), second["date"]).alias("second"))
+
+    return T.once(dates, use)
 
 
 def numeric_dates(text: Column, as_of: Column) -> Column:
@@ -208,44 +234,38 @@ def years_in(text: Column, as_of: Column) -> Column:
 
 def partial_dates(text: Column) -> Column:
     """Days and months without a year, in order: structs (month, day, code); the code 9900 + month marks such a date."""
-    found = F.regexp_extract_all(text, F.lit(rf"{_MONTH_RE} [0-9]{{1,2}}(?:st|nd|rd|th)?\b(?!,? [0-9]{{4}})|\b[0-9]{{1,2}}(?:er|st|nd|rd|th)? {_MONTH_RE}\b(?!,? [0-9]{{4}})"), F.lit(0))
-
-    def read(x: Column) -> Column:
-        m = _month(F.regexp_extract(x, r"(\p{L}{3,})", 1))
-        return F.struct(m.alias("month"), F.regexp_extract(x, r"([0-9]{1,2})", 1).try_cast("int").alias("day"), (9900 + m).alias("code"))
-
-    return F.filter(F.transform(found, read), lambda p: p["month"].isNotNull() & p["day"].between(1, 31))
+    found = F.filter(W.found_dates(T.sentences(text)), lambda d: d["date"].isNull())
+    return F.transform(found, lambda d: F.struct(d["month"].alias("month"), d["day"].alias("day"), (9900 + d["month"]).alias("code")))
 
 
 def age_sentences(text: Column, death: Column) -> Column:
     """Sentences in which an age may be read: those without a date, or with one only, the date of death."""
-    ok = lambda s: T.once(written_dates(s), lambda d: (F.size(d) == 0) | ((F.size(d) == 1) & F.coalesce(F.get(d, F.lit(0)) == death, F.lit(False))))
-    return F.filter(T.sentences(text), ok)
 
+    def use(sentences: Column, dates: Column) -> Column:
+        def open_(s: Column, k: Column) -> Column:
+            own = F.filter(dates, lambda d: d["sentence"] == k)
+            return (F.size(own) == 0) | ((F.size(own) == 1) & F.coalesce(F.get(own, F.lit(0))["date"] == death, F.lit(False)))
 
-#: How many of a unit make a year of age.
-AGE_UNITS = {"day": 365, "week": 52, "month": 12}
+        return F.filter(sentences, open_)
+
+    return _with_sentences(text, use)
 
 
 def age_in_units(text: Column) -> Column:
     """Whole years of an age told in days, weeks or months; null if it is not."""
-    n = F.regexp_extract(text, r"(?i)\b([0-9]+) (?:day|week|month)s? old", 1).try_cast("int")
-    unit = F.lower(F.regexp_extract(text, r"(?i)\b[0-9]+ (day|week|month)s? old", 1))
-    return F.floor(n / F.try_element_at(F.create_map(*[F.lit(x) for kv in AGE_UNITS.items() for x in kv]), unit)).cast("int")
+    told = age_told(text)
+    return F.when(told["in_parts"], told["age"])
+
 
+def age_told(text: Column, death: Column | None = None) -> Column:
+    """(age, in_parts) of the first sentence that tells an age, null without one; in_parts: it was told in days, weeks or months."""
+    return W.found_age(T.sentences(text), F.lit(None).cast("date") if death is None else death)
 
-def age(text: Column) -> Column:
-    """Age at death: "aged N", "N years of age", "was N", "Nth birthday", ", N,"; one less for "in his Nth
-    year"; below 125; whole years of ages in days, weeks or months; numbers of anniversaries do not count."""
-    t = F.regexp_replace(text, r"(?i)[0-9]+(st|nd|rd|th)? (wedding )?anniversary", " ")
-    small = age_in_units(t)
-    year = F.regexp_extract(t, r"(?i)in (?:his|her) ([0-9]{1,3})(?:st|nd|rd|th) year", 1).try_cast("int") - 1
-    plain = F.regexp_extract(t, r"(?i)(?:\baged?:? (?:of )?|\bwas |\bat the age of )([0-9]{1,3})\b(?! (?:days|weeks|months|a\.m|p\.m|lbs))", 1).try_cast("int")
-    years = F.regexp_extract(t, r"(?i)\b([0-9]{1,3}) (?:years of age|years old)", 1).try_cast("int")
-    day = F.regexp_extract(t, r"(?i)\b([0-9]{1,3})(?:st|nd|rd|th) birthday", 1).try_cast("int")
-    comma = F.regexp_extract(t, r", ([0-9]{1,3}),", 1).try_cast("int")
-    found = F.coalesce(year, plain, years, day, comma)
-    return F.coalesce(small, F.when(found < 125, found))
+
+def age(text: Column, death: Column | None = None) -> Column:
+    """Age at death: "aged N", "N years old", "was N", "Nth birthday", "Ann Roy, N,"; one less for "in his Nth year" and before a
+    birthday; whole years of ages in days, weeks or months. Numbers that count something else, or follow what is no age, are passed over."""
+    return age_told(text, death)["age"]
 
 
 def spouse(text: Column) -> Column:
@@ -341,9 +361,18 @@ def wants(run_types: Column, what: str) -> Column:
 
 def back_to_back(text: Column) -> Column:
     """(first, second) of two written dates with a dash between, in order of time."""
-    pair = F.filter(F.transform(F.regexp_extract_all(text, F.lit(rf"({_WRITTEN})\s*[-–~]\s*({_WRITTEN})"), F.lit(0)), written_dates), lambda d: F.size(d) == 2)
-    one = F.try_element_at(pair, F.lit(1))
-    return F.when(one.isNotNull(), F.struct(F.array_min(one).alias("first"), F.array_max(one).alias("second")))
+
+    def use(sentences: Column, dates: Column) -> Column:
+        pairs = F.zip_with(dates, F.slice(dates, 2, F.greatest(F.size(dates), F.lit(1))), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+
+        def parted(p: Column) -> Column:
+            gap = F.substr(F.get(sentences, p["a"]["sentence"]), p["a"]["end"] + 1, p["b"]["start"] - p["a"]["end"])
+            return F.coalesce((p["a"]["sentence"] == p["b"]["sentence"]) & gap.rlike(r"^\s*[-–~]\s*$"), F.lit(False))
+
+        return F.get(F.filter(pairs, parted), F.lit(0))
+
+    one = _with_sentences(text, use)
+    return F.when(one.isNotNull(), F.struct(F.least(one["a"]["date"], one["b"]["date"]).alias("first"), F.greatest(one["a"]["date"], one["b"]["date"]).alias("second")))
 
 
 def first_word_tally(text: Column, words) -> Column:

@@ -116,7 +116,8 @@ def partial_dates(spark, d):
     return n.select("o_orderkey", one["month"].alias("month"), one["day"].alias("day"), one["code"].alias("code"), F.size(found).alias("n"), F.size(X.age_sentences(text, F.col("died"))).alias("open_sentences"), units.alias("units"))
 
 
-_MARK = "regexp_replace(regexp_replace(text, '(^|[^\\p{L}])(Mr|Mrs|Ms|Dr|St|Rev|Jr|Sr|Mme|Mlle|M|Ave|No|\\p{Lu})\\.', '\\1\\2' || chr(1), 'g'), '([.!?])[ \\t\\n\\r\\f\\v]+', '\\1' || chr(2), 'g')"
+_TIMES = "regexp_replace(regexp_replace(text, '(^|[^\\p{L}])(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Sept|Oct|Nov|Dec)\\.([ \\t\\n\\r\\f\\v]+[0-9])', '\\1\\2' || chr(1) || '\\3', 'g'), '(^|[^\\p{L}])([AaPp]\\.[Mm])\\.([ \\t\\n\\r\\f\\v]+(?:[^\\p{Lu} \\t\\n\\r\\f\\v]|Monday|Tuesday|Wednesday|Thursday|Friday|Saturday|Sunday))', '\\1\\2' || chr(1) || '\\3', 'g')"
+_MARK = f"regexp_replace(regexp_replace({_TIMES}, '(^|[^\\p{{L}}])(Mr|Mrs|Ms|Dr|St|Rev|Jr|Sr|Mme|Mlle|M|Ave|No|\\p{{Lu}})\\.', '\\1\\2' || chr(1), 'g'), '([.!?])[ \\t\\n\\r\\f\\v]+', '\\1' || chr(2), 'g')"
 _SENTENCES_SQL = f"s AS (SELECT doc_id, list_filter(list_transform(string_split({_MARK}, chr(2)), lambda x: trim(replace(x, chr(1), '.'))), lambda x: length(x) > 0) AS parts FROM documents)"
 
 
@@ -295,3 +296,88 @@ def spanish_dates(spark, d):
     said = lambda c, de: F.concat(F.dayofmonth(c).cast("string"), F.lit(" de "), F.element_at(F.array(*[F.lit(m) for m in X.MONTHS["es"]]), F.month(c)), F.lit(f" {de} "), F.year(c).cast("string"))
     dates = X.written_dates(F.concat(F.lit("Nació el "), said("born", "de"), F.lit(" y murió el "), said("died", "del"), F.lit(".")))
     return notices(spark, d).select("o_orderkey", F.size(dates).cast("long").alias("n"), dates[0].alias("first_date"), F.try_element_at(dates, F.lit(-1)).alias("last_date"))
+
+
+#: Written dates: B and b month in full and short, U in capitals, f and s French and Spanish, d day, o day with an ending, w weekday, y year.
+_FORMS = (
+    "{B} {d}, {y}", "{B} {o}, {y}", "{b}. {d}, {y}", "{b} {d} {y}", "the {o} of {B} {y}", "{d} {B} {y}", "{B} the {o}, {y}", "{w}, {B} {d}, {y}", "the {o} day of {B}, {y}", "{d} {f} {y}",
+    "{w} {d} {b} {y}", "{d} de {s} de {y}", "{d} de {s} del {y}", "{B} {d} of {y}", "({B} {d}, {y})", "{U} {d}, {y}", "{d} {f}, {y}", "{d}/{y} {B}", "{B} {y}", "{B} 45, {y}",
+)
+_GOOD = 17
+
+
+def written_as(date, form):
+    """A date in one of _FORMS, by the form's place."""
+    day, ones = F.dayofmonth(date), F.dayofmonth(date) % 10
+    ending = F.when(day.between(11, 13), "th").when(ones == 1, "st").when(ones == 2, "nd").when(ones == 3, "rd").otherwise("th")
+    named = lambda lang: F.element_at(F.array(*[F.lit(m) for m in X.MONTHS[lang]]), F.month(date))
+    parts = {
+        "B": F.date_format(date, "MMMM"), "b": F.date_format(date, "MMM"), "U": F.upper(F.date_format(date, "MMMM")), "f": named("fr"), "s": named("es"), "d": day.cast("string"),
+        "o": F.concat(day.cast("string"), ending), "w": F.date_format(date, "EEEE"), "y": F.year(date).cast("string"),
+    }
+    text = F.element_at(F.array(*[F.lit(x) for x in _FORMS]), (form + 1).cast("int"))
+    for k, value in parts.items():
+        text = F.replace(text, F.lit("{" + k + "}"), value)
+    return text
+
+
+@query(
+    "date_forms",
+    f"""WITH {_FACTS} SELECT o_orderkey, CASE WHEN o_orderkey % {len(_FORMS)} < {_GOOD} THEN born END AS first_date, CASE WHEN o_orderkey // 7 % {len(_FORMS)} < {_GOOD} THEN died END AS second_date,
+        (o_orderkey % {len(_FORMS)} < {_GOOD})::INT + (o_orderkey // 7 % {len(_FORMS)} < {_GOOD})::INT + 1 AS n FROM f""",
+)
+def date_forms(spark, d):
+    k, n = F.col("o_orderkey"), len(_FORMS)
+    text = F.concat(F.lit("On "), written_as(F.col("born"), k % n), F.lit(" it rained at 5 p.m. in Rome. Then, "), written_as(F.col("died"), F.floor(k / 7) % n), F.lit(" was dry. Jan. 5 came, and Sept. 1, 2020 too."))
+    dates = F.filter(X.W.found_dates(T.sentences(text)), lambda x: x["date"].isNotNull())
+    of = lambda s: F.get(F.filter(dates, lambda x: x["sentence"] == s), F.lit(0))["date"]
+    return notices(spark, d).select("o_orderkey", of(0).alias("first_date"), of(1).alias("second_date"), F.size(dates).alias("n"))
+
+
+@query(
+    "keyword_dates",
+    f"""WITH {_FACTS}, k AS (SELECT *, o_orderkey % 5 AS v FROM f) SELECT o_orderkey, CASE WHEN v = 4 THEN died ELSE born END AS born, CASE WHEN v = 3 THEN NULL ELSE died END AS died, v IN (0, 3, 4) AS credible,
+        CASE WHEN v = 0 THEN born END AS head_first, CASE WHEN v = 0 THEN died END AS head_second FROM k""",
+)
+def keyword_dates(spark, d):
+    k = F.col("o_orderkey")
+    b, e = written_as(F.col("born"), k % _GOOD), written_as(F.col("died"), F.floor(k / 3) % _GOOD)
+    said = F.concat(F.lit("Ann was born on "), b, F.lit(". "))
+    text = (
+        F.when(k % 5 == 0, F.concat(said, F.lit("She died on "), e, F.lit(".")))
+        .when(k % 5 == 1, F.concat(F.lit("We are sad. All of us are. "), said, F.lit("She passed away on "), e, F.lit(". Her service was on May 5, 2030.")))
+        .when(k % 5 == 2, F.concat(said, F.lit("She was loved. She was kind. After her health service post she died, they say, on "), e, F.lit(".")))
+        .when(k % 5 == 3, F.concat(said, F.lit("Her funeral, after she died, takes place on "), e, F.lit(".")))
+        .otherwise(F.concat(F.lit("Ann was stillborn on "), e, F.lit(".")))
+    )
+    long = lambda c: F.date_format(c, "MMMM d, yyyy")
+    head = F.when(k % 5 == 0, F.concat(F.lit("Roy "), long("born"), F.lit(" - "), long("died"))).otherwise(F.concat(F.lit("Roy and all of us: "), long("born"), F.lit(" - "), long("died")))
+    rows = notices(spark, d).select("o_orderkey", X.born_and_died(text).alias("x"), X.heading_dates(head).alias("h"))
+    return rows.select("o_orderkey", "x.born", "x.died", "x.credible", F.col("h.first").alias("head_first"), F.col("h.second").alias("head_second"))
+
+
+#: What a notice says of an age, with the age it tells as SQL of n, and whether in parts of a year.
+_AGES = (
+    ("He was {n}.", "n", 0), ("She died at home aged {n}.", "n", 0), ("Gone at the age of {n} years.", "n", 0), ("She passed away in her {n}th year.", "n - 1", 0), ("He left on his {n}th birthday.", "n", 0),
+    ("It was days before her {n}th birthday.", "n - 1", 0), ("Ann Roy, {n}, left us.", "n", 0), ("He was born in Rome {n} years ago.", "n", 0), ("After {n} years of marriage, she died at the age of 81.", "81", 0),
+    ("Husband of {n} years, Robert wept.", "NULL", 0), ("Her children, {n}, 14, survive.", "NULL", 0), ("The barn is over {n} years old.", "NULL", 0), ("She was {n} feet tall, aged 80.", "80", 0),
+    ("He was {n} minutes late.", "NULL", 0), ("He died May 3, {n}, at home.", "NULL", 0), ("He died on May 3 at {n} years of age.", "n", 0), ("She was aged {n} months.", "n // 12", 1), ("A boy, aged {n} hours.", "0", 1),
+    ("Our {n} weeks old girl.", "n // 52", 1), ("After a {n} year battle he rests.", "NULL", 0), ("He gave ${n} to all.", "NULL", 0), ("He raised {n} children.", "NULL", 0), ("Psalm {n} was read.", "NULL", 0),
+    ("Lost at {n} Main Street.", "NULL", 0), ("Il était âgé de {n} ans.", "n", 0), ("Décédée à l'âge de {n} ans.", "n", 0), ("Murió a la edad de {n} años.", "n", 0), ("At 7 p.m. he was {n} years old.", "n", 0),
+    ("It was their {n}th anniversary.", "NULL", 0), ("He worked here until he was {n}.", "NULL", 0), ("He died on {d} aged {n}.", "n", 0), ("He sang on {e} aged {n}.", "NULL", 0), ("Born on {d}, aged {n}, or so.", "n", 0),
+    ("She was {n}% sure.", "NULL", 0), ("At 12:{n} he slept, {n} years old.", "n", 0),
+)
+
+
+@query(
+    "age_contexts",
+    f"""WITH {_FACTS}, a AS (SELECT o_orderkey, o_orderkey % {len(_AGES)} AS v, o_orderkey // 3 % 90 + 10 AS n FROM f), t AS (SELECT *, CASE v {' '.join(f'WHEN {i} THEN {sql}' for i, (_, sql, _) in enumerate(_AGES))} END::INT AS age FROM a)
+        SELECT o_orderkey, age, CASE WHEN age IS NOT NULL THEN v IN ({', '.join(str(i) for i, x in enumerate(_AGES) if x[2])}) END AS in_parts FROM t""",
+)
+def age_contexts(spark, d):
+    k = F.col("o_orderkey")
+    text = F.element_at(F.array(*[F.lit(x) for x, _, _ in _AGES]), (k % len(_AGES) + 1).cast("int"))
+    for name, value in (("n", (F.floor(k / 3) % 90 + 10).cast("string")), ("d", F.date_format("died", "MMMM d, yyyy")), ("e", F.date_format("born", "MMMM d, yyyy"))):
+        text = F.replace(text, F.lit("{" + name + "}"), value)
+    told = X.age_told(F.concat(F.lit("We are sad. "), text), F.col("died"))
+    return notices(spark, d).select("o_orderkey", told.alias("x")).select("o_orderkey", "x.age", "x.in_parts")
