@@ -176,6 +176,15 @@ def to_arrow(kinds: StructType) -> pa.Schema:
     return to_arrow_schema(kinds)
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """A column name like `name` that a table does not have, whatever the case of its own."""
+    taken = {c.lower() for c in columns}
+    name = f"__{name}"
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc_mod(id_col: Column, n: int) -> Column:
     """crc32 of the id written as text, modulo n; null ids count as empty text."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % n

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lychgate.llm.common import docs_of, forget, likely, map_batches, parted, small_batches, to_arrow, written
+from lychgate.llm.common import docs_of, forget, likely, map_batches, parted, small_batches, to_arrow, unused, written
 from lychgate.llm.graph import components
 from lychgate.llm.shingles import common, set_key, shingle_set
 
@@ -365,8 +365,8 @@ def one_of_each(docs: DataFrame, percent: int = 85) -> DataFrame:
     maybe, rest = parted(docs, told.select("doc_id"), "doc_id")
     gone = told.where("not kept").select("doc_id")
     stay = maybe.join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)
-    order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last(), F.to_json(F.struct(*docs.columns)))
-    return rest.unionByName(stay.withColumn("__place", F.row_number().over(order)).where("__place = 1").drop("__place"))
+    order, place = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last(), F.to_json(F.struct(*docs.columns))), unused("place", docs.columns)
+    return rest.unionByName(stay.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place))
 
 
 def op6_minhash(spark, sf_dir: str) -> DataFrame:

@@ -3,8 +3,9 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from lychgate.llm import passages, shingles
+from lychgate.llm import near_dup, passages, shingles
 from tests.llm.conftest import TEXTS
 
 
@@ -80,6 +81,16 @@ def test_cutting(spark, make):
     assert passages.cut_words("a b", [(0, 2)]) == "" and passages.cut_words(" a  b c", [(1, 2)]) == " a  c"
 
 
+def test_columns_named_like_helpers(spark, make):
+    p = " ".join(f"p{i}" for i in range(60))
+    docs = make([(1, f"keep {p}"), (2, f"other {p} more"), (2, f"other {p} more")])
+    for name in ("__id", "__spans", "__Place", "__place_", "kept"):
+        docs = docs.withColumn(name, F.lit(f"own {name}"))
+    for stage in (passages.without_repeats, near_dup.one_of_each):
+        out = stage(docs)
+        assert out.columns == docs.columns and all(r[c] == f"own {c}" for r in out.collect() for c in ("__id", "__spans", "__Place", "__place_", "kept"))
+
+
 def test_common_centres_between_other_documents(spark, make):
     """Two documents share a passage whose centres are also centres of unrelated documents of smaller and larger ids."""
     p = [f"p{j}" for j in range(50)]
@@ -108,3 +119,31 @@ def test_evidence_of_both_directions(spark):
     met = spark.createDataFrame([(7, 5, 0, w, v), (5, 7, 1, v, w)], "doc_id long, rep long, function int, window long, rep_window long")
     (r,) = passages.candidates(met).collect()
     assert {r["doc_id"], r["rep"]} == {5, 7}
+
+
+def near_pairs(pairs, pieces, size, seed):
+    """Pairs of documents whose passages of 50 words differ in one word, not at an end, and pieces of the passages in documents of smaller and larger ids."""
+    rng, rows = random.Random(seed), []
+    own = lambda tag, n: [f"{tag}x{j}" for j in range(n)]
+    for k in range(pairs):
+        p = [f"p{k}w{j}" for j in range(50)]
+        q = list(p)
+        q[rng.randrange(6, 44)] = f"changed{k}"
+        for i, words in ((100_000 + 2 * k, p), (100_001 + 2 * k, q)):
+            rows.append((i, " ".join([*own(f"{i}a", 60), *words, *own(f"{i}b", 60)])))
+        for n in range(pieces):
+            at = rng.randint(0, 50 - size) if n else (50 - size) // 2
+            for i in (k * pieces + n, 200_000 + k * pieces + n):
+                rows.append((i, " ".join([*own(f"{i}c", 60), *p[at : at + size], *own(f"{i}d", 60)])))
+    return rows
+
+
+def test_near_passages_between_other_documents(spark, make):
+    """Pieces of 14 words of a passage stand in documents of smaller and larger ids, all over it."""
+    found = {}
+    for pieces, size in ((0, 14), (6, 14), (12, 20)):
+        rows = near_pairs(150, pieces, size, pieces)
+        spans = passages.merged(passages.repeats(make(rows))).collect()
+        found[pieces] = sum(r["doc_id"] >= 100_000 and r["doc_id"] % 2 == 1 and r["source"] == r["doc_id"] - 1 for r in spans)
+        assert all(100_000 <= r["doc_id"] < 200_000 for r in spans)
+    assert found[0] >= 145 and found[6] >= 0.95 * 150 and found[12] >= 0.6 * 150, found
