@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lychgate.functions import personal
 from lychgate.functions import text as T
 from lychgate.functions import written as W
 from lychgate.functions.written import MONTHS as MONTHS
@@ -299,16 +300,8 @@ def alternates(name: Column) -> Column:
 def name_parts(name: Column) -> Column:
     """(last, first, middle) of "Last, First Middle" or "First Middle Last"; titles, suffixes and what is in
     brackets left out, particles kept with the surname."""
-    c = F.regexp_replace(name, r"\([^)]*\)|\b(?:Mr|Mrs|Ms|Dr|Rev|Jr|Sr|II|III)\.?(?=[\s,]|$)", " ")
-    c = F.regexp_replace(c, r"\b(De|Du|La|Le|Van|Der|Von|St\.?) (?=\p{Lu})", "$1_")
-    c = F.trim(F.regexp_replace(c, r"[\s]+", " "))
-    comma = F.contains(c, F.lit(","))
-    w = F.filter(F.split(F.when(comma, F.regexp_replace(c, "^[^,]*,", "")).otherwise(c), " "), lambda x: F.length(x) > 0)
-    back = lambda x: F.replace(x, F.lit("_"), F.lit(" "))
-    last = F.when(comma, F.trim(F.regexp_extract(c, "^([^,]*),", 1))).otherwise(F.try_element_at(w, F.lit(-1)))
-    rest = F.when(comma, F.slice(w, 2, 99)).otherwise(F.slice(w, F.lit(2), F.greatest(F.lit(0), F.size(w) - 2)))
-    first = F.when(comma | (F.size(w) > 1), F.try_element_at(w, F.lit(1)))
-    return F.struct(back(last).alias("last"), back(first).alias("first"), back(F.array_join(rest, " ")).alias("middle"))
+    told = personal.slots(name)
+    return F.struct(told["last"].alias("last"), told["first"].alias("first"), told["middle"].alias("middle"))
 
 
 def by_priority(evidence: DataFrame, key: str, field: str, rank: Column) -> DataFrame:

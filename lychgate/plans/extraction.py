@@ -3,10 +3,14 @@ statistics run over documents."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
+from lychgate.functions import personal
 from lychgate.functions import text as T
 from lychgate.operators import extract as X
+from lychgate.operators import phrases as P
 from lychgate.registry import query
 from lychgate.sources.tables import table
 
@@ -381,3 +385,74 @@ def age_contexts(spark, d):
         text = F.replace(text, F.lit("{" + name + "}"), value)
     told = X.age_told(F.concat(F.lit("We are sad. "), text), F.col("died"))
     return notices(spark, d).select("o_orderkey", told.alias("x")).select("o_orderkey", "x.age", "x.in_parts")
+
+
+#: Names of persons with their slots: f, g, l, m stand for a first, a second first, a last and another last name.
+_PERSONS = (
+    ("{f} {l}", "f", "", "l", "", "", ""), ("{l}, {f}", "f", "", "l", "", "", ""), ("{f} {g} {l}", "f", "g", "l", "", "", ""), ("{l}, {f} {g}", "f", "g", "l", "", "", ""), ("Dr. {f} {g} {l}, Jr.", "f", "g", "l", "Jr.", "", ""),
+    ("{f} de la {l}", "f", "", "de la l", "", "", ""), ("{f} {g} van der {l}", "f", "g", "van der l", "", "", ""), ("van {l}, {f}", "f", "", "van l", "", "", ""), ("{f} De La {l} III", "f", "", "De La l", "III", "", ""),
+    ('{f} "{g}" {l}', "f", "", "l", "", "g", ""), ("{f} ({g}) {l}", "f", "", "l", "", "g", ""), ("{f} {l} (née {m})", "f", "", "l", "", "", "m"), ("Mrs. {f} {l}, née {m}", "f", "", "l", "", "", "m"), ("{f} {l} dit {m}", "f", "", "l", "", "", "m"),
+    ("{f} {l} aka {g}", "f", "", "l", "", "g", ""), ("{f} J. {l}", "f", "J.", "l", "", "", ""), ("{f} {l}-{m}", "f", "", "l-m", "", "", ""), ("{f} de {l} {m}", "f", "", "de l m", "", "", ""), ("{l} {f}", "f", "", "l", "", "", ""),
+    ("{f} {l} (formerly de {m})", "f", "", "l", "", "", "de m"), ("  {f}   {l} , Esq.", "f", "", "l", "Esq.", "", ""), ('{f} {l} ("{g}")', "f", "", "l", "", "g", ""),
+)
+
+
+def _slot_sql(at: int) -> str:
+    """A slot of _PERSONS as SQL: letters that stand alone are columns, the rest is text."""
+    pieces = [[x for x in re.split(r"(?<![A-Za-z])([fglm])(?![A-Za-z])", p[at]) if x] for p in _PERSONS]
+    said = [" || ".join(x if x in "fglm" else f"'{x}'" for x in own) or "''" for own in pieces]
+    return "CASE v " + " ".join(f"WHEN {k} THEN {x}" for k, x in enumerate(said)) + " END"
+
+
+@query(
+    "parsed_names",
+    f"""WITH p AS (SELECT c_custkey, c_custkey % {len(_PERSONS)} AS v, 'Fira' || chr((97 + c_custkey % 26)::INT) AS f, 'Gina' || chr((97 + c_custkey // 3 % 26)::INT) AS g, 'Lor' || chr((97 + c_custkey // 5 % 26)::INT) AS l, 'Mor' || chr((97 + c_custkey // 7 % 26)::INT) AS m FROM customer)
+        SELECT c_custkey, {_slot_sql(1)} AS first, {_slot_sql(2)} AS middle, {_slot_sql(3)} AS last, {_slot_sql(4)} AS suffix, {_slot_sql(5)} AS nickname, {_slot_sql(6)} AS alternate, v = 18 AS turned FROM p""",
+)
+def parsed_names(spark, d):
+    k = F.col("c_custkey")
+    letter = lambda n: F.chr((97 + F.floor(k / n) % 26).cast("long"))
+    text = F.element_at(F.array(*[F.lit(p[0]) for p in _PERSONS]), (k % len(_PERSONS) + 1).cast("int"))
+    for slot, stem, n in (("f", "Fira", 1), ("g", "Gina", 3), ("l", "Lor", 5), ("m", "Mor", 7)):
+        text = F.replace(text, F.lit("{" + slot + "}"), F.concat(F.lit(stem), letter(n)))
+    rows = table(spark, d, "customer").select("c_custkey", text.alias("name"))
+    stems = spark.range(26).select(F.chr(97 + F.col("id")).alias("c"))
+    counts = stems.select(F.concat(F.lit("fira"), "c").alias("name"), F.lit(90).alias("given"), F.lit(1).alias("surnames")).union(stems.select(F.concat(F.lit("LOR"), "c"), F.lit(2), F.lit(80)))
+    one = lambda c: F.coalesce(F.get(c, F.lit(0)), F.lit("")).alias(c[:-1])
+    return personal.parsed(rows, "c_custkey", "name", counts).select("c_custkey", "first", "middle", "last", "suffix", one("nicknames"), one("alternates"), "turned")
+
+
+_PHRASES = ("the", "of the", "of the thth", "in the", "de la", "la", "in der", "und", "de", "that the of")
+
+
+@query(
+    "phrase_hits",
+    f"""WITH RECURSIVE w AS MATERIALIZED (SELECT doc_id, list_transform(regexp_extract_all(text, '\\p{{L}}+(?:[''’]\\p{{L}}+)*'), lambda x: replace(lower(x), '’', '''')) AS a FROM documents WHERE text IS NOT NULL),
+        p AS (SELECT phrase, string_split(phrase, ' ')[1] AS head, len(string_split(phrase, ' ')) AS n FROM (SELECT unnest({list(_PHRASES)}) AS phrase)),
+        e AS MATERIALIZED (SELECT doc_id, unnest(a) AS word, generate_subscripts(a, 1) - 1 AS i FROM w),
+        m AS MATERIALIZED (SELECT doc_id, i, max(n) AS n, max_by(phrase, n) AS phrase FROM e JOIN p ON e.word = p.head JOIN w USING (doc_id) WHERE array_to_string(a[i + 1 : i + n], ' ') = phrase GROUP BY 1, 2),
+        o AS MATERIALIZED (SELECT *, max(i + n) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS past FROM m),
+        h AS MATERIALIZED (SELECT *, sum(CASE WHEN past IS NULL OR past <= i THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS chain FROM o),
+        k AS (SELECT doc_id, chain, i, n, phrase FROM h WHERE past IS NULL OR past <= i
+          UNION ALL SELECT doc_id, chain, x.i, x.n, x.phrase FROM (SELECT h.doc_id, h.chain, min({{'i': h.i, 'n': h.n, 'phrase': h.phrase}}) AS x FROM k JOIN h ON h.doc_id = k.doc_id AND h.chain = k.chain AND h.i >= k.i + k.n GROUP BY 1, 2))
+        SELECT doc_id, phrase, count(*) AS n, sum(i)::BIGINT AS places FROM k GROUP BY 1, 2""",
+)
+def phrase_hits(spark, d):
+    phrases = spark.createDataFrame([(p, "k") for p in _PHRASES], "phrase string, kind string")
+    hits = P.phrase_hits(table(spark, d, "documents"), "doc_id", "text", phrases)
+    return hits.groupBy("doc_id", "phrase").agg(F.count("*").alias("n"), F.sum("word").alias("places"))
+
+
+@query(
+    "told_of_person",
+    f"""WITH {_FACTS} SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'Ann Roy died on ' || strftime(died, '%Y-%m-%d') || '.' WHEN 1 THEN 'Ann' || o_orderkey || ' left us.' WHEN 2 THEN 'Bob ' || strftime(born, '%Y-%m-%d') || ' rests' ELSE '' END AS told FROM f""",
+)
+def told_of_person(spark, d):
+    k, day = F.col("o_orderkey"), lambda c: F.date_format(c, "yyyy-MM-dd")
+    text = (
+        F.when(k % 4 == 0, F.concat(F.lit("It is with GREAT sadness that we announce Ann Roy died on "), day("died"), F.lit(". Also survived\nby "), k.cast("string"), F.lit(" sons.")))
+        .when(k % 4 == 1, F.concat(F.lit("In loving memory of Ann"), k.cast("string"), F.lit(" left us. Il laisse dans le deuil Bob. In memory of Al.")))
+        .when(k % 4 == 2, F.concat(F.lit("Peacefully Bob "), day("born"), F.lit(" rests  surrounded by his family")))
+        .otherwise("C’est avec une grande tristesse que  peacefully").alias("text")
+    )
+    return P.told_of_person(notices(spark, d).select("o_orderkey", text), "o_orderkey", "text", P.family_phrases(spark))
