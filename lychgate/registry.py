@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_PLANS = ("relational", "linkage", "scalars", "extraction", "maintenance", "actuarial", "files", "forms", "streams")
+_PLANS = ("relational", "linkage", "scalars", "extraction", "maintenance", "actuarial", "files", "forms", "streams", "rewriting")
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _sql: dict[str, str] = {}
 
