@@ -167,33 +167,53 @@ def _sure(f: Frequency, guarantee: float, n: int) -> np.ndarray:
     return (np.arange(n) < paid).astype(float)
 
 
-def _value(paid: np.ndarray, f: Frequency, years: float, rates, cola, deferral: float, alive: float) -> float:
-    """Payments discounted, raised by cola, deferred; four places."""
-    worth = series(dropped(rates, deferral), f, years) / series(dropped(cola, deferral), f, years, stepped=True)
+def _values(paid: np.ndarray, f: Frequency, years: np.ndarray, rates, cola, deferral: float, alive: np.ndarray) -> np.ndarray:
+    """Rows of payments, each for its own years, discounted, raised by cola, deferred; four places."""
+    longest = float(years.max())
+    worth = series(dropped(rates, deferral), f, longest) / series(dropped(cola, deferral), f, longest, stepped=True)
+    made = np.array([len(_steps(f, y)) for y in years])
     wait = np.array([deferral])
     start = discounts(rates, wait)[0] / discounts(cola, wait)[0] * alive
-    return round(float((paid * worth).sum() / f.payments * start), 4)
+    return np.round(np.where(np.arange(paid.shape[1]) < made[:, None], paid * worth, 0.0).sum(axis=1) / f.payments * start, 4)
 
 
-def annuity(l: np.ndarray, age: float, i, f: Frequency, guarantee: float = 0.0, cola=0.0, deferral: float = 0.0, mortal: bool = True) -> float:
-    """Value of 1 a year for life, payments within the guarantee certain; four places. i and cola are rates or lists of
+#: Rows of payments that are valued together.
+TOGETHER = 256
+
+
+def annuities(l: np.ndarray, ages: np.ndarray, i, f: Frequency, guarantee: float = 0.0, cola=0.0, deferral: float = 0.0, mortal: bool = True) -> np.ndarray:
+    """Values of 1 a year for life at ages, payments within the guarantee certain; four places. i and cola are rates or lists of
     rates and years. mortal: the deferral has to be survived."""
-    years = LAST_AGE - age - deferral + 1
-    t = _steps(f, years) / f.payments
-    x = tpx(l, np.full(len(t), age + deferral), t)
-    alive = float(tpx(l, np.array([age]), np.array([deferral]))[0]) if mortal else 1.0
-    return _value(np.maximum(x, _sure(f, guarantee, len(t))), f, years, i, cola, deferral, alive)
+    ages = np.asarray(ages, float)
+    if len(ages) > TOGETHER:
+        return np.concatenate([annuities(l, ages[k : k + TOGETHER], i, f, guarantee, cola, deferral, mortal) for k in range(0, len(ages), TOGETHER)])
+    years = LAST_AGE - ages - deferral + 1
+    t = _steps(f, float(years.max())) / f.payments
+    x = tpx(l, (ages + deferral)[:, None], t[None, :])
+    alive = tpx(l, ages, np.full(len(ages), deferral)) if mortal else np.ones(len(ages))
+    return _values(np.maximum(x, _sure(f, guarantee, len(t))), f, years, i, cola, deferral, alive)
 
 
-def joint(l1: np.ndarray, l2: np.ndarray, age1: float, age2: float, i, f: Frequency, share: float, option: int, guarantee: float = 0.0, cola=0.0, deferral: float = 0.0, mortal: bool = True) -> float:
-    """Value of 1 a year on two lives, of which the part `share` remains after a death; four places. Option 1: after the first
+def annuity(l: np.ndarray, age: float, i, f: Frequency, guarantee: float = 0.0, cola=0.0, deferral: float = 0.0, mortal: bool = True) -> float:
+    """annuities() at one age."""
+    return float(annuities(l, np.array([age]), i, f, guarantee, cola, deferral, mortal)[0])
+
+
+def joints(
+    l1: np.ndarray, l2: np.ndarray, ages1: np.ndarray, ages2: np.ndarray, i, f: Frequency, share: float, option: int, guarantee: float = 0.0, cola=0.0, deferral: float = 0.0, mortal: bool = True
+) -> np.ndarray:
+    """Values of 1 a year on two lives, of which the part `share` remains after a death; four places. Option 1: after the first
     life's death, 2: after the second's, 3: after either's. The guarantee is on the life or lives whose death reduces
     payments; options 4, 5 and 6 pay like 1, 2 and 3, with the guarantee on the reduced part instead."""
     if option not in range(1, 7) or not 0 <= share <= 5 or guarantee < 0:
         raise ValueError("option, share or guarantee out of range")
-    years = LAST_AGE - min(age1, age2) - deferral + 1
-    t = _steps(f, years) / f.payments
-    x, y = (tpx(l, np.full(len(t), age + deferral), t) for l, age in ((l1, age1), (l2, age2)))
+    ages = [np.asarray(a, float) for a in (ages1, ages2)]
+    if len(ages[0]) > TOGETHER:
+        parts = [slice(k, k + TOGETHER) for k in range(0, len(ages[0]), TOGETHER)]
+        return np.concatenate([joints(l1, l2, ages[0][p], ages[1][p], i, f, share, option, guarantee, cola, deferral, mortal) for p in parts])
+    years = LAST_AGE - np.minimum(*ages) - deferral + 1
+    t = _steps(f, float(years.max())) / f.payments
+    x, y = (tpx(l, (a + deferral)[:, None], t[None, :]) for l, a in zip((l1, l2), ages))
     sure = _sure(f, guarantee, len(t))
     if option in (2, 5):
         x, y = y, x
@@ -206,21 +226,50 @@ def joint(l1: np.ndarray, l2: np.ndarray, age1: float, age2: float, i, f: Freque
     else:
         kept = np.maximum(sure, y)
         paid = x + share * (kept - x * kept)
-    alive = float(np.prod([tpx(l, np.array([age]), np.array([deferral]))[0] for l, age in ((l1, age1), (l2, age2))])) if mortal else 1.0
-    return _value(paid, f, years, i, cola, deferral, alive)
+    wait = np.full(len(ages[0]), deferral)
+    alive = tpx(l1, ages[0], wait) * tpx(l2, ages[1], wait) if mortal else np.ones(len(wait))
+    return _values(paid, f, years, i, cola, deferral, alive)
+
+
+def joint(l1: np.ndarray, l2: np.ndarray, age1: float, age2: float, i, f: Frequency, share: float, option: int, guarantee: float = 0.0, cola=0.0, deferral: float = 0.0, mortal: bool = True) -> float:
+    """joints() of one pair of ages."""
+    return float(joints(l1, l2, np.array([age1]), np.array([age2]), i, f, share, option, guarantee, cola, deferral, mortal)[0])
+
+
+def _told(value):
+    """A value that can be compared: a list as a tuple, a missing one as None."""
+    if isinstance(value, (list, tuple, np.ndarray)):
+        return tuple(map(float, value))
+    return None if value is None or value != value else float(value)
+
+
+def _in_groups(make, ages: list[pd.Series], *args: pd.Series) -> pd.Series:
+    """make(frequency, columns of ages, *arguments) once for all rows of equal arguments, each pair of ages once; null where an argument is missing
+    or make raises ValueError. The first argument is the code of the frequency."""
+    out = np.full(len(ages[0]), np.nan)
+    groups: dict[tuple, list[int]] = {}
+    for k, row in enumerate(zip(*args)):
+        groups.setdefault(tuple(map(_told, row)), []).append(k)
+    for key, rows in groups.items():
+        f = None if None in key else frequency(key[0])
+        if f is None:
+            continue
+        own, back = np.unique(np.column_stack([a.to_numpy(float)[rows] for a in ages]), axis=0, return_inverse=True)
+        fine = np.isfinite(own).all(axis=1)
+        values = np.full(len(own), np.nan)
+        try:
+            if fine.any():
+                values[fine] = make(f, own[fine], *key[1:])
+        except ValueError:
+            continue
+        out[rows] = values[back.ravel()]
+    return pd.Series(out)
 
 
 def functions(q: np.ndarray):
     """tPx, LIFE and JOINT over a table of death rates, as pandas UDFs; errors give null. Rates and cola are lists."""
     l = survivors(q)
 
-    def value(make, code, *args) -> float | None:
-        f = frequency(code)
-        try:
-            return make(f, *args) if f else None
-        except ValueError:
-            return None
-
     @F.pandas_udf("double")
     def tpx_(age: pd.Series, t: pd.Series) -> pd.Series:
         ok = age.between(0, LAST_AGE) & (t >= 0)
@@ -228,13 +277,18 @@ def functions(q: np.ndarray):
 
     @F.pandas_udf("double")
     def life_(age: pd.Series, rates: pd.Series, freq: pd.Series, guarantee: pd.Series, cola: pd.Series, deferral: pd.Series) -> pd.Series:
-        one = lambda f, a, r, g, c, d: annuity(l, a, r, f, g, c, d) if 0 <= a and a + d <= LAST_AGE else None
-        return pd.Series([value(one, n, a, r, g, c, d) for a, r, n, g, c, d in zip(age, rates, freq, guarantee, cola, deferral)], dtype=float)
+        def one(f, own, r, g, c, d):
+            values, ok = np.full(len(own), np.nan), (own[:, 0] >= 0) & (own[:, 0] + d <= LAST_AGE)
+            if ok.any():
+                values[ok] = annuities(l, own[ok, 0], r, f, g, c, d)
+            return values
+
+        return _in_groups(one, [age], freq, rates, guarantee, cola, deferral)
 
     @F.pandas_udf("double")
     def joint_(age1: pd.Series, age2: pd.Series, rates: pd.Series, freq: pd.Series, share: pd.Series, option: pd.Series, guarantee: pd.Series) -> pd.Series:
-        one = lambda f, a, b, r, s, o, g: joint(l, l, a, b, r, f, s, int(o), g)
-        return pd.Series([value(one, n, a, b, r, s, o, g) for a, b, r, n, s, o, g in zip(age1, age2, rates, freq, share, option, guarantee)], dtype=float)
+        one = lambda f, own, r, s, o, g: joints(l, l, own[:, 0], own[:, 1], r, f, s, int(o), g)
+        return _in_groups(one, [age1, age2], freq, rates, share, option, guarantee)
 
     return tpx_, life_, joint_
 

@@ -38,7 +38,7 @@ def lexicon(spark: SparkSession) -> DataFrame:
 
 
 def counts(docs: DataFrame, key: str, text: str, table: DataFrame) -> DataFrame:
-    """(key, kind, language, n): how many words of a text are of a class, by language; a word may be of several. The table
-    of words is broadcast, so that only words it holds are grouped."""
+    """(key, kind, language, n): how many words of a text are of a class, by language; a word may be of several. Whether the
+    table of words is sent to all tasks is left to its size."""
     each = docs.select(key, F.explode(words(F.col(text))).alias("word"))
-    return each.join(F.broadcast(table), "word").groupBy(key, "kind", "language").agg(F.count("*").alias("n"))
+    return each.join(table, "word").groupBy(key, "kind", "language").agg(F.count("*").alias("n"))

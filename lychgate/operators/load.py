@@ -6,11 +6,11 @@ and the others are added with new ids.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lychgate.operators import linkage, maintain
+from lychgate.sources.scratch import written
 
 #: The columns of a stored person, a row for each variant of the last name.
 PERSON_COLUMNS = (
@@ -43,7 +43,7 @@ def load(people: DataFrame, incoming: DataFrame, key: str = "id") -> DataFrame:
     rest = [c for c in people.columns if c != key]
     known = {c: F.col(c) if c in incoming.columns else F.lit(None) for c in rest}
     rows = incoming.select("rec_id", "action", "target", *[known[c].cast(people.schema[c].dataType).alias(c) for c in rest])
-    rows = rows.persist(StorageLevel.DISK_ONLY)  # each action reads it
+    rows = written(rows, "incoming")  # each action reads it
     newest = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("rec_id"))).alias(f"_{c}") for c in rest]
     changes = rows.where(F.col("action").isin(*UPDATING)).groupBy(F.col("target").alias(key)).agg(*newest)
     replaced = rows.where("action = 'replace'").groupBy(F.col("target").alias(key)).agg(F.max_by(F.struct(*rest), "rec_id").alias("_row")).select(key, "_row.*")

@@ -6,16 +6,17 @@ written as a new version.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from lychgate.sources.scratch import written
+
 
 def numbered(df: DataFrame, order: str, name: str, first: int) -> DataFrame:
     """df with consecutive numbers from `first` in order of a column, without bringing all rows into one
-    task: ranges are sorted apart, and the sizes of those before are added. The ranges are kept on disk, for both the
-    sizes and the rows have to be of the same ones."""
-    sorted_ = df.repartitionByRange(F.col(order)).withColumn("_part", F.spark_partition_id()).persist(StorageLevel.DISK_ONLY)
+    task: ranges are sorted apart, and the sizes of those before are added. The ranges are written, for both the
+    sizes and the rows have to be of the same ones, whatever executor is lost."""
+    sorted_ = written(df.repartitionByRange(F.col(order)).withColumn("_part", F.spark_partition_id()), "ranges")
     own = Window.partitionBy("_part").orderBy(order)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sorted_.groupBy("_part").count().withColumn("_before", F.coalesce(F.sum("count").over(before), F.lit(0)))
@@ -37,9 +38,12 @@ def replace_rows(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def insert_missing(old: DataFrame, new: DataFrame, key: str, name: str, *on: str) -> DataFrame:
-    """old and the rows of new that it lacks by `on`, once each, in order of `name`, with ids from the greatest on."""
+    """old and the rows of new that it lacks by `on`, once each, in order of `name`, with ids from the greatest on. Of several new rows the
+    least by their other columns, in order, is kept."""
     rest = [c for c in old.columns if c != key]
-    added = new.select(*rest).join(old.select(*on), list(on), "left_anti").dropDuplicates(list(on))
+    others = [c for c in rest if c not in on]
+    missing = new.select(*rest).join(old.select(*on), list(on), "left_anti")
+    added = missing.groupBy(*on).agg(F.min(F.struct(*others)).alias("_least")).select(*on, "_least.*") if others else missing.distinct()
     first = (old.agg(F.max(key)).first()[0] or 0) + 1
     return old.unionByName(numbered(added, name, key, first).select(*[F.col(c).cast(old.schema[c].dataType) for c in old.columns]))
 

@@ -122,5 +122,10 @@ def test_insert_missing_and_counts(spark):
     old = spark.createDataFrame([(4, "b")], "id long, name string")
     new = spark.createDataFrame([("c",), ("a",), ("b",), ("c",)], "name string")
     assert sorted(maintain.insert_missing(old, new, "id", "name", "name").collect()) == [(4, "b"), (5, "a"), (6, "c")]
+    several = spark.createDataFrame([("c", 3), ("c", 1), ("c", None), ("a", 2)], "name string, n long")
+    stored = spark.createDataFrame([(4, "b", 9)], "id long, name string, n long")
+    for new_rows in (several, several.orderBy("n"), several.repartition(3)):
+        assert sorted(maintain.insert_missing(stored, new_rows, "id", "name", "name").collect())[1:] == [(5, "a", 2), (6, "c", None)]
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
     rows, told = maintain.observed(new, late=F.col("name") > "a")
     assert rows.count() == 4 and told.get == {"read": 4, "late": 3}
