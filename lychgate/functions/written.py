@@ -128,7 +128,7 @@ def found_dates(sentences: Column) -> Column:
     return run(sentences)
 
 
-#: Words that speak of an age, unless one of NOT_AGE follows; who was so old; words that turn to something else.
+#: Words that speak of an age, unless one of NOT_AGE (fixed values) follows; who was so old; words that turn to something else.
 AGE_WORDS = {"age", "aged", "years", "year", "old", "ans", "âge", "âgé", "âgée", "años", "edad"}
 NOT_AGE = {"battle", "illness", "courageous", "struggle", "ago", "since", "have"}
 PRONOUNS = {"he", "she", "il", "elle", "él", "ella"}
