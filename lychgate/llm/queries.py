@@ -103,7 +103,7 @@ w AS (
   FROM o LEFT JOIN f ON o.conv_id IS NOT DISTINCT FROM f.conv_id AND o.i = f.i AND o.m <> 'I' WHERE o.m <> 'D'),
 h AS (SELECT conv_id, sha256(string_agg(CASE WHEN m = 'K' THEN role WHEN (j - s::INT) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY j)) AS h FROM w GROUP BY conv_id)
 SELECT v.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate, coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal,
-       coalesce(e.x.cost, 0) AS cost, coalesce(e.x.audit, '') AS audit, coalesce(h.h, sha256('')) AS repaired_sha256
+       coalesce(e.x.cost, 0)::BIGINT AS cost, coalesce(e.x.audit, '') AS audit, coalesce(h.h, sha256('')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) v LEFT JOIN c ON v.conv_id IS NOT DISTINCT FROM c.conv_id
 LEFT JOIN e ON v.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN h ON v.conv_id IS NOT DISTINCT FROM h.conv_id
 """
