@@ -284,7 +284,7 @@ def _monitored(spark, d) -> tuple[DataFrame, DataFrame]:
 @query(
     "rank_monitored",
     f"""WITH {_RANK_SQL}, r AS (SELECT k.*, row_number() OVER (PARTITION BY rec_id ORDER BY points DESC, cand_id) AS n FROM k JOIN u USING (rec_id) WHERE k.exchanged = u.turned)
-        SELECT rec_id AS rec, cand_id AS cand, points, exchanged FROM r WHERE n <= 3""",
+        SELECT rec_id AS rec, cand_id AS cand, points::BIGINT AS points, exchanged FROM r WHERE n <= 3""",
 )
 def rank_monitored(spark, d):
     persons, stored = _monitored(spark, d)
