@@ -347,6 +347,25 @@ def test_neighbours_edges(spark):
     assert ann.search(ann.usable(df.limit(0)), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("size", [1.0, 1e25])
+def test_queries_unlike_the_other_vectors(spark, size):
+    rng = np.random.default_rng(5)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    x = unit(rng.normal(size=(50, 64)))[rng.integers(0, 50, 8000)] + 0.05 * rng.normal(size=(8000, 64))
+    x[::20] = unit(rng.normal(size=(400, 64)))
+    x *= size
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.search(ann.usable(df), F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    expected = brute_neighbours(dict(enumerate(x)), range(0, 8000, 800))
+    score = x[::20] @ x.T
+    score[np.arange(400), np.arange(0, 8000, 20)] = -np.inf
+    true = np.argpartition(-score, 20, axis=1)[:, :20]
+    assert all(set(true[q // 20]) == set(v) for q, v in expected.items())
+    assert np.mean([len(got[20 * i] & set(v.tolist())) / 20 for i, v in enumerate(true)]) >= 0.9
+
+
 def test_many_copies_of_a_vector(spark):
     rng = np.random.default_rng(3)
     rows = [(i, [1.0, 2.0, 3.0, 4.0]) for i in range(400)] + [(400 + i, rng.normal(size=4).tolist()) for i in range(400)]
