@@ -80,3 +80,8 @@ def test_one_form_of_dates():
     assert W.in_one_form("Jan-5-2020,May-5-2020 2020/1/2-2021/3/4") == "Jan. 5, 2020, May 5, 2020 2020/1/2 - 2021/3/4"
     assert [W.in_one_form(t) for t in ("a 2020-01-31b", "2020-13-31", "Foo-5-2020", "no date  here", "1-2-3")] == ["a 2020/01/31 b", "2020-13-31", "Foo-5-2020", "no date  here", "1-2-3"]
     assert W.balanced("a((((b))))c)") == "a((((b))))c" and W.balanced(")(") == ""
+
+
+def test_sentences_keep_digits_at_their_ends(spark):
+    t = "0997 is a number.  1 is one, and 11.  2 of them were 22"
+    assert spark.range(1).select(T.sentences(F.lit(t)).alias("s")).first()["s"] == ["0997 is a number.", "1 is one, and 11.", "2 of them were 22"]
