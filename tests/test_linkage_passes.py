@@ -97,3 +97,12 @@ def test_exchanged_names_replace_a_marginal_result(spark, sf):
         best[r["rec"], r["exchanged"]] = max(best.get((r["rec"], r["exchanged"]), -9999), r["points"])
     assert all(n >= rank.CONVINCING for (_, turned), n in best.items() if turned)
     assert not {rec for rec, turned in best if turned} & {rec for rec, turned in best if not turned}
+
+
+def test_records_meet_all_over_the_table(spark):
+    """Names do not depend on where in the table a record stands: 1 and 2 * 97 * 13 records later meet by name."""
+    d = "/root/testdata/sf0.1"
+    stored = plans.master(spark, d)
+    assert stored.select("last").distinct().count() == 97
+    found = L.candidates(plans.by_name(plans.incoming(spark, d).where("id = 1")), plans.variants(stored), plans._PASSES).where("pass = 4")
+    assert {1 + 97 * 13 * k for k in range(1, 10)} <= {r["cand_id"] for r in found.collect()}
