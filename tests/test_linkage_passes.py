@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lychgate.operators import linkage as L
-from lychgate.operators import rank, ranges
+from lychgate.operators import load, rank, ranges
 from lychgate.plans import linkage as plans
 
 
@@ -106,3 +106,14 @@ def test_records_meet_all_over_the_table(spark):
     assert stored.select("last").distinct().count() == 97
     found = L.candidates(plans.by_name(plans.incoming(spark, d).where("id = 1")), plans.variants(stored), plans._PASSES).where("pass = 4")
     assert {1 + 97 * 13 * k for k in range(1, 10)} <= {r["cand_id"] for r in found.collect()}
+
+
+def test_tables_that_grow_are_not_sent_to_the_driver(spark):
+    d = "/root/testdata/sf0.001"
+    records, stored = plans.incoming(spark, d), plans.master(spark, d)
+    pairs = plans.candidates(spark, d)
+    people = stored.select("id", F.col("last").alias("last_name"))
+    acts = records.select(F.col("id").alias("rec_id"), F.lit("update").alias("action"), F.col("id").alias("target"), F.lit("x").alias("last_name"))
+    plan = lambda rows: rows._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan(pairs) and "Broadcast" not in plan(plans.scored(pairs, records, stored, plans.evidence()))
+    assert not [line for line in plan(load.load(people, acts)).splitlines() if "BroadcastHashJoin" in line and ("LeftAnti" in line or "LeftOuter" in line)]
