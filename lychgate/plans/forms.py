@@ -92,7 +92,9 @@ def date_ranges(spark, d):
     english = F.concat(F.date_format(a, "MMMM d, yyyy"), F.lit(" - "), F.date_format(b, "MMMM d, yyyy"))
     french = F.concat(F.dayofmonth(a), F.lit(" février "), F.year(a), F.lit(" - "), F.dayofmonth(b), F.lit(" août "), F.year(b))
     c = F.when(F.col("l_linenumber") % 3 == 1, english).when(F.col("l_linenumber") % 3 == 2, french).otherwise(F.concat(english, F.lit(".")))
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", markup.pure_date_range(c).alias("pure"), markup.pure_date_range(c, "en").alias("english"))
+    lang = markup.range_language(c)  # read once for both
+    told = lambda is_: F.when(c.isNotNull(), is_)
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", told(lang.isNotNull()).alias("pure"), told(lang.eqNullSafe(F.lit("en"))).alias("english"))
 
 
 _LEXICON_SQL = ", ".join(f"('{k}', '{lang}', '{w}')" for k, lang, w, _ in lexicon.entries())

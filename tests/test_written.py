@@ -85,3 +85,10 @@ def test_one_form_of_dates():
 def test_sentences_keep_digits_at_their_ends(spark):
     t = "0997 is a number.  1 is one, and 11.  2 of them were 22"
     assert spark.range(1).select(T.sentences(F.lit(t)).alias("s")).first()["s"] == ["0997 is a number.", "1 is one, and 11.", "2 of them were 22"]
+
+
+def test_a_range_is_read_once_in_a_worker():
+    from lychgate.functions import written
+
+    told = [written.date_range_language("5 mai 1920 - 6 août 2001") for _ in range(3)]
+    assert told == ["fr"] * 3 and written.date_range_language.cache_info().hits >= 2
