@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LAST_AGE = 120
@@ -293,6 +294,16 @@ def functions(q: np.ndarray):
     return tpx_, life_, joint_
 
 
+def valued(rows: DataFrame, f, args: list[Column], name: str) -> DataFrame:
+    """rows with f(*args) as `name`, made once for each distinct row of arguments and spread over all tasks, however few hold the rows."""
+    keys = [f"_{name}_{k}" for k in range(len(args))]
+    own = rows.select("*", *[a.alias(k) for a, k in zip(args, keys)])
+    parts = max(rows.sparkSession.sparkContext.defaultParallelism, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    once = own.select(*keys).distinct().repartition(parts, *keys).withColumn(name, f(*keys)).select(*[F.col(k).alias(f"{k}_") for k in keys], name)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys])
+    return own.join(once, same, "left").select(*rows.columns, name)
+
+
 #: SQL functions without Python: elapse of two dates, vt of a time and a rate list, eligdate of a date and years from it.
 _SQL = (
     """elapse(a DATE, b DATE) RETURNS DOUBLE RETURN round(

@@ -77,7 +77,8 @@ def life(spark, d):
     k = F.col("p_partkey")
     freq = F.when(k % 2 == 0, 12.0).otherwise(101.0)
     rates = F.array(F.lit(0.04), F.lit(10.0), F.lit(0.03))
-    return table(spark, d, "part").select("p_partkey", f((40 + k % 50).cast("double"), rates, freq, (k % 3 * 5).cast("double"), F.array(F.lit(0.01)), (k % 4 * 4).cast("double")).alias("value"))
+    args = [(40 + k % 50).cast("double"), rates, freq, (k % 3 * 5).cast("double"), F.array(F.lit(0.01)), (k % 4 * 4).cast("double")]
+    return A.valued(table(spark, d, "part").select("p_partkey"), f, args, "value")
 
 
 @query(
@@ -93,7 +94,7 @@ def joint(spark, d):
     _, _, f = A.functions(A.makeham())
     k = F.col("p_partkey")
     args = [(50 + k % 30).cast("double"), (48 + k % 31).cast("double"), F.array(F.lit(0.04)), F.lit(12.0), F.lit(0.6), (k % 7).cast("double"), (k % 2 * 5).cast("double")]
-    return table(spark, d, "part").select("p_partkey", f(*args).alias("value"))
+    return A.valued(table(spark, d, "part").select("p_partkey"), f, args, "value")
 
 
 @query(

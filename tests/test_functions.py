@@ -3,6 +3,7 @@
 import datetime as dt
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -194,3 +195,18 @@ def test_compatible_lookups(spark):
     assert found(False) == {1: True, 2: True, 3: False} and found(True) == {1: True, 2: False, 3: False}
     mixed = lookup.shuffled(spark.range(50).withColumnRenamed("id", "ordinal"), 3)
     assert [r["ordinal"] for r in mixed.collect()] != list(range(50)) and [r["ordinal"] for r in mixed.orderBy("ordinal").collect()] == list(range(50))
+
+
+def test_values_of_equal_arguments_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("double")
+    def f(a: pd.Series, rates: pd.Series) -> pd.Series:
+        made.add(len(a))
+        return a + rates.map(lambda r: r[0])
+
+    rows = spark.range(1000).select("id", F.when(F.col("id") % 10 > 0, (F.col("id") % 10).cast("double")).alias("a"))
+    out = A.valued(rows, f, [F.col("a"), F.array(F.lit(0.5))], "value")
+    got = {r["id"]: r["value"] for r in out.collect()}
+    assert out.columns == ["id", "a", "value"] and made.value == 10
+    assert len(got) == 1000 and got[7] == 7.5 and got[17] == 7.5 and (got[20] is None or got[20] != got[20])
