@@ -6,9 +6,13 @@ size estimate.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lychgate.sources.scratch import written
+
 
 def count_by(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
     """Rows per key, null keys as a group of their own."""
@@ -36,11 +40,57 @@ def all_of(values: Column, test) -> Column:
     return F.coalesce((F.size(values) > 0) & F.forall(values, test), F.lit(False))
 
 
-def nearest_by(df: DataFrame, places: DataFrame, key: str, distance: Column, *take: str) -> DataFrame:
-    """Per row id of df the place of the same key at least distance, ties to the first of take."""
-    near = df.join(places, key)
-    least = F.min(F.struct(distance.alias("distance"), *take)).alias("best")
-    return near.groupBy("row_id").agg(least).select("row_id", "best.*")
+#: Different places of a cell that are compared one by one, and the greatest depth of cells.
+PLACES, DEEPEST = 64, 15
+
+
+def nearest_by(df: DataFrame, places: DataFrame, key: str, take: str) -> DataFrame:
+    """(row_id, take, distance): per row of df (row_id, key, qx, qy) the place (take, x, y) of the same key at least squared distance, ties to the
+    least of take; distances that are no number come last, missing ones at the very end.
+
+    Cells of a key are parted in 16 until they hold few different places. A row goes down from cell to cell, and only into those
+    whose places may be as near as what another cell is sure to have."""
+    number = lambda *names: reduce(lambda a, b: a & b, [F.abs(c) < 1e150 for c in names])  # noqa: E731  nulls are none
+    rank = lambda: F.struct(F.col("distance").isNull().alias("missing"), "distance", take)
+    dx, dy = F.col("qx") - F.col("x"), F.col("qy") - F.col("y")
+    fine = places.where(number("x", "y")).groupBy(key, "x", "y").agg(F.min(take).alias(take))
+    ends = [f(c).alias(f"{n}{c}") for c in ("x", "y") for n, f in (("lo", F.min), ("hi", F.max))]
+    boxes = fine.groupBy(key).agg(*ends)
+    step = lambda c: F.least(F.floor((F.col(c) - F.col(f"lo{c}")) / F.greatest(F.col(f"hi{c}") - F.col(f"lo{c}"), F.lit(1e-300)) * 4.0**DEEPEST), F.lit(4**DEEPEST - 1))
+    fine = written(fine.join(boxes, key).select(key, "x", "y", take, step("x").alias("cx"), step("y").alias("cy")), "places")
+    at = lambda depth: [F.shiftright(c, 2 * (DEEPEST - depth)).alias(n) for c, n in (("cx", "i"), ("cy", "j"))]
+
+    def cells(depth: int) -> DataFrame:
+        return fine.groupBy(key, *at(depth)).agg(*ends, F.count("*").alias("n"))
+
+    def beyond(c: str, far: bool) -> Column:
+        low, high = F.col(f"lo{c}") - F.col(f"q{c}"), F.col(f"q{c}") - F.col(f"hi{c}")
+        d = F.greatest(F.abs(low), F.abs(high)) if far else F.greatest(low, high, F.lit(0.0))
+        return d * d
+
+    # Rows or keys without a plain distance: what counts of a place is only whether it is a number, and which not.
+    kinds = [e for c in ("x", "y") for e in (F.col(c).isNull(), F.when(~number(c), F.col(c)))]
+    kinds = places.groupBy(key, *[e.alias(f"_{k}") for k, e in enumerate(kinds)]).agg(F.min_by(F.struct("x", "y", take), take).alias("p")).select(key, "p.*")
+    known = boxes.select(key, F.lit(True).alias("known"))
+    rows = df.join(known, key, "left").withColumn("plain", F.coalesce(number("qx", "qy") & F.col("known"), F.lit(False)))
+    odd = rows.where("not plain").join(kinds, key).withColumn("distance", dx * dx + dy * dy).select("row_id", take, "distance")
+    open_ = rows.where("plain").select("row_id", key, "qx", "qy", F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j"))
+    out, depth = [odd], 0
+    while True:
+        met = open_.join(cells(depth), [key, "i", "j"]).withColumn("near", beyond("x", False) + beyond("y", False)).withColumn("far", beyond("x", True) + beyond("y", True))
+        bound = met.groupBy("row_id").agg(F.min("far").alias("bound"))
+        met = written(met.join(bound, "row_id").where("near <= bound").select("row_id", key, "qx", "qy", "i", "j", "n"), "cells")
+        last = F.lit(depth == DEEPEST) | (F.col("n") <= PLACES)
+        ends_here = met.where(last).join(fine.select("*", *at(depth)), [key, "i", "j"])
+        out.append(ends_here.withColumn("distance", dx * dx + dy * dy).select("row_id", take, "distance"))
+        met = met.where(~last)
+        if met.isEmpty():
+            break
+        depth += 1
+        child = F.explode(F.sequence(F.lit(0), F.lit(15))).alias("c")
+        open_ = met.select("row_id", key, "qx", "qy", "i", "j", child).select("row_id", key, "qx", "qy", *[(F.col(n) * 4 + part).alias(n) for n, part in (("i", F.col("c") % 4), ("j", F.floor(F.col("c") / 4)))])
+    every = reduce(DataFrame.union, out)
+    return every.groupBy("row_id").agg(F.min(rank()).alias("best")).select("row_id", F.col(f"best.{take}").alias(take), "best.distance")
 
 
 def unless_missing(*values: Column) -> Column:

@@ -241,8 +241,7 @@ def nearest_neighbour(spark, d):
     e = table(spark, d, "embeddings").select("vec_id", "label", F.col("embedding")[0].cast("double").alias("x"), F.col("embedding")[1].cast("double").alias("y"))
     q = e.where("label = 0").select(F.col("vec_id").alias("row_id"), F.col("x").alias("qx"), F.col("y").alias("qy"), (F.col("vec_id") % 20).alias("area"))
     p = e.where("label = 1").select("vec_id", "x", "y", (F.col("vec_id") % 20).alias("area"))
-    dx, dy = F.col("qx") - F.col("x"), F.col("qy") - F.col("y")
-    return lookup.nearest_by(q, p, "area", dx * dx + dy * dy, "vec_id").select("row_id", "vec_id", "distance")
+    return lookup.nearest_by(q, p, "area", "vec_id").select("row_id", "vec_id", "distance")
 
 
 @query(

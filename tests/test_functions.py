@@ -210,3 +210,24 @@ def test_values_of_equal_arguments_are_made_once(spark):
     got = {r["id"]: r["value"] for r in out.collect()}
     assert out.columns == ["id", "a", "value"] and made.value == 10
     assert len(got) == 1000 and got[7] == 7.5 and got[17] == 7.5 and (got[20] is None or got[20] != got[20])
+
+
+def test_nearest_places_of_crowded_keys(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "PLACES", 4)
+    rng = np.random.default_rng(3)
+    odd = [None, float("nan"), float("inf")]
+    places = [(1000 + n, n % 3, float(x), float(y)) for n, (x, y) in enumerate(np.round(rng.normal(size=(300, 2)), 1))]
+    places += [(n, 0, x, 0.5) for n, x in enumerate(odd)] + [(10 + n, 3, x, 0.5) for n, x in enumerate(odd)]
+    rows = [(n, n % 4, float(x), float(y)) for n, (x, y) in enumerate(rng.normal(size=(200, 2)))] + [(500 + n, n % 4, x, 0.1) for n, x in enumerate(odd * 2)]
+
+    def wanted(key, x, y):
+        out = []
+        for v, k, a, b in places:
+            if k == key:
+                d = None if None in (x, a) else (x - a) * (x - a) + (y - b) * (y - b)
+                out.append(((d is None, d is not None and d != d, 0.0 if d is None or d != d else d, v), v))
+        return min(out)[1]
+
+    df = spark.createDataFrame(rows, "row_id long, area long, qx double, qy double")
+    got = lookup.nearest_by(df, spark.createDataFrame(places, "vec_id long, area long, x double, y double"), "area", "vec_id")
+    assert {r["row_id"]: r["vec_id"] for r in got.collect()} == {n: wanted(k, x, y) for n, k, x, y in rows}
