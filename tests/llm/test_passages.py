@@ -147,3 +147,16 @@ def test_near_passages_between_other_documents(spark, make):
         found[pieces] = sum(r["doc_id"] >= 100_000 and r["doc_id"] % 2 == 1 and r["source"] == r["doc_id"] - 1 for r in spans)
         assert all(100_000 <= r["doc_id"] < 200_000 for r in spans)
     assert found[0] >= 145 and found[6] >= 0.95 * 150 and found[12] >= 0.6 * 150, found
+
+
+def test_no_document_at_a_class_hides_another(spark, make):
+    """Two passages differ in a word; documents of smaller and larger ids have 30 words of them with other words beside."""
+    rng, p = random.Random(6), [f"p{j}" for j in range(50)]
+    q = [*p[:44], "changed", *p[45:]]
+    own = lambda tag, n: [f"{tag}x{j}" for j in range(n)]
+    rows = [(i, " ".join([*own(f"{i}a", 60), *words, *own(f"{i}b", 60)])) for i, words in ((500, p), (501, q))]
+    for i in [*range(40), *range(900, 940)]:
+        at = rng.randint(0, 20)
+        rows.append((i, " ".join([*own(f"{i}c", 60), *p[at : at + 30], *own(f"{i}d", 60)])))
+    (r,) = passages.merged(passages.repeats(make(rows))).collect()
+    assert (r["doc_id"], r["source"]) == (501, 500)
