@@ -160,3 +160,31 @@ def test_no_document_at_a_class_hides_another(spark, make):
         rows.append((i, " ".join([*own(f"{i}c", 60), *p[at : at + 30], *own(f"{i}d", 60)])))
     (r,) = passages.merged(passages.repeats(make(rows))).collect()
     assert (r["doc_id"], r["source"]) == (501, 500)
+
+
+def test_rows_of_a_group_grow_with_it(spark, make):
+    """Near copies of one text with a word changed at two places of each: rows that meet grow as the copies do, and every copy is told."""
+    rng, met = random.Random(3), []
+    text = [f"p{j}" for j in range(160)]
+    for n in (150, 1200):
+        rows = []
+        for i in range(n):
+            words = list(text)
+            for at in (rng.randrange(10, 80), rng.randrange(80, 150)):
+                words[at] = f"changed{i}x{at}"
+            rows.append((i, " ".join(words)))
+        docs = make(rows)
+        met.append(passages.collisions(docs, passages.windows_of(docs)).count())
+        told = {r["doc_id"] for r in passages.merged(passages.repeats(docs)).collect()} if n == 150 else set(range(1, 150))
+        assert told == set(range(1, 150))
+    assert met[1] < 1.5 * 8 * met[0], met
+
+
+def test_similar_by_parts(spark, make):
+    """A word of every 30 is changed: as a whole the texts are not similar by PERCENT, each two runs of equal words are."""
+    p = [f"p{j}" for j in range(400)]
+    q = [f"q{j}" if j % 30 == 10 else w for j, w in enumerate(p)]
+    (r,) = passages.merged(passages.repeats(make([(1, " ".join(p)), (2, " ".join(q))]))).collect()
+    assert (r["doc_id"], r["source"], r["start"], r["end"]) == (2, 1, 11, 400)
+    x, y = (np.unique(w, return_inverse=True)[1][k * 400 :][:400].astype(np.uint32) for k, w in ((0, p + q), (1, p + q)))
+    assert passages.proven(x, y, [0])
