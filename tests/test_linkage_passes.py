@@ -117,3 +117,31 @@ def test_tables_that_grow_are_not_sent_to_the_driver(spark):
     plan = lambda rows: rows._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" not in plan(pairs) and "Broadcast" not in plan(plans.scored(pairs, records, stored, plans.evidence()))
     assert not [line for line in plan(load.load(people, acts)).splitlines() if "BroadcastHashJoin" in line and ("LeftAnti" in line or "LeftOuter" in line)]
+
+
+def above_joins(rows):
+    """What the plan does with joined pairs."""
+    lines = rows._jdf.queryExecution().executedPlan().toString().splitlines()
+    return "\n".join(lines[: next(n for n, line in enumerate(lines) if "SortMergeJoin" in line)])
+
+
+@pytest.mark.parametrize("name", ["candidate_evidence"])
+def test_pairs_are_not_shuffled(spark, name):
+    told = above_joins(getattr(plans, name)(spark, "/root/testdata/sf0.001"))
+    assert not [w for w in ("Exchange", "Aggregate", "Window", "Sort ") if w in told]
+
+
+def test_pairs_meet_once_where_they_first_agree(spark):
+    """Rows that share id and position, repeated rows and nulls, against joining all passes and keeping the least."""
+    rng = random.Random(5)
+    made = lambda n, *places: [(rng.choice([None, *range(12)]), *[rng.randint(0, 2) for _ in places], rng.choice(["a", "b", None]), rng.choice(["p", "q", None]), rng.choice([1, 2, 3, None])) for _ in range(n)]
+    columns = "last string, first string, year int"
+    records, master = spark.createDataFrame(made(60, 1), f"id long, position int, {columns}"), spark.createDataFrame(made(50), f"id long, {columns}")
+    passes = [["last", "first", "year"], ["first", "year"], ["last"]]
+    every = L.first_blocks([L.candidates_of_pass(records, master, keys, n) for n, keys in enumerate(passes, 1)])
+    order = lambda rows: sorted(map(str, rows))
+    got = L.candidates(records, master, passes)
+    assert order(got.collect()) == order(every.collect()) and got.dtypes == every.dtypes
+    told = spark.createDataFrame([(n % 9, n) for n in range(12)], "id long, x int")
+    ours = L.met(L.keyed(records, passes, told), L.keyed(master, passes), passes, [2, 3])
+    assert order(ours.collect()) == order(every.where("pass > 1").join(told.withColumnRenamed("id", "rec_id"), "rec_id").collect())
