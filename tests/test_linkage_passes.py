@@ -125,7 +125,7 @@ def above_joins(rows):
     return "\n".join(lines[: next(n for n, line in enumerate(lines) if "SortMergeJoin" in line)])
 
 
-@pytest.mark.parametrize("name", ["blocking_passes", "candidate_evidence", "match_keys"])
+@pytest.mark.parametrize("name", ["blocking_passes", "candidate_evidence", "match_keys", "early_stop_passes"])
 def test_pairs_are_not_shuffled(spark, name):
     told = above_joins(getattr(plans, name)(spark, "/root/testdata/sf0.001"))
     assert not [w for w in ("Exchange", "Aggregate", "Window", "Sort ") if w in told]
